@@ -99,7 +99,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_VECTORS = """
-  vecs AS (SELECT vec_id AS id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS vec FROM embeddings)"""
+  vecs AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec FROM embeddings)"""
 
 
 def query_features_20(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def query_features_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_QUERY_FEATURES_20 = """
   pts AS (SELECT CAST(vec_id AS VARCHAR) AS query,
-                 list_transform(embedding[1:20], x -> CAST(x AS DOUBLE)) AS feature FROM embeddings)"""
+                 list_transform(embedding[1:20], lambda x: CAST(x AS DOUBLE)) AS feature FROM embeddings)"""
 
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

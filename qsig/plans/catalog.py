@@ -132,3 +132,208 @@ def flagship(spark: SparkSession, d: str, limit: int = 10) -> DataFrame:
     """Top terms per category (rank <= limit), the ``entry()`` query."""
     out = terms.tfidf_ranked(_terms(spark, d), limit=limit)
     return out.select("cid3", "cid3_name", "term", r6("tfidf").alias("tfidf"), "rank")
+
+
+# ============================================================ P: keyword pairs
+
+from qsig.operators import pairs  # noqa: E402
+from qsig.sources import io  # noqa: E402
+
+CUTOFF = io.cutoff_date(A.CLICK_DT, A.CLICK_LOOKBACK)
+SQL_PV = f"""
+  pv AS (SELECT sku, key_word, count(*) AS pv FROM click
+         WHERE dim_type = '{A.CLICK_DIM}' AND key_word IS NOT NULL AND trim(key_word) <> ''
+           AND dt > '{CUTOFF}' GROUP BY sku, key_word),
+  top AS (SELECT sku, key_word, pv, row_number() OVER (PARTITION BY sku ORDER BY pv DESC, key_word) AS rank
+          FROM pv QUALIFY rank <= 50),
+  kl AS (SELECT sku, list(key_word ORDER BY rank) AS ks FROM top GROUP BY sku)"""
+
+
+def _pv(spark, d):
+    return pairs.keyword_pv(A.click_log(spark, d), dim=A.CLICK_DIM, dt=A.CLICK_DT,
+                            lookback_days=A.CLICK_LOOKBACK)
+
+
+@register("scan_since", with_(A.SQL_CLICK_LOG)
+          + f" SELECT sku, key_word, dim_type, dt FROM click WHERE dt > '{CUTOFF}'")
+def q_scan_since(spark, d):
+    return io.since(A.click_log(spark, d), A.CLICK_DT, A.CLICK_LOOKBACK)
+
+
+@register("keyword_pv", with_(A.SQL_CLICK_LOG, SQL_PV) + " SELECT sku, key_word, pv FROM pv")
+def q_keyword_pv(spark, d):
+    return _pv(spark, d)
+
+
+@register("top_keywords", with_(A.SQL_CLICK_LOG, SQL_PV) + " SELECT sku, key_word, pv, rank FROM top")
+def q_top_keywords(spark, d):
+    return pairs.top_keywords(_pv(spark, d), 50)
+
+
+@register("keyword_list", with_(A.SQL_CLICK_LOG, SQL_PV)
+          + " SELECT sku, array_to_string(ks, '&&') AS keywords FROM kl")
+def q_keyword_list(spark, d):
+    kl = pairs.keyword_list(pairs.top_keywords(_pv(spark, d), 50))
+    return kl.select("sku", F.array_join("keywords", "&&").alias("keywords"))
+
+
+@register("keyword_triples", with_(A.SQL_CLICK_LOG, SQL_PV) + """
+  SELECT sku, unnest(CASE WHEN len(ks) > 2
+                          THEN list_transform(range(1, len(ks) - 1), lambda i: array_to_string(ks[i:i + 2], ' '))
+                          ELSE [array_to_string(ks, ' ')] END) AS query
+  FROM kl""")
+def q_keyword_triples(spark, d):
+    return pairs.keyword_triples(A.click_log(spark, d), dim=A.CLICK_DIM, dt=A.CLICK_DT,
+                                 lookback_days=A.CLICK_LOOKBACK)
+
+
+# ============================================================== N: sample pairs
+
+from qsig.functions.hashing import sql_draw_int  # noqa: E402
+from qsig.operators import samples  # noqa: E402
+
+SEED = 7
+K_NEG = 5
+SQL_NAMES = f"""
+  names AS (SELECT DISTINCT name FROM gp WHERE name IS NOT NULL AND name <> ''),
+  idx AS (SELECT name, row_number() OVER (ORDER BY md5(name), name) - 1 AS idx FROM names),
+  ncount AS (SELECT count(*) AS n FROM names),
+  draws AS (SELECT name, CAST(j AS INTEGER) AS draw_no,
+                   {sql_draw_int('(SELECT n FROM ncount)', ['name', 'j'], SEED)} AS draw
+            FROM names, range(0, {K_NEG}) r(j)),
+  neg AS (SELECT d.name AS query_1, i.name AS query_2, 0 AS label FROM draws d JOIN idx i ON d.draw = i.idx),
+  mem AS (SELECT pathid, name, min(ord) AS ord FROM gp WHERE name IS NOT NULL AND name <> ''
+          GROUP BY pathid, name),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY pathid ORDER BY ord, name) AS pos FROM mem),
+  pos AS (SELECT a.name AS query_1, b.name AS query_2, 1 AS label
+          FROM rk a JOIN rk b ON a.pathid = b.pathid AND b.pos = a.pos + 1)"""
+
+
+def _gp(spark, d):
+    return A.graph_path(spark, d)
+
+
+@register("distinct_names", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT name FROM names")
+def q_distinct_names(spark, d):
+    return samples.distinct_names(_gp(spark, d))
+
+
+@register("dense_index", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT name, idx FROM idx")
+def q_dense_index(spark, d):
+    return samples.dense_index(_gp(spark, d))
+
+
+@register("name_count", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + ' SELECT n AS "count" FROM ncount')
+def q_name_count(spark, d):
+    return samples.name_count(_gp(spark, d))
+
+
+@register("random_draws", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT name, draw_no, draw FROM draws")
+def q_random_draws(spark, d):
+    return samples.random_draws(_gp(spark, d), K_NEG, SEED)
+
+
+@register("negative_pairs", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT * FROM neg")
+def q_negative_pairs(spark, d):
+    return samples.negative_pairs(_gp(spark, d), K_NEG, SEED)
+
+
+@register("path_list", with_(A.SQL_GRAPH_PATH, SQL_NAMES)
+          + " SELECT pathid, string_agg(name, '&&' ORDER BY ord, name) AS querys FROM mem GROUP BY pathid")
+def q_path_list(spark, d):
+    pl = samples.path_list(_gp(spark, d), order_col="ord")
+    return pl.select("pathid", F.array_join("names", "&&").alias("querys"))
+
+
+@register("positive_pairs", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT * FROM pos")
+def q_positive_pairs(spark, d):
+    return samples.positive_pairs(_gp(spark, d), order_col="ord")
+
+
+@register("labelled_pairs", with_(A.SQL_GRAPH_PATH, SQL_NAMES)
+          + " SELECT * FROM neg UNION ALL SELECT * FROM pos")
+def q_labelled_pairs(spark, d):
+    return samples.labelled_pairs(_gp(spark, d), K_NEG, SEED, order_col="ord")
+
+
+# ========================================================= F: score features
+
+from qsig.operators import features  # noqa: E402
+
+SQL_KEPT = """
+  sizes AS (SELECT query, count(*) AS num FROM qs GROUP BY query),
+  kept AS (SELECT qs.*, num FROM qs JOIN sizes USING (query) WHERE num BETWEEN 20 AND 12000),
+  stats AS (SELECT query, avg(score) AS mean, stddev_pop(score) AS std FROM kept GROUP BY query),
+  z AS (SELECT kept.query, sku, score, (score - mean) / nullif(std, 0) AS z
+        FROM kept JOIN stats USING (query)),
+  zmin AS (SELECT query, sku, min(z) AS z FROM z WHERE score IS NOT NULL GROUP BY query, sku),
+  g AS (SELECT query, list_sort(list(score) FILTER (WHERE score IS NOT NULL), 'DESC') AS v,
+               avg(score) AS mean, stddev_pop(score) AS std FROM kept GROUP BY query),
+  fr AS (SELECT query,
+           (v[CAST(floor(len(v) * 0.25) AS BIGINT) + 1] - mean) / nullif(std, 0) AS quarter_n,
+           v[CAST(floor(len(v) * 0.25) AS BIGINT) + 1] AS quarter,
+           (v[CAST(floor(len(v) * 0.5) AS BIGINT) + 1] - mean) / nullif(std, 0) AS half_n,
+           v[CAST(floor(len(v) * 0.5) AS BIGINT) + 1] AS half,
+           (v[CAST(floor(len(v) * 0.75) AS BIGINT) + 1] - mean) / nullif(std, 0) AS three_quarters_n,
+           v[CAST(floor(len(v) * 0.75) AS BIGINT) + 1] AS three_quarters
+         FROM g)"""
+
+FRACTILE_COLS = ["quarter_n", "quarter", "half_n", "half", "three_quarters_n", "three_quarters"]
+SQL_FRACTILE_SELECT = ", ".join(f"{s6(c)} AS {c}" for c in FRACTILE_COLS)
+
+
+def _qs(spark, d):
+    return A.query_scores(spark, d)
+
+
+@register("collect_scores", with_(A.SQL_QUERY_SCORES) + f"""
+  SELECT query, count(*) AS num,
+         array_to_string(list_sort(list(sku || ':' || {sql_dec6_text('score')})), ',') AS items
+  FROM qs GROUP BY query""")
+def q_collect_scores(spark, d):
+    c = features.collect_scores(_qs(spark, d))
+    txt = F.array_join(F.array_sort(F.transform(
+        "items", lambda x: F.concat(x["sku"], F.lit(":"), dec6_text(x["score"])))), ",")
+    return c.select("query", "num", txt.alias("items"))
+
+
+@register("size_filter", with_(A.SQL_QUERY_SCORES, SQL_KEPT) + " SELECT DISTINCT query, num FROM kept")
+def q_size_filter(spark, d):
+    kept = features.size_filter(_qs(spark, d))
+    return features.group_sizes(kept).select("query", "num").join(
+        kept.select("query", F.col("num").alias("n0")).distinct(), "query").drop("n0")
+
+
+@register("score_zscore", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
+          + f" SELECT query, sku, {s6('score')} AS score, {s6('z')} AS z FROM z")
+def q_score_zscore(spark, d):
+    z = features.zscore(features.size_filter(_qs(spark, d)))
+    return z.select("query", "sku", r6("score").alias("score"), r6("z").alias("z"))
+
+
+@register("score_fractiles", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
+          + f" SELECT query, {SQL_FRACTILE_SELECT} FROM fr")
+def q_score_fractiles(spark, d):
+    fr = features.fractiles(features.size_filter(_qs(spark, d)))
+    return fr.select("query", *[r6(c).alias(c) for c in FRACTILE_COLS])
+
+
+@register("score_map_long", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
+          + f" SELECT query, sku, {s6('z')} AS z FROM zmin")
+def q_score_map_long(spark, d):
+    m = features.score_map_long(features.size_filter(_qs(spark, d)))
+    return m.select("query", "sku", r6("z").alias("z"))
+
+
+@register("query_features", with_(A.SQL_QUERY_SCORES, SQL_KEPT) + f"""
+  SELECT s.query, CAST(s.num AS INTEGER) AS num, {SQL_FRACTILE_SELECT},
+         array_to_string(list_sort(list(zmin.sku || ':' || coalesce({sql_dec6_text('zmin.z')}, 'null'))), ',')
+           AS sku_score_normal
+  FROM (SELECT DISTINCT query, num FROM kept) s JOIN fr USING (query) JOIN zmin USING (query)
+  GROUP BY ALL""")
+def q_query_features(spark, d):
+    qf = features.query_features(_qs(spark, d))
+    txt = F.array_join(F.array_sort(F.transform(
+        F.map_entries("sku_score_normal"),
+        lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(dec6_text(e["value"]), F.lit("null"))))), ",")
+    return qf.select("query", "num", *[r6(c).alias(c) for c in FRACTILE_COLS], txt.alias("sku_score_normal"))
