@@ -337,3 +337,134 @@ def q_query_features(spark, d):
         F.map_entries("sku_score_normal"),
         lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(dec6_text(e["value"]), F.lit("null"))))), ",")
     return qf.select("query", "num", *[r6(c).alias(c) for c in FRACTILE_COLS], txt.alias("sku_score_normal"))
+
+
+# ===================================================== C: cosine similarity
+
+from qsig.operators import similarity  # noqa: E402
+
+TOPK = 200
+
+SQL_UNIT = """
+  nn AS (SELECT id, vec, sqrt(list_sum(list_transform(vec, lambda y: y * y))) AS nrm FROM vecs),
+  u AS (SELECT id, nrm, list_transform(vec, lambda x: coalesce(x / nullif(nrm, 0), 0.0)) AS unit FROM nn)"""
+
+
+def sql_cosine_topk(src: str, k: int) -> str:
+    """DuckDB: top-k by (score rounded to 12 places desc, neighbour) over all pairs of ``src``."""
+    return f"""
+  {src}_pairs AS (SELECT a.id, b.id AS neighbour, list_dot_product(a.unit, b.unit) AS score
+                  FROM {src} a, {src} b),
+  {src}_topk AS (SELECT id, neighbour, score,
+                        row_number() OVER (PARTITION BY id ORDER BY round(score, 12) DESC, neighbour) AS rank
+                 FROM {src}_pairs QUALIFY rank <= {k})"""
+
+
+@register("unit_vectors", with_(A.SQL_VECTORS, SQL_UNIT) + f"""
+  SELECT id, {s6('nrm')} AS norm, unnest(range(0, len(unit))) AS pos, {s6('unnest(unit)')} AS x FROM u""")
+def q_unit_vectors(spark, d):
+    u = similarity.normalise(A.vectors(spark, d))
+    return u.select("id", r6("norm").alias("norm"), F.posexplode("unit").alias("pos", "x")).select(
+        "id", "norm", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+@register("cosine_topk", with_(A.SQL_VECTORS, SQL_UNIT, sql_cosine_topk("u", TOPK))
+          + f" SELECT id, neighbour, {s6('score')} AS score, rank FROM u_topk")
+def q_cosine_topk(spark, d):
+    t = similarity.cosine_topk(A.vectors(spark, d), k=TOPK)
+    return t.select("id", "neighbour", r6("score").alias("score"), "rank")
+
+
+# ========================================================= Q: weighted scoring
+
+from qsig.operators import scoring  # noqa: E402
+
+
+def _sim(spark, d):
+    t = similarity.cosine_topk(A.brand_vectors(spark, d), k=A.SIM_TOPK)
+    return t.select(F.col("id").alias("cid3"), "neighbour", "score")
+
+
+SQL_SIM = ("""
+  bnn AS (SELECT id, vec, sqrt(list_sum(list_transform(vec, lambda y: y * y))) AS nrm FROM bvec),
+  bu AS (SELECT id, list_transform(vec, lambda x: coalesce(x / nullif(nrm, 0), 0.0)) AS unit FROM bnn),"""
+           + sql_cosine_topk("bu", A.SIM_TOPK) + """,
+  sim AS (SELECT id AS cid3, neighbour, score FROM bu_topk)""")
+
+SQL_SCORE = """
+  rows_ AS (SELECT *, row_number() OVER () AS rid FROM qsc
+            WHERE query_cate IS NOT NULL AND sku_cate IS NOT NULL),
+  qi AS (SELECT rid, unnest(query_cate[1:least(len(query_cate), len(query_cate_weight))]) AS qc,
+                unnest(query_cate_weight[1:least(len(query_cate), len(query_cate_weight))]) AS qw,
+                list_sum(list_transform(query_cate_weight, lambda x: coalesce(x, 0.0))) AS qsum
+         FROM rows_),
+  si AS (SELECT rid, unnest(sku_cate[1:least(len(sku_cate), len(sku_cate_weight))]) AS sc,
+                unnest(sku_cate_weight[1:least(len(sku_cate), len(sku_cate_weight))]) AS sw,
+                list_sum(list_transform(sku_cate_weight, lambda x: coalesce(x, 0.0))) AS ssum
+         FROM rows_),
+  terms_ AS (SELECT qi.rid, coalesce(coalesce(qw, 0.0) / nullif(qsum, 0), 0.0)
+                          * coalesce(coalesce(sw, 0.0) / nullif(ssum, 0), 0.0)
+                          * coalesce(sim.score, 0.0) AS t
+             FROM qi JOIN si ON qi.rid = si.rid LEFT JOIN sim ON sim.cid3 = qi.qc AND sim.neighbour = si.sc),
+  scored AS (SELECT rows_.*, coalesce((SELECT sum(t) FROM terms_ WHERE terms_.rid = rows_.rid), 0.0)
+                             AS query_sku_score FROM rows_)"""
+
+
+def _arr_text(c: str) -> Column:
+    return F.array_join(F.transform(c, lambda x: F.coalesce(dec6_text(x), F.lit("null"))), ",")
+
+
+def _sql_arr_text(c: str) -> str:
+    return f"array_to_string(list_transform({c}, lambda x: coalesce({sql_dec6_text('x')}, 'null')), ',')"
+
+
+@register("score_valid_rows", with_(A.SQL_QUERY_SKU_CATE)
+          + " SELECT query, sku, search_count FROM qsc WHERE query_cate IS NOT NULL AND sku_cate IS NOT NULL")
+def q_score_valid_rows(spark, d):
+    return scoring.valid_rows(A.query_sku_cate(spark, d)).select("query", "sku", "search_count")
+
+
+@register("normalised_weights", with_(A.SQL_QUERY_SKU_CATE) + f"""
+  SELECT query, sku,
+    {_sql_arr_text("list_transform(query_cate_weight, lambda x: coalesce(x, 0.0) / nullif(list_sum(list_transform(query_cate_weight, lambda y: coalesce(y, 0.0))), 0))")} AS qw,
+    {_sql_arr_text("list_transform(sku_cate_weight, lambda x: coalesce(x, 0.0) / nullif(list_sum(list_transform(sku_cate_weight, lambda y: coalesce(y, 0.0))), 0))")} AS sw
+  FROM qsc""")
+def q_normalised_weights(spark, d):
+    w = scoring.normalise_weights(A.query_sku_cate(spark, d))
+    return w.select("query", "sku", _arr_text(scoring.QW + "_norm").alias("qw"),
+                    _arr_text(scoring.SW + "_norm").alias("sw"))
+
+
+@register("query_sku_score", with_(A.SQL_QUERY_SKU_CATE, A.SQL_BRAND_VECTORS, SQL_SIM, SQL_SCORE)
+          + f" SELECT query, sku, {s6('query_sku_score')} AS query_sku_score FROM scored")
+def q_query_sku_score(spark, d):
+    s = scoring.query_sku_score(A.query_sku_cate(spark, d), _sim(spark, d))
+    return s.select("query", "sku", r6("query_sku_score").alias("query_sku_score"))
+
+
+@register("scored_table", with_(A.SQL_QUERY_SKU_CATE, A.SQL_BRAND_VECTORS, SQL_SIM, SQL_SCORE) + f"""
+  SELECT query, sku, sku_name, {s6('query_sku_score')} AS query_sku_score,
+         array_to_string(query_cate, ',') AS query_cate, {_sql_arr_text('query_cate_weight')} AS query_cate_weight,
+         array_to_string(sku_cate, ',') AS sku_cate, {_sql_arr_text('sku_cate_weight')} AS sku_cate_weight,
+         sku_org_cate, search_count FROM scored""")
+def q_scored_table(spark, d):
+    s = scoring.scored_table(A.query_sku_cate(spark, d), _sim(spark, d))
+    return s.select("query", "sku", "sku_name", r6("query_sku_score").alias("query_sku_score"),
+                    F.array_join(scoring.QC, ",").alias(scoring.QC), _arr_text(scoring.QW).alias(scoring.QW),
+                    F.array_join(scoring.SC, ",").alias(scoring.SC), _arr_text(scoring.SW).alias(scoring.SW),
+                    "sku_org_cate", "search_count")
+
+
+@register("encode_neighbours", with_(A.SQL_BRAND_VECTORS, SQL_SIM) + f"""
+  SELECT id AS cid3, string_agg(neighbour || ':' || {sql_dec6_text('score')}, ',' ORDER BY rank) AS score_top200
+  FROM bu_topk GROUP BY id""")
+def q_encode_neighbours(spark, d):
+    t = similarity.cosine_topk(A.brand_vectors(spark, d), k=A.SIM_TOPK).withColumnRenamed("id", "cid3")
+    return io.encode_neighbours(t)
+
+
+@register("decode_neighbours", with_(A.SQL_BRAND_VECTORS, SQL_SIM)
+          + f" SELECT cid3, neighbour, {s6('round(score, 6)')} AS score FROM sim")
+def q_decode_neighbours(spark, d):
+    enc = q_encode_neighbours(spark, d)
+    return io.decode_neighbours(enc).select("cid3", "neighbour", r6("score").alias("score"))
