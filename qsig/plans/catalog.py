@@ -468,3 +468,146 @@ def q_encode_neighbours(spark, d):
 def q_decode_neighbours(spark, d):
     enc = q_encode_neighbours(spark, d)
     return io.decode_neighbours(enc).select("cid3", "neighbour", r6("score").alias("score"))
+
+
+# ==================================================================== K: Lloyd
+
+from qsig.functions.hashing import sql_uniform  # noqa: E402
+from qsig.operators import kmeans, mlkmeans  # noqa: E402
+
+K_CLUSTERS = 8
+K_SEED = 11
+K_TOL = 0.01
+K_STEPS = 3
+
+
+def _pts(spark, d):
+    return A.query_features_20(spark, d)
+
+
+def _init(spark, d):
+    return kmeans.init_in_bounds(_pts(spark, d), K_CLUSTERS, K_SEED)
+
+
+def _vec_text(c) -> Column:
+    return F.array_join(F.transform(c, lambda x: dec6_text(x)), " ")
+
+
+def _sql_vec_text(c: str) -> str:
+    return f"array_to_string(list_transform({c}, lambda x: {sql_dec6_text('x')}), ' ')"
+
+
+SQL_K_INIT = f"""
+  kb AS (SELECT pos, min(x) AS lo, max(x) AS hi
+         FROM (SELECT unnest(range(0, len(feature))) AS pos, unnest(feature) AS x FROM pts) GROUP BY pos),
+  c0 AS (SELECT c AS category,
+                list(lo + {sql_uniform(['c', 'pos'], K_SEED)} * (hi - lo) ORDER BY pos) AS centroid
+         FROM range(0, {K_CLUSTERS}) r(c), kb GROUP BY c)"""
+
+
+def sql_assign(c: str, out: str) -> str:
+    return f"""
+  {out} AS (SELECT query, feature, category FROM (
+      SELECT p.query, p.feature, c.category,
+             row_number() OVER (PARTITION BY p.query
+                                ORDER BY list_distance(p.feature, c.centroid), c.category) AS rn
+      FROM pts p, {c} c) WHERE rn = 1)"""
+
+
+def sql_update(a: str, c: str, out: str) -> str:
+    return f"""
+  {out}_m AS (SELECT category, pos, avg(x) AS x
+              FROM (SELECT category, unnest(range(0, len(feature))) AS pos, unnest(feature) AS x FROM {a})
+              GROUP BY category, pos),
+  {out}_n AS (SELECT category, list(x ORDER BY pos) AS new FROM {out}_m GROUP BY category),
+  {out} AS (SELECT c.category, coalesce(n.new, c.centroid) AS centroid
+            FROM {c} c LEFT JOIN {out}_n n USING (category))"""
+
+
+def sql_shift(old: str, new: str) -> str:
+    return (f"(SELECT avg(list_distance(o.centroid, n.centroid)) FROM {old} o "
+            f"JOIN {new} n USING (category))")
+
+
+@register("kmeans_init", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT) + f"""
+  SELECT category, unnest(range(0, len(centroid))) AS pos, {s6('unnest(centroid)')} AS x FROM c0""")
+def q_kmeans_init(spark, d):
+    c = _init(spark, d)
+    return c.select("category", F.posexplode("centroid").alias("pos", "x")).select(
+        "category", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+@register("kmeans_assign", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"))
+          + " SELECT query, category FROM a1")
+def q_kmeans_assign(spark, d):
+    return kmeans.assign(_pts(spark, d), _init(spark, d)).select("query", "category")
+
+
+@register("kmeans_update", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"),
+                                 sql_update("a1", "c0", "c1")) + f"""
+  SELECT category, unnest(range(0, len(centroid))) AS pos, {s6('unnest(centroid)')} AS x FROM c1""")
+def q_kmeans_update(spark, d):
+    pts, init = _pts(spark, d), _init(spark, d)
+    new = kmeans.update(kmeans.assign(pts, init), init)
+    return new.select("category", F.posexplode("centroid").alias("pos", "x")).select(
+        "category", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+@register("kmeans_shift", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"),
+                                sql_update("a1", "c0", "c1")) + f"""
+  SELECT category, {s6('list_distance(c0.centroid, c1.centroid)')} AS shift
+  FROM c0 JOIN c1 USING (category)""")
+def q_kmeans_shift(spark, d):
+    pts, init = _pts(spark, d), _init(spark, d)
+    new = kmeans.update(kmeans.assign(pts, init), init)
+    return kmeans.shift(init, new).select("category", r6("shift").alias("shift"))
+
+
+@register("kmeans_lloyd", with_(
+    A.SQL_QUERY_FEATURES_20, SQL_K_INIT,
+    sql_assign("c0", "a1"), sql_update("a1", "c0", "c1"),
+    sql_assign("c1", "a2"), sql_update("a2", "c1", "c2"),
+    sql_assign("c2", "a3"), sql_update("a3", "c2", "c3"),
+    f"""
+  pick AS (SELECT CASE WHEN {sql_shift('c0', 'c1')} < {K_TOL} THEN 1
+                       WHEN {sql_shift('c1', 'c2')} < {K_TOL} THEN 2 ELSE 3 END AS step),
+  res AS (SELECT 1 AS step, a.category, a.query, c.centroid FROM a1 a JOIN c1 c USING (category)
+          UNION ALL SELECT 2, a.category, a.query, c.centroid FROM a2 a JOIN c2 c USING (category)
+          UNION ALL SELECT 3, a.category, a.query, c.centroid FROM a3 a JOIN c3 c USING (category))""")
+    + f""" SELECT category, query, {_sql_vec_text('centroid')} AS cate_feature
+           FROM res WHERE step = (SELECT step FROM pick)""")
+def q_kmeans_lloyd(spark, d):
+    out = kmeans.lloyd(_pts(spark, d), K_CLUSTERS, init=_init(spark, d), tol=K_TOL, max_iter=K_STEPS)
+    return out.select("category", "query", _vec_text("cate_feature").alias("cate_feature"))
+
+
+# ======================================================= M: library k-means
+
+ML_K = 10
+ML_SEED = 1
+
+
+def _ml_input(spark, d):
+    return mlkmeans.features(A.word_vectors(spark, d))
+
+
+@register("ml_features")
+def q_ml_features(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    f = _ml_input(spark, d)
+    return f.select("word", vector_to_array("features").alias("features"))
+
+
+@register("ml_kmeans_assign")
+def q_ml_kmeans_assign(spark, d):
+    f = _ml_input(spark, d)
+    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
+    return mlkmeans.predict(model, f)
+
+
+@register("ml_kmeans_centers")
+def q_ml_kmeans_centers(spark, d):
+    f = _ml_input(spark, d)
+    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
+    return mlkmeans.centers(model, spark)
