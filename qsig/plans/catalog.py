@@ -611,3 +611,98 @@ def q_ml_kmeans_centers(spark, d):
     f = _ml_input(spark, d)
     model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
     return mlkmeans.centers(model, spark)
+
+
+# ============================================================ A: augmentation
+
+from qsig.functions.hashing import sql_draw_int as _sdi  # noqa: E402
+from qsig.operators import augment  # noqa: E402
+
+AUG_SEED = 5
+WL_SQL = ", ".join(f"'{c}'" for c in A.WHITELIST)
+SQL_BANDS = ", ".join(f"({b}, {augment.EDGES[b]}, {augment.EDGES[b + 1]})" for b in range(len(augment.EDGES) - 1))
+_PARTS = ["cid3", "cid3_name", "draw", "band"]
+
+SQL_AUG = f"""
+  wl AS (SELECT * FROM ranked WHERE cid3 IN ({WL_SQL})),
+  lists AS (SELECT cid3, cid3_name, list(term ORDER BY rank) AS terms, list(tfidf ORDER BY rank) AS tfidfs
+            FROM wl WHERE rank <= {augment.TOP_N} GROUP BY cid3, cid3_name),
+  bands AS (SELECT * FROM (VALUES {SQL_BANDS}) v(band, lo, hi)),
+  dr AS (SELECT l.cid3, l.cid3_name, r.i AS draw, b.band, b.lo, least(b.hi, len(l.terms)) - b.lo AS sz,
+                l.terms, l.tfidfs
+         FROM lists l, range(0, {augment.N_DRAWS}) r(i), bands b WHERE b.lo < len(l.terms)),
+  du AS (SELECT cid3, cid3_name, draw, band, lo + {_sdi('sz', _PARTS, AUG_SEED)} AS pos, terms FROM dr),
+  wt AS (SELECT dr.*, {sql_uniform(_PARTS, AUG_SEED)} AS u,
+                list_sum(list_transform(tfidfs[lo + 1:lo + sz], lambda v: coalesce(v, 0.0))) AS tot FROM dr),
+  dw AS (SELECT cid3, cid3_name, draw, band, terms,
+                CASE WHEN tot > 0 THEN lo + len(list_filter(
+                       list_transform(range(1, sz + 1),
+                                      lambda j: list_sum(list_transform(tfidfs[lo + 1:lo + j], lambda v: coalesce(v, 0.0))) / tot),
+                       lambda c: c <= u))
+                     ELSE lo + {_sdi('sz', _PARTS, AUG_SEED)} END AS pos FROM wt),
+  tl AS (SELECT cid3, cid3_name, draw, list(terms[pos + 1] ORDER BY band) AS t FROM du GROUP BY ALL),
+  tpl AS (SELECT cid3, cid3_name, draw, unnest([0, 1, 2]) AS tpl,
+                 unnest([array_to_string(t, ''),
+                         t[1] || array_to_string(t[len(t) // 2 + 1:len(t) - 1], ''),
+                         array_to_string(t[1:len(t) // 2 + 1], '')]) AS keyword FROM tl)"""
+
+SQL_AUG_ALL = with_(A.SQL_CATEGORY_TERMS, SQL_TF, SQL_TFIDF, SQL_RANKED, SQL_AUG)
+
+
+def _ranked(spark, d):
+    return terms.tfidf_ranked(_terms(spark, d))
+
+
+def _lists(spark, d):
+    return augment.term_lists(augment.in_categories(_ranked(spark, d), A.WHITELIST))
+
+
+@register("whitelisted_terms", SQL_AUG_ALL
+          + f" SELECT cid3, cid3_name, term, {s6('tfidf')} AS tfidf, rank FROM wl")
+def q_whitelisted_terms(spark, d):
+    w = augment.in_categories(_ranked(spark, d), A.WHITELIST)
+    return w.select("cid3", "cid3_name", "term", r6("tfidf").alias("tfidf"), "rank")
+
+
+@register("term_lists", SQL_AUG_ALL
+          + " SELECT cid3, cid3_name, array_to_string(terms, ',') AS terms, len(terms) AS n FROM lists")
+def q_term_lists(spark, d):
+    lst = _lists(spark, d)
+    return lst.select("cid3", "cid3_name", F.array_join("terms", ",").alias("terms"),
+                      F.size("terms").cast("bigint").alias("n"))
+
+
+@register("term_bands", SQL_AUG_ALL + """
+  SELECT cid3, cid3_name, CAST(p.pos AS BIGINT) AS pos, terms[p.pos + 1] AS term, b.band
+  FROM lists, range(0, len(terms)) p(pos), bands b WHERE p.pos >= b.lo AND p.pos < b.hi""")
+def q_term_bands(spark, d):
+    b = augment.bands(_lists(spark, d))
+    return b.select("cid3", "cid3_name", F.col("pos").cast("bigint").alias("pos"), "term", "band")
+
+
+@register("augment_draws", SQL_AUG_ALL
+          + " SELECT cid3, cid3_name, draw, band, pos, terms[pos + 1] AS term FROM du")
+def q_augment_draws(spark, d):
+    dr = augment.draws(_lists(spark, d), seed=AUG_SEED)
+    return dr.select("cid3", "cid3_name", F.col("draw").cast("bigint").alias("draw"), "band",
+                     F.col("pos").cast("bigint").alias("pos"), "term")
+
+
+@register("augment_draws_weighted", SQL_AUG_ALL
+          + " SELECT cid3, cid3_name, draw, band, pos, terms[pos + 1] AS term FROM dw")
+def q_augment_draws_weighted(spark, d):
+    dr = augment.draws(_lists(spark, d), seed=AUG_SEED, weighted=True)
+    return dr.select("cid3", "cid3_name", F.col("draw").cast("bigint").alias("draw"), "band",
+                     F.col("pos").cast("bigint").alias("pos"), "term")
+
+
+@register("augment_templates", SQL_AUG_ALL + " SELECT cid3, cid3_name, draw, tpl, keyword FROM tpl")
+def q_augment_templates(spark, d):
+    t = augment.templates(augment.drawn_terms(_lists(spark, d), seed=AUG_SEED))
+    return t.select("cid3", "cid3_name", F.col("draw").cast("bigint").alias("draw"),
+                    F.col("tpl").cast("integer").alias("tpl"), "keyword")
+
+
+@register("augmented_corpus", SQL_AUG_ALL + " SELECT keyword, cid3, cid3_name FROM tpl")
+def q_augmented_corpus(spark, d):
+    return augment.corpus(_ranked(spark, d), A.WHITELIST, seed=AUG_SEED)
