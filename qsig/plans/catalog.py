@@ -706,3 +706,24 @@ def q_augment_templates(spark, d):
 @register("augmented_corpus", SQL_AUG_ALL + " SELECT keyword, cid3, cid3_name FROM tpl")
 def q_augmented_corpus(spark, d):
     return augment.corpus(_ranked(spark, d), A.WHITELIST, seed=AUG_SEED)
+
+
+# ============================================================ S5: vector text
+
+from qsig.functions.vectors import parse_vector  # noqa: E402
+
+SQL_WORD_VECTORS = """
+  wv AS (SELECT CAST(vec_id AS VARCHAR) AS word,
+                array_to_string(list_transform(embedding,
+                    lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000.0) AS BIGINT) AS VARCHAR)), ' ') AS emb
+         FROM embeddings),
+  pv_ AS (SELECT word, list_transform(string_split_regex(trim(emb), '\\s+'), lambda t: TRY_CAST(t AS DOUBLE)) AS v
+          FROM wv)"""
+
+
+@register("parse_vectors", with_(SQL_WORD_VECTORS)
+          + f" SELECT word, unnest(range(0, len(v))) AS pos, {s6('unnest(v)')} AS x FROM pv_")
+def q_parse_vectors(spark, d):
+    w = A.word_vectors(spark, d).select("word", parse_vector("emb").alias("v"))
+    return w.select("word", F.posexplode("v").alias("pos", "x")).select(
+        "word", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
