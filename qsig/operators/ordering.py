@@ -29,14 +29,31 @@ PID = "__qsig_pid"
 KEY = "__qsig_key"
 
 
+# Rows one task may number with a plain window (checked before choosing it).
+MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, by: list[str]) -> int:
+    """Size of the biggest ``by`` group (partial+final aggregate, one scalar)."""
+    if not by:
+        return df.count()
+    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(top or 0)
+
+
 def rank_within(df: DataFrame, by: list[str], order: list[Column], name: str = "rank",
-                limit: int | None = None, distributed: bool = True) -> DataFrame:
+                limit: int | None = None, distributed: bool | str = "auto",
+                max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """``name`` = 1-based row number of each row within ``by`` by ``order``.
 
     With ``limit`` only rows with ordinal <= limit are returned (top-k per
-    group, planned as ``WindowGroupLimit``).  Without a limit the two-level
-    plan above is used unless ``distributed=False``.
+    group, planned as ``WindowGroupLimit``).  Without a limit the size of the
+    largest group is checked: up to ``max_group_rows`` a plain window is used,
+    beyond it the two-level plan above (``distributed=True`` forces it,
+    ``False`` forbids it).
     """
+    if limit is None and distributed == "auto":
+        distributed = largest_group(df, by) > max_group_rows
     if limit is not None or not distributed:
         w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
         out = df.withColumn(name, F.row_number().over(w).cast("bigint"))

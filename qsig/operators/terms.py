@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qsig.operators.ordering import rank_within
+from qsig.sources.io import stage
 
 KEYS = ("cid3", "cid3_name")
 
@@ -75,16 +76,25 @@ def document_frequency(terms_or_counts: DataFrame) -> DataFrame:
         "term", F.coalesce("nums", F.lit(0)).cast("bigint").alias("nums"))
 
 
-def tfidf(terms: DataFrame) -> DataFrame:
+def _df_counts(terms_or_counts: DataFrame) -> DataFrame:
+    pairs = terms_or_counts.select("term", "cid3").where(F.col("cid3").isNotNull()).distinct()
+    return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("nums"))
+
+
+def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
     """``tfidf = tf * ln(N / df)`` per (cid3, cid3_name, term).
 
     No smoothing: a term present in every category scores 0.  Division by a
     zero df or an unknown tf gives null rather than failing.
+
+    The term counts feed three roll-ups (totals, df, N); with ``materialise``
+    they are computed once and staged as a table (vocabulary-sized, far
+    smaller than the raw text) instead of re-tokenising the text per branch.
     """
-    counts = term_counts(terms)
+    counts = stage(term_counts(terms), "term_counts") if materialise else term_counts(terms)
     tf = term_frequency(terms, counts)
     n_cat = category_count(tf).scalar()
-    dfreq = document_frequency(counts).withColumnRenamed("nums", "df")
+    dfreq = _df_counts(counts).withColumnRenamed("nums", "df")
     idf = F.ln(F.try_divide(n_cat.cast("double"), F.col("df")))
     return (tf.join(dfreq, "term", "left")
             .select("cid3", "cid3_name", "term", (F.col("tf") * idf).alias("tfidf")))
@@ -97,6 +107,13 @@ def rank_terms(scored: DataFrame, limit: int | None = None) -> DataFrame:
     return rank_within(scored, ["cid3"], order, "rank", limit=limit)
 
 
-def tfidf_ranked(terms: DataFrame, limit: int | None = None) -> DataFrame:
-    """T1-T8 composed: (cid3, cid3_name, term, tfidf, rank)."""
-    return rank_terms(tfidf(terms), limit=limit)
+def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) -> DataFrame:
+    """T1-T8 composed: (cid3, cid3_name, term, tfidf, rank).
+
+    ``categories`` (a list of cid3) keeps only those categories; the filter
+    is applied before ranking, which is exact because ranks are per cid3,
+    while N and df still count every category."""
+    scored = tfidf(terms)
+    if categories is not None:
+        scored = scored.where(F.col("cid3").isin(list(dict.fromkeys(categories))))
+    return rank_terms(scored, limit=limit)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from qsig.sources.io import ensure_parallelism
+
 # Fixed test parameters (shared by the Spark queries and the oracle SQL).
 TOKEN_PATTERN = "[^a-zà-ÿ]+"            # split of lower-cased text into terms
 CLICK_DIM = "A"                          # l_returnflag value standing in for 'app'
@@ -29,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def category_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cid3 = source, cid3_name = lang, terms array<string>) from documents."""
-    d = table(spark, sf_dir, "documents")
+    d = ensure_parallelism(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(F.col("source").alias("cid3"), F.col("lang").alias("cid3_name"),
                     F.split(F.lower("text"), TOKEN_PATTERN).alias("terms"))
 

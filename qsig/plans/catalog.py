@@ -649,8 +649,9 @@ SQL_AUG = f"""
 SQL_AUG_ALL = with_(A.SQL_CATEGORY_TERMS, SQL_TF, SQL_TFIDF, SQL_RANKED, SQL_AUG)
 
 
-def _ranked(spark, d):
-    return terms.tfidf_ranked(_terms(spark, d))
+def _ranked(spark, d, limit=augment.TOP_N):
+    """Ranked terms of the whitelisted categories only (filter before rank)."""
+    return terms.tfidf_ranked(_terms(spark, d), limit=limit, categories=A.WHITELIST)
 
 
 def _lists(spark, d):
@@ -660,7 +661,7 @@ def _lists(spark, d):
 @register("whitelisted_terms", SQL_AUG_ALL
           + f" SELECT cid3, cid3_name, term, {s6('tfidf')} AS tfidf, rank FROM wl")
 def q_whitelisted_terms(spark, d):
-    w = augment.in_categories(_ranked(spark, d), A.WHITELIST)
+    w = augment.in_categories(_ranked(spark, d, limit=None), A.WHITELIST)
     return w.select("cid3", "cid3_name", "term", r6("tfidf").alias("tfidf"), "rank")
 
 

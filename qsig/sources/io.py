@@ -44,6 +44,21 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 # ---------------------------------------------------------------- sources
 
 
+def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread an under-split input on ``keys`` before CPU-heavy row work.
+
+    A large file written as one row group is scanned by one task; when the
+    scan has fewer partitions than the cluster's default parallelism the rows
+    are redistributed by a hash of ``keys`` (deterministic on retry).  With
+    many input splits — the normal case at scale — this is a no-op.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "orc",
                    **keys: str) -> DataFrame:
     """Scan one partition of a partitioned table (equality on each key)."""
@@ -196,3 +211,30 @@ def write_tsv_partition(df: DataFrame, path: str, dt: str = "active") -> None:
 def read_tsv_partition(spark: SparkSession, path: str, schema: T.StructType, dt: str = "active") -> DataFrame:
     df = spark.read.schema(_with_keys(schema, ["dt"])).option("sep", "\t").option("quote", "").csv(path)
     return df.where(F.col("dt") == F.lit(dt))
+
+
+# ------------------------------------------------------------ staging
+
+
+def staging_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: the session's checkpoint
+    directory (``spark.checkpoint.dir`` on a cluster; a scratch folder is
+    created only when none is configured, as in local tests)."""
+    from qsig.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the staging folder and read it back.
+
+    Used where several branches of one plan consume the same expensive
+    intermediate (Catalyst cannot reuse an exchange whose branches pruned
+    different columns): the source is scanned and aggregated once, the
+    lineage is cut, and the written table survives executor loss.
+    """
+    import uuid
+
+    path = f"{staging_dir(df.sparkSession)}/qsig-stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
