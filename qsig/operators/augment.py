@@ -75,7 +75,8 @@ def _band_info(weighted: bool, edges=EDGES) -> Column:
             w = F.slice("tfidfs", x["lo"] + 1, size)
             w = F.transform(w, lambda v: F.coalesce(v.cast("double"), F.lit(0.0)))
             total = F.aggregate(w, F.lit(0.0), lambda a, v: a + v)
-            cum = F.transform(w, lambda v, i: F.aggregate(F.slice(w, 1, i + 1), F.lit(0.0), lambda a, y: a + y) / total)
+            cum = F.transform(w, lambda v, i: F.try_divide(
+                F.aggregate(F.slice(w, 1, i + 1), F.lit(0.0), lambda a, y: a + y), total))
             fields += [total.alias("total"), cum.alias("cum")]
         return F.struct(*fields)
     return F.transform(present, info)

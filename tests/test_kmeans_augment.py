@@ -1,0 +1,108 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from qsig.operators import augment, kmeans, mlkmeans
+
+
+def _pts(spark, rows):
+    return spark.createDataFrame(rows, "query string, feature array<double>")
+
+
+def _cents(spark, rows):
+    return spark.createDataFrame(list(enumerate(rows)), "category int, centroid array<double>")
+
+
+def test_assign_tie_goes_to_lower_index(spark):
+    out = kmeans.assign(_pts(spark, [("p", [0.0, 0.0])]), _cents(spark, [[1.0, 0.0], [-1.0, 0.0]])).first()
+    assert out.category == 0
+
+
+def test_update_keeps_empty_cluster(spark):
+    pts = _pts(spark, [("a", [0.0, 0.0]), ("b", [2.0, 2.0])])
+    cents = _cents(spark, [[1.0, 1.0], [100.0, 100.0]])
+    new = {r.category: r.centroid for r in kmeans.update(kmeans.assign(pts, cents), cents).collect()}
+    assert new == {0: [1.0, 1.0], 1: [100.0, 100.0]}
+
+
+def test_lloyd_pairs_last_assignment_with_updated_centroids(spark):
+    rng = np.random.default_rng(0)
+    rows = [(f"q{i}", [float(x) for x in rng.normal(loc=(i % 3) * 5, size=4)]) for i in range(90)]
+    rows.append(("dup", rows[0][1]))  # equal features: still one row each
+    pts = _pts(spark, rows)
+    init = kmeans.init_uniform(spark, 3, 4, seed=2, lo=-1.0, hi=11.0)
+    out = kmeans.lloyd(pts, 3, init=init, tol=1e-9, max_iter=50).collect()
+    assert len(out) == 91 and len({r.query for r in out}) == 91
+    cents = {r.category: np.array(r.cate_feature) for r in out}
+    # at convergence the last assignment is nearest among the final centroids
+    for r in out:
+        d = {c: np.linalg.norm(np.array(r.feature) - v) for c, v in cents.items()}
+        assert d[r.category] == pytest.approx(min(d.values()))
+
+
+def test_init_uniform_deterministic_in_range(spark):
+    a = kmeans.init_uniform(spark, 4, 5, seed=9).collect()
+    b = kmeans.init_uniform(spark, 4, 5, seed=9).collect()
+    assert a == b and all(0.0 <= x < 1.0 for r in a for x in r.centroid)
+
+
+def test_lloyd_rejects_mixed_lengths(spark):
+    with pytest.raises(ValueError):
+        kmeans.lloyd(_pts(spark, [("a", [1.0]), ("b", [1.0, 2.0])]), 1)
+
+
+def test_ml_kmeans_points_at_nearest_center(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"w{i}", " ".join(f"{x:.4f}" for x in rng.normal(loc=(i % 4) * 3, size=6))) for i in range(80)]
+    df = mlkmeans.features(spark.createDataFrame(rows, "word string, emb string"))
+    model = mlkmeans.fit(df, k=4, seed=1)
+    pred = mlkmeans.predict(model, df).collect()
+    centers = {r.cluster_id: np.array(r.axis) for r in mlkmeans.centers(model, spark).collect()}
+    for r in pred:
+        d = {c: np.linalg.norm(np.array(r.emb) - v) for c, v in centers.items()}
+        assert d[r.cluster_id] == pytest.approx(min(d.values()), rel=1e-4)
+    assert -1.0 <= mlkmeans.silhouette(model.transform(df)) <= 1.0
+
+
+def _lists(spark, sizes):
+    rows = [(f"c{n}", "name", [f"t{i}" for i in range(n)], list(range(1, n + 1)), [1.0] * n) for n in sizes]
+    return spark.createDataFrame(rows, "cid3 string, cid3_name string, terms array<string>, "
+                                       "ranks array<int>, tfidfs array<double>")
+
+
+def test_band_counts(spark):
+    lists = _lists(spark, [1, 5, 6, 200])
+    d = augment.draws(lists, n=3, seed=1)
+    bands = {r.cid3: r.nb for r in d.groupBy("cid3").agg(F.countDistinct("band").alias("nb")).collect()}
+    assert bands == {"c1": 1, "c5": 1, "c6": 2, "c200": 5}
+    for r in d.collect():
+        lo, hi = augment.EDGES[r.band], augment.EDGES[r.band + 1]
+        assert lo <= r.pos < hi and r.term == f"t{r.pos}"
+
+
+def test_templates(spark):
+    t = spark.createDataFrame([(n, [f"t{i}" for i in range(n)]) for n in range(1, 6)], "n int, t array<string>")
+    got = {r.n: tuple(r.k) for r in t.select("n", augment.template_array(F.col("t")).alias("k")).collect()}
+    assert got[1] == ("t0", "t0", "t0")
+    assert got[2] == ("t0t1", "t0", "t0t1")
+    assert got[3] == ("t0t1t2", "t0t1", "t0t1")
+    assert got[4] == ("t0t1t2t3", "t0t2", "t0t1t2")
+    assert got[5] == ("t0t1t2t3t4", "t0t2t3", "t0t1t2")
+
+
+def test_weighted_draw_follows_weights_and_zero_band_falls_back(spark):
+    rows = [("w", "n", [f"t{i}" for i in range(5)], [1, 2, 3, 4, 5], [0.0, 0.0, 0.0, 0.0, 1.0]),
+            ("z", "n", [f"t{i}" for i in range(5)], [1, 2, 3, 4, 5], [0.0] * 5)]
+    lists = spark.createDataFrame(rows, "cid3 string, cid3_name string, terms array<string>, "
+                                        "ranks array<int>, tfidfs array<double>")
+    d = augment.draws(lists, n=200, seed=3, weighted=True).collect()
+    assert {r.term for r in d if r.cid3 == "w"} == {"t4"}
+    assert len({r.term for r in d if r.cid3 == "z"}) > 1
+
+
+def test_corpus_size(spark):
+    ranked = spark.createDataFrame(
+        [(c, "n", f"t{i}", 1.0 / (i + 1), i + 1) for c in ("a", "b", "x") for i in range(30)],
+        "cid3 string, cid3_name string, term string, tfidf double, rank int")
+    out = augment.corpus(ranked, ["a", "b", "a"], n=7, seed=2)
+    assert out.count() == 3 * 7 * 2 and {r.cid3 for r in out.collect()} == {"a", "b"}

@@ -1,0 +1,66 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from qsig.operators import terms
+from qsig.operators.ordering import rank_within
+
+
+def _rows(spark, data):
+    return spark.createDataFrame(data, "cid3 string, cid3_name string, sku_term string")
+
+
+def test_explode_edges(spark):
+    df = _rows(spark, [("X", "n", "a,b,,"), ("Y", "n", ""), ("Z", "n", None)])
+    got = sorted((r.cid3, r.term) for r in terms.explode_terms(df).collect())
+    assert got == [("X", ""), ("X", ""), ("X", "a"), ("X", "b"), ("Y", "")]
+
+
+def test_tfidf_example(spark):
+    df = _rows(spark, [("X", "x", "a,a,b"), ("Y", "y", "a,c")])
+    t = terms.explode_terms(df)
+    tf = {(r.cid3, r.term): r.tf for r in terms.term_frequency(t).collect()}
+    assert tf[("X", "a")] == pytest.approx(2 / 3)
+    got = {(r.cid3, r.term): (r.tfidf, r.rank) for r in terms.tfidf_ranked(t).collect()}
+    assert got[("X", "a")][0] == 0.0 and got[("Y", "a")][0] == 0.0
+    assert got[("X", "b")][0] == pytest.approx(math.log(2) / 3)
+    assert got[("Y", "c")][0] == pytest.approx(math.log(2) / 2)
+    assert got[("X", "b")][1] == 1 and got[("X", "a")][1] == 2
+
+
+def test_null_category_keeps_row_with_null_scores(spark):
+    df = _rows(spark, [("X", "x", "a,b"), (None, "z", "a,q")])
+    out = terms.tfidf_ranked(terms.explode_terms(df)).where(F.col("cid3").isNull()).collect()
+    assert len(out) == 2 and all(r.tfidf is None for r in out)
+    df_q = {r.term: r.nums for r in terms.document_frequency(terms.explode_terms(df)).collect()}
+    assert df_q["q"] == 0 and df_q["a"] == 1
+
+
+def test_tf_sums_to_one_and_partition_invariance(spark):
+    docs = [(f"c{i % 3}", f"n{i % 2}", ",".join(f"w{(i * j) % 11}" for j in range(1, 9))) for i in range(40)]
+    base = terms.explode_terms(_rows(spark, docs))
+    sums = terms.term_frequency(base).groupBy("cid3").agg(F.sum("tf").alias("s")).collect()
+    assert all(r.s == pytest.approx(1.0) for r in sums)
+    ref = sorted(tuple(r) for r in terms.tfidf_ranked(base).collect())
+    for n in (1, 7):
+        alt = sorted(tuple(r) for r in terms.tfidf_ranked(base.repartition(n)).collect())
+        assert alt == ref
+
+
+def test_two_level_rank_equals_window(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
+    order = [F.col("v").desc(), F.col("id").asc()]
+    plain = rank_within(df, ["g"], order, "r", distributed=False)
+    two = rank_within(df, ["g"], order, "r", distributed=True)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, two.collect()))
+    glob = rank_within(df, [], order, "r", distributed=True)
+    assert sorted(r.r for r in glob.collect()) == list(range(1, 5001))
+
+
+def test_top_limit_plans_window_group_limit(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    plan = rank_within(df, ["g"], [F.col("v").desc()], "r", limit=5)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
