@@ -1 +1,12 @@
+"""qsig — search-log and product-category analytics as Spark DataFrame jobs.
 
+Layout:
+  sources/    partitioned scans, text/TSV readers, partition sinks, staging
+  functions/  column helpers: seeded md5 draws, vector math on arrays
+  operators/  terms (TF-IDF), pairs, samples, features, similarity, scoring,
+              kmeans (Lloyd), mlkmeans (pyspark.ml), augment, ordering
+  plans/      composed jobs, test-table adapters, registered queries
+  streaming/  (none needed; see its docstring)
+"""
+
+__version__ = "0.1.0"

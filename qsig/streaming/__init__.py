@@ -1 +1,9 @@
+"""Streaming: intentionally empty.
 
+The analytics this package rebuilds are daily batch jobs over date
+partitions; none of them reads a stream, keeps state across batches, uses
+watermarks or event-time windows.  Nothing here is needed to run them, so no
+streaming operator is provided (see README, "Not built").  Every operator is
+a pure ``DataFrame -> DataFrame`` function, so a deployment that wants
+micro-batches can call the same functions from ``foreachBatch``.
+"""
