@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from qsig.functions.hashing import draw_int
 from qsig.operators import ordering
+from qsig.sources.io import stage
 
 
 def _valid(df: DataFrame, col: str = "name") -> DataFrame:
@@ -40,21 +41,27 @@ def name_count(df: DataFrame, col: str = "name") -> DataFrame:
     return _valid(df, col).agg(F.count_distinct(col).alias("count"))
 
 
-def random_draws(df: DataFrame, k: int = 5, seed: int = 0, col: str = "name") -> DataFrame:
-    """``(name, draw_no, draw)``: k uniform draws in [0, N) per name."""
-    names = distinct_names(df, col)
-    n = name_count(df, col).scalar()
+def _draws(names: DataFrame, k: int, seed: int, col: str) -> DataFrame:
+    n = names.agg(F.count(F.lit(1))).scalar()
     j = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("draw_no")
     return names.select(col, j).select(col, "draw_no", draw_int(n, [col, "draw_no"], seed).alias("draw"))
 
 
+def random_draws(df: DataFrame, k: int = 5, seed: int = 0, col: str = "name") -> DataFrame:
+    """``(name, draw_no, draw)``: k uniform draws in [0, N) per name."""
+    return _draws(distinct_names(df, col), k, seed, col)
+
+
 def negative_pairs(df: DataFrame, k: int = 5, seed: int = 0, drop_self: bool = False,
                    col: str = "name") -> DataFrame:
     """``(query_1, query_2, label=0)``: each name with its k drawn names.
 
-    Self pairs and repeated pairs are kept unless ``drop_self``."""
-    draws = random_draws(df, k, seed, col)
-    idx = dense_index(df, col, "idx").select(F.col("idx").alias("draw"), F.col(col).alias("query_2"))
+    The distinct names (far fewer rows than the paths) are staged once and
+    feed N, the draws and the dense index, so the path table is scanned
+    once.  Self pairs and repeated pairs are kept unless ``drop_self``."""
+    names = stage(distinct_names(df, col), "distinct_names")
+    draws = _draws(names, k, seed, col)
+    idx = ordering.dense_index(names, col, "idx").select(F.col("idx").alias("draw"), F.col(col).alias("query_2"))
     out = draws.join(idx, "draw").select(F.col(col).alias("query_1"), "query_2",
                                          F.lit(0).alias("label"))
     return out.where(F.col("query_1") != F.col("query_2")) if drop_self else out

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qsig.sources.io import ensure_parallelism
+from qsig.sources.io import ensure_parallelism, stage
 
 # Fixed test parameters (shared by the Spark queries and the oracle SQL).
 TOKEN_PATTERN = "[^a-zà-ÿ]+"            # split of lower-cased text into terms
@@ -148,8 +148,9 @@ def query_sku_cate(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    sales = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-             .select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"), "p_brand"))
+    # three roll-ups read the same join: stage it once
+    sales = stage(li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+                  .select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"), "p_brand"), "sales")
     qc = _top_cates(sales, "c", QUERY_CATES)
     sc = _top_cates(sales, "s", QUERY_CATES)
     pairs = sales.groupBy("c", "s").agg(F.count(F.lit(1)).alias("search_count"))

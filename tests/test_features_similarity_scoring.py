@@ -99,3 +99,10 @@ def test_score_is_linear_in_similarity(spark):
     v1 = scoring.scored_table(_qsc(spark, rows), s1).first().query_sku_score
     v2 = scoring.scored_table(_qsc(spark, rows), s2).first().query_sku_score
     assert v2 == pytest.approx(2 * v1)
+
+
+def test_all_null_scores_group(spark):
+    df = spark.range(20).select(F.lit("q").alias("query"), F.col("id").cast("string").alias("sku"),
+                                F.lit(None).cast("double").alias("score"))
+    r = features.query_features(df).first()
+    assert r.num == 20 and r.quarter is None and r.sku_score_normal == {}
