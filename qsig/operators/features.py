@@ -18,10 +18,19 @@ from pyspark.sql import functions as F
 POINTS = (("quarter", 0.25), ("half", 0.5), ("three_quarters", 0.75))
 
 
-def collect_scores(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score") -> DataFrame:
-    """F1: ``(query, items array<struct<sku,score>>, num)`` per query."""
-    return df.groupBy(by).agg(F.collect_list(F.struct(F.col(sku).alias("sku"), F.col(score).alias("score"))).alias("items"),
-                              F.count(F.lit(1)).alias("num"))
+def collect_scores(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score",
+                   max_items: int = 12000) -> DataFrame:
+    """F1: ``(query, num, items array<struct<sku,score>>)`` per query.
+
+    ``num`` counts every row.  Sizes are counted first and only groups with
+    ``num <= max_items`` are collected (the reference drops larger groups in
+    the very next step, F2); a larger group keeps its row with null items, so
+    no task ever builds an unbounded list."""
+    sizes = group_sizes(df, by)
+    small = df.join(sizes.where(F.col("num") <= max_items).select(by), by, "left_semi")
+    items = small.groupBy(by).agg(F.collect_list(F.struct(F.col(sku).alias("sku"),
+                                                          F.col(score).alias("score"))).alias("items"))
+    return sizes.join(items, by, "left").select(by, "num", "items")
 
 
 def group_sizes(df: DataFrame, by: str = "query") -> DataFrame:
@@ -49,14 +58,15 @@ def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z
     return df.join(stats, by).withColumn(out, _z(F.col(score))).drop("mean", "std", "n")
 
 
-def fractiles(df: DataFrame, by: str = "query", score: str = "score") -> DataFrame:
-    """``(query, quarter_n, quarter, half_n, half, three_quarters_n, three_quarters)``.
-
-    Callers bound the group size first (F2): the descending array holds at
-    most ``hi`` doubles."""
+def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = 20,
+              hi: int = 12000) -> DataFrame:
+    """``(query, quarter_n, quarter, half_n, half, three_quarters_n, three_quarters)``
+    for groups with ``lo <= num <= hi``; the size is counted before any list is
+    built, so the descending array holds at most ``hi`` doubles."""
+    rows = df.join(group_sizes(df, by).where(F.col("num").between(lo, hi)).select(by), by, "left_semi")
     sorted_desc = F.sort_array(F.collect_list(score), asc=False)
-    g = df.groupBy(by).agg(sorted_desc.alias("v"), F.avg(score).alias("mean"),
-                           F.stddev_pop(score).alias("std"))
+    g = rows.groupBy(by).agg(sorted_desc.alias("v"), F.avg(score).alias("mean"),
+                             F.stddev_pop(score).alias("std"))
     n = F.size("v")
     cols = [by]
     for name, p in POINTS:
@@ -71,9 +81,12 @@ def score_map_long(df: DataFrame, by: str = "query", sku: str = "sku", score: st
     return z.groupBy(by, sku).agg(F.min("z").alias("z"))
 
 
-def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score") -> DataFrame:
-    """``(query, sku_score_normal map<string,double>)`` (≤ hi entries)."""
-    longf = score_map_long(df, by, sku, score)
+def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score", lo: int = 20,
+              hi: int = 12000) -> DataFrame:
+    """``(query, sku_score_normal map<string,double>)`` for groups with
+    ``lo <= num <= hi`` (so a map holds at most ``hi`` entries)."""
+    rows = df.join(group_sizes(df, by).where(F.col("num").between(lo, hi)).select(by), by, "left_semi")
+    longf = score_map_long(rows, by, sku, score)
     m = F.map_from_entries(F.collect_list(F.struct(F.col(sku), F.col("z"))))
     return longf.groupBy(by).agg(m.alias("sku_score_normal"))
 

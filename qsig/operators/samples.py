@@ -77,16 +77,19 @@ def _path_members(df: DataFrame, order_col: str | None) -> DataFrame:
 
 
 def path_list(df: DataFrame, order_col: str | None = None) -> DataFrame:
-    """``(pathid, names array<string>)`` in path order (D3)."""
+    """Each path's distinct names in path order, as rows ``(pathid, pos, name)``
+    with pos 1..n (D3).  The reference builds one ``&&``-joined string per
+    path; the ordered long form carries the same list without collecting a
+    path of unbounded length into one value, and a long path is numbered by
+    the distributed ordinal."""
     m = _path_members(df, order_col)
-    items = F.array_sort(F.collect_list(F.struct("ord", "name")))
-    return m.groupBy("pathid").agg(F.transform(items, lambda x: x["name"]).alias("names"))
+    ranked = ordering.rank_within(m, ["pathid"], [F.col("ord").asc(), F.col("name").asc()], "pos")
+    return ranked.select("pathid", "pos", "name")
 
 
 def positive_pairs(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """``(query_1, query_2, label=1)`` for consecutive names of a path."""
-    m = _path_members(df, order_col)
-    ranked = ordering.rank_within(m, ["pathid"], [F.col("ord").asc(), F.col("name").asc()], "pos")
+    ranked = path_list(df, order_col)
     a = ranked.select("pathid", "pos", F.col("name").alias("query_1"))
     b = ranked.select("pathid", (F.col("pos") - 1).alias("pos"), F.col("name").alias("query_2"))
     return a.join(b, ["pathid", "pos"]).select("query_1", "query_2", F.lit(1).alias("label"))

@@ -238,11 +238,9 @@ def q_negative_pairs(spark, d):
     return samples.negative_pairs(_gp(spark, d), K_NEG, SEED)
 
 
-@register("path_list", with_(A.SQL_GRAPH_PATH, SQL_NAMES)
-          + " SELECT pathid, string_agg(name, '&&' ORDER BY ord, name) AS querys FROM mem GROUP BY pathid")
+@register("path_list", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT pathid, pos, name FROM rk")
 def q_path_list(spark, d):
-    pl = samples.path_list(_gp(spark, d), order_col="ord")
-    return pl.select("pathid", F.array_join("names", "&&").alias("querys"))
+    return samples.path_list(_gp(spark, d), order_col="ord")
 
 
 @register("positive_pairs", with_(A.SQL_GRAPH_PATH, SQL_NAMES) + " SELECT * FROM pos")
@@ -288,7 +286,8 @@ def _qs(spark, d):
 
 @register("collect_scores", with_(A.SQL_QUERY_SCORES) + f"""
   SELECT query, count(*) AS num,
-         array_to_string(list_sort(list(sku || ':' || {sql_dec6_text('score')})), ',') AS items
+         CASE WHEN count(*) <= 12000
+              THEN array_to_string(list_sort(list(sku || ':' || {sql_dec6_text('score')})), ',') END AS items
   FROM qs GROUP BY query""")
 def q_collect_scores(spark, d):
     c = features.collect_scores(_qs(spark, d))
@@ -314,7 +313,7 @@ def q_score_zscore(spark, d):
 @register("score_fractiles", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
           + f" SELECT query, {SQL_FRACTILE_SELECT} FROM fr")
 def q_score_fractiles(spark, d):
-    fr = features.fractiles(features.size_filter(_qs(spark, d)))
+    fr = features.fractiles(_qs(spark, d))
     return fr.select("query", *[r6(c).alias(c) for c in FRACTILE_COLS])
 
 

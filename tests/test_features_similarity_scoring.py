@@ -106,3 +106,13 @@ def test_all_null_scores_group(spark):
                                 F.lit(None).cast("double").alias("score"))
     r = features.query_features(df).first()
     assert r.num == 20 and r.quarter is None and r.sku_score_normal == {}
+
+
+def test_collect_scores_skips_oversized_groups(spark):
+    big = spark.range(30).select(F.lit("big").alias("query"), F.col("id").cast("string").alias("sku"),
+                                 F.col("id").cast("double").alias("score"))
+    small = spark.createDataFrame([("s", "a", 1.0)], "query string, sku string, score double")
+    got = {r.query: (r.num, r.items) for r in features.collect_scores(big.unionByName(small), max_items=10).collect()}
+    assert got["big"] == (30, None) and got["s"][0] == 1 and len(got["s"][1]) == 1
+    fr = features.fractiles(big.unionByName(small), lo=20, hi=25).collect()
+    assert fr == []
