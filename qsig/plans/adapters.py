@@ -137,23 +137,31 @@ def _top_cates(sales: DataFrame, who: str, n: int) -> DataFrame:
     return top.groupBy(who).agg(items.alias("items"))
 
 
-def query_sku_cate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c = customer, s = supplier, p_brand, nation = customer nation) per line,
+    staged once: the query–sku table and the brand vectors both roll it up."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    joined = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+              .join(c, F.col("o_custkey") == c.c_custkey, "left"))
+    return stage(joined.select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"), "p_brand",
+                               F.col("c_nationkey").alias("nation")), "sales")
+
+
+def query_sku_cate(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None = None) -> DataFrame:
     """One row per (customer, supplier) pair that traded.
 
     query = customer key, sku = supplier key, cates = top-3 brands by line
     count (ties by brand) with the counts as weights, sku_org_cate = the
     supplier's first brand, search_count = lines of the pair.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    # three roll-ups read the same join: stage it once
-    sales = stage(li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-                  .select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"), "p_brand"), "sales")
-    qc = _top_cates(sales, "c", QUERY_CATES)
-    sc = _top_cates(sales, "s", QUERY_CATES)
-    pairs = sales.groupBy("c", "s").agg(F.count(F.lit(1)).alias("search_count"))
+    sl = (sales_df if sales_df is not None else sales(spark, sf_dir)).select("c", "s", "p_brand")
+    qc = _top_cates(sl, "c", QUERY_CATES)
+    sc = _top_cates(sl, "s", QUERY_CATES)
+    pairs = sl.groupBy("c", "s").agg(F.count(F.lit(1)).alias("search_count"))
     return (pairs.join(qc, "c").withColumnRenamed("items", "qi").join(sc, "s")
             .withColumnRenamed("items", "si").join(s, F.col("s") == s.s_suppkey)
             .select(F.col("c").cast("string").alias("query"), F.col("s").cast("string").alias("sku"),
@@ -185,16 +193,12 @@ SQL_QUERY_SKU_CATE = f"""
           JOIN supplier ON pairs.s = s_suppkey)"""
 
 
-def brand_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_vectors(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None = None) -> DataFrame:
     """(id = brand, vec): lines per customer nation (25 dims) for each brand."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    counts = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-              .join(c, F.col("o_custkey") == c.c_custkey)
-              .groupBy("p_brand", "c_nationkey").agg(F.count(F.lit(1)).alias("cnt")))
-    m = F.map_from_entries(F.collect_list(F.struct("c_nationkey", "cnt")))
+    sl = sales_df if sales_df is not None else sales(spark, sf_dir)
+    counts = (sl.where(F.col("nation").isNotNull()).groupBy("p_brand", "nation")
+              .agg(F.count(F.lit(1)).alias("cnt")))
+    m = F.map_from_entries(F.collect_list(F.struct("nation", "cnt")))
     return counts.groupBy("p_brand").agg(m.alias("m")).select(
         F.col("p_brand").alias("id"),
         F.transform(F.sequence(F.lit(0), F.lit(24)),

@@ -379,11 +379,16 @@ def q_cosine_topk(spark, d):
 from qsig.operators import scoring  # noqa: E402
 
 
-def _sim(spark, d):
-    t = similarity.cosine_topk(A.brand_vectors(spark, d), k=A.SIM_TOPK)
+def _sim(spark, d, sales=None):
+    t = similarity.cosine_topk(A.brand_vectors(spark, d, sales), k=A.SIM_TOPK)
     return t.select(F.col("id").alias("cid3"), "neighbour", "score")
 
 
+def _scored(spark, d):
+    sales = A.sales(spark, d)
+    return scoring.scored_table(A.query_sku_cate(spark, d, sales), _sim(spark, d, sales))
+
+
 SQL_SIM = ("""
   bnn AS (SELECT id, vec, sqrt(list_sum(list_transform(vec, lambda y: y * y))) AS nrm FROM bvec),
   bu AS (SELECT id, list_transform(vec, lambda x: coalesce(x / nullif(nrm, 0), 0.0)) AS unit FROM bnn),"""
@@ -437,8 +442,7 @@ def q_normalised_weights(spark, d):
 @register("query_sku_score", with_(A.SQL_QUERY_SKU_CATE, A.SQL_BRAND_VECTORS, SQL_SIM, SQL_SCORE)
           + f" SELECT query, sku, {s6('query_sku_score')} AS query_sku_score FROM scored")
 def q_query_sku_score(spark, d):
-    s = scoring.query_sku_score(A.query_sku_cate(spark, d), _sim(spark, d))
-    return s.select("query", "sku", r6("query_sku_score").alias("query_sku_score"))
+    return _scored(spark, d).select("query", "sku", r6("query_sku_score").alias("query_sku_score"))
 
 
 @register("scored_table", with_(A.SQL_QUERY_SKU_CATE, A.SQL_BRAND_VECTORS, SQL_SIM, SQL_SCORE) + f"""
@@ -447,7 +451,7 @@ def q_query_sku_score(spark, d):
          array_to_string(sku_cate, ',') AS sku_cate, {_sql_arr_text('sku_cate_weight')} AS sku_cate_weight,
          sku_org_cate, search_count FROM scored""")
 def q_scored_table(spark, d):
-    s = scoring.scored_table(A.query_sku_cate(spark, d), _sim(spark, d))
+    s = _scored(spark, d)
     return s.select("query", "sku", "sku_name", r6("query_sku_score").alias("query_sku_score"),
                     F.array_join(scoring.QC, ",").alias(scoring.QC), _arr_text(scoring.QW).alias(scoring.QW),
                     F.array_join(scoring.SC, ",").alias(scoring.SC), _arr_text(scoring.SW).alias(scoring.SW),

@@ -84,8 +84,13 @@ def test_weighted_score_examples(spark):
             ("q3", "s", "n", None, None, ["c"], [2.0], "c", 1),
             ("q4", "s", "n", ["a"], [0.0], ["c"], [2.0], "c", 1),
             ("q5", "s", "n", ["a", "b"], [1.0, 1.0, 2.0], ["c"], [2.0], "c", 1),
-            ("q6", "s", "n", ["a"], [None], ["c"], [1.0], "c", 1)]
-    got = {r.query: r.query_sku_score for r in scoring.scored_table(_qsc(spark, rows), sim).collect()}
+            ("q6", "s", "n", ["a"], [None], ["c"], [1.0], "c", 1),
+            ("q7", "s", "n", ["a"], [], ["c"], [1.0], "c", 1),
+            ("q1", "s", "n", ["a", "b"], [1.0, 3.0], ["c"], [2.0], "c", 1)]
+    out = scoring.scored_table(_qsc(spark, rows), sim).collect()
+    assert len(out) == 7  # q3 dropped, the duplicated q1 row kept twice
+    got = {r.query: r.query_sku_score for r in out}
+    assert got["q7"] == 0.0
     assert got["q1"] == pytest.approx(0.1)
     assert got["q2"] == 0.0 and "q3" not in got and got["q4"] == 0.0
     assert got["q5"] == pytest.approx(0.25 * 0.4)   # third weight only in the sum
