@@ -121,3 +121,12 @@ def test_collect_scores_skips_oversized_groups(spark):
     assert got["big"] == (30, None) and got["s"][0] == 1 and len(got["s"][1]) == 1
     fr = features.fractiles(big.unionByName(small), lo=20, hi=25).collect()
     assert fr == []
+
+
+def test_hot_copies_spread_and_restored(spark):
+    sim = spark.createDataFrame([("a", "c", 0.5)], "cid3 string, neighbour string, score double")
+    row = ("q", "s", "n", ["a"], [1.0], ["c"], [1.0], "c", 1)
+    df = _qsc(spark, [row] * 300 + [("r", "s", "n", ["b"], [1.0], ["c"], [1.0], "c", 1)]).repartition(6)
+    out = scoring.scored_table(df, sim).collect()
+    assert sum(r.query == "q" for r in out) == 300 and all(r.query_sku_score == 0.5 for r in out if r.query == "q")
+    assert [r.query_sku_score for r in out if r.query == "r"] == [0.0]
