@@ -57,56 +57,62 @@ AUGMENTED = T.StructType([T.StructField("keyword", S), T.StructField("cid3", S),
 
 def tfidf_job(spark: SparkSession, src: str, dst: str, dt: str, src_dt: str = "active", fmt: str = "orc") -> None:
     """Category term TF-IDF and rank → ``dst/dt=<dt>``."""
-    segs = io.read_partition(spark, src, TERM_SEGS, fmt, dt=src_dt)
-    out = terms.tfidf_ranked(terms.explode_terms(segs, col="sku_term"))
-    io.overwrite_partition(out, dst, TERM_TFIDF, fmt, dt=dt)
+    with io.staging(spark):
+        segs = io.read_partition(spark, src, TERM_SEGS, fmt, dt=src_dt)
+        out = terms.tfidf_ranked(terms.explode_terms(segs, col="sku_term"))
+        io.overwrite_partition(out, dst, TERM_TFIDF, fmt, dt=dt)
 
 
 def keyword_triples_job(spark: SparkSession, src: str, dst: str, dt: str, lookback_days: int = 30,
                         dim: str = "app", n: int = 50, fmt: str = "orc") -> None:
     """Sliding keyword triples per sku from the last ``lookback_days`` of clicks."""
-    clicks = io.read_since(spark, src, CLICK_LOG, dt, lookback_days, fmt)
-    io.overwrite_partition(pairs.keyword_triples(clicks, dim=dim, n=n), dst, SIMILAR_QUERY, fmt, dt=dt)
+    with io.staging(spark):
+        clicks = io.read_since(spark, src, CLICK_LOG, dt, lookback_days, fmt)
+        io.overwrite_partition(pairs.keyword_triples(clicks, dim=dim, n=n), dst, SIMILAR_QUERY, fmt, dt=dt)
 
 
 def sample_pairs_job(spark: SparkSession, src: str, dst: str, dt: str, version: str, k: int = 5,
                      seed: int = 0, order_col: str | None = None, fmt: str = "orc") -> None:
     """Negatives (overwrite) then positives (append) into one (dt, version) partition."""
-    schema = GRAPH_PATH if order_col is None else T.StructType(
-        GRAPH_PATH.fields + [T.StructField(order_col, T.IntegerType())])
-    paths = io.read_partition(spark, src, schema, fmt, dt=dt, version=version)
-    io.overwrite_partition(samples.negative_pairs(paths, k, seed), dst, SAMPLE_PAIRS, fmt, dt=dt, version=version)
-    io.append_partition(samples.positive_pairs(paths, order_col), dst, SAMPLE_PAIRS, fmt, dt=dt, version=version)
+    with io.staging(spark):
+        schema = GRAPH_PATH if order_col is None else T.StructType(
+            GRAPH_PATH.fields + [T.StructField(order_col, T.IntegerType())])
+        paths = io.read_partition(spark, src, schema, fmt, dt=dt, version=version)
+        io.overwrite_partition(samples.negative_pairs(paths, k, seed), dst, SAMPLE_PAIRS, fmt, dt=dt, version=version)
+        io.append_partition(samples.positive_pairs(paths, order_col), dst, SAMPLE_PAIRS, fmt, dt=dt, version=version)
 
 
 def query_feature_job(spark: SparkSession, src: str, dst: str, src_dt: str, dt: str, dp: str,
                       lo: int = 20, hi: int = 12000, fmt: str = "orc") -> None:
     """Per-query normalised score map and descending fractiles."""
-    rows = io.read_partition(spark, src, QUERY_SCORES, fmt, dt=src_dt)
-    io.overwrite_partition(features.query_features(rows, lo, hi), dst, QUERY_FEATURE, fmt, dt=dt, dp=dp)
+    with io.staging(spark):
+        rows = io.read_partition(spark, src, QUERY_SCORES, fmt, dt=src_dt)
+        io.overwrite_partition(features.query_features(rows, lo, hi), dst, QUERY_FEATURE, fmt, dt=dt, dp=dp)
 
 
 def kmeans_job(spark: SparkSession, src: str, dst: str, src_dt: str, src_dp: str, dt: str, dp: str,
                k: int, seed: int = 0, tol: float = 0.01, max_iter: int = 100, fmt: str = "orc") -> None:
     """Lloyd k-means over 20-dim fractile features, uniform [0, 1) init."""
-    pts = io.read_partition(spark, src, FRACTILE_20, fmt, dt=src_dt, dp=src_dp).select(
-        "query", F.transform("query_feature_20", lambda x: x.cast("double")).alias("feature"))
-    dims = pts.select(F.max(F.size("feature"))).first()[0] or 0
-    init = kmeans.init_uniform(spark, k, dims, seed)
-    out = kmeans.lloyd(pts, k, init=init, tol=tol, max_iter=max_iter)
-    io.overwrite_partition(out, dst, KMEANS_QUERY, fmt, dt=dt, dp=dp)
+    with io.staging(spark):
+        pts = io.read_partition(spark, src, FRACTILE_20, fmt, dt=src_dt, dp=src_dp).select(
+            "query", F.transform("query_feature_20", lambda x: x.cast("double")).alias("feature"))
+        dims = pts.select(F.max(F.size("feature"))).first()[0] or 0
+        init = kmeans.init_uniform(spark, k, dims, seed)
+        out = kmeans.lloyd(pts, k, init=init, tol=tol, max_iter=max_iter)
+        io.overwrite_partition(out, dst, KMEANS_QUERY, fmt, dt=dt, dp=dp)
 
 
 def ml_kmeans_job(spark: SparkSession, src: str, words_dst: str, centers_dst: str, src_dt: str, dt: str,
                   dp: str, k: int = 3000, seed: int = 1, fmt: str = "orc") -> None:
     """Library k-means over embedding text; writes word clusters and centers."""
-    feats = mlkmeans.features(io.read_partition(spark, src, WORD_EMB, fmt, dt=src_dt)).persist()
-    try:
-        model = mlkmeans.fit(feats, k=k, seed=seed)
-        io.overwrite_partition(mlkmeans.centers(model, spark), centers_dst, CLUSTER_AXIS, fmt, dt=dt, dp=dp)
-        io.overwrite_partition(mlkmeans.predict(model, feats), words_dst, WORD_CLUSTER, fmt, dt=dt, dp=dp)
-    finally:
-        feats.unpersist()
+    with io.staging(spark):
+        feats = mlkmeans.features(io.read_partition(spark, src, WORD_EMB, fmt, dt=src_dt)).persist()
+        try:
+            model = mlkmeans.fit(feats, k=k, seed=seed)
+            io.overwrite_partition(mlkmeans.centers(model, spark), centers_dst, CLUSTER_AXIS, fmt, dt=dt, dp=dp)
+            io.overwrite_partition(mlkmeans.predict(model, feats), words_dst, WORD_CLUSTER, fmt, dt=dt, dp=dp)
+        finally:
+            feats.unpersist()
 
 
 def category_similarity_job(spark: SparkSession, vectors_path: str, names_path: str, dst: str,
@@ -114,30 +120,33 @@ def category_similarity_job(spark: SparkSession, vectors_path: str, names_path:
     """Cosine top-k between category vectors, written as ``cid\\tc:s,...`` text.
 
     Row and neighbour labels both come from the names dictionary (D25)."""
-    names = io.read_index_names(spark, names_path)
-    vecs = io.read_vectors(spark, vectors_path).join(names.withColumnRenamed("idx", "id"), "id")
-    top = similarity.cosine_topk(vecs.select("id", "vec"), k=k)
-    label = names.select(F.col("idx").alias("id"), F.col("name").alias("cid3"))
-    nb = names.select(F.col("idx").alias("neighbour"), F.col("name").alias("nname"))
-    rows = top.join(label, "id").join(nb, "neighbour").select("cid3", F.col("nname").alias("neighbour"),
-                                                               "score", "rank")
-    io.write_tsv_partition(io.encode_neighbours(rows), dst, dt=dt)
+    with io.staging(spark):
+        names = io.read_index_names(spark, names_path)
+        vecs = io.read_vectors(spark, vectors_path).join(names.withColumnRenamed("idx", "id"), "id")
+        top = similarity.cosine_topk(vecs.select("id", "vec"), k=k)
+        label = names.select(F.col("idx").alias("id"), F.col("name").alias("cid3"))
+        nb = names.select(F.col("idx").alias("neighbour"), F.col("name").alias("nname"))
+        rows = top.join(label, "id").join(nb, "neighbour").select("cid3", F.col("nname").alias("neighbour"),
+                                                                   "score", "rank")
+        io.write_tsv_partition(io.encode_neighbours(rows), dst, dt=dt)
 
 
 def query_sku_score_job(spark: SparkSession, src: str, sim_path: str, dst: str, src_dt: str, src_dp: str,
                         dt: str, dp: str, fmt: str = "orc") -> None:
     """Weighted query–sku category score with the neighbour-list table."""
-    rows = io.read_partition(spark, src, QUERY_SKU_CATE, fmt, dt=src_dt, dp=src_dp)
-    sim = io.decode_neighbours(io.read_tsv_partition(spark, sim_path, CID_SCORE, dt="active"))
-    io.overwrite_partition(scoring.scored_table(rows, sim), dst, QUERY_SKU_SCORE, fmt, dt=dt, dp=dp)
+    with io.staging(spark):
+        rows = io.read_partition(spark, src, QUERY_SKU_CATE, fmt, dt=src_dt, dp=src_dp)
+        sim = io.decode_neighbours(io.read_tsv_partition(spark, sim_path, CID_SCORE, dt="active"))
+        io.overwrite_partition(scoring.scored_table(rows, sim), dst, QUERY_SKU_SCORE, fmt, dt=dt, dp=dp)
 
 
 def augmentation_job(spark: SparkSession, src: str, whitelist_path: str, dst: str, src_dt: str = "active",
                      n: int = augment.N_DRAWS, seed: int = 0, weighted: bool = False, fmt: str = "orc") -> None:
     """Template keywords from the top-200 terms of whitelisted categories."""
-    ranked = io.read_partition(spark, src, TERM_TFIDF, fmt, dt=src_dt)
-    out = augment.corpus(ranked, io.read_whitelist(spark, whitelist_path), n=n, seed=seed, weighted=weighted)
-    io.overwrite_partition(out, dst, AUGMENTED, fmt, dt="active")
+    with io.staging(spark):
+        ranked = io.read_partition(spark, src, TERM_TFIDF, fmt, dt=src_dt)
+        out = augment.corpus(ranked, io.read_whitelist(spark, whitelist_path), n=n, seed=seed, weighted=weighted)
+        io.overwrite_partition(out, dst, AUGMENTED, fmt, dt="active")
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "orc", **keys: str) -> DataFrame:

@@ -237,4 +237,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     path = f"{staging_dir(df.sparkSession)}/qsig-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_STAGED: list[str] = []
+
+
+class staging:
+    """Context manager for a job: staged tables written inside the block are
+    deleted when it exits (after the job's sinks have written).
+
+        with io.staging(spark):
+            io.overwrite_partition(terms.tfidf_ranked(...), path, schema, dt=dt)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self.mark = len(_STAGED)
+        return self
+
+    def __exit__(self, *exc):
+        paths, _STAGED[self.mark:] = _STAGED[self.mark:], []
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+        return False
