@@ -503,7 +503,7 @@ def _sql_vec_text(c: str) -> str:
 SQL_K_INIT = f"""
   kb AS (SELECT pos, min(x) AS lo, max(x) AS hi
          FROM (SELECT unnest(range(0, len(feature))) AS pos, unnest(feature) AS x FROM pts) GROUP BY pos),
-  c0 AS (SELECT c AS category,
+  c0 AS (SELECT CAST(c AS INTEGER) AS category,
                 list(lo + {sql_uniform(['c', 'pos'], K_SEED)} * (hi - lo) ORDER BY pos) AS centroid
          FROM range(0, {K_CLUSTERS}) r(c), kb GROUP BY c)"""
 
