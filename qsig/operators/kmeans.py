@@ -124,16 +124,14 @@ def shift(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def _update_matrix(assigned: DataFrame, old: np.ndarray, col: str) -> np.ndarray:
+    """New k×d centroids: per-(cluster, dimension) sums and counts from a
+    partial+final aggregate, brought to the driver through Arrow (k·d rows,
+    bounded like the broadcast); clusters without points keep ``old``."""
     sums = (assigned.select("category", F.posexplode(col).alias("pos", "x"))
-            .groupBy("category", "pos").agg(F.sum("x").alias("s"), F.count("x").alias("n")).collect())
+            .groupBy("category", "pos").agg(F.sum("x").alias("s"), F.count("x").alias("n")).toPandas())
     new = old.copy()
-    acc: dict[int, dict[int, tuple[float, int]]] = {}
-    for r in sums:
-        acc.setdefault(r["category"], {})[r["pos"]] = (r["s"], r["n"])
-    for cat, dims in acc.items():
-        for pos, (s, n) in dims.items():
-            if pos < new.shape[1] and n:
-                new[cat, pos] = s / n
+    sums = sums[(sums["n"] > 0) & (sums["pos"] < new.shape[1])]
+    new[sums["category"].to_numpy(), sums["pos"].to_numpy()] = (sums["s"] / sums["n"]).to_numpy()
     return new
 
 

@@ -93,7 +93,7 @@ def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
     """
     counts = stage(term_counts(terms), "term_counts") if materialise else term_counts(terms)
     tf = term_frequency(terms, counts)
-    n_cat = category_count(tf).scalar()
+    n_cat = category_count(counts).scalar()  # same cid3 set as tf, read from the small table
     dfreq = _df_counts(counts).withColumnRenamed("nums", "df")
     idf = F.ln(F.try_divide(n_cat.cast("double"), F.col("df")))
     return (tf.join(dfreq, "term", "left")
