@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    as is (it is required there).  Only a local-mode session without one gets
+    a scratch folder, as in tests.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder for staged tables")
     path = tempfile.mkdtemp(prefix="qsig-ckpt-", dir=os.environ.get("QSIG_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -94,3 +94,11 @@ def test_ensure_parallelism(spark):
     assert io.ensure_parallelism(one, "id").rdd.getNumPartitions() >= 2
     many = spark.range(100).repartition(8)
     assert io.ensure_parallelism(many, "id", min_partitions=4).rdd.getNumPartitions() == 8
+
+
+def test_parse_vector_whitespace(spark):
+    from qsig.functions.vectors import parse_vector
+
+    df = spark.createDataFrame([("\t1 2\t3 \n",), ("  ",), (None,)], "s string")
+    got = [r.v for r in df.select(parse_vector("s").alias("v")).collect()]
+    assert got == [[1.0, 2.0, 3.0], None, None]
