@@ -731,3 +731,56 @@ def q_parse_vectors(spark, d):
     w = A.word_vectors(spark, d).select("word", parse_vector("emb").alias("v"))
     return w.select("word", F.posexplode("v").alias("pos", "x")).select(
         "word", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+# ============================================ S1/S7/S8/S10: partitioned round trips
+
+import uuid  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+PAIRS_SCHEMA = T.StructType([T.StructField("query_1", T.StringType()), T.StructField("query_2", T.StringType()),
+                             T.StructField("label", T.IntegerType())])
+TRIPLES_SCHEMA = T.StructType([T.StructField("sku", T.StringType()), T.StructField("query", T.StringType())])
+
+
+def _table_dir(spark, name):
+    return f"{io.staging_dir(spark)}/qsig-tables/{name}-{uuid.uuid4().hex}"
+
+
+@register("labelled_pairs_table", with_(A.SQL_GRAPH_PATH, SQL_NAMES)
+          + " SELECT * FROM neg UNION ALL SELECT * FROM pos")
+def q_labelled_pairs_table(spark, d):
+    """The sample job's sink pattern: negatives overwrite (S7) the (dt, version)
+    partition, positives are appended (S8), another partition is written
+    beside it, and the partition is read back by name (S1, S10)."""
+    path = _table_dir(spark, "pairs")
+    gp = _gp(spark, d)
+    io.overwrite_partition(samples.positive_pairs(gp, "ord"), path, PAIRS_SCHEMA, dt="2020-05-24", version="v")
+    io.overwrite_partition(samples.negative_pairs(gp, K_NEG, SEED), path, PAIRS_SCHEMA, dt="2020-05-25", version="v")
+    io.append_partition(samples.positive_pairs(gp, "ord"), path, PAIRS_SCHEMA, dt="2020-05-25", version="v")
+    return io.read_partition(spark, path, PAIRS_SCHEMA, "orc", dt="2020-05-25", version="v").select(
+        "query_1", "query_2", "label")
+
+
+@register("keyword_triples_table", with_(A.SQL_CLICK_LOG, SQL_PV) + """
+  SELECT sku, unnest(CASE WHEN len(ks) > 2
+                          THEN list_transform(range(1, len(ks) - 1), lambda i: array_to_string(ks[i:i + 2], ' '))
+                          ELSE [array_to_string(ks, ' ')] END) AS query
+  FROM kl""")
+def q_keyword_triples_table(spark, d):
+    """Keyword triples written twice to the same dt partition (idempotent
+    overwrite, S7) and read back (S1)."""
+    path = _table_dir(spark, "triples")
+    for _ in range(2):
+        io.overwrite_partition(q_keyword_triples(spark, d), path, TRIPLES_SCHEMA, dt=A.CLICK_DT)
+    return io.read_partition(spark, path, TRIPLES_SCHEMA, "orc", dt=A.CLICK_DT).select("sku", "query")
+
+
+@register("ml_silhouette")
+def q_ml_silhouette(spark, d):
+    """M5: silhouette of the library k-means clustering (one row)."""
+    f = _ml_input(spark, d)
+    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
+    value = mlkmeans.silhouette(model.transform(f))
+    return spark.createDataFrame([(ML_K, float(value))], "k int, silhouette double")
