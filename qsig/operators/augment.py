@@ -17,12 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qsig.functions.hashing import draw_int, uniform
+from qsig.fixed import BAND_EDGES, DRAWS_PER_CATEGORY, TOP_TERMS
 
-# Fixed values of the reference: band edges over list positions, draws per
-# category, and list length.
-EDGES = (0, 5, 20, 50, 100, 200)
-N_DRAWS = 500
-TOP_N = 200
+EDGES = BAND_EDGES
+N_DRAWS = DRAWS_PER_CATEGORY
+TOP_N = TOP_TERMS
 
 GROUP = ("cid3", "cid3_name")
 

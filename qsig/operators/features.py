@@ -15,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POINTS = (("quarter", 0.25), ("half", 0.5), ("three_quarters", 0.75))
+from qsig.fixed import FRACTILE_POINTS, MAX_GROUP, MIN_GROUP
+
+POINTS = tuple(zip(("quarter", "half", "three_quarters"), FRACTILE_POINTS))
 
 
 def collect_scores(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score",
-                   max_items: int = 12000) -> DataFrame:
+                   max_items: int = MAX_GROUP) -> DataFrame:
     """F1: ``(query, num, items array<struct<sku,score>>)`` per query.
 
     ``num`` counts every row.  Sizes are counted first and only groups with
@@ -37,7 +39,7 @@ def group_sizes(df: DataFrame, by: str = "query") -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("num"))
 
 
-def size_filter(df: DataFrame, lo: int = 20, hi: int = 12000, by: str = "query") -> DataFrame:
+def size_filter(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by: str = "query") -> DataFrame:
     """rows of groups with ``lo <= num <= hi``, with ``num`` attached."""
     sizes = group_sizes(df, by).where(F.col("num").between(lo, hi))
     return df.join(sizes, by)
@@ -58,8 +60,8 @@ def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z
     return df.join(stats, by).withColumn(out, _z(F.col(score))).drop("mean", "std", "n")
 
 
-def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = 20,
-              hi: int = 12000) -> DataFrame:
+def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = MIN_GROUP,
+              hi: int = MAX_GROUP) -> DataFrame:
     """``(query, quarter_n, quarter, half_n, half, three_quarters_n, three_quarters)``
     for groups with ``lo <= num <= hi``; the size is counted before any list is
     built, so the descending array holds at most ``hi`` doubles."""
@@ -81,8 +83,8 @@ def score_map_long(df: DataFrame, by: str = "query", sku: str = "sku", score: st
     return z.groupBy(by, sku).agg(F.min("z").alias("z"))
 
 
-def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score", lo: int = 20,
-              hi: int = 12000) -> DataFrame:
+def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score", lo: int = MIN_GROUP,
+              hi: int = MAX_GROUP) -> DataFrame:
     """``(query, sku_score_normal map<string,double>)`` for groups with
     ``lo <= num <= hi`` (so a map holds at most ``hi`` entries)."""
     rows = df.join(group_sizes(df, by).where(F.col("num").between(lo, hi)).select(by), by, "left_semi")
@@ -91,7 +93,7 @@ def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "
     return longf.groupBy(by).agg(m.alias("sku_score_normal"))
 
 
-def query_features(df: DataFrame, lo: int = 20, hi: int = 12000, by: str = "query",
+def query_features(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by: str = "query",
                    sku: str = "sku", score: str = "score") -> DataFrame:
     """the reference's 9-column row per query with lo <= num <= hi.
 

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from qsig.functions.hashing import uniform
 from qsig.functions.vectors import distance  # noqa: F401  (re-exported column helper, K5)
+from qsig.fixed import LLOYD_TOL
 
 MAX_CENTROID_VALUES = 50_000_000  # k·d doubles allowed in one broadcast (400 MB)
 CHUNK_VALUES = 8_000_000          # batch·k·d doubles per numpy distance chunk
@@ -135,7 +136,7 @@ def _update_matrix(assigned: DataFrame, old: np.ndarray, col: str) -> np.ndarray
     return new
 
 
-def lloyd(points: DataFrame, k: int, init: DataFrame | None = None, tol: float = 0.01,
+def lloyd(points: DataFrame, k: int, init: DataFrame | None = None, tol: float = LLOYD_TOL,
           max_iter: int = 100, seed: int = 0, col: str = "feature", id_col: str = "query") -> DataFrame:
     """K6/K7: iterate until the mean centroid shift < ``tol`` (or ``max_iter``).
 

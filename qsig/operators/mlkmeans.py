@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qsig.functions.vectors import parse_vector
+from qsig.fixed import LIBRARY_K, LIBRARY_SEED
 
 
 def features(df: DataFrame, col: str = "emb", out: str = "features", check: bool = True) -> DataFrame:
@@ -34,7 +35,7 @@ def features(df: DataFrame, col: str = "emb", out: str = "features", check: bool
     return parsed.withColumn(out, array_to_vector("__v")).drop("__v")
 
 
-def fit(df: DataFrame, k: int = 3000, seed: int = 1, features_col: str = "features", **params) -> KMeansModel:
+def fit(df: DataFrame, k: int = LIBRARY_K, seed: int = LIBRARY_SEED, features_col: str = "features", **params) -> KMeansModel:
     """M2: ``KMeans`` with the library defaults (k-means‖, maxIter 20, tol 1e-4)."""
     return KMeans(featuresCol=features_col, k=k, seed=seed, **params).fit(df)
 

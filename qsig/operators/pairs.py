@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from qsig.operators.ordering import rank_within
 from qsig.sources.io import since as _since
+from qsig.fixed import CLICK_DIM, LOOKBACK_DAYS, TOP_KEYWORDS, WINDOW_SEP, WINDOW_SIZE
 
 
-def keyword_pv(df: DataFrame, dim: str = "app", dt: str | None = None,
-               lookback_days: int = 30) -> DataFrame:
+def keyword_pv(df: DataFrame, dim: str = CLICK_DIM, dt: str | None = None,
+               lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Clicks with ``dim_type == dim`` and a non-blank keyword (and, if
     ``dt`` is given, ``dt > dt - lookback``) counted per (sku, key_word).
     The raw (untrimmed) keyword is the group key."""
@@ -31,7 +32,7 @@ def keyword_pv(df: DataFrame, dim: str = "app", dt: str | None = None,
     return rows.groupBy("sku", "key_word").agg(F.count(F.lit(1)).alias("pv"))
 
 
-def top_keywords(pv: DataFrame, n: int = 50) -> DataFrame:
+def top_keywords(pv: DataFrame, n: int = TOP_KEYWORDS) -> DataFrame:
     """The ``n`` most clicked keywords per sku (pv desc, then keyword)."""
     return rank_within(pv, ["sku"], [F.col("pv").desc(), F.col("key_word").asc()], "rank", limit=n)
 
@@ -42,7 +43,7 @@ def keyword_list(top: DataFrame) -> DataFrame:
     return top.groupBy("sku").agg(F.transform(items, lambda x: x["key_word"]).alias("keywords"))
 
 
-def keyword_windows(lists: DataFrame, size: int = 3, col: str = "keywords", sep: str = " ",
+def keyword_windows(lists: DataFrame, size: int = WINDOW_SIZE, col: str = "keywords", sep: str = WINDOW_SEP,
                     key: str = "sku", out: str = "query") -> DataFrame:
     """Every run of ``size`` consecutive keywords joined by ``sep``;
     a list of at most ``size - 1`` keywords gives one row with all of them."""
@@ -54,8 +55,8 @@ def keyword_windows(lists: DataFrame, size: int = 3, col: str = "keywords", sep:
     return lists.select(key, F.explode(rows).alias(out))
 
 
-def keyword_triples(clicks: DataFrame, dim: str = "app", dt: str | None = None,
-                    lookback_days: int = 30, n: int = 50) -> DataFrame:
+def keyword_triples(clicks: DataFrame, dim: str = CLICK_DIM, dt: str | None = None,
+                    lookback_days: int = LOOKBACK_DAYS, n: int = TOP_KEYWORDS) -> DataFrame:
     """P1-P4 composed: the reference's ``(sku, query)`` output."""
     top = top_keywords(keyword_pv(clicks, dim, dt, lookback_days), n)
     return keyword_windows(keyword_list(top))

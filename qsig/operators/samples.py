@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from qsig.functions.hashing import draw_int
 from qsig.operators import ordering
 from qsig.sources.io import stage
+from qsig.fixed import NEGATIVES_PER_NAME
 
 
 def _valid(df: DataFrame, col: str = "name") -> DataFrame:
@@ -47,12 +48,12 @@ def _draws(names: DataFrame, k: int, seed: int, col: str) -> DataFrame:
     return names.select(col, j).select(col, "draw_no", draw_int(n, [col, "draw_no"], seed).alias("draw"))
 
 
-def random_draws(df: DataFrame, k: int = 5, seed: int = 0, col: str = "name") -> DataFrame:
+def random_draws(df: DataFrame, k: int = NEGATIVES_PER_NAME, seed: int = 0, col: str = "name") -> DataFrame:
     """``(name, draw_no, draw)``: k uniform draws in [0, N) per name."""
     return _draws(distinct_names(df, col), k, seed, col)
 
 
-def negative_pairs(df: DataFrame, k: int = 5, seed: int = 0, drop_self: bool = False,
+def negative_pairs(df: DataFrame, k: int = NEGATIVES_PER_NAME, seed: int = 0, drop_self: bool = False,
                    col: str = "name") -> DataFrame:
     """``(query_1, query_2, label=0)``: each name with its k drawn names.
 
@@ -95,6 +96,6 @@ def positive_pairs(df: DataFrame, order_col: str | None = None) -> DataFrame:
     return a.join(b, ["pathid", "pos"]).select("query_1", "query_2", F.lit(1).alias("label"))
 
 
-def labelled_pairs(df: DataFrame, k: int = 5, seed: int = 0, order_col: str | None = None) -> DataFrame:
+def labelled_pairs(df: DataFrame, k: int = NEGATIVES_PER_NAME, seed: int = 0, order_col: str | None = None) -> DataFrame:
     """Negatives (label 0) and positives (label 1) in one table."""
     return negative_pairs(df, k, seed).unionByName(positive_pairs(df, order_col))

@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qsig.fixed import TERM_SEP
 from qsig.operators.ordering import rank_within
 from qsig.sources.io import stage
 
 KEYS = ("cid3", "cid3_name")
 
 
-def explode_terms(df: DataFrame, keep=KEYS, col: str = "sku_term", sep: str = ",",
+def explode_terms(df: DataFrame, keep=KEYS, col: str = "sku_term", sep: str = TERM_SEP,
                   out: str = "term") -> DataFrame:
     """One row per term.  ``col`` is a ``sep``-joined string or an array.
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from qsig.operators import augment, features, kmeans, mlkmeans, pairs, samples, scoring, similarity, terms
 from qsig.sources import io
+from qsig import fixed as fx
 
 S = T.StringType()
 
@@ -63,15 +64,15 @@ def tfidf_job(spark: SparkSession, src: str, dst: str, dt: str, src_dt: str = "a
         io.overwrite_partition(out, dst, TERM_TFIDF, fmt, dt=dt)
 
 
-def keyword_triples_job(spark: SparkSession, src: str, dst: str, dt: str, lookback_days: int = 30,
-                        dim: str = "app", n: int = 50, fmt: str = "orc") -> None:
+def keyword_triples_job(spark: SparkSession, src: str, dst: str, dt: str, lookback_days: int = fx.LOOKBACK_DAYS,
+                        dim: str = fx.CLICK_DIM, n: int = fx.TOP_KEYWORDS, fmt: str = "orc") -> None:
     """Sliding keyword triples per sku from the last ``lookback_days`` of clicks."""
     with io.staging(spark):
         clicks = io.read_since(spark, src, CLICK_LOG, dt, lookback_days, fmt)
         io.overwrite_partition(pairs.keyword_triples(clicks, dim=dim, n=n), dst, SIMILAR_QUERY, fmt, dt=dt)
 
 
-def sample_pairs_job(spark: SparkSession, src: str, dst: str, dt: str, version: str, k: int = 5,
+def sample_pairs_job(spark: SparkSession, src: str, dst: str, dt: str, version: str, k: int = fx.NEGATIVES_PER_NAME,
                      seed: int = 0, order_col: str | None = None, fmt: str = "orc") -> None:
     """Negatives (overwrite) then positives (append) into one (dt, version) partition."""
     with io.staging(spark):
@@ -83,7 +84,7 @@ def sample_pairs_job(spark: SparkSession, src: str, dst: str, dt: str, version:
 
 
 def query_feature_job(spark: SparkSession, src: str, dst: str, src_dt: str, dt: str, dp: str,
-                      lo: int = 20, hi: int = 12000, fmt: str = "orc") -> None:
+                      lo: int = fx.MIN_GROUP, hi: int = fx.MAX_GROUP, fmt: str = "orc") -> None:
     """Per-query normalised score map and descending fractiles."""
     with io.staging(spark):
         rows = io.read_partition(spark, src, QUERY_SCORES, fmt, dt=src_dt)
@@ -91,7 +92,7 @@ def query_feature_job(spark: SparkSession, src: str, dst: str, src_dt: str, dt:
 
 
 def kmeans_job(spark: SparkSession, src: str, dst: str, src_dt: str, src_dp: str, dt: str, dp: str,
-               k: int, seed: int = 0, tol: float = 0.01, max_iter: int = 100, fmt: str = "orc") -> None:
+               k: int, seed: int = 0, tol: float = fx.LLOYD_TOL, max_iter: int = 100, fmt: str = "orc") -> None:
     """Lloyd k-means over 20-dim fractile features, uniform [0, 1) init."""
     with io.staging(spark):
         pts = io.read_partition(spark, src, FRACTILE_20, fmt, dt=src_dt, dp=src_dp).select(
@@ -103,7 +104,7 @@ def kmeans_job(spark: SparkSession, src: str, dst: str, src_dt: str, src_dp: str
 
 
 def ml_kmeans_job(spark: SparkSession, src: str, words_dst: str, centers_dst: str, src_dt: str, dt: str,
-                  dp: str, k: int = 3000, seed: int = 1, fmt: str = "orc") -> None:
+                  dp: str, k: int = fx.LIBRARY_K, seed: int = fx.LIBRARY_SEED, fmt: str = "orc") -> None:
     """Library k-means over embedding text; writes word clusters and centers."""
     with io.staging(spark):
         feats = mlkmeans.features(io.read_partition(spark, src, WORD_EMB, fmt, dt=src_dt)).persist()
@@ -116,7 +117,7 @@ def ml_kmeans_job(spark: SparkSession, src: str, words_dst: str, centers_dst: st
 
 
 def category_similarity_job(spark: SparkSession, vectors_path: str, names_path: str, dst: str,
-                            k: int = 200, dt: str = "active") -> None:
+                            k: int = fx.TOP_NEIGHBOURS, dt: str = "active") -> None:
     """Cosine top-k between category vectors, written as ``cid\\tc:s,...`` text.
 
     Row and neighbour labels both come from the names dictionary (D25)."""

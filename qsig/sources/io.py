@@ -13,9 +13,13 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from qsig.fixed import LOOKBACK_DAYS, NEIGHBOUR_ITEM_SEP, NEIGHBOUR_SCORE_SEP
 
 # ---------------------------------------------------------------- helpers
 
+# an entry "name<sep>score", split at the last separator
+_ITEM_RE = "^(.*)" + NEIGHBOUR_SCORE_SEP + "([^" + NEIGHBOUR_SCORE_SEP + "]*)$"
+
 
 def _with_keys(schema: T.StructType, keys) -> T.StructType:
     names = {f.name for f in schema.fields}
@@ -68,19 +72,19 @@ def read_partition(spark: SparkSession, path: str, schema: T.StructType, fmt: st
     return df
 
 
-def cutoff_date(dt: str, lookback_days: int = 30, fmt: str = "%Y-%m-%d") -> str:
+def cutoff_date(dt: str, lookback_days: int = LOOKBACK_DAYS, fmt: str = "%Y-%m-%d") -> str:
     """The exclusive lower bound ``dt - lookback_days`` as a string."""
     day = _dt.datetime.strptime(dt, fmt).date() - _dt.timedelta(days=lookback_days)
     return day.strftime(fmt)
 
 
-def since(df: DataFrame, dt: str, lookback_days: int = 30, col: str = "dt") -> DataFrame:
+def since(df: DataFrame, dt: str, lookback_days: int = LOOKBACK_DAYS, col: str = "dt") -> DataFrame:
     """S2 on a DataFrame: ``col > dt - lookback`` (string compare, no upper bound)."""
     return df.where(F.col(col) > F.lit(cutoff_date(dt, lookback_days)))
 
 
 def read_since(spark: SparkSession, path: str, schema: T.StructType, dt: str,
-               lookback_days: int = 30, fmt: str = "orc") -> DataFrame:
+               lookback_days: int = LOOKBACK_DAYS, fmt: str = "orc") -> DataFrame:
     """Open-ended date-range scan; the predicate prunes ``dt=`` directories."""
     df = spark.read.schema(_with_keys(schema, ["dt"])).format(fmt).load(path)
     return since(df, dt, lookback_days)
@@ -138,11 +142,11 @@ def decode_neighbours(df: DataFrame, key: str = "cid3", value: str = "score_top2
     key, the highest score per (key, neighbour) is kept.
     """
     entries = F.transform(
-        F.split(F.col(value), ","),
+        F.split(F.col(value), "\\Q" + NEIGHBOUR_ITEM_SEP + "\\E"),
         lambda e: F.struct(
-            F.regexp_extract(e, r"^(.*):([^:]*)$", 1).alias("n"),
-            F.regexp_extract(e, r"^(.*):([^:]*)$", 2).try_cast("double").alias("s"),
-            e.contains(":").alias("ok"),
+            F.regexp_extract(e, _ITEM_RE, 1).alias("n"),
+            F.regexp_extract(e, _ITEM_RE, 2).try_cast("double").alias("s"),
+            e.contains(NEIGHBOUR_SCORE_SEP).alias("ok"),
         ),
     )
     names = F.transform(entries, lambda x: x["n"])
@@ -197,7 +201,8 @@ def encode_neighbours(df: DataFrame, key: str = "cid3", neighbour: str = "neighb
     """
     items = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(neighbour).alias("n"),
                                                  F.col(score).alias("s"))))
-    text = F.array_join(F.transform(items, lambda x: F.concat(x["n"], F.lit(":"), score_text(x["s"]))), ",")
+    text = F.array_join(F.transform(items, lambda x: F.concat(x["n"], F.lit(NEIGHBOUR_SCORE_SEP), score_text(x["s"]))),
+                        NEIGHBOUR_ITEM_SEP)
     return df.groupBy(key).agg(text.alias(out))
 
 
