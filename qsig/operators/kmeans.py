@@ -3,8 +3,9 @@
 Per iteration one Spark job over the persisted points:
 
 * assign (K2): ``mapInPandas`` with the k×d centroid matrix broadcast
-  (size checked against ``max_centroid_values``); numpy computes the squared
-  distances chunk by chunk and ``argmin`` keeps the lowest index on ties;
+  (size checked against ``MAX_CENTROID_VALUES``); squared distances come
+  from one BLAS product per Arrow batch, near-ties are re-checked with direct
+  differences, and ``argmin`` keeps the lowest index on ties;
 * update (K3/K4): per-dimension sums and counts through ``posexplode`` and a
   partial+final aggregate on (category, dimension) — a cluster holding a third
   of the points costs one partial row per dimension per map task; a cluster
@@ -72,25 +73,42 @@ def _matrix(centroids: DataFrame) -> np.ndarray:
     return m
 
 
+def _nearest(p: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Index of the nearest row of ``c`` for each row of ``p`` (lowest index on ties).
+
+    Squared distances come from one BLAS product (|p|² − 2 p·c + |c|²); a
+    point whose best and second-best values are closer than that formula's
+    rounding error bound is recomputed with direct differences, so the
+    result equals the direct computation."""
+    k, d = c.shape
+    cn = np.einsum("ij,ij->i", c, c)
+    pn = np.einsum("ij,ij->i", p, p)
+    d2 = pn[:, None] - 2.0 * (p @ c.T) + cn[None, :]
+    d2 = np.where(np.isnan(d2), np.inf, d2)
+    best = np.argmin(d2, axis=1)
+    if k == 1:
+        return best.astype(np.int32)
+    part = np.partition(d2, 1, axis=1)
+    scale = (np.sqrt(pn) + np.sqrt(cn.max())) ** 2
+    unsure = np.nonzero(part[:, 1] - part[:, 0] <= 8.0 * (d + 2) * np.finfo(np.float64).eps * scale)[0]
+    step = max(1, CHUNK_VALUES // max(1, k * d))
+    for s in range(0, len(unsure), step):
+        rows = unsure[s:s + step]
+        exact = ((p[rows][:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+        best[rows] = np.argmin(np.where(np.isnan(exact), np.inf, exact), axis=1)
+    return best.astype(np.int32)
+
+
 def _assign_fn(bc, col: str):
     def fn(it):
         c = bc.value
-        k, d = c.shape
         for pdf in it:
             if pdf.empty:
                 yield pdf.assign(category=pd.Series(dtype="int32"))
                 continue
             p = np.vstack(pdf[col].to_numpy()).astype(np.float64)
-            m = min(p.shape[1], d)  # unequal lengths compare the common prefix, as zip does
-            p, cc = p[:, :m], c[:, :m]
-            step = max(1, CHUNK_VALUES // max(1, k * m))
-            best = np.empty(len(p), dtype=np.int32)
-            for s in range(0, len(p), step):
-                blk = p[s:s + step]
-                d2 = ((blk[:, None, :] - cc[None, :, :]) ** 2).sum(axis=2)
-                d2 = np.where(np.isnan(d2), np.inf, d2)
-                best[s:s + step] = np.argmin(d2, axis=1)
-            yield pdf.assign(category=best)
+            m = min(p.shape[1], c.shape[1])  # unequal lengths compare the common prefix, as zip does
+            yield pdf.assign(category=_nearest(p[:, :m], c[:, :m]))
     return fn
 
 

@@ -106,3 +106,16 @@ def test_corpus_size(spark):
         "cid3 string, cid3_name string, term string, tfidf double, rank int")
     out = augment.corpus(ranked, ["a", "b", "a"], n=7, seed=2)
     assert out.count() == 3 * 7 * 2 and {r.cid3 for r in out.collect()} == {"a", "b"}
+
+
+def test_nearest_matches_direct_differences():
+    from qsig.operators.kmeans import _nearest
+
+    rng = np.random.default_rng(7)
+    p = rng.normal(size=(500, 20))
+    c = rng.normal(size=(40, 20))
+    c[5] = c[3]                       # duplicate centroid: the lower index must win
+    p[:10] = c[3] + 1e-13             # points sitting (almost) on a centroid
+    direct = np.argmin(((p[:, None, :] - c[None, :, :]) ** 2).sum(axis=2), axis=1)
+    assert (_nearest(p, c) == direct).all()
+    assert (_nearest(p[:10], c) == 3).all()
