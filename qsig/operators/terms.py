@@ -37,7 +37,11 @@ def explode_terms(df: DataFrame, keep=KEYS, col: str = "sku_term", sep: str = TE
     c = F.col(col)
     dtype = df.schema[col].dataType
     arr = c if isinstance(dtype, T.ArrayType) else F.split(c, "\\Q" + sep + "\\E")
-    return df.select(*keep, F.explode(arr).alias(out))
+    # posexplode_outer + "pos is not null" keeps exactly explode's rows; a plain
+    # explode makes Catalyst infer size(arr) > 0 and push that filter — and the
+    # whole tokenising expression — below any exchange spreading the input
+    rows = df.select(*keep, F.posexplode_outer(arr).alias("__pos", out))
+    return rows.where(F.col("__pos").isNotNull()).drop("__pos")
 
 
 def term_counts(terms: DataFrame) -> DataFrame:
