@@ -1,14 +1,17 @@
 """Term statistics per product category: TF-IDF and per-category ranking.
 
-Plan shape (one Catalyst plan, no driver round trip):
+Plan shape (no data passes through the driver):
 
-    term rows ─► counts (cid3, cid3_name, term)            partial+final HashAggregate
+    term rows ─► counts (cid3, cid3_name, term)      partial+final HashAggregate,
+                                                    staged once as a table
                    ├─► totals per cid3      (roll-up of counts, not a rescan)
                    ├─► df per term          (distinct (term, cid3) roll-up of counts)
                    └─► N = count(distinct cid3)   scalar subquery, evaluated once
     tf  = counts ⋈ totals on cid3   (left: a null cid3 keeps its row with tf null)
     tfidf = tf · ln(N / df)          (left join on term; no smoothing)
     rank  = row_number per cid3 by tfidf desc, term, cid3_name
+            (top-k: WindowGroupLimit; full rank: size-checked, two-level when
+            one category is too big for a task)
 
 Counts are a roll-up of the raw term rows, so everything after the first
 aggregate works on the vocabulary per category, not on the raw text; a hot
