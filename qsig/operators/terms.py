@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qsig.fixed import TERM_SEP
-from qsig.operators.ordering import rank_within
+from qsig.operators import ordering
+from qsig.operators.ordering import largest_group, rank_within
 from qsig.sources.io import stage
 
 KEYS = ("cid3", "cid3_name")
@@ -89,6 +90,17 @@ def _df_counts(terms_or_counts: DataFrame) -> DataFrame:
     return pairs.groupBy("term").agg(F.count(F.lit(1)).alias("nums"))
 
 
+def _tfidf_and_counts(terms: DataFrame, materialise: bool = True) -> tuple[DataFrame, DataFrame]:
+    counts = stage(term_counts(terms), "term_counts") if materialise else term_counts(terms)
+    tf = term_frequency(terms, counts)
+    n_cat = category_count(counts).scalar()  # same cid3 set as tf, read from the small table
+    dfreq = _df_counts(counts).withColumnRenamed("nums", "df")
+    idf = F.ln(F.try_divide(n_cat.cast("double"), F.col("df")))
+    scored = (tf.join(dfreq, "term", "left")
+              .select("cid3", "cid3_name", "term", (F.col("tf") * idf).alias("tfidf")))
+    return scored, counts
+
+
 def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
     """``tfidf = tf * ln(N / df)`` per (cid3, cid3_name, term).
 
@@ -99,20 +111,14 @@ def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
     they are computed once and staged as a table (vocabulary-sized, far
     smaller than the raw text) instead of re-tokenising the text per branch.
     """
-    counts = stage(term_counts(terms), "term_counts") if materialise else term_counts(terms)
-    tf = term_frequency(terms, counts)
-    n_cat = category_count(counts).scalar()  # same cid3 set as tf, read from the small table
-    dfreq = _df_counts(counts).withColumnRenamed("nums", "df")
-    idf = F.ln(F.try_divide(n_cat.cast("double"), F.col("df")))
-    return (tf.join(dfreq, "term", "left")
-            .select("cid3", "cid3_name", "term", (F.col("tf") * idf).alias("tfidf")))
+    return _tfidf_and_counts(terms, materialise)[0]
 
 
-def rank_terms(scored: DataFrame, limit: int | None = None) -> DataFrame:
+def rank_terms(scored: DataFrame, limit: int | None = None, distributed: bool | str = "auto") -> DataFrame:
     """``rank`` = row_number within cid3 by tfidf desc (nulls last),
     ties broken by term then cid3_name.  ``limit`` keeps rank <= limit."""
     order = [F.col("tfidf").desc_nulls_last(), F.col("term").asc(), F.col("cid3_name").asc()]
-    return rank_within(scored, ["cid3"], order, "rank", limit=limit)
+    return rank_within(scored, ["cid3"], order, "rank", limit=limit, distributed=distributed)
 
 
 def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) -> DataFrame:
@@ -121,7 +127,12 @@ def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) ->
     ``categories`` (a list of cid3) keeps only those categories; the filter
     is applied before ranking, which is exact because ranks are per cid3,
     while N and df still count every category."""
-    scored = tfidf(terms)
+    scored, counts = _tfidf_and_counts(terms)
     if categories is not None:
-        scored = scored.where(F.col("cid3").isin(list(dict.fromkeys(categories))))
-    return rank_terms(scored, limit=limit)
+        keep = F.col("cid3").isin(list(dict.fromkeys(categories)))
+        scored, counts = scored.where(keep), counts.where(keep)
+    distributed: bool | str = "auto"
+    if limit is None:
+        # one tf-idf row per counts row: the staged counts give the group sizes
+        distributed = largest_group(counts, ["cid3"]) > ordering.MAX_GROUP_ROWS
+    return rank_terms(scored, limit=limit, distributed=distributed)
