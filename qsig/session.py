@@ -24,6 +24,9 @@ _BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # local data is small: without this AQE merges a few-MB shuffle into one
+    # partition and a downstream explode then runs in a single task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 
