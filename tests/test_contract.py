@@ -33,3 +33,26 @@ def test_sample_of_queries_match_duckdb_at_sf0001(spark):
         idx = [rel.columns.index(c) for c in cols]
         drows = sorted(tuple(str(r[i]) for i in idx) for r in rel.fetchall())
         assert srows == drows, name
+
+
+def test_kernels_run_when_started_outside_the_repo(tmp_path):
+    """Executors import nothing from the package: its task functions are
+    shipped by value, so a driver started elsewhere still works."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print(E.queries()['cosine_topk'](s, %r).count(), E.queries()['kmeans_assign'](s, %r).count())\n"
+    ) % (repo, SF, SF)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_vec = duckdb.sql(f"SELECT count(*) FROM read_parquet('{SF}/embeddings.parquet')").fetchone()[0]
+    assert out.stdout.split()[-2:] == [str(n_vec * min(n_vec, 200)), str(n_vec)]
