@@ -54,5 +54,5 @@ def test_kernels_run_when_started_outside_the_repo(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
                          timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
-    n_vec = duckdb.sql(f"SELECT count(*) FROM read_parquet('{SF}/embeddings.parquet')").fetchone()[0]
+    n_vec = duckdb.sql(f"SELECT count(*) FROM read_parquet('{SF}/embeddings.parquet')").fetchall()[0][0]
     assert out.stdout.split()[-2:] == [str(n_vec * min(n_vec, 200)), str(n_vec)]
