@@ -298,9 +298,7 @@ def q_collect_scores(spark, d):
 
 @register("size_filter", with_(A.SQL_QUERY_SCORES, SQL_KEPT) + " SELECT DISTINCT query, num FROM kept")
 def q_size_filter(spark, d):
-    kept = features.size_filter(_qs(spark, d))
-    return features.group_sizes(kept).select("query", "num").join(
-        kept.select("query", F.col("num").alias("n0")).distinct(), "query").drop("n0")
+    return features.size_filter(_qs(spark, d)).select("query", "num").distinct()
 
 
 @register("score_zscore", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
