@@ -129,3 +129,15 @@ def test_hot_copies_spread_and_restored(spark):
     out = scoring.scored_table(df, sim).collect()
     assert sum(r.query == "q" for r in out) == 300 and all(r.query_sku_score == 0.5 for r in out if r.query == "q")
     assert [r.query_sku_score for r in out if r.query == "r"] == [0.0]
+
+
+def test_float_weights_keep_exact_values(spark):
+    sim = spark.createDataFrame([("a", "c", 0.5)], "cid3 string, neighbour string, score double")
+    rows = [("q", "s", "n", ["a", "x"], [0.1, 0.7], ["c"], [0.3], "c", 1)]
+    schema = ("query string, sku string, sku_name string, query_cate array<string>, "
+              "query_cate_weight array<float>, sku_cate array<string>, sku_cate_weight array<float>, "
+              "sku_org_cate string, search_count int")
+    out = scoring.scored_table(spark.createDataFrame(rows, schema), sim).first()
+    q = np.array([0.1, 0.7], dtype=np.float32).astype(np.float64)
+    assert out.query_sku_score == pytest.approx(q[0] / q.sum() * 0.5, rel=1e-15)
+    assert out.query_cate_weight == [pytest.approx(0.1, rel=1e-7), pytest.approx(0.7, rel=1e-7)]
