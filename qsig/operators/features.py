@@ -98,23 +98,20 @@ def query_features(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by:
     """the reference's 9-column row per query with lo <= num <= hi.
 
     Two passes over the input: group sizes (partial aggregate), then one
-    bounded ``collect_list`` per kept query from which mean, population std,
-    the descending order statistics and the de-duplicated sku → z map are
-    computed with array expressions — no further joins or shuffles.
+    grouping of the kept queries that yields mean and population std
+    (built-in aggregates), the descending scores and a bounded (sku, score)
+    list; z values and the de-duplicated sku → z map are array expressions on
+    that list — no further joins or shuffles.
     """
     sizes = group_sizes(df, by).where(F.col("num").between(lo, hi))
+    x = F.col(score).cast("double")
     g = (df.join(sizes, by).groupBy(by)
          .agg(F.first("num").alias("num"),
-              F.collect_list(F.struct(F.col(score).cast("double").alias("s"), F.col(sku).alias("k"))).alias("it")))
-    vals = F.filter(F.transform("it", lambda x: x["s"]), lambda v: v.isNotNull())
-    n = F.size(vals)
-    mean = F.try_divide(F.aggregate(vals, F.lit(0.0), lambda a, v: a + v), n)
-    g = g.select(by, "num", "it", vals.alias("v"), mean.alias("mean"))
-    var = F.try_divide(F.aggregate("v", F.lit(0.0), lambda a, v: a + (v - F.col("mean")) * (v - F.col("mean"))),
-                       F.size("v"))
-    g = g.withColumn("std", F.sqrt(var)).withColumn("v", F.sort_array("v", asc=False))
-    zs = F.transform(F.filter("it", lambda x: x["s"].isNotNull() & x["k"].isNotNull()),
-                     lambda x: F.struct(x["k"].alias("k"), _z(x["s"]).alias("z")))
+              F.sort_array(F.collect_list(x), asc=False).alias("v"),      # nulls are skipped
+              F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"),
+              F.collect_list(F.when(x.isNotNull() & F.col(sku).isNotNull(),
+                                    F.struct(F.col(sku).alias("k"), x.alias("s")))).alias("it")))
+    zs = F.transform("it", lambda e: F.struct(e["k"].alias("k"), _z(e["s"]).alias("z")))
     g = g.withColumn("zs", F.array_sort(zs))   # by sku, then z: first of a sku holds its lowest z
     dedup = F.filter("zs", lambda e, i: (i == 0) | (e["k"] != F.get(F.col("zs"), i - 1)["k"]))
     cols = [by, F.col("num").cast("int").alias("num"), F.map_from_entries(dedup).alias("sku_score_normal")]
