@@ -9,6 +9,7 @@ a key prunes directories before any file is opened.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,11 +243,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     path = f"{staging_dir(df.sparkSession)}/qsig-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _STAGED.append(path)
+    _staged().append(path)
     return df.sparkSession.read.parquet(path)
 
 
-_STAGED: list[str] = []
+_LOCAL = threading.local()
+
+
+def _staged() -> list[str]:
+    """Staged paths of the calling thread (jobs may run in parallel threads)."""
+    if not hasattr(_LOCAL, "paths"):
+        _LOCAL.paths = []
+    return _LOCAL.paths
 
 
 class staging:
@@ -261,11 +269,12 @@ class staging:
         self.spark = spark
 
     def __enter__(self):
-        self.mark = len(_STAGED)
+        self.mark = len(_staged())
         return self
 
     def __exit__(self, *exc):
-        paths, _STAGED[self.mark:] = _STAGED[self.mark:], []
+        staged = _staged()
+        paths, staged[self.mark:] = staged[self.mark:], []
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for p in paths:

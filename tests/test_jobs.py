@@ -70,11 +70,11 @@ def test_feature_kmeans_similarity_scoring_jobs(spark, scratch):
 
 
 def test_job_releases_staged_tables(spark, scratch):
-    from qsig.sources.io import _STAGED
+    from qsig.sources.io import _staged
 
     segs = A.category_terms(spark, SF).select("cid3", "cid3_name", F.array_join("terms", ",").alias("sku_term"))
     io.overwrite_partition(segs, f"{scratch}/segs2", jobs.TERM_SEGS, dt="active")
-    before = len(_STAGED)
+    before = len(_staged())
     jobs.tfidf_job(spark, f"{scratch}/segs2", f"{scratch}/tfidf2", dt="d")
-    assert len(_STAGED) == before
+    assert len(_staged()) == before
     assert jobs.read(spark, f"{scratch}/tfidf2", jobs.TERM_TFIDF, dt="d").count() > 0
