@@ -6,9 +6,11 @@ index — an equi-join on the index, no pairs enumerated.  Draws are md5 of
 (name, draw number, seed): reproducible for any partitioning and on retry.
 
 Positives: consecutive names along a path.  Names are de-duplicated per path
-(first position kept), numbered along the path with the distributed ordinal
-(a very long path is split over many tasks) and joined to their successor on
-(pathid, position + 1) — a unique key, so nothing is skewed.
+(first position kept).  When every path fits a task (checked) one ``lead``
+window pairs each name with its successor; otherwise paths are numbered with
+the distributed ordinal (a very long path is split over many tasks) and
+joined to their successor on (pathid, position + 1) — a unique key, so
+nothing is skewed.
 """
 
 from __future__ import annotations
