@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 
 import __spark_entry__ as E
 
@@ -56,3 +57,21 @@ def test_kernels_run_when_started_outside_the_repo(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     n_vec = duckdb.sql(f"SELECT count(*) FROM read_parquet('{SF}/embeddings.parquet')").fetchall()[0][0]
     assert out.stdout.split()[-2:] == [str(n_vec * min(n_vec, 200)), str(n_vec)]
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_WARM_DIR=SF, BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py"), "keyword_triples"], cwd=tmp_path,
+                         env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and set(rec["queries"]) == {"keyword_triples"}
+    assert rec["value"] == pytest.approx(sum(rec["queries"].values()), abs=1e-3)
