@@ -98,7 +98,8 @@ def positive_pairs(df: DataFrame, order_col: str | None = None) -> DataFrame:
     ordinal and joined to their successor on the unique (pathid, pos)."""
     m = _path_members(df, order_col)
     order = [F.col("ord").asc(), F.col("name").asc()]
-    if ordering.largest_group(m, ["pathid"]) <= ordering.MAX_GROUP_ROWS:
+    # rows per path bound its distinct names: one aggregation decides the plan
+    if ordering.largest_group(_valid(df), ["pathid"]) <= ordering.MAX_GROUP_ROWS:
         nxt = F.lead("name").over(Window.partitionBy("pathid").orderBy(*order))
         out = m.select(F.col("name").alias("query_1"), nxt.alias("query_2"))
         return out.where(F.col("query_2").isNotNull()).select("query_1", "query_2", F.lit(1).alias("label"))
