@@ -73,3 +73,25 @@ def test_draws_stay_in_bands_and_are_reproducible(spark):
         for cid3, _, draw, band, pos, term in a:
             lo, hi = augment.EDGES[band], min(augment.EDGES[band + 1], sizes[cid3])
             assert lo <= pos < hi and term == f"t{pos}"
+
+
+def test_seeded_draws_agree_with_duckdb(spark):
+    import duckdb
+
+    from qsig.functions import hashing as H
+
+    rng = random.Random(3)
+    alphabet = "abcxyzéüß语#:, 0123456789"
+    names = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    rows = [(s, i % 7) for i, s in enumerate(names)]
+    df = spark.createDataFrame(rows, "name string, j int")
+    got = {(r.name, r.j): (r.d, r.u) for r in df.select(
+        "name", "j", H.draw_int(97, ["name", "j"], 11).alias("d"), H.uniform(["name", "j"], 11).alias("u")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(name VARCHAR, j INTEGER)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    sql = (f"SELECT name, j, {H.sql_draw_int('97', ['name', 'j'], 11)} AS d, "
+           f"{H.sql_uniform(['name', 'j'], 11)} AS u FROM t")
+    for name, j, d, u in con.sql(sql).fetchall():
+        assert got[(name, j)] == (d, u)
+        assert 0 <= d < 97 and 0.0 <= u < 1.0
