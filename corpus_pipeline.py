@@ -3,36 +3,62 @@ decontamination, mixing — each stage one operator of ``qsig.llm``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qsig.llm import simhash
+from qsig.llm import decontaminate, line_dedup, mixing, simhash, toxicity
+from qsig.llm.queries import toxicity_model
 from qsig.sources import io
 
 
-def _with_decision(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, text hash) is in ``decided``, one row
-    for each such pair, with the columns of ``docs``."""
-    from pyspark.sql import Window
-
+def _decided(docs: DataFrame, decided: DataFrame, one: bool) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, text hash) is in ``decided``, with the
+    columns of ``docs``; with ``one``, a single row of rows that share both."""
+    keys = decided.select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_k")).distinct()
     d = docs.withColumn("__llm_h", F.xxhash64("text"))
-    k = decided.select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_k")).distinct()
-    one = Window.partitionBy("doc_id", "__llm_h").orderBy("lang", "source", "n_chars")
-    return (d.join(k, d["doc_id"].eqNullSafe(k["__llm_id"]) & (d["__llm_h"] == k["__llm_k"]), "left_semi")
-            .withColumn("__llm_n", F.row_number().over(one)).where("__llm_n = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    out = d.join(keys, d["doc_id"].eqNullSafe(keys["__llm_id"]) & (d["__llm_h"] == keys["__llm_k"]), "left_semi")
+    if one:
+        same = Window.partitionBy("doc_id", "__llm_h").orderBy("lang", "source", "n_chars")
+        out = out.withColumn("__llm_n", F.row_number().over(same)).where("__llm_n = 1")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored under one half stay."""
+    return _decided(docs, toxicity.score(docs, toxicity_model(spark, sf_dir)).where("score < 0.5"), one=False)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines leave the texts; every document stays."""
+    return line_dedup.line_dedup(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the smallest doc_id."""
-    return _with_decision(docs, simhash.near_duplicates(docs, shingle=4, distance=4).where("keep"))
+    return _decided(docs, simhash.near_duplicates(docs, shingle=4, distance=4).where("keep"), one=True)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item stay."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _decided(docs, decontaminate.decontaminate(docs, benchmark).where("not contaminated"), one=False)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed order of what is left."""
+    return mixing.mix(docs, exponent=0.5, block=16, resolution=1000)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
     ("simhash", near_dedup),
+    ("decontaminate", drop_leaks),
+    ("mixing", mix_sources),
 ]
 
-#: the toxicity stage is a trained model, which SQL cannot express
+#: toxicity is a trained model, SimHash and edit distance need functions that
+#: DuckDB lacks: SQL cannot express the stages (see tests/llm/test_pipeline.py)
 ORACLE_SQL = None
 
 

@@ -20,8 +20,201 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+# bounded training samples: documents of label 0 and 1, characters of a document
+TOXIC_SAMPLE, QUALITY_SAMPLE, SAMPLE_CHARS = (3000, 1200), (1000, 1000), 20_000
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    """SVM fitted on label rows outside the held-out fold (remainder 0 of 5)."""
+    from qsig.llm import toxicity
+    from qsig.llm.labelled import fold, labelled_sample
+
+    return toxicity.train(labelled_sample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), "toxic",
+                                          fold("doc_id", 5) != 0, TOXIC_SAMPLE, SAMPLE_CHARS))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents."""
+    from qsig.llm import toxicity
+    from qsig.llm.labelled import fold
+
+    scored = toxicity.score(_read(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed order of all documents, sources weighted by the square root of
+    their size, blocks of 16 documents, a period of 1000 slots."""
+    from qsig.llm.mixing import mix
+
+    return mix(_read(spark, sf_dir, "documents"), exponent=0.5, block=16, resolution=1000)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to Zstandard WARC archives and read back."""
+    from qsig.llm.warc import archive_round_trip
+
+    return archive_round_trip(_read(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents by subword embeddings fitted on label
+    rows outside the held-out fold (remainder 2 of 4)."""
+    from qsig.llm import quality_classifier
+    from qsig.llm.labelled import fold, labelled_sample
+
+    docs = _read(spark, sf_dir, "documents")
+    sample = labelled_sample(docs, _read(spark, sf_dir, "labels"), "quality", fold("doc_id", 4) != 2,
+                             QUALITY_SAMPLE, SAMPLE_CHARS)
+    return quality_classifier.score(docs, quality_classifier.train(sample)).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document holds."""
+    from qsig.llm.decontaminate import decontaminate
+
+    out = decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", "n_items", "items")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents, default threshold table."""
+    from qsig.llm.quality_rules import quality_rules
+
+    return quality_rules(_read(spark, sf_dir, "documents")).drop("failed_rules")
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that lie in an earlier 100-byte string."""
+    from qsig.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(_read(spark, sf_dir, "documents"), length=100)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with later repeated line runs deleted: lines removed and
+    a digest of the text left."""
+    from qsig.llm.line_dedup import line_dedup
+
+    return line_dedup(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines_removed", F.md5("text").alias("kept_md5"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page URL."""
+    from qsig.llm.url_filter import filter_urls
+
+    return filter_urls(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
+    "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
+    "op5_quality": op5_quality,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
+
+def _op4_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body)) AS n, unhex(sha1(body))::BIT::VARCHAR AS bits FROM p),
+r AS (SELECT page_id, n, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               list_sum(list_transform(range(5), lambda k: (substr(bits, (5 * i + k + 1)::INT, 1)::INT) << (4 - k)::INT))::INT + 1,
+               1)), '') AS digest FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = min(page_id) OVER w THEN NULL ELSE min(page_id) OVER w END AS refers_to
+FROM r WINDOW w AS (PARTITION BY digest)"""
+
+
+def _op7_sql() -> str:
+    from qsig.llm import quality_rules as q
+
+    stop = "|".join(q.STOP_WORDS)
+    bad = []
+    for r in q.RULES:
+        metric = f"({r.metric.replace(' / ', '::DOUBLE / nullif(', 1)}, 0))"
+        bad += [f"coalesce({metric} {op} {float(bound)!r}, false)" for bound, op in ((r.low, "<"), (r.high, ">"))
+                if bound is not None]
+    return rf"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+g AS (SELECT rid, i, array_to_string(list_slice(words, i, i + {q.WINDOW - 1}), ' ') AS win
+      FROM (SELECT rid, words, unnest(range(1, len(words) - {q.WINDOW - 2})) AS i FROM w WHERE len(words) >= {q.WINDOW})),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM g) WHERE c > 1),
+cover AS (SELECT rid, sum(least({q.WINDOW}, i - prev)) AS n FROM
+          (SELECT rid, i, lag(i, 1, i - {q.WINDOW}) OVER (PARTITION BY rid ORDER BY i) AS prev FROM twice) GROUP BY rid),
+m AS (SELECT w.doc_id, len(words) AS n_words, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+             length(text) - length(translate(text, '{q.SYMBOLS}', '')) AS n_symbols,
+             len(regexp_extract_all(regexp_replace(lower(text), '([^\pL\pN]+)', '  ', 'g'),
+                                    '(?:^|[^\pL\pN])(?:{stop})(?:$|[^\pL\pN])')) AS n_stop,
+             len(regexp_extract_all(text, '\p{{Lu}}')) AS n_upper, coalesce(cover.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN cover USING (rid)),
+j AS (SELECT *, n_words < {q.BASE_MIN_WORDS} OR 100 * n_repeat_words > {q.BASE_MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT ({' OR '.join(bad)}) AS kept FROM j"""
+
+
+def _op8_sql(table: str = "documents") -> str:
+    return f"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM {table}),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS win
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM t WHERE len(h) >= 200)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS r FROM s) WHERE r > 1),
+islands AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM
+   (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM
+     (SELECT doc_id, i, CASE WHEN i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) + 100 THEN 1 ELSE 0 END AS new
+      FROM again)) GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM islands),
+per AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+               list(struct_pack(x := before, y := a) ORDER BY a) AS kept FROM gaps GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(array_to_string(list_transform(kept, lambda k: substr(h, (2 * k.x + 1)::INT, (2 * (k.y - k.x))::INT)), ''), '')
+                    || substr(h, (2 * coalesce(tail, 0) + 1)::INT))) AS kept_sha256
+FROM t LEFT JOIN per USING (doc_id)"""
+
+
+def _op9_sql(table: str = "documents") -> str:
+    from qsig.llm.line_dedup import MIN_LINES, MIN_WORDS
+
+    assert MIN_LINES == 3
+    return rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, unnest(range(len(string_split(text, chr(10))))) AS i
+           FROM {table} WHERE text IS NOT NULL),
+f AS (SELECT doc_id, i, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w FROM l WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
+n AS (SELECT *, lead(s) OVER o AS s2, lead(s, 2) OVER o AS s3, lead(w) OVER o AS w2, lead(i) OVER o AS i2, lead(i, 2) OVER o AS i3
+      FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i AS a,
+             CASE WHEN w >= {MIN_WORDS} THEN i WHEN w + w2 >= {MIN_WORDS} THEN i2 ELSE i3 END AS b,
+             CASE WHEN w >= {MIN_WORDS} THEN s WHEN w + w2 >= {MIN_WORDS} THEN s || chr(10) || s2
+                  ELSE s || chr(10) || s2 || chr(10) || s3 END AS run FROM n),
+later AS (SELECT doc_id, a, b FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, a) AS k FROM r WHERE run IS NOT NULL)
+          WHERE k > 1),
+gone AS (SELECT DISTINCT f.doc_id, f.i FROM f JOIN later ON f.doc_id = later.doc_id AND f.i BETWEEN later.a AND later.b),
+left_ AS (SELECT l.doc_id, string_agg(l.s, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL) AS text, count(gone.i) AS n
+          FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n, 0)::INT AS n_lines_removed,
+       CASE WHEN d.text IS NOT NULL THEN md5(coalesce(left_.text, '')) END AS kept_md5
+FROM {table} d LEFT JOIN left_ ON d.doc_id = left_.doc_id"""
+
+
+ORACLE: dict[str, str] = {
+    "op4_warc": _op4_sql(),
+    "op7_quality_rules": _op7_sql(),
+    "op8_suffix_dedup": _op8_sql(),
+    "op9_line_dedup": _op9_sql(),
+}
