@@ -11,7 +11,6 @@ CLICK_DIM = "app"             # dim_type kept
 TOP_KEYWORDS = 50             # keywords kept per sku
 WINDOW_SIZE = 3               # consecutive keywords per window
 WINDOW_SEP = " "              # joiner inside a window
-LIST_SEP = "&&"               # joiner of keyword / path lists in text form
 TERM_SEP = ","                # joiner of terms in a category's term string
 
 # Sample pairs

@@ -1,8 +1,11 @@
 """Per-query score normalisation and exact order-statistic features.
 
 The group size is counted first (partial aggregation; a hot query costs one
-row per map task) and groups outside [lo, hi] are dropped *before* any list is
-built, so every collected group holds at most ``hi`` (12,000) entries.
+row per map task).  Sizes and statistics are joined back with ``join_groups``,
+which handles the rows of a hot query in the tasks that read them, so a query
+with any share of the rows is kept or dropped without meeting in one task.
+Groups outside [lo, hi] are dropped *before* any list is built, so every
+collected group holds at most ``hi`` (12,000) entries.
 
 Semantics follow the reference: z = (x - mean) / population std; fractiles
 are the values at 0-based positions floor(n/4), floor(n/2), floor(0.75 n) of
@@ -16,23 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qsig.fixed import FRACTILE_POINTS, MAX_GROUP, MIN_GROUP
+from qsig.operators.skew import join_groups
 
 POINTS = tuple(zip(("quarter", "half", "three_quarters"), FRACTILE_POINTS))
 
 
-def collect_scores(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score",
-                   max_items: int = MAX_GROUP) -> DataFrame:
-    """F1: ``(query, num, items array<struct<sku,score>>)`` per query.
-
-    ``num`` counts every row.  Sizes are counted first and only groups with
-    ``num <= max_items`` are collected (the reference drops larger groups in
-    the very next step, F2); a larger group keeps its row with null items, so
-    no task ever builds an unbounded list."""
-    sizes = group_sizes(df, by)
-    small = df.join(sizes.where(F.col("num") <= max_items).select(by), by, "left_semi")
-    items = small.groupBy(by).agg(F.collect_list(F.struct(F.col(sku).alias("sku"),
-                                                          F.col(score).alias("score"))).alias("items"))
-    return sizes.join(items, by, "left").select(by, "num", "items")
+def collect_scores(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score") -> DataFrame:
+    """F1 in long form: ``(query, num, sku, score)``, every row of every query
+    with ``num`` = rows of its query.  Queries of any size are kept: the list
+    stays rows, so none is built in one task."""
+    rows = df.select(by, F.col(sku).alias("sku"), F.col(score).alias("score"))
+    return join_groups(rows, group_sizes(df, by), [by], "num").select(by, "num", "sku", "score")
 
 
 def group_sizes(df: DataFrame, by: str = "query") -> DataFrame:
@@ -41,13 +38,12 @@ def group_sizes(df: DataFrame, by: str = "query") -> DataFrame:
 
 def size_filter(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by: str = "query") -> DataFrame:
     """rows of groups with ``lo <= num <= hi``, with ``num`` attached."""
-    sizes = group_sizes(df, by).where(F.col("num").between(lo, hi))
-    return df.join(sizes, by)
+    return join_groups(df, group_sizes(df, by), [by], "num").where(F.col("num").between(lo, hi))
 
 
 def score_stats(df: DataFrame, by: str = "query", score: str = "score") -> DataFrame:
     return df.groupBy(by).agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"),
-                              F.count(score).alias("n"))
+                              F.count(F.lit(1)).alias("n"))
 
 
 def _z(x, stats_mean="mean", stats_std="std"):
@@ -56,8 +52,9 @@ def _z(x, stats_mean="mean", stats_std="std"):
 
 def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z") -> DataFrame:
     """adds ``out`` = (score - mean) / population std within ``by``."""
-    stats = score_stats(df, by, score)
-    return df.join(stats, by).withColumn(out, _z(F.col(score))).drop("mean", "std", "n")
+    joined = join_groups(df, score_stats(df, by, score).withColumnsRenamed({"mean": "__mean", "std": "__std", "n": "__n"}),
+                         [by], "__n")
+    return joined.withColumn(out, _z(F.col(score), "__mean", "__std")).drop("__mean", "__std", "__n")
 
 
 def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = MIN_GROUP,
@@ -65,7 +62,7 @@ def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int =
     """``(query, quarter_n, quarter, half_n, half, three_quarters_n, three_quarters)``
     for groups with ``lo <= num <= hi``; the size is counted before any list is
     built, so the descending array holds at most ``hi`` doubles."""
-    rows = df.join(group_sizes(df, by).where(F.col("num").between(lo, hi)).select(by), by, "left_semi")
+    rows = size_filter(df, lo, hi, by)
     sorted_desc = F.sort_array(F.collect_list(score), asc=False)
     g = rows.groupBy(by).agg(sorted_desc.alias("v"), F.avg(score).alias("mean"),
                              F.stddev_pop(score).alias("std"))
@@ -87,7 +84,7 @@ def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "
               hi: int = MAX_GROUP) -> DataFrame:
     """``(query, sku_score_normal map<string,double>)`` for groups with
     ``lo <= num <= hi`` (so a map holds at most ``hi`` entries)."""
-    rows = df.join(group_sizes(df, by).where(F.col("num").between(lo, hi)).select(by), by, "left_semi")
+    rows = size_filter(df, lo, hi, by)
     longf = score_map_long(rows, by, sku, score)
     m = F.map_from_entries(F.collect_list(F.struct(F.col(sku), F.col("z"))))
     return longf.groupBy(by).agg(m.alias("sku_score_normal"))
@@ -103,9 +100,8 @@ def query_features(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by:
     list; z values and the de-duplicated sku → z map are array expressions on
     that list — no further joins or shuffles.
     """
-    sizes = group_sizes(df, by).where(F.col("num").between(lo, hi))
     x = F.col(score).cast("double")
-    g = (df.join(sizes, by).groupBy(by)
+    g = (size_filter(df, lo, hi, by).groupBy(by)
          .agg(F.first("num").alias("num"),
               F.sort_array(F.collect_list(x), asc=False).alias("v"),      # nulls are skipped
               F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"),

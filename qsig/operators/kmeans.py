@@ -6,10 +6,10 @@ Per iteration one Spark job over the persisted points:
   (size checked against ``MAX_CENTROID_VALUES``); squared distances come
   from one BLAS product per Arrow batch, near-ties are re-checked with direct
   differences, and ``argmin`` keeps the lowest index on ties;
-* update (K3/K4): per-dimension sums and counts through ``posexplode`` and a
-  partial+final aggregate on (category, dimension) — a cluster holding a third
-  of the points costs one partial row per dimension per map task; a cluster
-  with no points keeps its old centroid;
+* update (K3/K4): in the Lloyd loop the same pass emits one (cluster, sum
+  vector, count) row per cluster and Arrow batch, added up by an aggregate, so
+  points are read once per step and never exploded; a cluster with no points
+  keeps its old centroid;
 * only the new k×d centroids return to the driver, where the mean shift
   (K5) decides whether to stop (K6).
 
@@ -31,7 +31,7 @@ from qsig.functions.vectors import distance  # noqa: F401  (re-exported column h
 from qsig.fixed import LLOYD_TOL
 
 MAX_CENTROID_VALUES = 50_000_000  # k·d doubles allowed in one broadcast (400 MB)
-CHUNK_VALUES = 8_000_000          # batch·k·d doubles per numpy distance chunk
+CHUNK_VALUES = 8_000_000          # doubles of a distance matrix held at once
 
 
 def init_uniform(spark: SparkSession, k: int, dims: int, seed: int = 0, lo=0.0, hi=1.0) -> DataFrame:
@@ -80,17 +80,28 @@ def _nearest(p: np.ndarray, c: np.ndarray) -> np.ndarray:
     point whose best and second-best values are closer than that formula's
     rounding error bound is recomputed with direct differences, so the
     result equals the direct computation."""
+    k, d = c.shape
+    out = np.empty(len(p), dtype=np.int32)
+    rows = max(1, CHUNK_VALUES // max(1, k))
+    for s in range(0, len(p), rows):
+        out[s:s + rows] = _nearest_chunk(p[s:s + rows], c)
+    return out
+
+
+def _nearest_chunk(p: np.ndarray, c: np.ndarray) -> np.ndarray:
     k, d = c.shape
     cn = np.einsum("ij,ij->i", c, c)
     pn = np.einsum("ij,ij->i", p, p)
     d2 = pn[:, None] - 2.0 * (p @ c.T) + cn[None, :]
-    d2 = np.where(np.isnan(d2), np.inf, d2)
+    d2[np.isnan(d2)] = np.inf
     best = np.argmin(d2, axis=1)
     if k == 1:
         return best.astype(np.int32)
-    part = np.partition(d2, 1, axis=1)
-    scale = (np.sqrt(pn) + np.sqrt(cn.max())) ** 2
-    unsure = np.nonzero(part[:, 1] - part[:, 0] <= 8.0 * (d + 2) * np.finfo(np.float64).eps * scale)[0]
+    lowest = d2[np.arange(len(p)), best]
+    d2[np.arange(len(p)), best] = np.inf
+    second = d2.min(axis=1)
+    scale = (np.sqrt(pn) + np.sqrt(np.nanmax(cn))) ** 2
+    unsure = np.nonzero(second - lowest <= 8.0 * (d + 2) * np.finfo(np.float64).eps * scale)[0]
     step = max(1, CHUNK_VALUES // max(1, k * d))
     for s in range(0, len(unsure), step):
         rows = unsure[s:s + step]
@@ -142,26 +153,44 @@ def shift(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, "category").select("category", distance("o", "n").alias("shift"))
 
 
-def _update_matrix(assigned: DataFrame, old: np.ndarray, col: str) -> np.ndarray:
-    """New k×d centroids: per-(cluster, dimension) sums and counts from a
-    partial+final aggregate, brought to the driver through Arrow (k·d rows,
-    bounded like the broadcast); clusters without points keep ``old``."""
-    sums = (assigned.select("category", F.posexplode(col).alias("pos", "x"))
-            .groupBy("category", "pos").agg(F.sum("x").alias("s"), F.count("x").alias("n")).toPandas())
+def _step(points: DataFrame, old: np.ndarray, col: str) -> np.ndarray:
+    """New k×d centroids after one pass over the points: every Arrow batch
+    gives a (cluster, sum vector, count) row per cluster it holds, one
+    aggregate adds them up, and k rows reach the driver.  Clusters without
+    points keep ``old``."""
+    bc = points.sparkSession.sparkContext.broadcast(old)
+
+    def partial(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            c = bc.value
+            p = np.vstack(pdf[col].to_numpy()).astype(np.float64)
+            near = _nearest(p, c)
+            sums = np.zeros_like(c)
+            np.add.at(sums, near, p)
+            n = np.bincount(near, minlength=len(c))
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"category": at.astype(np.int32), "s": list(sums[at]), "n": n[at]})
+
+    d = old.shape[1]
+    parts = points.select(col).mapInPandas(partial, "category int, s array<double>, n bigint")
+    rows = parts.groupBy("category").agg(F.sum("n").alias("n"), *[F.sum(F.get("s", F.lit(j))).alias(f"s{j}") for j in range(d)])
     new = old.copy()
-    sums = sums[(sums["n"] > 0) & (sums["pos"] < new.shape[1])]
-    new[sums["category"].to_numpy(), sums["pos"].to_numpy()] = (sums["s"] / sums["n"]).to_numpy()
+    for r in rows.collect():
+        new[r[0]] = np.array(r[2:], dtype=np.float64) / r[1]
     return new
 
 
 def lloyd(points: DataFrame, k: int, init: DataFrame | None = None, tol: float = LLOYD_TOL,
-          max_iter: int = 100, seed: int = 0, col: str = "feature", id_col: str = "query") -> DataFrame:
-    """K6/K7: iterate until the mean centroid shift < ``tol`` (or ``max_iter``).
+          max_iter: int = 1000, seed: int = 0, col: str = "feature", id_col: str = "query") -> DataFrame:
+    """K6/K7: iterate until the mean centroid shift < ``tol``.
 
     Returns one row per point: (category, query, feature, cate_feature) where
     ``category`` is the last assignment (made with the centroids before the
     last update) and ``cate_feature`` that category's updated centroid — the
-    reference's pairing.  Null vectors are dropped; mixed lengths raise.
+    reference's pairing.  Null vectors are dropped; mixed lengths raise, and
+    so does a run that has not met ``tol`` after ``max_iter`` steps.
     """
     pts = points.where(F.col(col).isNotNull()).select(id_col, col)
     lens = pts.agg(F.min(F.size(col)).alias("a"), F.max(F.size(col)).alias("b")).first()
@@ -170,23 +199,18 @@ def lloyd(points: DataFrame, k: int, init: DataFrame | None = None, tol: float =
     pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         c = _matrix(init if init is not None else init_in_bounds(pts, k, seed, col))
-        it = 0
-        while True:
-            it += 1
-            assigned = assign(pts, c, col)
-            new = _update_matrix(assigned, c, col)
-            mean_shift = float(np.mean(np.sqrt(((c - new) ** 2).sum(axis=1))))
-            done = mean_shift < tol or it >= max_iter
-            c = new
-            if done:
+        if lens["a"] is not None:
+            c = c[:, :lens["a"]]
+        for _ in range(max_iter):
+            used, c = c, _step(pts, c, col)
+            if float(np.mean(np.sqrt(((c - used) ** 2).sum(axis=1)))) < tol:
                 break
-        spark = points.sparkSession
-        cdf = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(c)],
-                                    "category int, cate_feature array<double>")
-        result = assigned.join(F.broadcast(cdf), "category").select(
-            "category", id_col, col, "cate_feature")
+        else:
+            raise RuntimeError(f"centroids still move by {tol} or more after {max_iter} steps")
+        cdf = points.sparkSession.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(c)],
+                                                  "category int, cate_feature array<double>")
         # lazy: after the points are released the result recomputes from the
-        # source scan with the final (broadcast) centroids — same rows
-        return result
+        # source scan with the last broadcast centroids — same rows
+        return assign(pts, used, col).join(F.broadcast(cdf), "category").select("category", id_col, col, "cate_feature")
     finally:
         pts.unpersist()

@@ -7,13 +7,14 @@ rows per key.  Without a limit a key holding a third of the rows would be
 numbered by a single task, so the full ordinal is computed in two levels:
 
 1. range-partition on (key, order): a hot key spans many partitions, each of
-   balanced size (bounds come from Spark's sampling of the data);
-2. number rows inside each (partition, key) slice with a window — the slice
-   is bounded by the partition size;
-3. per (partition, key) counts form a table of at most #keys + #partitions
-   rows; a running sum over partitions (ordered by partition id) gives each
-   slice's offset;
-4. join the offsets back on (partition, key) — the big side is already
+   balanced size (bounds come from Spark's sampling of the data); the rows are
+   written once with their slice number, so that every later step reads the
+   same slices whatever columns it needs;
+2. number rows inside each (slice, key) with a window — it is bounded by the
+   slice size;
+3. per (slice, key) counts form a table of at most #keys + #slices rows; a
+   running sum over slices gives each one's offset;
+4. join the offsets back on (slice, key) — the big side is already
    hash-partitioned on exactly those columns, so only the small table moves.
 
 The result equals the single-window ``row_number`` whenever the order is a
@@ -25,52 +26,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qsig.sources.io import stage
+
 PID = "__qsig_pid"
 KEY = "__qsig_key"
 
 
-# Rows one task may number with a plain window (checked before choosing it).
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Size of the biggest ``by`` group (partial+final aggregate, one scalar)."""
-    if not by:
-        return df.count()
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(top or 0)
-
-
 def rank_within(df: DataFrame, by: list[str], order: list[Column], name: str = "rank",
-                limit: int | None = None, distributed: bool | str = "auto",
-                max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                limit: int | None = None) -> DataFrame:
     """``name`` = 1-based row number of each row within ``by`` by ``order``.
 
     With ``limit`` only rows with ordinal <= limit are returned (top-k per
-    group, planned as ``WindowGroupLimit``).  Without a limit the size of the
-    largest group is checked: up to ``max_group_rows`` a plain window is used,
-    beyond it the two-level plan above (``distributed=True`` forces it,
-    ``False`` forbids it).
-    """
-    if limit is None and distributed == "auto":
-        distributed = largest_group(df, by) > max_group_rows
-    if limit is not None or not distributed:
+    group, planned as ``WindowGroupLimit``).  Without a limit the two-level
+    plan above numbers groups of any size; columns outside key and order are
+    carried along."""
+    if limit is not None:
         w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-        out = df.withColumn(name, F.row_number().over(w).cast("bigint"))
-        return out.where(F.col(name) <= F.lit(limit)) if limit is not None else out
-    return _two_level_row_number(df, by, order, name)
-
-
-def _two_level_row_number(df: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
-    cols = df.columns
-    key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
+        return df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= F.lit(limit))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     sort_keys = [F.col(c).asc_nulls_first() for c in by] + list(order)
-    ranged = (df.repartitionByRange(*sort_keys)
-              .withColumn(PID, F.spark_partition_id())
-              .withColumn(KEY, key))
-    local = ranged.withColumn(
+    sliced = stage(df.repartitionByRange(*sort_keys).withColumn(PID, F.spark_partition_id()), "ordinal-slices")
+    sliced = sliced.withColumn(KEY, key)
+    local = sliced.withColumn(
         "__qsig_lpos", F.row_number().over(Window.partitionBy(PID, KEY).orderBy(*order)))
-    slices = local.groupBy(PID, KEY).agg(F.count(F.lit(1)).alias("__qsig_cnt"))
+    slices = sliced.groupBy(PID, KEY).agg(F.count(F.lit(1)).alias("__qsig_cnt"))
     before = Window.partitionBy(KEY).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(PID, KEY, F.coalesce(F.sum("__qsig_cnt").over(before), F.lit(0)).alias("__qsig_off"))
     joined = local.join(offsets, [PID, KEY], "inner")

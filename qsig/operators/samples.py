@@ -15,7 +15,7 @@ nothing is skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qsig.functions.hashing import draw_int
@@ -93,17 +93,10 @@ def path_list(df: DataFrame, order_col: str | None = None) -> DataFrame:
 def positive_pairs(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """``(query_1, query_2, label=1)`` for consecutive names of a path.
 
-    When every path fits a task (checked), one ``lead`` window gives each
-    name its successor; otherwise paths are numbered with the two-level
-    ordinal and joined to their successor on the unique (pathid, pos)."""
-    m = _path_members(df, order_col)
-    order = [F.col("ord").asc(), F.col("name").asc()]
-    # rows per path bound its distinct names: one aggregation decides the plan
-    if ordering.largest_group(_valid(df), ["pathid"]) <= ordering.MAX_GROUP_ROWS:
-        nxt = F.lead("name").over(Window.partitionBy("pathid").orderBy(*order))
-        out = m.select(F.col("name").alias("query_1"), nxt.alias("query_2"))
-        return out.where(F.col("query_2").isNotNull()).select("query_1", "query_2", F.lit(1).alias("label"))
-    ranked = ordering.rank_within(m, ["pathid"], order, "pos", distributed=True)
+    Paths are numbered with the distributed ordinal and each name is joined to
+    its successor on the unique (pathid, pos), so a path of any length is
+    split over many tasks."""
+    ranked = stage(path_list(df, order_col), "path-list")
     a = ranked.select("pathid", "pos", F.col("name").alias("query_1"))
     b = ranked.select("pathid", (F.col("pos") - 1).alias("pos"), F.col("name").alias("query_2"))
     return a.join(b, ["pathid", "pos"]).select("query_1", "query_2", F.lit(1).alias("label"))

@@ -10,7 +10,7 @@ Plan shape (no data passes through the driver):
     tf  = counts ⋈ totals on cid3   (left: a null cid3 keeps its row with tf null)
     tfidf = tf · ln(N / df)          (left join on term; no smoothing)
     rank  = row_number per cid3 by tfidf desc, term, cid3_name
-            (top-k: WindowGroupLimit; full rank: size-checked, two-level when
+            (top-k: WindowGroupLimit; full rank: two-level, for groups of any size,
             one category is too big for a task)
 
 Counts are a roll-up of the raw term rows, so everything after the first
@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qsig.fixed import TERM_SEP
-from qsig.operators import ordering
-from qsig.operators.ordering import largest_group, rank_within
+from qsig.operators.ordering import rank_within
 from qsig.sources.io import stage
 
 KEYS = ("cid3", "cid3_name")
@@ -114,11 +113,11 @@ def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
     return _tfidf_and_counts(terms, materialise)[0]
 
 
-def rank_terms(scored: DataFrame, limit: int | None = None, distributed: bool | str = "auto") -> DataFrame:
+def rank_terms(scored: DataFrame, limit: int | None = None) -> DataFrame:
     """``rank`` = row_number within cid3 by tfidf desc (nulls last),
     ties broken by term then cid3_name.  ``limit`` keeps rank <= limit."""
     order = [F.col("tfidf").desc_nulls_last(), F.col("term").asc(), F.col("cid3_name").asc()]
-    return rank_within(scored, ["cid3"], order, "rank", limit=limit, distributed=distributed)
+    return rank_within(scored, ["cid3"], order, "rank", limit=limit)
 
 
 def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) -> DataFrame:
@@ -127,12 +126,7 @@ def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) ->
     ``categories`` (a list of cid3) keeps only those categories; the filter
     is applied before ranking, which is exact because ranks are per cid3,
     while N and df still count every category."""
-    scored, counts = _tfidf_and_counts(terms)
+    scored, _ = _tfidf_and_counts(terms)
     if categories is not None:
-        keep = F.col("cid3").isin(list(dict.fromkeys(categories)))
-        scored, counts = scored.where(keep), counts.where(keep)
-    distributed: bool | str = "auto"
-    if limit is None:
-        # one tf-idf row per counts row: the staged counts give the group sizes
-        distributed = largest_group(counts, ["cid3"]) > ordering.MAX_GROUP_ROWS
-    return rank_terms(scored, limit=limit, distributed=distributed)
+        scored = scored.where(F.col("cid3").isin(list(dict.fromkeys(categories))))
+    return rank_terms(scored, limit=limit)

@@ -11,15 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qsig.sources.io import ensure_parallelism, stage
+from qsig.sources.io import ensure_parallelism, stage, staging_dir
 
 # Fixed test parameters (shared by the Spark queries and the oracle SQL).
 TOKEN_PATTERN = "[^a-zà-ÿ]+"            # split of lower-cased text into terms
 CLICK_DIM = "A"                          # l_returnflag value standing in for 'app'
 CLICK_DT = "1995-07-30"                  # job date; the scan keeps dt > 1995-06-30
 CLICK_LOOKBACK = 30
-WHITELIST = ["src1", "src4", "src7", "src12", "src19"]   # five of the twenty sources
-QUERY_CATES = 3                          # top brands per customer / supplier
+WHITELIST = ["src1", "src4", "src7", "src12", "src19"]   # the categories that the whitelist file names
 SIM_TOPK = 10                            # neighbours kept per brand
 
 
@@ -63,16 +62,19 @@ SQL_CLICK_LOG = """
 # ----------------------------------------------------------------- graph_path
 
 def graph_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pathid, name, ord) from lineitem ⋈ part: an order's parts by line number."""
+    """(pathid, name, ord) from lineitem ⋈ part: an order's parts (name and
+    key) by line number."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("l_orderkey").cast("string").alias("pathid"), F.col("p_name").alias("name"),
+        F.col("l_orderkey").cast("string").alias("pathid"),
+        F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("name"),
         F.col("l_linenumber").alias("ord"))
 
 
 SQL_GRAPH_PATH = """
-  gp AS (SELECT CAST(l_orderkey AS VARCHAR) AS pathid, p_name AS name, l_linenumber AS ord
+  gp AS (SELECT CAST(l_orderkey AS VARCHAR) AS pathid, concat_ws(' ', p_name, CAST(p_partkey AS VARCHAR)) AS name,
+                l_linenumber AS ord
          FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
@@ -104,16 +106,16 @@ SQL_VECTORS = """
   vecs AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec FROM embeddings)"""
 
 
-def query_features_20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query, feature array<double> of 20) from embeddings' first 20 dims."""
+def query_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query, feature array<double>) from embeddings, every dimension."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").cast("string").alias("query"),
-                    F.transform(F.slice("embedding", 1, 20), lambda x: x.cast("double")).alias("feature"))
+                    F.transform("embedding", lambda x: x.cast("double")).alias("feature"))
 
 
-SQL_QUERY_FEATURES_20 = """
+SQL_QUERY_POINTS = """
   pts AS (SELECT CAST(vec_id AS VARCHAR) AS query,
-                 list_transform(embedding[1:20], lambda x: CAST(x AS DOUBLE)) AS feature FROM embeddings)"""
+                 list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS feature FROM embeddings)"""
 
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,12 +131,12 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- query_sku_cate
 
-def _top_cates(sales: DataFrame, who: str, n: int) -> DataFrame:
+def _cates(sales: DataFrame, who: str) -> DataFrame:
+    """All brands of each ``who`` with their line counts, most lines first; a
+    list is at most as long as the list of brands."""
     counts = sales.groupBy(who, "p_brand").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(who).orderBy(F.col("cnt").desc(), F.col("p_brand"))
-    top = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n)
-    items = F.array_sort(F.collect_list(F.struct("r", "p_brand", "cnt")))
-    return top.groupBy(who).agg(items.alias("items"))
+    items = F.array_sort(F.collect_list(F.struct((-F.col("cnt")).alias("o"), "p_brand", "cnt")))
+    return counts.groupBy(who).agg(items.alias("items"))
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,14 +155,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_sku_cate(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None = None) -> DataFrame:
     """One row per (customer, supplier) pair that traded.
 
-    query = customer key, sku = supplier key, cates = top-3 brands by line
+    query = customer key, sku = supplier key, cates = all brands by line
     count (ties by brand) with the counts as weights, sku_org_cate = the
     supplier's first brand, search_count = lines of the pair.
     """
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     sl = (sales_df if sales_df is not None else sales(spark, sf_dir)).select("c", "s", "p_brand")
-    qc = _top_cates(sl, "c", QUERY_CATES)
-    sc = _top_cates(sl, "s", QUERY_CATES)
+    qc = _cates(sl, "c")
+    sc = _cates(sl, "s")
     pairs = sl.groupBy("c", "s").agg(F.count(F.lit(1)).alias("search_count"))
     return (pairs.join(qc, "c").withColumnRenamed("items", "qi").join(sc, "s")
             .withColumnRenamed("items", "si").join(s, F.col("s") == s.s_suppkey)
@@ -174,17 +176,15 @@ def query_sku_cate(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None
                     F.col("search_count").cast("int").alias("search_count")))
 
 
-SQL_QUERY_SKU_CATE = f"""
+SQL_QUERY_SKU_CATE = """
   sales AS (SELECT o_custkey AS c, l_suppkey AS s, p_brand
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
   qcnt AS (SELECT c, p_brand, count(*) AS cnt FROM sales GROUP BY c, p_brand),
   qtop AS (SELECT c, list(p_brand ORDER BY r) AS qc, list(CAST(cnt AS DOUBLE) ORDER BY r) AS qw
-           FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY cnt DESC, p_brand) AS r FROM qcnt)
-           WHERE r <= {QUERY_CATES} GROUP BY c),
+           FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY cnt DESC, p_brand) AS r FROM qcnt) GROUP BY c),
   scnt AS (SELECT s, p_brand, count(*) AS cnt FROM sales GROUP BY s, p_brand),
   stop AS (SELECT s, list(p_brand ORDER BY r) AS sc, list(CAST(cnt AS DOUBLE) ORDER BY r) AS sw
-           FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY cnt DESC, p_brand) AS r FROM scnt)
-           WHERE r <= {QUERY_CATES} GROUP BY s),
+           FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY cnt DESC, p_brand) AS r FROM scnt) GROUP BY s),
   pairs AS (SELECT c, s, count(*) AS search_count FROM sales GROUP BY c, s),
   qsc AS (SELECT CAST(pairs.c AS VARCHAR) AS query, CAST(pairs.s AS VARCHAR) AS sku, s_name AS sku_name,
                  qc AS query_cate, qw AS query_cate_weight, sc AS sku_cate, sw AS sku_cate_weight,
@@ -194,15 +194,16 @@ SQL_QUERY_SKU_CATE = f"""
 
 
 def brand_vectors(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None = None) -> DataFrame:
-    """(id = brand, vec): lines per customer nation (25 dims) for each brand."""
+    """(id = brand, vec): lines of each brand per customer nation, a dimension
+    for every key of ``nation`` in key order."""
     sl = sales_df if sales_df is not None else sales(spark, sf_dir)
+    keys = table(spark, sf_dir, "nation").agg(F.array_sort(F.collect_set("n_nationkey"))).scalar()
     counts = (sl.where(F.col("nation").isNotNull()).groupBy("p_brand", "nation")
               .agg(F.count(F.lit(1)).alias("cnt")))
     m = F.map_from_entries(F.collect_list(F.struct("nation", "cnt")))
-    return counts.groupBy("p_brand").agg(m.alias("m")).select(
-        F.col("p_brand").alias("id"),
-        F.transform(F.sequence(F.lit(0), F.lit(24)),
-                    lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double")).alias("vec"))
+    per = counts.groupBy("p_brand").agg(m.alias("m")).withColumn("keys", keys)
+    return per.select(F.col("p_brand").alias("id"), F.transform(
+        "keys", lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double")).alias("vec"))
 
 
 SQL_BRAND_VECTORS = """
@@ -210,7 +211,33 @@ SQL_BRAND_VECTORS = """
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
            JOIN customer ON o_custkey = c_custkey GROUP BY p_brand, c_nationkey),
   bvec AS (SELECT b.p_brand AS id,
-                  list(CAST(coalesce(bcnt.cnt, 0) AS DOUBLE) ORDER BY g.i) AS vec
-           FROM (SELECT DISTINCT p_brand FROM bcnt) b CROSS JOIN range(0, 25) g(i)
-           LEFT JOIN bcnt ON bcnt.p_brand = b.p_brand AND bcnt.c_nationkey = g.i
+                  list(CAST(coalesce(bcnt.cnt, 0) AS DOUBLE) ORDER BY g.n_nationkey) AS vec
+           FROM (SELECT DISTINCT p_brand FROM bcnt WHERE c_nationkey IS NOT NULL) b
+           CROSS JOIN (SELECT DISTINCT n_nationkey FROM nation) g
+           LEFT JOIN bcnt ON bcnt.p_brand = b.p_brand AND bcnt.c_nationkey = g.n_nationkey
            GROUP BY b.p_brand)"""
+
+
+# --------------------------------------------------------------- text sources
+
+def whitelist_file(spark: SparkSession) -> str:
+    """Folder of a whitelist text file (category, tab, a note), under staging."""
+    import uuid
+
+    path = f"{staging_dir(spark)}/qsig-tables/whitelist-{uuid.uuid4().hex}"
+    spark.createDataFrame([(f"{c}\tnote",) for c in WHITELIST] + [("",), (" ",)], "value string").write.text(path)
+    return path
+
+
+def vector_files(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None = None) -> tuple[str, str]:
+    """Folders of the text sources of the category similarity job: one brand
+    vector per line, and ``index<TAB>name`` with the 1-based line of each."""
+    import uuid
+
+    base = f"{staging_dir(spark)}/qsig-tables/categories-{uuid.uuid4().hex}"
+    b = stage(brand_vectors(spark, sf_dir, sales_df), "brand-vectors").withColumn("n", F.row_number().over(Window.orderBy("id")))
+    b = stage(b, "brand-lines")
+    line = F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")
+    b.repartitionByRange(3, "n").sortWithinPartitions("n").select(line.alias("value")).write.text(f"{base}/vectors")
+    b.select(F.concat_ws("\t", F.col("n").cast("string"), "id").alias("value")).write.text(f"{base}/names")
+    return f"{base}/vectors", f"{base}/names"

@@ -77,10 +77,10 @@ def q_term_counts(spark, d):
 
 
 SQL_TF = """
-  a AS (SELECT cid3, count(*) AS allnums FROM t GROUP BY cid3),
-  b AS (SELECT cid3, cid3_name, term, count(*) AS nums FROM t GROUP BY cid3, cid3_name, term),
-  tf AS (SELECT b.cid3, b.cid3_name, b.term, CAST(b.nums AS DOUBLE) / a.allnums AS tf
-         FROM a RIGHT JOIN b ON a.cid3 = b.cid3)"""
+  per_term AS (SELECT cid3, cid3_name, term, count(*) AS uses FROM t GROUP BY ALL),
+  tf AS (SELECT cid3, cid3_name, term,
+                CASE WHEN cid3 IS NOT NULL THEN CAST(uses AS DOUBLE) / sum(uses) OVER (PARTITION BY cid3) END AS tf
+         FROM per_term)"""
 
 
 @register("term_frequency", with_(A.SQL_CATEGORY_TERMS, SQL_TF)
@@ -102,11 +102,10 @@ def q_document_frequency(spark, d):
 
 
 SQL_TFIDF = """
-  dfr AS (SELECT term, count(DISTINCT cid3) AS nums FROM t GROUP BY term),
-  n AS (SELECT count(DISTINCT cid3) AS num FROM tf),
-  tfidf AS (SELECT tf.cid3, tf.cid3_name, tf.term,
-                   tf.tf * ln((SELECT num FROM n) / nullif(CAST(dfr.nums AS DOUBLE), 0)) AS tfidf
-            FROM dfr RIGHT JOIN tf ON dfr.term = tf.term)"""
+  spread AS (SELECT term, count(DISTINCT cid3) AS cats FROM per_term GROUP BY term),
+  tfidf AS (SELECT cid3, cid3_name, term,
+                   tf * ln((SELECT count(DISTINCT cid3) FROM per_term) / nullif(CAST(cats AS DOUBLE), 0)) AS tfidf
+            FROM tf JOIN spread USING (term))"""
 
 
 @register("tfidf", with_(A.SQL_CATEGORY_TERMS, SQL_TF, SQL_TFIDF)
@@ -285,15 +284,9 @@ def _qs(spark, d):
 
 
 @register("collect_scores", with_(A.SQL_QUERY_SCORES) + f"""
-  SELECT query, count(*) AS num,
-         CASE WHEN count(*) <= 12000
-              THEN array_to_string(list_sort(list(sku || ':' || {sql_dec6_text('score')})), ',') END AS items
-  FROM qs GROUP BY query""")
+  SELECT query, count(*) OVER (PARTITION BY query) AS num, sku, {s6('score')} AS score FROM qs""")
 def q_collect_scores(spark, d):
-    c = features.collect_scores(_qs(spark, d))
-    txt = F.array_join(F.array_sort(F.transform(
-        "items", lambda x: F.concat(x["sku"], F.lit(":"), dec6_text(x["score"])))), ",")
-    return c.select("query", "num", txt.alias("items"))
+    return features.collect_scores(_qs(spark, d)).select("query", "num", "sku", r6("score").alias("score"))
 
 
 @register("size_filter", with_(A.SQL_QUERY_SCORES, SQL_KEPT) + " SELECT DISTINCT query, num FROM kept")
@@ -460,15 +453,32 @@ def q_scored_table(spark, d):
   SELECT id AS cid3, string_agg(neighbour || ':' || {sql_dec6_text('score')}, ',' ORDER BY rank) AS score_top200
   FROM bu_topk GROUP BY id""")
 def q_encode_neighbours(spark, d):
+    """Lists as they are written hold whole doubles, which two engines may
+    differ on in the last digit: scores go in at six places here."""
     t = similarity.cosine_topk(A.brand_vectors(spark, d), k=A.SIM_TOPK).withColumnRenamed("id", "cid3")
-    return io.encode_neighbours(t)
+    return io.encode_neighbours(t.withColumn("score", dec6_text("score")), as_text=True)
 
 
 @register("decode_neighbours", with_(A.SQL_BRAND_VECTORS, SQL_SIM)
-          + f" SELECT cid3, neighbour, {s6('round(score, 6)')} AS score FROM sim")
+          + f" SELECT cid3, neighbour, {s6('score')} AS score FROM sim")
 def q_decode_neighbours(spark, d):
-    enc = q_encode_neighbours(spark, d)
-    return io.decode_neighbours(enc).select("cid3", "neighbour", r6("score").alias("score"))
+    t = similarity.cosine_topk(A.brand_vectors(spark, d), k=A.SIM_TOPK).withColumnRenamed("id", "cid3")
+    return io.decode_neighbours(io.encode_neighbours(t)).select("cid3", "neighbour", r6("score").alias("score"))
+
+
+@register("category_similarity_table", with_(A.SQL_BRAND_VECTORS, SQL_SIM)
+          + f" SELECT cid3, neighbour, {s6('score')} AS score FROM sim")
+def q_category_similarity_table(spark, d):
+    """The similarity job from text to text: names and vectors are written as
+    files and read back (S3, S5), ranked (C3), written as lists (S9) and
+    decoded from the table (S6)."""
+    from qsig.plans import jobs
+
+    vectors, names = A.vector_files(spark, d)
+    path = _table_dir(spark, "cid-score")
+    jobs.category_similarity_job(spark, vectors, names, path, k=A.SIM_TOPK)
+    rows = io.read_tsv_partition(spark, path, jobs.CID_SCORE, dt="active")
+    return io.decode_neighbours(rows).select("cid3", "neighbour", r6("score").alias("score"))
 
 
 # ==================================================================== K: Lloyd
@@ -479,11 +489,11 @@ from qsig.operators import kmeans, mlkmeans  # noqa: E402
 K_CLUSTERS = 8
 K_SEED = 11
 K_TOL = 0.01
-K_STEPS = 3
+K_ORACLE_STEPS = 24       # steps written out in the SQL; it gives no rows if they are too few
 
 
 def _pts(spark, d):
-    return A.query_features_20(spark, d)
+    return A.query_points(spark, d)
 
 
 def _init(spark, d):
@@ -530,7 +540,7 @@ def sql_shift(old: str, new: str) -> str:
             f"JOIN {new} n USING (category))")
 
 
-@register("kmeans_init", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT) + f"""
+@register("kmeans_init", with_(A.SQL_QUERY_POINTS, SQL_K_INIT) + f"""
   SELECT category, unnest(range(0, len(centroid))) AS pos, {s6('unnest(centroid)')} AS x FROM c0""")
 def q_kmeans_init(spark, d):
     c = _init(spark, d)
@@ -538,13 +548,13 @@ def q_kmeans_init(spark, d):
         "category", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
 
 
-@register("kmeans_assign", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"))
+@register("kmeans_assign", with_(A.SQL_QUERY_POINTS, SQL_K_INIT, sql_assign("c0", "a1"))
           + " SELECT query, category FROM a1")
 def q_kmeans_assign(spark, d):
     return kmeans.assign(_pts(spark, d), _init(spark, d)).select("query", "category")
 
 
-@register("kmeans_update", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"),
+@register("kmeans_update", with_(A.SQL_QUERY_POINTS, SQL_K_INIT, sql_assign("c0", "a1"),
                                  sql_update("a1", "c0", "c1")) + f"""
   SELECT category, unnest(range(0, len(centroid))) AS pos, {s6('unnest(centroid)')} AS x FROM c1""")
 def q_kmeans_update(spark, d):
@@ -554,7 +564,7 @@ def q_kmeans_update(spark, d):
         "category", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
 
 
-@register("kmeans_shift", with_(A.SQL_QUERY_FEATURES_20, SQL_K_INIT, sql_assign("c0", "a1"),
+@register("kmeans_shift", with_(A.SQL_QUERY_POINTS, SQL_K_INIT, sql_assign("c0", "a1"),
                                 sql_update("a1", "c0", "c1")) + f"""
   SELECT category, {s6('list_distance(c0.centroid, c1.centroid)')} AS shift
   FROM c0 JOIN c1 USING (category)""")
@@ -564,21 +574,22 @@ def q_kmeans_shift(spark, d):
     return kmeans.shift(init, new).select("category", r6("shift").alias("shift"))
 
 
-@register("kmeans_lloyd", with_(
-    A.SQL_QUERY_FEATURES_20, SQL_K_INIT,
-    sql_assign("c0", "a1"), sql_update("a1", "c0", "c1"),
-    sql_assign("c1", "a2"), sql_update("a2", "c1", "c2"),
-    sql_assign("c2", "a3"), sql_update("a3", "c2", "c3"),
-    f"""
-  pick AS (SELECT CASE WHEN {sql_shift('c0', 'c1')} < {K_TOL} THEN 1
-                       WHEN {sql_shift('c1', 'c2')} < {K_TOL} THEN 2 ELSE 3 END AS step),
-  res AS (SELECT 1 AS step, a.category, a.query, c.centroid FROM a1 a JOIN c1 c USING (category)
-          UNION ALL SELECT 2, a.category, a.query, c.centroid FROM a2 a JOIN c2 c USING (category)
-          UNION ALL SELECT 3, a.category, a.query, c.centroid FROM a3 a JOIN c3 c USING (category))""")
-    + f""" SELECT category, query, {_sql_vec_text('centroid')} AS cate_feature
+def _sql_lloyd() -> str:
+    ctes = [A.SQL_QUERY_POINTS, SQL_K_INIT]
+    pick, res = [], []
+    for i in range(1, K_ORACLE_STEPS + 1):
+        ctes += [sql_assign(f"c{i - 1}", f"a{i}").replace(f" a{i} AS (", f" a{i} AS MATERIALIZED ("),
+                 sql_update(f"a{i}", f"c{i - 1}", f"c{i}").replace(f"  c{i} AS (", f"  c{i} AS MATERIALIZED (")]
+        pick.append(f"WHEN {sql_shift(f'c{i - 1}', f'c{i}')} < {K_TOL} THEN {i}")
+        res.append(f"SELECT {i} AS step, a.category, a.query, c.centroid FROM a{i} a JOIN c{i} c USING (category)")
+    ctes.append(f"\n  pick AS (SELECT CASE {' '.join(pick)} END AS step),\n  res AS ({' UNION ALL '.join(res)})")
+    return (with_(*ctes) + f""" SELECT category, query, {_sql_vec_text('centroid')} AS cate_feature
            FROM res WHERE step = (SELECT step FROM pick)""")
+
+
+@register("kmeans_lloyd", _sql_lloyd())
 def q_kmeans_lloyd(spark, d):
-    out = kmeans.lloyd(_pts(spark, d), K_CLUSTERS, init=_init(spark, d), tol=K_TOL, max_iter=K_STEPS)
+    out = kmeans.lloyd(_pts(spark, d), K_CLUSTERS, init=_init(spark, d), tol=K_TOL)
     return out.select("category", "query", _vec_text("cate_feature").alias("cate_feature"))
 
 
@@ -592,26 +603,60 @@ def _ml_input(spark, d):
     return mlkmeans.features(A.word_vectors(spark, d))
 
 
-@register("ml_features")
+SQL_WORD_VECTORS = """
+  wv AS (SELECT CAST(vec_id AS VARCHAR) AS word,
+                array_to_string(list_transform(embedding,
+                    lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000.0) AS BIGINT) AS VARCHAR)), ' ') AS emb
+         FROM embeddings),
+  pv_ AS (SELECT word, list_transform(string_split_regex(trim(emb), '\\s+'), lambda t: TRY_CAST(t AS DOUBLE)) AS v
+          FROM wv)"""
+
+
+@register("ml_features", with_(SQL_WORD_VECTORS) + " SELECT word, array_to_string(list_transform(v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ' ') AS features FROM pv_")
 def q_ml_features(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     f = _ml_input(spark, d)
-    return f.select("word", vector_to_array("features").alias("features"))
+    whole = F.transform(vector_to_array("features"), lambda x: x.cast("bigint").cast("string"))
+    return f.select("word", F.array_join(whole, " ").alias("features"))
+
+
+def _ml_model(spark, d):
+    f = _ml_input(spark, d).persist()
+    return f, mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
 
 
-@register("ml_kmeans_assign")
+@register("ml_kmeans_assign", with_(SQL_WORD_VECTORS)
+          + " SELECT word, true AS in_range, true AS nearest FROM pv_")
 def q_ml_kmeans_assign(spark, d):
-    f = _ml_input(spark, d)
-    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
-    return mlkmeans.predict(model, f)
+    """Every word once, its cluster one of the k, and no centre nearer than
+    its own (the library's iteration itself is not SQL)."""
+    from pyspark.ml.functions import vector_to_array
 
+    f, model = _ml_model(spark, d)
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    rows = model.transform(f).select("word", vector_to_array("features").alias("v"), F.col("prediction").alias("c"))
+    far = F.transform(table, lambda m: F.aggregate(F.zip_with(m, F.col("v"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    near = rows.select("word", "c", far.alias("d")).select(
+        "word", F.col("c").between(0, ML_K - 1).alias("in_range"),
+        (F.get("d", F.col("c")) <= F.array_min("d") * (1 + 1e-9) + 1e-9).alias("nearest"))
+    return near
 
-@register("ml_kmeans_centers")
+
+@register("ml_kmeans_centers", with_(SQL_WORD_VECTORS) + f"""
+  SELECT CAST(c AS INTEGER) AS category, (SELECT max(len(v)) FROM pv_) AS dims, true AS inside FROM range(0, {ML_K}) r(c)""")
 def q_ml_kmeans_centers(spark, d):
-    f = _ml_input(spark, d)
-    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
-    return mlkmeans.centers(model, spark)
+    """One row per centre: its id, its length, and whether it lies within the
+    bounds of the points."""
+    from pyspark.ml.functions import vector_to_array
+
+    f, model = _ml_model(spark, d)
+    box = f.select(F.posexplode(vector_to_array("features")).alias("p", "x")).groupBy("p").agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"))
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+                                    "category int, c array<double>")
+    return (centres.select("category", F.posexplode("c").alias("p", "x")).join(box, "p").groupBy("category")
+            .agg(F.count(F.lit(1)).alias("dims"), F.min(F.col("x").between(F.col("lo") - 1e-6, F.col("hi") + 1e-6)).alias("inside")))
 
 
 # ============================================================ A: augmentation
@@ -627,7 +672,7 @@ _PARTS = ["cid3", "cid3_name", "draw", "band"]
 SQL_AUG = f"""
   wl AS (SELECT * FROM ranked WHERE cid3 IN ({WL_SQL})),
   lists AS (SELECT cid3, cid3_name, list(term ORDER BY rank) AS terms, list(tfidf ORDER BY rank) AS tfidfs
-            FROM wl WHERE rank <= {augment.TOP_N} GROUP BY cid3, cid3_name),
+            FROM ranked WHERE rank <= {augment.TOP_N} GROUP BY cid3, cid3_name),
   bands AS (SELECT * FROM (VALUES {SQL_BANDS}) v(band, lo, hi)),
   dr AS (SELECT l.cid3, l.cid3_name, r.i AS draw, b.band, b.lo, least(b.hi, len(l.terms)) - b.lo AS sz,
                 l.terms, l.tfidfs
@@ -651,18 +696,23 @@ SQL_AUG_ALL = with_(A.SQL_CATEGORY_TERMS, SQL_TF, SQL_TFIDF, SQL_RANKED, SQL_AUG
 
 
 def _ranked(spark, d, limit=augment.TOP_N):
-    """Ranked terms of the whitelisted categories only (filter before rank)."""
-    return terms.tfidf_ranked(_terms(spark, d), limit=limit, categories=A.WHITELIST)
+    """Ranked terms of all categories."""
+    return terms.tfidf_ranked(_terms(spark, d), limit=limit)
+
+
+def _whitelist(spark):
+    """The whitelist as the job gets it: read from a text file."""
+    return io.read_whitelist(spark, A.whitelist_file(spark))
 
 
 def _lists(spark, d):
-    return augment.term_lists(augment.in_categories(_ranked(spark, d), A.WHITELIST))
+    return augment.term_lists(_ranked(spark, d))
 
 
 @register("whitelisted_terms", SQL_AUG_ALL
           + f" SELECT cid3, cid3_name, term, {s6('tfidf')} AS tfidf, rank FROM wl")
 def q_whitelisted_terms(spark, d):
-    w = augment.in_categories(_ranked(spark, d, limit=None), A.WHITELIST)
+    w = augment.in_categories(_ranked(spark, d, limit=None), _whitelist(spark))
     return w.select("cid3", "cid3_name", "term", r6("tfidf").alias("tfidf"), "rank")
 
 
@@ -705,24 +755,15 @@ def q_augment_templates(spark, d):
                     F.col("tpl").cast("integer").alias("tpl"), "keyword")
 
 
-@register("augmented_corpus", SQL_AUG_ALL + " SELECT keyword, cid3, cid3_name FROM tpl")
+@register("augmented_corpus", SQL_AUG_ALL + f" SELECT keyword, cid3, cid3_name FROM tpl WHERE cid3 IN ({WL_SQL})")
 def q_augmented_corpus(spark, d):
-    return augment.corpus(_ranked(spark, d), A.WHITELIST, seed=AUG_SEED)
+    return augment.corpus(_ranked(spark, d), _whitelist(spark), seed=AUG_SEED)
 
 
 # ============================================================ S5: vector text
 
 from qsig.functions.vectors import parse_vector  # noqa: E402
 
-SQL_WORD_VECTORS = """
-  wv AS (SELECT CAST(vec_id AS VARCHAR) AS word,
-                array_to_string(list_transform(embedding,
-                    lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000.0) AS BIGINT) AS VARCHAR)), ' ') AS emb
-         FROM embeddings),
-  pv_ AS (SELECT word, list_transform(string_split_regex(trim(emb), '\\s+'), lambda t: TRY_CAST(t AS DOUBLE)) AS v
-          FROM wv)"""
-
-
 @register("parse_vectors", with_(SQL_WORD_VECTORS)
           + f" SELECT word, unnest(range(0, len(v))) AS pos, {s6('unnest(v)')} AS x FROM pv_")
 def q_parse_vectors(spark, d):
@@ -761,6 +802,21 @@ def q_labelled_pairs_table(spark, d):
         "query_1", "query_2", "label")
 
 
+CLICK_SCHEMA = T.StructType([T.StructField("sku", T.StringType()), T.StructField("key_word", T.StringType()),
+                             T.StructField("dim_type", T.StringType())])
+
+
+@register("scan_since_table", with_(A.SQL_CLICK_LOG) + f"""
+  SELECT sku, key_word, dim_type, dt FROM (SELECT * REPLACE (substr(dt, 1, 7) || '-01' AS dt) FROM click) WHERE dt > '{CUTOFF}'""")
+def q_scan_since_table(spark, d):
+    """S2 on a table partitioned by dt (first days of months): the predicate
+    prunes its folders."""
+    path = _table_dir(spark, "clicks")
+    clicks = A.click_log(spark, d).withColumn("dt", F.concat(F.substring("dt", 1, 7), F.lit("-01")))
+    clicks.repartition("dt").write.partitionBy("dt").format("orc").save(path)
+    return io.read_since(spark, path, CLICK_SCHEMA, A.CLICK_DT, A.CLICK_LOOKBACK).select("sku", "key_word", "dim_type", "dt")
+
+
 @register("keyword_triples_table", with_(A.SQL_CLICK_LOG, SQL_PV) + """
   SELECT sku, unnest(CASE WHEN len(ks) > 2
                           THEN list_transform(range(1, len(ks) - 1), lambda i: array_to_string(ks[i:i + 2], ' '))
@@ -775,10 +831,12 @@ def q_keyword_triples_table(spark, d):
     return io.read_partition(spark, path, TRIPLES_SCHEMA, "orc", dt=A.CLICK_DT).select("sku", "query")
 
 
-@register("ml_silhouette")
+@register("ml_silhouette", f"SELECT CAST({ML_K} AS INTEGER) AS k, true AS in_range, true AS better_than_shuffled")
 def q_ml_silhouette(spark, d):
-    """M5: silhouette of the library k-means clustering (one row)."""
-    f = _ml_input(spark, d)
-    model = mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
-    value = mlkmeans.silhouette(model.transform(f))
-    return spark.createDataFrame([(ML_K, float(value))], "k int, silhouette double")
+    """M5: the silhouette of the library clustering lies in [-1, 1] and above
+    that of the same clusters dealt to the words anew by hash."""
+    f, model = _ml_model(spark, d)
+    got = model.transform(f).persist()
+    value = float(mlkmeans.silhouette(got))
+    dealt = float(mlkmeans.silhouette(got.withColumn("prediction", F.pmod(F.xxhash64("word"), F.lit(ML_K)).cast("int"))))
+    return spark.createDataFrame([(ML_K, -1 <= value <= 1, value > dealt)], "k int, in_range boolean, better_than_shuffled boolean")

@@ -92,7 +92,7 @@ def query_feature_job(spark: SparkSession, src: str, dst: str, src_dt: str, dt:
 
 
 def kmeans_job(spark: SparkSession, src: str, dst: str, src_dt: str, src_dp: str, dt: str, dp: str,
-               k: int, seed: int = 0, tol: float = fx.LLOYD_TOL, max_iter: int = 100, fmt: str = "orc") -> None:
+               k: int, seed: int = 0, tol: float = fx.LLOYD_TOL, max_iter: int = 1000, fmt: str = "orc") -> None:
     """Lloyd k-means over 20-dim fractile features, uniform [0, 1) init."""
     with io.staging(spark):
         pts = io.read_partition(spark, src, FRACTILE_20, fmt, dt=src_dt, dp=src_dp).select(
@@ -120,16 +120,25 @@ def category_similarity_job(spark: SparkSession, vectors_path: str, names_path:
                             k: int = fx.TOP_NEIGHBOURS, dt: str = "active") -> None:
     """Cosine top-k between category vectors, written as ``cid\\tc:s,...`` text.
 
-    Row and neighbour labels both come from the names dictionary (D25)."""
+    Row and neighbour labels both come from the names dictionary (D25); one
+    line per category, also where two share a name.  A vector without a name
+    raises."""
     with io.staging(spark):
-        names = io.read_index_names(spark, names_path)
-        vecs = io.read_vectors(spark, vectors_path).join(names.withColumnRenamed("idx", "id"), "id")
-        top = similarity.cosine_topk(vecs.select("id", "vec"), k=k)
-        label = names.select(F.col("idx").alias("id"), F.col("name").alias("cid3"))
-        nb = names.select(F.col("idx").alias("neighbour"), F.col("name").alias("nname"))
-        rows = top.join(label, "id").join(nb, "neighbour").select("cid3", F.col("nname").alias("neighbour"),
-                                                                   "score", "rank")
-        io.write_tsv_partition(io.encode_neighbours(rows), dst, dt=dt)
+        io.write_tsv_partition(category_similarity(spark, vectors_path, names_path, k), dst, dt=dt)
+
+
+def category_similarity(spark: SparkSession, vectors_path: str, names_path: str, k: int) -> DataFrame:
+    """(cid3, score_top200) per category of the two text sources."""
+    names = io.stage(io.read_index_names(spark, names_path), "category-names")
+    vecs = io.stage(io.read_vectors(spark, vectors_path), "category-vectors")
+    lost = vecs.join(names, vecs["id"] == names["idx"], "left_anti").count()
+    if lost:
+        raise ValueError(f"{lost} vectors have no name in {names_path}")
+    top = similarity.cosine_topk(vecs, k=k)
+    nb = names.select(F.col("idx").alias("neighbour"), F.col("name").alias("nname"))
+    lists = io.encode_neighbours(top.join(nb, "neighbour").select("id", F.col("nname").alias("neighbour"), "score", "rank"),
+                                 key="id")
+    return lists.join(names, lists["id"] == names["idx"]).select(F.col("name").alias("cid3"), "score_top200")
 
 
 def query_sku_score_job(spark: SparkSession, src: str, sim_path: str, dst: str, src_dt: str, src_dp: str,
@@ -149,6 +158,3 @@ def augmentation_job(spark: SparkSession, src: str, whitelist_path: str, dst: st
         out = augment.corpus(ranked, io.read_whitelist(spark, whitelist_path), n=n, seed=seed, weighted=weighted)
         io.overwrite_partition(out, dst, AUGMENTED, fmt, dt="active")
 
-
-def read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "orc", **keys: str) -> DataFrame:
-    return io.read_partition(spark, path, schema, fmt, **keys)

@@ -8,10 +8,11 @@ a key prunes directories before any file is opened.
 
 from __future__ import annotations
 
+import atexit
 import datetime as _dt
 import threading
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from qsig.fixed import LOOKBACK_DAYS, NEIGHBOUR_ITEM_SEP, NEIGHBOUR_SCORE_SEP
@@ -92,16 +93,23 @@ def read_since(spark: SparkSession, path: str, schema: T.StructType, dt: str,
 
 
 def _numbered_lines(spark: SparkSession, path: str, skip_blank: bool) -> DataFrame:
-    """(line int 0-based, text) of a small text file, with exact line numbers.
+    """(line bigint 0-based, text) of a text file or a folder of them, numbered
+    through all files in name order.
 
-    For dictionary-sized files only (one file is one task); large inputs must
-    carry their own id column.
-    """
-    raw = spark.read.text(path, wholetext=True)
-    lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
+    Lines are numbered inside their input split, and split counts (a row per
+    split) give the offsets, so a file of any size is read by many tasks."""
+    raw = spark.read.text(path)
     if skip_blank:
-        lines = F.filter(lines, lambda x: F.trim(x) != "")
-    return raw.select(F.posexplode(lines).alias("line", "text"))
+        raw = raw.where(F.trim("value") != "")
+    at = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                    F.monotonically_increasing_id().alias("m"), F.col("value").alias("text"))
+    at = stage(at, "numbered-lines")
+    sizes = at.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select("f", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("f", "b").orderBy("m")) - 1
+    return (at.withColumn("r", inside).join(start, ["f", "b"])
+            .select((F.col("r") + F.col("start")).cast("bigint").alias("line"), "text"))
 
 
 def read_index_names(spark: SparkSession, path: str) -> DataFrame:
@@ -168,16 +176,23 @@ def _partitioned(df: DataFrame, schema: T.StructType | None, keys: dict) -> Data
     return out
 
 
+def partition_path(spark: SparkSession, path: str, **keys: str) -> str:
+    """Folder of one partition, key values escaped as Spark escapes them."""
+    esc = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([path.rstrip("/"), *[f"{esc(k)}={esc(str(v))}" for k, v in keys.items()]])
+
+
 def overwrite_partition(df: DataFrame, path: str, schema: T.StructType | None = None,
                         fmt: str = "orc", **keys: str) -> None:
     """Replace exactly the ``keys`` partition of the table at ``path``.
 
-    Creates the table directory if absent; other partitions are untouched
-    (dynamic partition overwrite).  Rerunning gives the same partition.
+    Creates the table directory if absent; other partitions are untouched.
+    The partition's own folder is written, so an empty result empties it.
+    Rerunning gives the same partition.
     """
-    (_partitioned(df, schema, keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy(*keys).format(fmt).save(path))
+    out = (conform(df, schema) if schema is not None else df).drop(*keys)
+    (out.write.mode("overwrite").option("compression", "snappy").format(fmt)
+     .save(partition_path(df.sparkSession, path, **keys)))
 
 
 def append_partition(df: DataFrame, path: str, schema: T.StructType | None = None,
@@ -188,30 +203,31 @@ def append_partition(df: DataFrame, path: str, schema: T.StructType | None = Non
 
 
 def score_text(score) -> Column:
-    """Fixed text form of a score: six decimals through ``decimal(18,6)``."""
+    """Text form of a score: the shortest that reads back as the same double."""
     s = F.col(score) if isinstance(score, str) else score
-    return s.cast("decimal(18,6)").cast("string")
+    return s.cast("double").cast("string")
 
 
 def encode_neighbours(df: DataFrame, key: str = "cid3", neighbour: str = "neighbour",
                       score: str = "score", rank: str = "rank",
-                      out: str = "score_top200") -> DataFrame:
-    """S9 (encode): rows → one ``"c:s,c:s"`` string per key, in rank order.
+                      out: str = "score_top200", as_text: bool = False) -> DataFrame:
+    """S9 (encode): rows → one ``"c:s,c:s"`` string per key, in rank order;
+    with ``as_text`` the scores are text already.
 
     Lists are top-k lists, so each group holds at most k entries.
     """
     items = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(neighbour).alias("n"),
                                                  F.col(score).alias("s"))))
-    text = F.array_join(F.transform(items, lambda x: F.concat(x["n"], F.lit(NEIGHBOUR_SCORE_SEP), score_text(x["s"]))),
+    text = F.array_join(F.transform(items, lambda x: F.concat(
+        x["n"], F.lit(NEIGHBOUR_SCORE_SEP), x["s"] if as_text else score_text(x["s"]))),
                         NEIGHBOUR_ITEM_SEP)
     return df.groupBy(key).agg(text.alias(out))
 
 
 def write_tsv_partition(df: DataFrame, path: str, dt: str = "active") -> None:
-    """S9 (load): tab-separated text under partition ``dt``; no quoting."""
-    (df.withColumn("dt", F.lit(dt)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("sep", "\t")
-     .option("quote", "").option("escape", "").partitionBy("dt").csv(path))
+    """S9 (load): tab-separated text as the partition ``dt``; no quoting."""
+    (df.write.mode("overwrite").option("sep", "\t").option("quote", "").option("escape", "")
+     .option("emptyValue", "").csv(partition_path(df.sparkSession, path, dt=dt)))
 
 
 def read_tsv_partition(spark: SparkSession, path: str, schema: T.StructType, dt: str = "active") -> DataFrame:
@@ -244,9 +260,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_dir(df.sparkSession)}/qsig-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _staged().append(path)
+    _ALL.append((df.sparkSession.sparkContext._jvm, path))
     return df.sparkSession.read.parquet(path)
 
 
+_ALL: list[tuple] = []
+
+
+@atexit.register
+def _drop_all_staged() -> None:
+    """What queries staged outside a job goes when the driver ends: until then
+    their lazy results may still be read."""
+    for jvm, p in _ALL:
+        try:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(hp, True)
+        except Exception:  # noqa: BLE001 - the JVM may be gone: then the folder's owner cleans up
+            return
+
+
 _LOCAL = threading.local()
 
 

@@ -112,14 +112,36 @@ def test_all_null_scores_group(spark):
     assert r.num == 20 and r.quarter is None and r.sku_score_normal == {}
 
 
-def test_collect_scores_skips_oversized_groups(spark):
-    big = spark.range(30).select(F.lit("big").alias("query"), F.col("id").cast("string").alias("sku"),
-                                 F.col("id").cast("double").alias("score"))
-    small = spark.createDataFrame([("s", "a", 1.0)], "query string, sku string, score double")
-    got = {r.query: (r.num, r.items) for r in features.collect_scores(big.unionByName(small), max_items=10).collect()}
-    assert got["big"] == (30, None) and got["s"][0] == 1 and len(got["s"][1]) == 1
-    fr = features.fractiles(big.unionByName(small), lo=20, hi=25).collect()
-    assert fr == []
+def test_collect_scores_keeps_groups_of_any_size(spark):
+    big = spark.range(13_000).select(F.lit("big").alias("query"), F.col("id").cast("string").alias("sku"),
+                                     F.col("id").cast("double").alias("score"))
+    small = spark.createDataFrame([("s", "a", 1.0), (None, "b", None)], "query string, sku string, score double")
+    got = features.collect_scores(big.unionByName(small))
+    assert got.columns == ["query", "num", "sku", "score"]
+    assert got.where("query = 'big'").agg(F.count("*"), F.min("num"), F.max("num")).first()[:] == (13_000, 13_000, 13_000)
+    assert sorted(tuple(r) for r in got.where("query is null or query = 's'").collect() if r.query) == [("s", 1, "a", 1.0)]
+    assert got.where("query is null").collect()[0][1:] == (1, "b", None)
+    assert features.fractiles(big.unionByName(small), lo=20, hi=12_999).collect() == []
+
+
+def test_cosine_candidates_are_bounded(spark):
+    """At most k candidates per row and stripe leave the tasks; ties go by id."""
+    rng = np.random.default_rng(2)
+    vecs = rng.integers(-2, 3, (900, 3)).astype(float)
+    df = spark.createDataFrame([(f"n{i:04d}", [float(x) for x in v]) for i, v in enumerate(vecs)], "id string, vec array<double>")
+    unit = similarity.normalise(df).select("id", "unit").cache()
+    n, k, want = 900, 7, None
+    for block_rows in (4096, 200):
+        blocks, stripes = similarity._grid(n, block_rows, spark.sparkContext.defaultParallelism)
+        assert similarity.cosine_candidates(unit, k, block_rows).count() <= n * k * stripes
+        got = sorted((r.id, r.rank, r.neighbour) for r in similarity.cosine_topk(df, k, block_rows=block_rows).collect())
+        assert want is None or got == want
+        want = got
+    u = vecs / np.where(np.linalg.norm(vecs, axis=1) == 0, 1, np.linalg.norm(vecs, axis=1))[:, None]
+    s = np.round(u @ u.T, 12)
+    brute = sorted((f"n{i:04d}", r + 1, f"n{j:04d}") for i in range(n)
+                   for r, j in enumerate(sorted(range(n), key=lambda j: (-s[i, j], j))[:k]))
+    assert want == brute
 
 
 def test_hot_copies_spread_and_restored(spark):

@@ -12,12 +12,12 @@ def test_tfidf_then_augmentation(spark, scratch):
     segs = A.category_terms(spark, SF).select("cid3", "cid3_name", F.array_join("terms", ",").alias("sku_term"))
     io.overwrite_partition(segs, f"{scratch}/segs", jobs.TERM_SEGS, dt="active")
     jobs.tfidf_job(spark, f"{scratch}/segs", f"{scratch}/tfidf", dt="active")
-    out = jobs.read(spark, f"{scratch}/tfidf", jobs.TERM_TFIDF, dt="active")
+    out = io.read_partition(spark, f"{scratch}/tfidf", jobs.TERM_TFIDF, dt="active")
     assert out.count() > 0 and dict(out.dtypes)["tfidf"] == "float"
     with open(f"{scratch}/wl.txt", "w") as f:
         f.write("src1\tx\nsrc2\n")
     jobs.augmentation_job(spark, f"{scratch}/tfidf", f"{scratch}/wl.txt", f"{scratch}/aug", n=10, seed=1)
-    aug = jobs.read(spark, f"{scratch}/aug", jobs.AUGMENTED, dt="active")
+    aug = io.read_partition(spark, f"{scratch}/aug", jobs.AUGMENTED, dt="active")
     groups = out.where(F.col("cid3").isin("src1", "src2") & (F.col("rank") <= 200)).select("cid3", "cid3_name").distinct().count()
     assert aug.count() == 3 * 10 * groups
 
@@ -27,12 +27,12 @@ def test_pairs_and_samples_jobs(spark, scratch):
     for dt in ["1996-01-01", "1996-01-15"]:
         io.overwrite_partition(clicks.where(F.col("dt") <= dt).drop("dt"), f"{scratch}/clicks", jobs.CLICK_LOG, dt=dt)
     jobs.keyword_triples_job(spark, f"{scratch}/clicks", f"{scratch}/triples", dt="1996-01-20")
-    assert jobs.read(spark, f"{scratch}/triples", jobs.SIMILAR_QUERY, dt="1996-01-20").count() > 0
+    assert io.read_partition(spark, f"{scratch}/triples", jobs.SIMILAR_QUERY, dt="1996-01-20").count() > 0
     paths = A.graph_path(spark, SF)
     schema = T.StructType(jobs.GRAPH_PATH.fields + [T.StructField("ord", T.IntegerType())])
     io.overwrite_partition(paths, f"{scratch}/paths", schema, dt="d", version="v")
     jobs.sample_pairs_job(spark, f"{scratch}/paths", f"{scratch}/pairs", "d", "v", k=5, seed=2, order_col="ord")
-    lab = jobs.read(spark, f"{scratch}/pairs", jobs.SAMPLE_PAIRS, dt="d", version="v")
+    lab = io.read_partition(spark, f"{scratch}/pairs", jobs.SAMPLE_PAIRS, dt="d", version="v")
     n_names = paths.select("name").distinct().count()
     assert lab.where("label = 0").count() == 5 * n_names and lab.where("label = 1").count() > 0
 
@@ -40,18 +40,18 @@ def test_pairs_and_samples_jobs(spark, scratch):
 def test_feature_kmeans_similarity_scoring_jobs(spark, scratch):
     io.overwrite_partition(A.query_scores(spark, SF), f"{scratch}/qs", jobs.QUERY_SCORES, dt="x")
     jobs.query_feature_job(spark, f"{scratch}/qs", f"{scratch}/qf", "x", "d", "v1", lo=3)
-    qf = jobs.read(spark, f"{scratch}/qf", jobs.QUERY_FEATURE, dt="d", dp="v1")
+    qf = io.read_partition(spark, f"{scratch}/qf", jobs.QUERY_FEATURE, dt="d", dp="v1")
     assert qf.count() > 0 and dict(qf.dtypes)["sku_score_normal"] == "map<string,float>"
 
-    pts = A.query_features_20(spark, SF).withColumnRenamed("feature", "query_feature_20")
+    pts = A.query_points(spark, SF).withColumnRenamed("feature", "query_feature_20")
     io.overwrite_partition(pts, f"{scratch}/f20", jobs.FRACTILE_20, dt="a", dp="b")
-    jobs.kmeans_job(spark, f"{scratch}/f20", f"{scratch}/km", "a", "b", "d", "p", k=4, seed=1, max_iter=5)
-    km = jobs.read(spark, f"{scratch}/km", jobs.KMEANS_QUERY, dt="d", dp="p")
+    jobs.kmeans_job(spark, f"{scratch}/f20", f"{scratch}/km", "a", "b", "d", "p", k=4, seed=1)
+    km = io.read_partition(spark, f"{scratch}/km", jobs.KMEANS_QUERY, dt="d", dp="p")
     assert km.count() == pts.count()
 
     io.overwrite_partition(A.word_vectors(spark, SF), f"{scratch}/emb", jobs.WORD_EMB, dt="e")
     jobs.ml_kmeans_job(spark, f"{scratch}/emb", f"{scratch}/words", f"{scratch}/centers", "e", "d", "p", k=5)
-    assert jobs.read(spark, f"{scratch}/centers", jobs.CLUSTER_AXIS, dt="d", dp="p").count() == 5
+    assert io.read_partition(spark, f"{scratch}/centers", jobs.CLUSTER_AXIS, dt="d", dp="p").count() == 5
 
     brands = A.brand_vectors(spark, SF).orderBy("id").collect()
     with open(f"{scratch}/names.txt", "w") as f:
@@ -64,7 +64,7 @@ def test_feature_kmeans_similarity_scoring_jobs(spark, scratch):
 
     io.overwrite_partition(A.query_sku_cate(spark, SF), f"{scratch}/qsc", jobs.QUERY_SKU_CATE, dt="s", dp="t")
     jobs.query_sku_score_job(spark, f"{scratch}/qsc", f"{scratch}/sim", f"{scratch}/score", "s", "t", "d", "p")
-    sc = jobs.read(spark, f"{scratch}/score", jobs.QUERY_SKU_SCORE, dt="d", dp="p")
+    sc = io.read_partition(spark, f"{scratch}/score", jobs.QUERY_SKU_SCORE, dt="d", dp="p")
     assert sc.count() == A.query_sku_cate(spark, SF).count()
     assert sc.where("query_sku_score > 0").count() > 0
 
@@ -77,4 +77,20 @@ def test_job_releases_staged_tables(spark, scratch):
     before = len(_staged())
     jobs.tfidf_job(spark, f"{scratch}/segs2", f"{scratch}/tfidf2", dt="d")
     assert len(_staged()) == before
-    assert jobs.read(spark, f"{scratch}/tfidf2", jobs.TERM_TFIDF, dt="d").count() > 0
+    assert io.read_partition(spark, f"{scratch}/tfidf2", jobs.TERM_TFIDF, dt="d").count() > 0
+
+
+def test_equal_names_keep_a_line_each_and_missing_names_raise(spark, scratch):
+    import pytest
+
+    with open(f"{scratch}/names", "w") as f:
+        f.write("1\ta\n2\ta\n3\tb\n")
+    with open(f"{scratch}/vecs", "w") as f:
+        f.write("1 0\n0 1\n1 1\n")
+    jobs.category_similarity_job(spark, f"{scratch}/vecs", f"{scratch}/names", f"{scratch}/out", k=2)
+    rows = sorted((r.cid3, r.score_top200.count(":")) for r in io.read_tsv_partition(spark, f"{scratch}/out", jobs.CID_SCORE).collect())
+    assert rows == [("a", 2), ("a", 2), ("b", 2)]
+    with open(f"{scratch}/vecs", "a") as f:
+        f.write("2 2\n")
+    with pytest.raises(ValueError):
+        jobs.category_similarity_job(spark, f"{scratch}/vecs", f"{scratch}/names", f"{scratch}/out", k=2)

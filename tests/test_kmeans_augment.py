@@ -119,3 +119,20 @@ def test_nearest_matches_direct_differences():
     direct = np.argmin(((p[:, None, :] - c[None, :, :]) ** 2).sum(axis=2), axis=1)
     assert (_nearest(p, c) == direct).all()
     assert (_nearest(p[:10], c) == 3).all()
+
+
+def test_lloyd_raises_when_not_converged(spark):
+    pts = spark.createDataFrame([(str(i), [float(i), float(i * i % 7)]) for i in range(30)], "query string, feature array<double>")
+    with pytest.raises(RuntimeError):
+        kmeans.lloyd(pts, 3, seed=1, tol=0.0, max_iter=2)
+
+
+def test_nearest_in_chunks_equals_direct(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    p, c = rng.normal(size=(500, 6)), rng.normal(size=(40, 6))
+    c[7] = c[3]
+    monkeypatch.setattr(kmeans, "CHUNK_VALUES", 100)
+    want = ((p[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (kmeans._nearest(p, c) == want).all()

@@ -3,36 +3,47 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from qsig.operators import augment, ordering, pairs, samples, terms
+from qsig.operators import augment, pairs, samples, terms
 
 
-@pytest.fixture()
-def tiny_budget(monkeypatch):
-    # every unbounded ordinal takes the two-level (range-partitioned) path
-    monkeypatch.setattr(ordering, "MAX_GROUP_ROWS", 0)
-    monkeypatch.setattr(ordering.rank_within, "__defaults__", ("rank", None, "auto", 0))
-
-
-def test_two_level_path_in_operators(spark, tiny_budget):
+def test_two_level_path_in_operators(spark):
     docs = [(f"c{i % 2}", f"n{i % 3}", ",".join(f"w{(i * j) % 17}" for j in range(1, 12))) for i in range(60)]
     df = spark.createDataFrame(docs, "cid3 string, cid3_name string, sku_term string")
-    t = terms.explode_terms(df)
-    scored = terms.tfidf(t)
-    ranked = terms.rank_terms(scored)
-    assert "rangepartitioning" in ranked._jdf.queryExecution().executedPlan().toString()
-    two = sorted(map(tuple, ranked.collect()))
-    one = sorted(map(tuple, ordering.rank_within(
-        scored, ["cid3"], [F.col("tfidf").desc_nulls_last(), F.col("term").asc(), F.col("cid3_name").asc()],
-        "rank", distributed=False).collect()))
-    assert two == one
+    scored = terms.tfidf(terms.explode_terms(df)).withColumn("extra", F.lit("payload"))
+    order = [F.col("tfidf").desc_nulls_last(), F.col("term").asc(), F.col("cid3_name").asc()]
+    one = scored.withColumn("rank", F.row_number().over(Window.partitionBy("cid3").orderBy(*order)).cast("bigint"))
+    assert sorted(map(tuple, terms.rank_terms(scored).collect())) == sorted(map(tuple, one.collect()))
     path = spark.createDataFrame([("p", f"n{i}", i) for i in range(300)] + [("q", "a", 1), ("q", "b", 2)],
                                  "pathid string, name string, ord int")
     got = samples.positive_pairs(path, "ord").collect()
     assert len(got) == 300 and ("n7", "n8") in {(r.query_1, r.query_2) for r in got}
 
 
+def test_hot_query_is_split(spark):
+    """One query with a third of the rows: joins with group tables keep it in
+    the tasks that read it (no hot key reaches a shuffle join)."""
+    from qsig.operators import features, skew
+
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 2000).cast("string")).alias("query"),
+        F.col("id").cast("string").alias("sku"), (F.col("id") % 1009).cast("double").alias("score"))
+    sizes = features.group_sizes(df)
+    joined = skew.join_groups(df, sizes, ["query"], "num")
+    assert joined.count() == 300_000
+    assert joined.where("query = 'hot'").select("num").distinct().collect()[0][0] == 100_000
+    rest = sizes.where(F.col("num") <= skew.HOT_FLOOR).agg(F.max("num")).first()[0]
+    assert rest <= 300_000 / 1000 or rest <= skew.HOT_FLOOR
+    kept = features.size_filter(df)
+    assert kept.where("query = 'hot'").count() == 0 and kept.count() == 200_000
+    z = features.zscore(df).where("query = 'hot'").agg(F.avg("z"), F.stddev_pop("z")).first()
+    assert abs(z[0]) < 1e-9 and abs(z[1] - 1) < 1e-9
+    every = features.collect_scores(df)
+    assert every.count() == 300_000 and every.where("query = 'hot'").count() == 100_000
+
+
 def _windows_py(ks, size=3):
     if len(ks) > size - 1:
         return [" ".join(ks[i:i + size]) for i in range(len(ks) - size + 1)]

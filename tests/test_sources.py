@@ -21,6 +21,16 @@ def test_overwrite_partition_is_idempotent_and_isolated(spark, scratch):
     assert dict(got.dtypes)["dt"] == "string"
 
 
+def test_empty_overwrite_empties_the_partition(spark, scratch):
+    path = f"{scratch}/emptied"
+    a = spark.createDataFrame([("1", "x")], SCHEMA)
+    for dt in ("2020-01-01", "a=b/c d"):
+        io.overwrite_partition(a, path, SCHEMA, dt=dt, dp="p")
+    io.overwrite_partition(a.limit(0), path, SCHEMA, dt="2020-01-01", dp="p")
+    assert io.read_partition(spark, path, SCHEMA, dt="2020-01-01", dp="p").count() == 0
+    assert io.read_partition(spark, path, SCHEMA, dt="a=b/c d", dp="p").count() == 1
+
+
 def test_append_partition_doubles(spark, scratch):
     path = f"{scratch}/app"
     a = spark.createDataFrame([("1", "x")], SCHEMA)
@@ -61,6 +71,29 @@ def test_read_vectors_and_parse(spark, scratch):
     assert got == [(0, [1.0, 2.0, 3.0]), (1, [0.5, None, 100.0])]
 
 
+def test_vector_folder_numbers_lines_through_all_files(spark, scratch):
+    import os
+
+    os.makedirs(f"{scratch}/vecs")
+    for name, text in (("a.txt", "1 0\n\n2 0\n"), ("b.txt", "3 0\r\n4 0"), ("c.txt", "")):
+        with open(f"{scratch}/vecs/{name}", "w", newline="") as f:
+            f.write(text)
+    assert sorted((r.id, r.vec[0]) for r in io.read_vectors(spark, f"{scratch}/vecs").collect()) == [
+        (0, 1.0), (1, 2.0), (2, 3.0), (3, 4.0)]
+
+
+def test_large_file_is_numbered_over_splits(spark, scratch):
+    with open(f"{scratch}/big.txt", "w") as f:
+        f.writelines(f"{i} 0\n" for i in range(20_000))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        rows = io.read_vectors(spark, f"{scratch}/big.txt")
+        assert rows.where(F.col("id") != F.get("vec", F.lit(0)).cast("bigint")).count() == 0 and rows.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_decode_neighbours_edges(spark):
     df = spark.createDataFrame([("k", "a:1.0,b:0.5,a:0.2"), ("m", "x:y:0.3,bad,z:nan?")], ["cid3", "score_top200"])
     got = sorted(tuple(r) for r in io.decode_neighbours(df).collect())
@@ -72,7 +105,7 @@ def test_encode_decode_round_trip(spark, scratch):
     df = spark.createDataFrame(rows, "cid3 string, neighbour string, score double, rank int")
     enc = io.encode_neighbours(df)
     texts = {r.cid3: r.score_top200 for r in enc.collect()}
-    assert texts["c1"] == "c1:1.000000,c2:0.000627"
+    assert texts["c1"] == "c1:1.0,c2:6.27E-4"
     path = f"{scratch}/sim"
     io.write_tsv_partition(enc, path, dt="active")
     schema = T.StructType([T.StructField("cid3", T.StringType()), T.StructField("score_top200", T.StringType())])

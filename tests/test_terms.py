@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from qsig.operators import terms
@@ -49,17 +50,29 @@ def test_tf_sums_to_one_and_partition_invariance(spark):
 
 
 def test_two_level_rank_equals_window(spark):
-    df = spark.range(5000).select(
-        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
-        (F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
+    """A key with a third of a million rows, and a payload column: the ordinal
+    loses no row, twice in a row."""
+    df = spark.range(1_000_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 1000).alias("v"), F.col("id"), F.md5(F.col("id").cast("string")).alias("payload"))
     order = [F.col("v").desc(), F.col("id").asc()]
-    plain = rank_within(df, ["g"], order, "r", distributed=False)
-    two = rank_within(df, ["g"], order, "r", distributed=True)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, two.collect()))
-    glob = rank_within(df, [], order, "r", distributed=True)
+    plain = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
+    for _ in range(2):
+        two = rank_within(df, ["g"], order, "r")
+        assert two.columns == plain.columns
+        assert two.count() == 1_000_000
+        assert two.exceptAll(plain).count() == 0
+    small = df.limit(5000)
+    glob = rank_within(small, [], order, "r")
     assert sorted(r.r for r in glob.collect()) == list(range(1, 5001))
 
 
+def test_rank_keeps_null_keys_and_odd_columns(spark):
+    df = spark.createDataFrame([(None, 2, "x"), (None, 1, "y"), ("a", 1, None)], "g string, v int, `p.q` string")
+    got = sorted((r[0] or "", r[1], r[3]) for r in rank_within(df, ["g"], [F.col("v")], "r").collect())
+    assert got == [("", 1, 1), ("", 2, 2), ("a", 1, 1)]
+
+
 def test_top_limit_plans_window_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     plan = rank_within(df, ["g"], [F.col("v").desc()], "r", limit=5)._jdf.queryExecution().executedPlan().toString()
