@@ -24,21 +24,22 @@ STOP_WORDS = ("the and of to in is that it for with "
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= metric <= high``; a metric that is null passes."""
+    """``low <= top / bottom <= high``; without anything to divide by it passes."""
 
     name: str
-    metric: str
+    top: str
+    bottom: str
     low: float | None = None
     high: float | None = None
 
 
-#: metric expressions may use n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_stop, n_upper, n_short_lines
+#: top and bottom may be n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_stop, n_upper
 RULES = (
-    Rule("word_length", "word_chars / n_words", 2.0, 15.0),
-    Rule("symbols_per_word", "n_symbols / n_words", high=0.10),
-    Rule("stop_words_per_word", "n_stop / n_words", low=0.005),
-    Rule("duplicate_lines", "n_dup_lines / n_lines", high=0.50),
-    Rule("upper_case", "n_upper / word_chars", high=0.30),
+    Rule("word_length", "word_chars", "n_words", 2.0, 15.0),
+    Rule("symbols_per_word", "n_symbols", "n_words", high=0.10),
+    Rule("stop_words_per_word", "n_stop", "n_words", low=0.005),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.50),
+    Rule("upper_case", "n_upper", "word_chars", high=0.30),
 )
 BASE_MIN_WORDS = 20
 BASE_MAX_REPEAT_PERCENT = 30
@@ -49,10 +50,10 @@ def compile_rules(rules: tuple[Rule, ...]) -> Column:
     failed = []
     for r in rules:
         bad = None
-        for bound, op in ((r.low, "<"), (r.high, ">")):
-            if bound is not None:
-                c = F.expr(f"coalesce({r.metric} {op} {float(bound)!r}D, false)")
-                bad = c if bad is None else bad | c
+        ratio = F.try_divide(F.col(r.top), F.col(r.bottom))
+        for c in ([ratio < r.low] if r.low is not None else []) + ([ratio > r.high] if r.high is not None else []):
+            c = F.coalesce(c, F.lit(False))
+            bad = c if bad is None else bad | c
         if bad is not None:
             failed.append(F.when(bad, F.lit(r.name)))
     return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")

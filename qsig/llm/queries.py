@@ -21,7 +21,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # bounded training samples: documents of label 0 and 1, characters of a document
-TOXIC_SAMPLE, QUALITY_SAMPLE, SAMPLE_CHARS = (3000, 1200), (1000, 1000), 20_000
+TOXIC_SAMPLE, QUALITY_SAMPLE, SAMPLE_CHARS = (3000, 1200), (1000, 1000), 12_000
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str):
@@ -144,7 +144,7 @@ def _op7_sql() -> str:
     stop = "|".join(q.STOP_WORDS)
     bad = []
     for r in q.RULES:
-        metric = f"({r.metric.replace(' / ', '::DOUBLE / nullif(', 1)}, 0))"
+        metric = f"({r.top}::DOUBLE / nullif({r.bottom}, 0))"
         bad += [f"coalesce({metric} {op} {float(bound)!r}, false)" for bound, op in ((r.low, "<"), (r.high, ">"))
                 if bound is not None]
     return rf"""
