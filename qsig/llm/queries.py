@@ -21,7 +21,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # bounded training samples: documents of label 0 and 1, characters of a document
-TOXIC_SAMPLE, QUALITY_SAMPLE, SAMPLE_CHARS = (3000, 1200), (1000, 1000), 12_000
+TOXIC_SAMPLE, QUALITY_SAMPLE, SAMPLE_CHARS = (3000, 1200), (1000, 1000), 10_000
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str):

@@ -98,10 +98,11 @@ def _self_kernel(c: np.ndarray, decay: float, n: int = 3) -> np.ndarray:
     return out
 
 
-def apply_weights(words: list[str], weights: np.ndarray, decay: float) -> np.ndarray:
+def apply_weights(words: list[str], weights: np.ndarray, decay: float, rows: np.ndarray | None = None) -> np.ndarray:
     """``<weights, phi(w)> / |phi(w)|`` for each word, phi being the explicit
-    feature vector of the kernel.  ``weights`` has one column per function
-    ((ALPHABET**3, m)); words without two letters give 0."""
+    feature vector of the kernel.  ``weights`` has one column per function and
+    a row per feature, or the rows that ``rows`` names for each feature;
+    words without two letters give 0."""
     table = _code_table()
     out = np.zeros((len(words), weights.shape[1]), dtype=np.float64)
     by: dict[int, list[int]] = {}
@@ -116,22 +117,22 @@ def apply_weights(words: list[str], weights: np.ndarray, decay: float) -> np.nda
             for i, j, k in combinations(range(length + 1), 3):
                 f = (c[:, i] * ALPHABET + c[:, j]) * ALPHABET + c[:, k]
                 real = ((c[:, i] > 0) & (c[:, j] > 0) & (c[:, k] > 0)) * decay ** (k - i + 1)
-                got += weights[f] * real[:, None]
+                got += weights[f if rows is None else rows[f]] * real[:, None]
             norm = np.sqrt(_self_kernel(c, decay))
             out[idx] = np.where(norm[:, None] > 0, got / np.maximum(norm, 1e-12)[:, None], 0.0)
     return out
 
 
-def features(word: str, decay: float) -> np.ndarray:
-    """Explicit, normalised feature vector of one segment."""
-    out = np.zeros(ALPHABET ** 3)
-    if len(word) >= 2:
-        c = _codes([word], len(word), _code_table())[0]
-        for i, j, k in combinations(range(len(c)), 3):
-            if c[i] and c[j] and c[k]:
-                out[(c[i] * ALPHABET + c[j]) * ALPHABET + c[k]] += decay ** (k - i + 1)
-    n = np.linalg.norm(out)
-    return out / n if n else out
+def features(word: str, decay: float) -> tuple[np.ndarray, np.ndarray]:
+    """Explicit, normalised feature vector of one segment: (features, values)."""
+    if len(word) < 2:
+        return np.empty(0, np.int64), np.empty(0)
+    c = _codes([word], len(word), _code_table())[0]
+    i, j, k = np.array(list(combinations(range(len(c)), 3))).T
+    real = (c[i] > 0) & (c[j] > 0) & (c[k] > 0)
+    which, at = np.unique(((c[i] * ALPHABET + c[j]) * ALPHABET + c[k])[real], return_inverse=True)
+    value = np.bincount(at, weights=(decay ** (k - i + 1.0))[real], minlength=len(which))
+    return which, value / max(np.linalg.norm(value), 1e-12)
 
 
 @dataclass
@@ -166,16 +167,14 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-4, ro
     return w
 
 
-def _unlike(parts: list[set[str]], keep: int = 8, shared: int = 4) -> list[set[str]]:
+def _unlike(parts: list[np.ndarray], rank: np.ndarray, keep: int = 8, shared: int = 4) -> list[np.ndarray]:
     """Documents without near copies of earlier ones: those that share
-    ``shared`` of their ``keep`` smallest segment hashes go, so that a text
-    copied often doesn't count its rare words often."""
-    import zlib
-
+    ``shared`` of their ``keep`` segments of smallest hash (``rank``) go, so
+    that a text copied often doesn't count its rare words often."""
     owners: dict[int, list[int]] = {}
     out = []
     for s in parts:
-        low = sorted(zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in s)[:keep]
+        low = s[np.argsort(rank[s], kind="stable")[:keep]].tolist()
         seen = Counter(o for h in low for o in owners.get(h, ()))
         if seen and max(seen.values()) >= min(shared, len(low)):
             continue
@@ -185,58 +184,75 @@ def _unlike(parts: list[set[str]], keep: int = 8, shared: int = 4) -> list[set[s
     return out
 
 
-def train(sample: Sample, landmarks: int = 400, decay: float = 0.5, rounds: int = 6, negatives: int = 8_000) -> Model:
+def train(sample: Sample, landmarks: int = 320, decay: float = 0.5, rounds: int = 6, negatives: int = 8_000) -> Model:
     """Fit on labelled documents.  Without documents of both labels the model
     knows nothing and scores every text 0 (no toxic ones) or 1 (no clean ones)."""
-    empty = np.zeros((ALPHABET ** 3, 1))
-    toxic = _unlike([segments(t) for t, y in zip(sample.texts, sample.labels) if y == 1])
-    clean = [segments(t) for t, y in zip(sample.texts, sample.labels) if y == 0]
+    import zlib
+
+    ids: dict[str, int] = {}                                # segments by number
+    parts = [np.array(sorted(ids.setdefault(u, len(ids)) for u in sorted(segments(t))), dtype=np.int64)
+             for t in sample.texts]
+    names = list(ids)
+    del ids
+    rank = np.array([zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in names], dtype=np.int64)
+    toxic = _unlike([s for s, y in zip(parts, sample.labels) if y == 1], rank)
+    clean = [s for s, y in zip(parts, sample.labels) if y == 0]
+    nothing = np.zeros((ALPHABET ** 3, 1))
     if not toxic or not clean:
-        return Model(empty, 0.0, 1.0, 50.0 if toxic else -50.0, decay, [])
-    in_clean, in_toxic = Counter(w for s in clean for w in s), Counter(w for s in toxic for w in s)
+        return Model(nothing, 0.0, 1.0, 50.0 if toxic else -50.0, decay, [])
+    in_clean, in_toxic = (np.bincount(np.concatenate(d), minlength=len(names)) for d in (clean, toxic))
+    long_ = np.array([len(w) >= 2 for w in names])
+
+    def best_first(at: np.ndarray, by: np.ndarray) -> list[int]:
+        return sorted(at.tolist(), key=lambda u: (-by[u], names[u]))
+
     # first witnesses: segments of several toxic documents that no clean one has
-    telling = sorted((w for w, n in in_toxic.items() if len(w) >= 2 and not in_clean[w]), key=lambda w: (-in_toxic[w], w))
+    telling = (in_clean == 0) & (in_toxic > 0) & long_
+    ordered = best_first(np.flatnonzero(telling), in_toxic)
     enough = max(2, len(toxic) // 100)
-    pos = {w: in_toxic[w] for w in telling if in_toxic[w] >= enough} or dict.fromkeys(telling[:8], 1)
-    seeds = dict(pos)
-    common = sorted((w for w in in_clean if len(w) >= 2), key=lambda w: (-in_clean[w], w))
-    if not pos or not common:
-        return Model(empty, 0.0, 1.0, 0.0, decay, [])
+    seeds = {u: int(in_toxic[u]) for u in ordered if in_toxic[u] >= enough} or dict.fromkeys(ordered[:8], 1)
+    common = best_first(np.flatnonzero((in_clean > 0) & long_), in_clean)
+    if not seeds or not common:
+        return Model(nothing, 0.0, 1.0, 0.0, decay, [])
     neg = list(dict.fromkeys(common[:negatives // 2] + common[negatives // 2::max(1, 2 * len(common) // negatives)]))
-    hard: list[str] = []
-    near: dict[str, None] = {}
-    known = set(telling)
-    every = sorted(set().union(*toxic, *clean))
     truth = np.append(np.ones(len(toxic)), np.zeros(len(clean)))
-    best = None
+    witnesses = [s[telling[s]] for s in toxic]
+    pos, near, hard, best = dict(seeds), {}, [], None
     for _ in range(rounds):
-        ranked = sorted(pos, key=lambda w: (-pos[w], w))
+        ranked = sorted(pos, key=lambda u: (-pos[u], names[u]))
         marks = list(dict.fromkeys(ranked[:landmarks // 2] + hard[:landmarks // 4] + common))[:landmarks]
-        phi = np.stack([features(w, decay) for w in marks], axis=1)
-        value, vector = np.linalg.eigh(phi.T @ phi)
-        good = value > 1e-6
+        vectors = [features(names[u], decay) for u in marks]
+        used = np.unique(np.concatenate([f for f, _ in vectors]))
+        phi = np.zeros((len(used) + 1, len(marks)), np.float32)     # a row per feature of a landmark, and one for the rest
+        for k, (f, v) in enumerate(vectors):
+            phi[np.searchsorted(used, f), k] = v
+        rows = np.full(ALPHABET ** 3, len(used), np.int32)
+        rows[used] = np.arange(len(used))
+        value, vector = np.linalg.eigh((phi.T @ phi).astype(np.float64))
+        good = value > 1e-5
         half = vector[:, good] / np.sqrt(value[good])       # K_mm ** -1/2: the Nystroem map
-        words = ranked + neg
-        x = apply_weights(words, phi @ half, decay)
+        x = apply_weights([names[u] for u in ranked + neg], phi @ half.astype(np.float32), decay, rows)
         y = np.append(np.ones(len(ranked)), -np.ones(len(neg)))
-        often = np.sqrt([in_clean[u] for u in neg])
+        often = np.sqrt(in_clean[neg])
         closest = np.array([u in near for u in neg]) / max(1, len(near))
-        weight = np.append(np.array([pos[w] for w in ranked]) / sum(pos.values()), often / often.sum() + closest)
+        weight = np.append(np.array([pos[u] for u in ranked]) / sum(pos.values()), often / often.sum() + closest)
         w = _svm(x, y, weight)
-        model = Model(phi @ (half @ w[:-1])[:, None], float(w[-1]), 1.0, 0.0, decay, marks)
-        margin = dict(zip(every, model.margins(every).tolist()))
-        top = np.array([max((margin[u] for u in s), default=model.bias) for s in toxic + clean])
+        del x
+        model = Model(np.append(phi @ (half @ w[:-1]).astype(np.float32), 0)[np.minimum(rows, len(used) + 1)][:, None].astype(
+            np.float64), float(w[-1]), 1.0, 0.0, decay, [names[u] for u in marks])
+        margin = model.margins(names)
+        top = np.array([margin[s].max() if len(s) else model.bias for s in toxic + clean])
         a, b = _logistic(top, truth)
         p = np.clip(1 / (1 + np.exp(-np.clip(a * top + b, -50, 50))), 1e-9, 1 - 1e-9)
         loss = -float(np.log(p[truth == 1]).mean() + np.log(1 - p[truth == 0]).mean())
         if best is None or loss < best[0]:
-            best = loss, Model(model.weights, model.bias, a, b, decay, marks)
+            best = loss, Model(model.weights, model.bias, a, b, decay, model.landmarks)
         # the clean segments nearest to the wrong side are negatives from now on
-        hard = sorted(common, key=lambda u: (-margin[u], u))[:negatives // 8]
+        hard = best_first(np.array(common), margin)[:negatives // 8]
         near.update(dict.fromkeys(hard))
         neg = list(dict.fromkeys(neg + hard))
         # of each toxic document, the most toxic of the segments that no clean one has is positive
-        witness = Counter(max(s & known, key=lambda u: (margin[u], u)) for s in toxic if s & known)
+        witness = Counter(int(s[margin[s].argmax()]) for s in witnesses if len(s))
         pos = {u: max(n, seeds.get(u, 0)) for u, n in (Counter(seeds) | witness).items() if n >= 2 or u in seeds}
     return best[1]
 
