@@ -27,7 +27,7 @@ def test_hot_query_is_split(spark):
     the tasks that read it (no hot key reaches a shuffle join)."""
     from qsig.operators import features, skew
 
-    df = spark.range(300_000).select(
+    df = spark.range(0, 300_000, 1, 12).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 2000).cast("string")).alias("query"),
         F.col("id").cast("string").alias("sku"), (F.col("id") % 1009).cast("double").alias("score"))
     sizes = features.group_sizes(df)
@@ -36,6 +36,14 @@ def test_hot_query_is_split(spark):
     assert joined.where("query = 'hot'").select("num").distinct().collect()[0][0] == 100_000
     rest = sizes.where(F.col("num") <= skew.HOT_FLOOR).agg(F.max("num")).first()[0]
     assert rest <= 300_000 / 1000 or rest <= skew.HOT_FLOOR
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        tasks = [r[1] for r in skew.join_groups(df, sizes, ["query"], "num").where("query = 'hot'")
+                 .groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(tasks) == 12 and max(tasks) <= 1.5 * sorted(tasks)[6]        # as even as the input
     kept = features.size_filter(df)
     assert kept.where("query = 'hot'").count() == 0 and kept.count() == 200_000
     z = features.zscore(df).where("query = 'hot'").agg(F.avg("z"), F.stddev_pop("z")).first()
