@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qsig.sources.io import ensure_parallelism, stage, staging_dir
+from qsig.sources.io import drop_at_exit, ensure_parallelism, stage, staging_dir
 
 # Fixed test parameters (shared by the Spark queries and the oracle SQL).
 TOKEN_PATTERN = "[^a-zà-ÿ]+"            # split of lower-cased text into terms
@@ -225,6 +225,7 @@ def whitelist_file(spark: SparkSession) -> str:
     import uuid
 
     path = f"{staging_dir(spark)}/qsig-tables/whitelist-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
     spark.createDataFrame([(f"{c}\tnote",) for c in WHITELIST] + [("",), (" ",)], "value string").write.text(path)
     return path
 
@@ -235,6 +236,7 @@ def vector_files(spark: SparkSession, sf_dir: str, sales_df: DataFrame | None =
     import uuid
 
     base = f"{staging_dir(spark)}/qsig-tables/categories-{uuid.uuid4().hex}"
+    drop_at_exit(spark, base)
     b = stage(brand_vectors(spark, sf_dir, sales_df), "brand-vectors").withColumn("n", F.row_number().over(Window.orderBy("id")))
     b = stage(b, "brand-lines")
     line = F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")

@@ -784,7 +784,9 @@ TRIPLES_SCHEMA = T.StructType([T.StructField("sku", T.StringType()), T.StructFie
 
 
 def _table_dir(spark, name):
-    return f"{io.staging_dir(spark)}/qsig-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{io.staging_dir(spark)}/qsig-tables/{name}-{uuid.uuid4().hex}"
+    io.drop_at_exit(spark, path)
+    return path
 
 
 @register("labelled_pairs_table", with_(A.SQL_GRAPH_PATH, SQL_NAMES)

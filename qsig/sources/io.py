@@ -260,13 +260,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_dir(df.sparkSession)}/qsig-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _staged().append(path)
-    _ALL.append((df.sparkSession.sparkContext._jvm, path))
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 
 _ALL: list[tuple] = []
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Mark a scratch folder to be deleted when the driver ends."""
+    _ALL.append((spark.sparkContext._jvm, path))
+
+
 @atexit.register
 def _drop_all_staged() -> None:
     """What queries staged outside a job goes when the driver ends: until then
