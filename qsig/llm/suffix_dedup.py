@@ -121,22 +121,28 @@ def runs(raw: bytes, powers: _Powers, length: int = LENGTH) -> dict[str, np.ndar
     return {"lead": lead, "gram": gram, "context": context, "start": start, "last": last, "inner": inner}
 
 
-def multikey_quicksort(keys: list[np.ndarray]) -> np.ndarray:
+def multikey_quicksort(keys: list[np.ndarray], whole: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows by several keys: sort by the first, then only the rows
-    still tied by the next, and so on."""
+    still tied by the next, and so on.  Also, for each row in that order,
+    whether it equals the row before in the first ``whole`` keys."""
+    n = len(keys[0])
     order = np.argsort(keys[0], kind="stable")
-    tied = np.concatenate(([False], keys[0][order][1:] == keys[0][order][:-1])) if len(order) else np.empty(0, bool)
-    for k in keys[1:]:
-        group = np.cumsum(~tied)
-        open_ = tied.copy()
-        open_[:-1] |= tied[1:]
-        at = np.flatnonzero(open_)
-        if not len(at):
-            break
-        order[at] = order[at][np.lexsort((k[order[at]], group[at]))]
-        here = k[order]
-        tied[1:] &= here[1:] == here[:-1]
-    return order
+    tied = np.zeros(n, bool)
+    tied[1:] = keys[0][order[1:]] == keys[0][order[:-1]]
+    equal = tied.copy()
+    at = np.flatnonzero(tied | np.append(tied[1:], False))          # rows of runs that are still tied
+    for number, k in enumerate(keys[1:], 2):
+        if len(at):
+            group = np.cumsum(~tied[at])
+            order[at] = order[at][np.lexsort((k[order[at]], group))]
+            here = k[order[at]]
+            same = np.zeros(len(at), bool)
+            same[1:] = here[1:] == here[:-1]
+            tied[at] &= same
+            at = at[tied[at] | np.append(tied[at[1:]], False)]
+        if number == whole:
+            equal = tied.copy()
+    return order, equal
 
 
 def _heads(keys: list[np.ndarray]) -> np.ndarray:
@@ -223,7 +229,7 @@ def _first_round(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     pdf = pd.concat(parts, ignore_index=True)
     keys = [_unsigned(pdf["lead"]), _unsigned(pdf["gram"]), _unsigned(pdf["context"])]
     where = [_unsigned(pdf["doc"]), pdf["tie"].to_numpy(), pdf["start"].to_numpy()]
-    order = multikey_quicksort(keys + where)
+    order, _ = multikey_quicksort(keys + where)
     pdf = pdf.iloc[order]
     keys, where = [k[order] for k in keys], [k[order] for k in where]
     gram_head, class_head = _heads(keys[:2]), _heads(keys)
@@ -240,13 +246,23 @@ def _first_round(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _FOUND = "lead bigint, gram bigint, context bigint, doc bigint, tie int, start int, span int, kind int"
 
 
-def _windows(raw: bytes, length: int) -> np.ndarray:
-    """All windows of one context, as rows of big-endian eight-byte tokens."""
+def _windows(raws: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """All windows of the contexts: (context, offset in it, big-endian
+    eight-byte tokens), contexts of one size at a time."""
+    size = np.array([len(r) for r in raws])
     width = -(-length // 8) * 8
-    flat = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), length)
-    out = np.zeros((len(flat), width), np.uint8)
-    out[:, :length] = flat
-    return out.view(">u8").astype(np.uint64)
+    row, offset, tokens = [], [], []
+    for n in np.unique(size).tolist():
+        mine = np.flatnonzero(size == n)
+        flat = np.frombuffer(b"".join([raws[k] for k in mine.tolist()]), np.uint8).reshape(len(mine), n)
+        view = np.lib.stride_tricks.sliding_window_view(flat, length, axis=1)
+        out = np.zeros((len(mine) * (n - length + 1), width), np.uint8)
+        out[:, :length] = view.reshape(-1, length)
+        tokens.append(out.view(">u8"))
+        row.append(np.repeat(mine, n - length + 1))
+        offset.append(np.tile(np.arange(n - length + 1), len(mine)))
+    whole = np.concatenate(tokens)
+    return np.concatenate(row), np.concatenate(offset), [whole[:, k].astype(np.uint64) for k in range(width // 8)]
 
 
 def _second_round(length: int):
@@ -260,36 +276,30 @@ def _second_round(length: int):
             return
         pdf = pd.concat(parts, ignore_index=True).drop_duplicates(["doc", "tie", "start"], ignore_index=True)
         lead, gram = _unsigned(pdf["lead"]), _unsigned(pdf["gram"])
-        order = multikey_quicksort([lead, gram])
+        order, _ = multikey_quicksort([lead, gram])
         pdf, group = pdf.iloc[order], np.cumsum(_heads([lead[order], gram[order]]))
-        tokens = [_windows(raw, length) for raw in pdf["raw"]]
-        count = np.array([len(t) for t in tokens])
-        row = np.repeat(np.arange(len(pdf)), count)
+        row, offset, tokens = _windows(list(pdf["raw"]), length)
         doc, tie = _unsigned(pdf["doc"])[row], pdf["tie"].to_numpy()[row]
-        start = pdf["start"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        all_ = np.concatenate(tokens)
-        del tokens
-        order = multikey_quicksort([all_[:, k] for k in range(all_.shape[1])] + [doc, tie, start])
-        head = np.zeros(len(order), bool)
-        head[:1] = True
-        head[1:] = (all_[order[1:]] != all_[order[:-1]]).any(axis=1)    # common prefix with the row before is shorter
+        start = pdf["start"].to_numpy()[row] + offset
+        order, equal = multikey_quicksort(tokens + [doc, tie, start], len(tokens))
+        head = ~equal                                                   # common prefix with the row before is shorter
         top = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-        first = order[top]
-        again = (doc[order] != doc[first]) | (tie[order] != tie[first]) | (start[order] != start[first])
-        hit = order[again]
+        at = np.flatnonzero(equal)
+        hit, first = order[at], order[top[at]]
+        hit = hit[(doc[hit] != doc[first]) | (tie[hit] != tie[first]) | (start[hit] != start[first])]
         hit = hit[np.lexsort((start[hit], tie[hit], doc[hit]))]
         if len(hit):
             d, t, s = doc[hit], tie[hit], start[hit]
             new = _heads([d, t]) | np.concatenate(([True], s[1:] > s[:-1] + 1))
             at = np.flatnonzero(new)
             end = np.append(at[1:], len(hit)) - 1
-            yield pd.DataFrame({"doc": _signed(d[at]), "tie": t[at], "start": s[at], "span": (s[end] - s[at]).astype(np.int32),
-                                "bytes": None})
+            yield pd.DataFrame({"doc": _signed(d[at]), "tie": t[at], "start": s[at].astype(np.int32),
+                                "span": (s[end] - s[at]).astype(np.int32), "bytes": None})
         ends = (group == 1) | (group == group[-1])
         edge = order[head & ends[row[order]]]
         for at in range(0, len(edge), 20_000):
             e = edge[at:at + 20_000]
-            keys = all_[e].astype(">u8").view(np.uint8).reshape(len(e), -1)[:, :length]
+            keys = np.ascontiguousarray(np.stack([t[e] for t in tokens], axis=1).astype(">u8")).view(np.uint8)[:, :length]
             yield pd.DataFrame({"doc": _signed(doc[e]), "tie": tie[e], "start": start[e].astype(np.int32), "span": np.int32(0),
                                 "bytes": [k.tobytes() for k in keys]})
 

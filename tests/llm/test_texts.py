@@ -98,8 +98,11 @@ def test_suffix_dedup_across_many_buckets(spark, frame, monkeypatch):
 def test_multikey_quicksort_equals_lexsort():
     rng = np.random.default_rng(1)
     keys = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(5)]
-    assert (S.multikey_quicksort(keys) == np.lexsort(keys[::-1])).all()
-    assert len(S.multikey_quicksort([np.empty(0, np.uint64)] * 2)) == 0
+    order, equal = S.multikey_quicksort(keys, 3)
+    assert (order == np.lexsort(keys[::-1])).all()
+    sorted_ = np.stack([k[order] for k in keys[:3]])
+    assert (equal[1:] == (sorted_[:, 1:] == sorted_[:, :-1]).all(axis=0)).all() and not equal[0]
+    assert len(S.multikey_quicksort([np.empty(0, np.uint64)] * 2)[0]) == 0
 
 
 def test_suffix_sql_matches_brute_force():
