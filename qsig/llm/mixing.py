@@ -87,7 +87,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponen
     """
     tag = "x"
     src = docs.select(F.col("doc_id"), F.col("source"), source_key().alias("key"),
-                      F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias(tag))
+                      F.xxhash64(F.lit(seed), F.col("doc_id")).alias(tag))
     src = io.stage(src.withColumn("range", F.shiftright(tag, 64 - ORDER_BITS)), "mix-src")
     sizes = io.stage(src.groupBy("key", "range").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
     counts = {r.key: r.n for r in sizes.groupBy("key").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()}
