@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Q = 12
-PROBE = 100             # bytes of a probe; items that are shorter are one probe
-STRIDE = 50
+PROBE = 80              # bytes of a probe; items that are shorter are one probe
+STRIDE = 20             # so a passage of PROBE + STRIDE - 1 bytes holds a whole probe
 ERROR = 0.05            # edit budget as a share of the probe
 MIN_ITEM = 40           # bytes below which an item cannot be told from chance text
 BAND = 16               # diagonals of a band, besides the overlap

@@ -195,14 +195,24 @@ def test_search_equals_full_alignment():
 def test_candidates_keep_every_probe_within_budget():
     """The filter alone loses nothing: probes at exactly the budget pass."""
     rng = random.Random(4)
-    raw = D.normal(" ".join(prose_docs(rng, 3, False)))[:100]
+    raw = D.normal(" ".join(prose_docs(rng, 3, False)))[:D.PROBE]
     index = D.Index([(1, raw)])
     for _ in range(200):
-        piece = edited(rng, raw.decode(), D.budget(100)).encode()
+        piece = edited(rng, raw.decode(), D.budget(D.PROBE)).encode()
         text = b"z" * rng.randrange(0, 200) + piece + b"z" * rng.randrange(0, 50)
         assert index.search(text) == [1]
 
 
+def test_passages_of_an_item_are_found():
+    """Any stretch of PROBE + STRIDE - 1 bytes holds a whole probe."""
+    rng = random.Random(14)
+    raw = D.normal(" ".join(prose_docs(rng, 9, False)))[:400]
+    index = D.Index([(1, raw)])
+    size = D.PROBE + D.STRIDE - 1
+    for a in range(len(raw) - size + 1):
+        assert index.search(b"q" * (a % 7) + raw[a:a + size] + b"q") == [1]
+
+
 def test_decontaminate_rows(spark, frame, monkeypatch):
     rng = random.Random(5)
     bench = [(i, " ".join(prose_docs(rng, 3, False))[:240]) for i in range(9)] + [(90, None), (None, "x" * 80), (91, "short one")]
