@@ -29,7 +29,8 @@ BUCKETS = 1 << 16
 GRAMS = (2, 3, 4)
 REPEAT = "\x00same"
 LONGEST = 64            # a longer token is read in pieces of this many characters
-MEMO = 400_000
+MEMO = 400_000          # tokens remembered by a task
+CHUNK_WORDS = 200_000   # tokens of the documents scored together
 
 
 def tokens(text: str | None) -> list[str]:
@@ -41,15 +42,37 @@ def tokens(text: str | None) -> list[str]:
     return words[:1] + [b if b != a else REPEAT for a, b in zip(words, words[1:])]
 
 
-def rows_of(word: str) -> list[int]:
-    """Hash buckets of a token: itself and its character n-grams."""
-    import zlib
-
-    if word == REPEAT:
-        return [zlib.crc32(word.encode()) % BUCKETS]
-    framed = f"<{word}>"
-    grams = [framed] + [framed[i:i + n] for n in GRAMS for i in range(len(framed) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def buckets(words: list[str]) -> Iterator[tuple[list[int], np.ndarray]]:
+    """(places in ``words``, hash buckets) for the words of each length: the
+    whole word, then its character n-grams, word ends marked."""
+    by: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        by.setdefault(len(w), []).append(k)
+    for length, where in by.items():
+        for at in range(0, len(where), 8192):
+            idx = where[at:at + 8192]
+            cps = np.array([words[k] for k in idx], dtype=f"<U{length}").view(np.uint32).reshape(len(idx), length)
+            framed = np.zeros((len(idx), length + 2), np.uint64)
+            framed[:, 0], framed[:, -1] = 1 << 21, 1 << 22
+            framed[:, 1:-1] = cps
+            whole = np.zeros(len(idx), np.uint64)
+            for j in range(length + 2):
+                whole = _mix(whole + framed[:, j])
+            found = [whole[:, None]]
+            for n in GRAMS:
+                if n <= length + 2:
+                    h = np.full((len(idx), length + 3 - n), n, np.uint64)
+                    for j in range(n):
+                        h = _mix(h + framed[:, j:j + length + 3 - n])
+                    found.append(h)
+            yield idx, (np.hstack(found) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 @dataclass
@@ -58,7 +81,10 @@ class Model:
     bias: float
 
     def tokens(self, words: list[str]) -> list[float]:
-        return [float(self.weight[rows_of(w)].mean()) for w in words]
+        out = np.zeros(len(words))
+        for idx, ids in buckets(words):
+            out[idx] = self.weight[ids].mean(axis=1)
+        return out.tolist()
 
 
 def train(sample: Sample, dim: int = 16, epochs: int = 6, rate: float = 0.25, prior: float | None = None,
@@ -72,16 +98,19 @@ def train(sample: Sample, dim: int = 16, epochs: int = 6, rate: float = 0.25, pr
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim))
     out = np.zeros((2, dim))
-    memo: dict[str, list[int]] = {}
     bags = []
     for text in sample.texts:
         words = tokens(text)
-        rows: Counter[int] = Counter()
-        for w, n in Counter(words).items():
-            ids = memo.setdefault(w, rows_of(w))
-            for r in ids:
-                rows[r] += n / len(ids) / len(words)
-        bags.append((np.fromiter(rows.keys(), np.int64, len(rows)), np.fromiter(rows.values(), float, len(rows))))
+        count = Counter(words)
+        kinds, ids, share = list(count), [], []
+        for idx, rows in buckets(kinds):
+            ids.append(rows.reshape(-1))
+            share.append(np.repeat([count[kinds[k]] / len(words) / rows.shape[1] for k in idx], rows.shape[1]))
+        if not ids:
+            bags.append((np.empty(0, np.int64), np.empty(0)))
+            continue
+        flat, at = np.unique(np.concatenate(ids), return_inverse=True)
+        bags.append((flat, np.bincount(at, weights=np.concatenate(share))))
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     total, done = epochs * len(bags), 0
     for _ in range(epochs):
@@ -130,16 +159,24 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, memo = shared.value, {}
+
+        def margins(parts: list[list[str]]) -> list[float]:
+            fresh = set().union(*parts)
+            if len(memo) > MEMO:
+                memo.clear()
+            new = list(fresh.difference(memo))
+            memo.update(zip(new, m.tokens(new)))
+            return [m.bias + (sum(map(memo.__getitem__, words)) / len(words) if words else 0.0) for words in parts]
+
         for pdf in batches:
-            margin = []
+            margin, parts, size = [], [], 0
             for text in pdf.pop("text"):
-                words = tokens(text)
-                new = list(set(words).difference(memo))
-                if len(memo) + len(new) > MEMO:
-                    memo.clear()
-                    new = list(set(words))
-                memo.update(zip(new, m.tokens(new)))
-                margin.append(m.bias + (sum(map(memo.__getitem__, words)) / len(words) if words else 0.0))
+                parts.append(tokens(text))
+                size += len(parts[-1])
+                if size > CHUNK_WORDS:
+                    margin += margins(parts)
+                    parts, size = [], 0
+            margin += margins(parts)
             pdf["score"] = 1 / (1 + np.exp(-np.clip(np.array(margin, dtype=float), -50, 50)))
             yield pdf
 
