@@ -258,9 +258,9 @@ def train(sample: Sample, landmarks: int = 320, decay: float = 0.5, rounds: int
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, reg: float = 1e-3) -> tuple[float, float]:
-    """One-variable logistic fit by Newton steps, both labels weighted alike."""
+    """One-variable logistic fit by Newton steps."""
     z = np.stack([x, np.ones(len(x))], axis=1)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    share = np.full(len(y), 1 / len(y))
     w = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -50, 50)))
