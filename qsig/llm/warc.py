@@ -139,12 +139,15 @@ def records(archive: bytes) -> Iterator[bytes]:
 
 
 def train_dictionary(pages: DataFrame, rows: int = 200, chars: int = 20_000, size: int = 32_768) -> bytes:
-    """Dictionary from at most ``rows`` pages of at most ``chars`` characters,
-    in hash order; empty where they are too few to train on."""
+    """Dictionary from at most ``rows`` distinct pages of at most ``chars``
+    characters, in hash order; empty where they are too few to train on.  The
+    hashes are picked first, so tasks send pages only for those."""
     import zstandard
 
-    some = (pages.select("html").where(F.length("html").between(1, chars)).select("html", F.xxhash64("html").alias("h"))
-            .orderBy("h", "html").limit(rows).select("html").toPandas()["html"])
+    fit = pages.where(F.length("html").between(1, chars)).select(F.xxhash64("html").alias("h"), "html")
+    picked = fit.select(F.col("h").alias("p")).distinct().orderBy("p").limit(rows)
+    some = (fit.join(F.broadcast(picked), F.col("h") == F.col("p")).groupBy("h").agg(F.min("html").alias("html"))
+            .orderBy("h").select("html").toPandas()["html"])
     samples = [record("0", "http://example.com/", h.encode("utf-8", "surrogatepass"), "0" * 32, len(h), None) for h in some]
     if len(samples) < 16 or sum(map(len, samples)) < 8 * size:
         return b""
