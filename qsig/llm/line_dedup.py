@@ -1,13 +1,14 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by hashes of minimal runs of lines.
 
 The unit is a minimal run: from a line on, as few consecutive lines as reach
 ``min_lines`` lines or ``min_words`` words (blank lines are skipped; words and
 blanks go by the characters 20 and 09-0D).  Each
-minimal run is a winnowing window; the smallest line hash in it is its
-fingerprint, so two equal runs always select the same fingerprint.  Positions
-are joined on the fingerprint and the run around it to the earliest position;
-the runs that hold a fingerprint extend its match both ways, and overlapping
-repeated runs merge into one deleted run.
+minimal run is hashed whole, and its positions are joined on that hash to the
+earliest one; overlapping repeated runs merge into one deleted run.  The
+smallest line hash of a run goes along as ``print``; it follows from the run,
+so it selects nothing, and matches are not extended past their minimal runs:
+lines after the last whole minimal run of a repeated stretch (at most two)
+stay, as in the SQL of the query.
 
 A line is deleted when it lies in a minimal run that also starts earlier
 (smaller document, or earlier in the same document), judged on the input.
