@@ -46,7 +46,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed order of what is left."""
-    return mixing.mix(docs, exponent=0.5, block=16, resolution=1000)
+    return mixing.mix(docs, exponent=0.5, block=16)
 
 
 STAGES = [

@@ -45,10 +45,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed order of all documents, sources weighted by the square root of
-    their size, blocks of 16 documents, a period of 1000 slots."""
+    their size taken exactly, blocks of 16 documents."""
     from qsig.llm.mixing import mix
 
-    return mix(_read(spark, sf_dir, "documents"), exponent=0.5, block=16, resolution=1000)
+    return mix(_read(spark, sf_dir, "documents"), exponent=0.5, block=16)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,47 @@ def test_mix_given_weights(spark, frame):
     assert sum(r.source == "a" for r in first) == 12 and sum(r.source == "b" for r in first) == 4
 
 
+def deviation(order, weights):
+    """Largest distance in blocks to the target weights after any number of slots."""
+    total, got, worst = sum(weights), [0] * len(weights), 0
+    for t, k in enumerate(order, 1):
+        got[k] += 1
+        worst = max([worst, *(abs(g * total - t * w) for g, w in zip(got, weights))])
+    return worst / total
+
+
+@pytest.mark.parametrize("n", [20, 500, 1200])
+def test_schedule_keeps_target_weights(n):
+    """A source with a third of the weight, few and more than 1000 sources:
+    below one block off after any number of slots, also from a kept state."""
+    weights = {f"{i:04}": 1.0 for i in range(n - 1)} | {"hot": (n - 1) / 2}
+    whole = M.whole_weights(weights)
+    names, slots = sorted(whole), 6 * n
+    assert [whole[k] / sum(whole.values()) for k in names] == [weights[k] / sum(weights.values()) for k in names]
+    run = M.Schedule([whole[k] for k in names], [slots] * n)
+    first = [run.step() for _ in range(slots // 2)]
+    again = M.Schedule(run.weight, run.blocks, run.at, run.done)
+    rows = first + [run.step() for _ in range(slots // 2)]
+    assert rows[slots // 2:] == [again.step() for _ in range(slots // 2)]
+    assert [r[2] for r in rows] == list(range(slots))
+    assert deviation([r[0] for r in rows], run.weight) < 1
+
+
+def test_mix_holds_exact_weights(spark, frame, monkeypatch):
+    monkeypatch.setattr(M, "CHUNK", 50)
+    weights = {"hot": 1 / 3} | {f"s{i}": 2 / 57 for i in range(19)}
+    rows = [(i, "t", "hot") for i in range(2405)] + [(5000 + i, "t", f"s{i % 19}") for i in range(19 * 220)]
+    out = M.mix(frame(rows), weights=weights, block=2).collect()
+    assert len({r.mix_rank for r in out}) == len(rows) == len(out)
+    held = {r.slot: r.source for r in out if r.balanced}
+    assert sorted(held) == list(range(len(held))) and len(held) > 3000
+    names = sorted(weights)
+    assert deviation([names.index(held[t]) for t in range(len(held))], [weights[k] for k in names]) < 1
+    for k in names:
+        mine = sorted((r for r in out if r.source == k), key=lambda r: r.mix_rank)
+        assert [r.block for r in mine] == [i // 2 for i in range(len(mine))]
+
+
 # -------------------------------------------------------------------- warc
 
 def test_round_trip_gives_payloads_back(spark, scratch):
