@@ -41,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _decided(docs, decontaminate.decontaminate(docs, benchmark).where("not contaminated"), one=False)
+    return _decided(docs, decontaminate.decontaminate(docs, benchmark, min_item=1).where("not contaminated"), one=False)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ lemma such a stretch shares at least ``m + 1 - q * (e + 1)`` character q-grams
 with a probe of ``m`` characters and budget ``e``, all within ``e`` diagonals
 of each other; so shared q-grams are counted in overlapping diagonal bands,
 bands that reach the bound are kept, and each is verified by banded alignment.
+Items of fewer bytes than a q-gram are found where they stand word for word.
 
 The q-gram index of the benchmark is broadcast in blocks of at most
 ``BLOCK_BYTES`` of text, one pass over the documents each: a block bounds what
@@ -15,6 +16,8 @@ shuffled.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ Q = 12
 PROBE = 80              # bytes of a probe; items that are shorter are one probe
 STRIDE = 20             # so a passage of PROBE + STRIDE - 1 bytes holds a whole probe
 ERROR = 0.05            # edit budget as a share of the probe
-MIN_ITEM = 40           # bytes below which an item cannot be told from chance text
+MIN_ITEM = Q            # bytes of the shortest items searched, unless the caller asks for shorter ones
 BAND = 16               # diagonals of a band, besides the overlap
 BLOCK_BYTES = 8 << 20
 
@@ -55,6 +58,22 @@ def gram_hashes(raw: bytes) -> np.ndarray:
     return a ^ (a >> np.uint64(29))
 
 
+# scripts written without spaces, where every character may begin a word
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u3190-\u9fff\uf900-\ufaff\uff66-\uff9f"
+                      "\U00020000-\U0003ffff]")
+
+
+def _inner(c: str) -> bool:
+    """Whether a character can stand inside a word of a script with spaces."""
+    return bool(c) and (c.isalnum() or c == "_" or unicodedata.category(c)[0] == "M") and not UNSPACED.match(c)
+
+
+def word_edge(raw: bytes, at: int) -> bool:
+    """True unless byte ``at`` is inside a word."""
+    before = raw[max(0, at - 4):at].decode("utf-8", "ignore")[-1:]
+    return not (_inner(before) and _inner(raw[at:at + 4].decode("utf-8", "ignore")[:1]))
+
+
 @dataclass
 class Index:
     """Probes of one block of items and the postings of their q-grams."""
@@ -64,7 +83,12 @@ class Index:
     def __post_init__(self):
         self.probes: list[bytes] = []
         owner, hashes, probe, offset = [], [], [], []
+        short: dict[int, dict[bytes, set[int]]] = {}
         for item, text in self.items:
+            if len(text) < Q:
+                if text:
+                    short.setdefault(len(text), {}).setdefault(text, set()).add(item)
+                continue
             size = min(PROBE, len(text))
             starts = list(range(0, len(text) - size, STRIDE)) + [len(text) - size]
             for s in starts:
@@ -75,6 +99,9 @@ class Index:
                 offset.append(np.arange(len(h)))
                 owner.append(item)
                 self.probes.append(p)
+        # short items by length: their first eight bytes as a number, sorted, and their owners
+        self.short = [(n, np.unique(np.array([int.from_bytes(t[:8], "little") for t in held], np.uint64)), held)
+                      for n, held in short.items()]
         self.owner = np.array(owner, dtype=np.int64)
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(h, kind="stable")
@@ -135,26 +162,40 @@ class Index:
             out[at] = cost.min(axis=1) <= e
         return out
 
+    def exact(self, raw: bytes) -> set[int]:
+        """Short items that stand in the text between word boundaries."""
+        out: set[int] = set()
+        for n, first, held in self.short:
+            if len(raw) < n:
+                continue
+            head = np.ndarray((len(raw) - n + 1,), "<u8", raw + bytes(8), 0, (1,)) & np.uint64((1 << 8 * min(n, 8)) - 1)
+            for at in np.flatnonzero(first[np.minimum(np.searchsorted(first, head), len(first) - 1)] == head).tolist():
+                items = held.get(raw[at:at + n])
+                if items and not items <= out and word_edge(raw, at) and word_edge(raw, at + n):
+                    out |= items
+        return out
+
     def search(self, raw: bytes) -> list[int]:
-        """Items of which the text holds a probe."""
+        """Items of which the text holds a probe, and short items it holds."""
+        out = self.exact(raw)
         probe, band = self.candidates(raw)
-        if not len(probe):
-            return []
-        return sorted(set(self.owner[probe[self.verify(raw, probe, band)]].tolist()))
+        if len(probe):
+            out.update(self.owner[probe[self.verify(raw, probe, band)]].tolist())
+        return sorted(out)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, min_item: int = MIN_ITEM) -> DataFrame:
     """(doc_id, text_hash, item_id): items that a document holds, distinct."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
-    src = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where(F.length("text") >= MIN_ITEM // 2)
+    src = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where(F.length("text") >= min(20, min_item))
     out = None
     for b in range(max(1, blocks)):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))) == b).collect()
         held = spark.sparkContext.broadcast(
-            [(r.item_id, t) for r in part if len(t := normal(r.text)) >= MIN_ITEM])
+            [(r.item_id, t) for r in part if len(t := normal(r.text)) >= max(1, min_item)])
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             index = Index(held.value)
@@ -171,15 +212,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, min_item: int = MIN_ITEM) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, contaminated, n_items, items
     (sorted ids of the benchmark items it holds).
 
-    Case and runs of white space do not matter.  Null and short texts hold
-    nothing.  Items with null id or text, and items under ``MIN_ITEM`` bytes,
-    are not searched.  Repeated rows judge alike; an empty table or an empty
+    Case and runs of white space do not matter.  Null and empty texts hold
+    nothing.  Items with null id or text, without text, or under ``min_item``
+    bytes are not searched; with ``min_item`` 1 all items with text are.  Repeated rows judge alike; an empty table or an empty
     benchmark marks nothing; other columns are not read."""
-    per = leaks(docs, benchmark).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    per = leaks(docs, benchmark, min_item).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     per = per.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "items")
     ids = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     joined = ids.join(per, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")), "left")

@@ -274,6 +274,26 @@ def test_decontaminate_rows(spark, frame, monkeypatch):
     assert D.decontaminate(df.limit(0), b).count() == 0
 
 
+def test_short_items_are_searched(spark, frame, scratch):
+    """Items of 12 to 39 bytes by the lemma, shorter ones word for word; by
+    the registered query and the pipeline's stage all of them."""
+    import corpus_pipeline as P
+    from qsig.llm.queries import QUERIES
+
+    bench = [(1, "Which river is the longest one"), (2, "prime number"), (3, "Cat's"), (4, "什么是"), (5, " \n"), (6, "née")]
+    rows = [(1, "Quiz: which  river is the longest ONE? Say so."), (2, "quiz: which river is the longestt one"),
+            (3, "a prime number."), (4, "a prime numver."), (5, "the (cat's) bowl"), (6, "the bobcat's bowl, cat's_"), (7, "你好什么是爱"),
+            (8, "Cat's"), (9, "journée"), (10, "NÉE Smith"), (11, ""), (12, None)]
+    want = {1: [1], 2: [1], 3: [2], 5: [3], 7: [4], 8: [3], 10: [6]}
+    df, b = frame(rows), spark.createDataFrame(bench, "item_id bigint, text string")
+    assert {r.doc_id: r["items"] for r in D.decontaminate(df, b, min_item=1).collect()} == {i: want.get(i, []) for i, _ in rows}
+    assert {r.doc_id for r in D.decontaminate(df, b).where("contaminated").collect()} == {1, 2, 3}
+    df.write.parquet(f"{scratch}/documents.parquet")
+    b.write.parquet(f"{scratch}/benchmark.parquet")
+    assert {r.doc_id for r in QUERIES["op6_decontaminate"](spark, scratch).where("contaminated").collect()} == set(want)
+    assert {r.doc_id for r in P.drop_leaks(spark, df, scratch).collect()} == {i for i, _ in rows} - set(want)
+
+
 # ------------------------------------------------------- components, pipeline
 
 def test_components_of_chains_stars_and_loops(spark):
