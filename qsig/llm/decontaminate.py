@@ -190,7 +190,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_item: int = MIN_ITEM) -> Da
     items = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
-    src = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where(F.length("text") >= min(20, min_item))
+    src = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where(F.length("text") > 0)
     out = None
     for b in range(max(1, blocks)):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))) == b).collect()

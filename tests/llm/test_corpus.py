@@ -294,6 +294,14 @@ def test_short_items_are_searched(spark, frame, scratch):
     assert {r.doc_id for r in P.drop_leaks(spark, df, scratch).collect()} == {i for i, _ in rows} - set(want)
 
 
+def test_short_documents_of_long_characters_are_searched(spark, frame):
+    """14 characters, 42 bytes; 5 characters, 15 bytes; 8 bytes that grow in lower case."""
+    texts = ["世界上最长的河流是哪一条江？", "最长的河流", "İİİİ", "x"]
+    b = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    out = D.decontaminate(frame(list(enumerate(texts))), b)
+    assert {r.doc_id: r["items"] for r in out.collect()} == {0: [0, 1], 1: [1], 2: [2], 3: []}
+
+
 # ------------------------------------------------------- components, pipeline
 
 def test_components_of_chains_stars_and_loops(spark):
