@@ -1,11 +1,13 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Each benchmark item is cut into overlapping probes.  A document holds a probe
-when some stretch of it is within the probe's edit budget.  By the q-gram
+Every ``PROBE`` bytes of a benchmark item, from any byte on, are a probe.  A
+document holds a probe when some stretch of it is within the probe's edit
+budget.  By the q-gram
 lemma such a stretch shares at least ``m + 1 - q * (e + 1)`` character q-grams
 with a probe of ``m`` characters and budget ``e``, all within ``e`` diagonals
-of each other; so shared q-grams are counted in overlapping diagonal bands,
-bands that reach the bound are kept, and each is verified by banded alignment.
+of each other; so shared q-grams of whole items are listed in overlapping
+diagonal bands, stretches of an item that reach the bound in a band are kept,
+and the probes there are verified by banded alignment.
 Items of fewer bytes than a q-gram are found where they stand word for word.
 
 The q-gram index of the benchmark is broadcast in blocks of at most
@@ -28,11 +30,12 @@ from pyspark.sql import functions as F
 
 Q = 12
 PROBE = 80              # bytes of a probe; items that are shorter are one probe
-STRIDE = 20             # so a passage of PROBE + STRIDE - 1 bytes holds a whole probe
+STRIDE = 1              # probes start at every byte, so a passage of PROBE bytes is one
 ERROR = 0.05            # edit budget as a share of the probe
 MIN_ITEM = Q            # bytes of the shortest items searched, unless the caller asks for shorter ones
 BAND = 16               # diagonals of a band, besides the overlap
 BLOCK_BYTES = 8 << 20
+VERIFY = 4096           # probes aligned at once
 
 
 def normal(text: str | None) -> bytes:
@@ -76,78 +79,108 @@ def word_edge(raw: bytes, at: int) -> bool:
 
 @dataclass
 class Index:
-    """Probes of one block of items and the postings of their q-grams."""
+    """Items of one block and the postings of their q-grams."""
 
     items: list[tuple[int, bytes]]
 
     def __post_init__(self):
-        self.probes: list[bytes] = []
-        owner, hashes, probe, offset = [], [], [], []
+        self.texts: list[bytes] = []
+        ids, hashes, place, offset = [], [], [], []
         short: dict[int, dict[bytes, set[int]]] = {}
         for item, text in self.items:
             if len(text) < Q:
                 if text:
                     short.setdefault(len(text), {}).setdefault(text, set()).add(item)
                 continue
-            size = min(PROBE, len(text))
-            starts = list(range(0, len(text) - size, STRIDE)) + [len(text) - size]
-            for s in starts:
-                p = text[s:s + size]
-                h = gram_hashes(p)
-                hashes.append(h)
-                probe.append(np.full(len(h), len(self.probes)))
-                offset.append(np.arange(len(h)))
-                owner.append(item)
-                self.probes.append(p)
+            h = gram_hashes(text)
+            hashes.append(h)
+            place.append(np.full(len(h), len(self.texts)))
+            offset.append(np.arange(len(h)))
+            ids.append(item)
+            self.texts.append(text)
         # short items by length: their first eight bytes as a number, sorted, and their owners
         self.short = [(n, np.unique(np.array([int.from_bytes(t[:8], "little") for t in held], np.uint64)), held)
                       for n, held in short.items()]
-        self.owner = np.array(owner, dtype=np.int64)
+        self.ids = np.array(ids, dtype=np.int64)
         h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         order = np.argsort(h, kind="stable")
         self.gram, at = np.unique(h[order], return_index=True)
         self.first = np.append(at, len(h))
-        self.probe = (np.concatenate(probe) if probe else np.empty(0, np.int64))[order].astype(np.int64)
+        self.place = (np.concatenate(place) if place else np.empty(0, np.int64))[order].astype(np.int64)
         self.offset = (np.concatenate(offset) if offset else np.empty(0, np.int64))[order].astype(np.int64)
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(self.gram & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-        size = np.array([len(p) for p in self.probes], dtype=np.int64)
-        self.size = size
-        self.edits = np.array([budget(m) for m in size.tolist()], dtype=np.int64)
-        self.need = size + 1 - Q * (self.edits + 1)
-
-    def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(probe, band) whose shared q-grams reach the lemma's bound."""
+        # of each item: its bytes, the bytes of its probes, their budget and bound
+        self.length = np.array([len(t) for t in self.texts], dtype=np.int64)
+        self.size = np.minimum(self.length, PROBE)
+        self.edits = np.array([budget(m) for m in self.size.tolist()], dtype=np.int64)
+        self.need = self.size + 1 - Q * (self.edits + 1)
+
+    @property
+    def probes(self) -> list[bytes]:
+        return [t[s:s + m] for t, m in zip(self.texts, self.size.tolist()) for s in range(0, len(t) - m + 1, STRIDE)]
+
+    @property
+    def owner(self) -> np.ndarray:
+        """Item ids of ``probes``."""
+        return np.repeat(self.ids, (self.length - self.size) // STRIDE + 1)
+
+    def candidates(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, band, shared q-grams) of probes that reach the
+        lemma's bound in a band; items by their place in ``texts``."""
+        none = (np.empty(0, np.int64),) * 4
         h = gram_hashes(raw)
         at = np.flatnonzero(self.maybe[(h & np.uint64((1 << 22) - 1)).astype(np.int64)]) if len(h) else np.empty(0, np.int64)
         if not len(at) or not len(self.gram):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return none
         g = np.minimum(np.searchsorted(self.gram, h[at]), len(self.gram) - 1)
         real = self.gram[g] == h[at]
         at, g = at[real], g[real]
         count = self.first[g + 1] - self.first[g]
         post = np.repeat(self.first[g] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        probe = self.probe[post]
-        diag = np.repeat(at, count) - self.offset[post]
+        item, offset = self.place[post], self.offset[post]
+        diag = np.repeat(at, count) - offset
         band = diag // BAND
-        low = diag % BAND < self.edits[probe]           # also in the overlap of the band below
-        probe, band = np.concatenate((probe, probe[low])), np.concatenate((band, band[low] - 1))
-        span = len(raw) // BAND + 2 * PROBE
-        key, n = np.unique(probe * (2 * span) + band + span, return_counts=True)
-        probe = key // (2 * span)
-        good = n >= self.need[probe]
-        return probe[good], (key % (2 * span) - span)[good]
-
-    def verify(self, raw: bytes, probe: np.ndarray, band: np.ndarray) -> np.ndarray:
+        low = diag % BAND < self.edits[item]            # also in the overlap of the band below
+        item, offset = np.concatenate((item, item[low])), np.concatenate((offset, offset[low]))
+        band = np.concatenate((band, band[low] - 1))
+        longest = int(self.length.max())
+        span = (len(raw) + longest) // BAND + 2
+        bands, key = np.unique(item * (2 * span) + band + span, return_inverse=True)
+        line = np.sort(key * (2 * longest) + offset)    # bands one after the other, by offset
+        key = line // (2 * longest)
+        item = bands[key] // (2 * span)
+        last = np.arange(len(line)) + self.need[item] - 1
+        fits = last < len(line)
+        line_end = line[np.minimum(last, len(line) - 1)]
+        k = np.flatnonzero(fits & (line_end // (2 * longest) == key) & (line_end - line <= self.size[item] - Q))
+        if not len(k):
+            return none
+        key, item = key[k], item[k]
+        reach = self.size[item] - Q                     # from the first q-gram of a probe to its last
+        low = np.maximum(line_end[k] - key * (2 * longest) - reach, 0)
+        high = np.minimum(line[k] - key * (2 * longest), self.length[item] - self.size[item])
+        # starts low..high of one hit after the other, each start of a band once
+        new = np.append(True, key[1:] != key[:-1])
+        low = np.where(new, low, np.maximum(low, np.append(0, high[:-1] + 1)))
+        n = np.maximum(high - low + 1, 0)
+        start = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        key, item, reach = np.repeat(key, n), np.repeat(item, n), np.repeat(reach, n)
+        head = key * (2 * longest) + start
+        shared = np.searchsorted(line, head + reach, "right") - np.searchsorted(line, head, "left")
+        return item, start, bands[key] % (2 * span) - span, shared
+
+    def verify(self, raw: bytes, item: np.ndarray, start: np.ndarray, band: np.ndarray) -> np.ndarray:
         """True where the probe is within its budget inside the band."""
-        out = np.zeros(len(probe), bool)
+        out = np.zeros(len(item), bool)
         text = np.frombuffer(raw, np.uint8)
-        for m in np.unique(self.size[probe]).tolist():
-            at = np.flatnonzero(self.size[probe] == m)
+        for m in np.unique(self.size[item]).tolist():
+            at = np.flatnonzero(self.size[item] == m)
             e = budget(m)
             d = np.arange(BAND + 3 * e + 1)
-            base = (band[at] * BAND - e)[:, None] + d           # diagonal: place in text minus place in probe
-            pat = np.frombuffer(b"".join(self.probes[p] for p in probe[at].tolist()), np.uint8).reshape(len(at), m)
+            base = (band[at] * BAND - e + start[at])[:, None] + d       # diagonal: place in text minus place in probe
+            pat = np.frombuffer(b"".join(self.texts[i][s:s + m] for i, s in zip(item[at].tolist(), start[at].tolist())),
+                                np.uint8).reshape(len(at), m)
             big = m + len(d) + 1
             cost = np.where((base >= 0) & (base <= len(text)), 0, big)
             for i in range(m):
@@ -162,6 +195,21 @@ class Index:
             out[at] = cost.min(axis=1) <= e
         return out
 
+    def held(self, raw: bytes) -> set[int]:
+        """Places of the items of which the text holds a probe: first the probe
+        of each item that shares most, then the others of items not yet found."""
+        item, start, band, shared = self.candidates(raw)
+        order = np.lexsort((-shared, item))
+        best = np.append(True, item[order][1:] != item[order][:-1]) if len(order) else np.empty(0, bool)
+        found: set[int] = set()
+        for todo in (order[best], order[~best]):
+            while len(todo):
+                now, todo = todo[:VERIFY], todo[VERIFY:]
+                now = now[~np.isin(item[now], list(found))]
+                if len(now):
+                    found.update(item[now[self.verify(raw, item[now], start[now], band[now])]].tolist())
+        return found
+
     def exact(self, raw: bytes) -> set[int]:
         """Short items that stand in the text between word boundaries."""
         out: set[int] = set()
@@ -178,9 +226,7 @@ class Index:
     def search(self, raw: bytes) -> list[int]:
         """Items of which the text holds a probe, and short items it holds."""
         out = self.exact(raw)
-        probe, band = self.candidates(raw)
-        if len(probe):
-            out.update(self.owner[probe[self.verify(raw, probe, band)]].tolist())
+        out.update(self.ids[list(self.held(raw))].tolist())
         return sorted(out)
 
 

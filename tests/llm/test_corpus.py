@@ -274,6 +274,18 @@ def test_decontaminate_rows(spark, frame, monkeypatch):
     assert D.decontaminate(df.limit(0), b).count() == 0
 
 
+def test_passages_of_a_probe_are_found():
+    """Any stretch of PROBE bytes is found, also with edits within its budget."""
+    rng = random.Random(24)
+    raw = D.normal(" ".join(prose_docs(rng, 9, False)))[:300]
+    index = D.Index([(1, raw), (2, raw[:60])])
+    for a in range(len(raw) - D.PROBE + 1):
+        piece = raw[a:a + D.PROBE]
+        assert 1 in index.search(b"q" * (a % 7) + piece + b"q")
+        assert 1 in index.search(b"z" * (a % 40) + edited(rng, piece.decode(), D.budget(D.PROBE)).encode() + b"z" * 9)
+        assert index.search(piece[:50]) == []
+
+
 def test_short_items_are_searched(spark, frame, scratch):
     """Items of 12 to 39 bytes by the lemma, shorter ones word for word; by
     the registered query and the pipeline's stage all of them."""
