@@ -110,6 +110,51 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, packed into sequences of 1024."""
+    import public_tokenizers
+
+    from qsig.llm.best_fit import pack
+
+    return pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024, end=2)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction of five filters over all documents, all 120 orders."""
+    from qsig.llm.filter_audit import audit
+
+    return audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of every tenth id hash with the words from a place drawn by
+    the hash on replaced by repeats of the first of them."""
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = "size(words)", "(h div 10)"
+    drawn = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    placed = drawn.withColumn("a", F.expr(f"case when {n} > 0 then {g} % {n} end")).withColumn(
+        "p", F.expr(f"1 + ({n} - a) div (3 + {g} % 8)"))
+    repeated = F.expr(f"transform(sequence(0, {n} - 1), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)])")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, every tenth with planted ones: their
+    number, the one with most turns, digests of all and of the rest."""
+    from qsig.llm.periodic_runs import periodic_runs
+
+    found = periodic_runs(with_planted_runs(_read(spark, sf_dir, "documents")))
+    best = F.expr("""aggregate(slice(runs, 2, greatest(size(runs) - 1, 0)), get(runs, 0),
+        (m, r) -> if(r.length * m.period > m.length * r.period, r, m))""")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -121,6 +166,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_best_fit": op11_best_fit,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
@@ -212,9 +260,84 @@ SELECT d.doc_id, coalesce(n, 0)::INT AS n_lines_removed,
 FROM {table} d LEFT JOIN left_ ON d.doc_id = left_.doc_id"""
 
 
+def _op12_sql(table: str = "documents", labels: str = "labels") -> str:
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM {table}),
+f AS (SELECT doc_id, part,
+             (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+             + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM {labels} GROUP BY doc_id),
+m AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT a.x || b.x || c3.x || c4.x || c5.x AS filter_order, [a.b, b.b, c3.b, c4.b, c5.b] AS bits
+      FROM c a, c b, c c3, c c4, c c5 WHERE a.b + b.b + c3.b + c4.b + c5.b = 31 AND a.b | b.b | c3.b | c4.b | c5.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+      FROM o, (SELECT unnest(range(1, 6))::INT AS step))
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (mask & (before | own) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * (120 // greatest(bit_count(mask::INT), 1))) FILTER (mask & own <> 0), 0)::BIGINT AS shapley
+FROM m, s GROUP BY part, filter_order, step"""
+
+
+def _op13_sql(table: str = "documents") -> str:
+    """Distances of neighbouring equal stretches of 2^k words, found for every
+    place by doubling, are tried as periods: a run of period q has a place
+    whose next equal stretch of q to 2q words (16 at least) is q words on."""
+    levels = [1 << k for k in range(15)]
+    doubled, last = [], "x"
+    for size in levels[1:]:
+        half = size // 2
+        doubled.append(f"""h{size} AS (SELECT rid, i, n, CASE WHEN i + {size} <= n THEN hash(v, lead(v, {half}) OVER
+      (PARTITION BY rid ORDER BY i)) END AS v FROM {last} WHERE n >= {size})""")
+        last = f"h{size}"
+    near = " UNION ".join(
+        f"""SELECT rid, d FROM (SELECT rid, n, lead(i) OVER (PARTITION BY rid, v ORDER BY i) - i AS d FROM h{size} WHERE v IS NOT NULL)
+      WHERE d <= {size} AND d > {size // 2 if size > 16 else 0} AND 3 * d <= n""" for size in levels[4:])
+    return rf"""
+WITH b AS (SELECT row_number() OVER () AS rid, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w0,
+           CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda c, y: list_reduce(list_prepend(xor(c, y), range(8)), lambda z, k: xor(z >> 1, (z & 1) * 3988292384)))) END AS h
+           FROM {table}),
+q AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w0) > 0 THEN (h // 10) % len(w0) END AS a FROM b),
+t AS (SELECT rid, doc_id, len(w0) AS n, CASE WHEN a IS NULL THEN w0 ELSE list_transform(range(len(w0)), lambda i:
+             w0[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w0) - a) // (3 + (h // 10) % 8)) END + 1)::INT]) END AS w FROM q),
+y AS (SELECT rid, n, unnest(w) AS word, unnest(range(n)) AS i FROM t),
+x AS (SELECT rid, i, n, hash(word) AS v FROM y WHERE n >= 24),
+{", ".join(doubled)},
+cand AS ({near}),
+same AS (SELECT c.rid, c.d, p.i, p.i - row_number() OVER (PARTITION BY c.rid, c.d ORDER BY p.i) AS g
+         FROM cand c JOIN y p ON p.rid = c.rid JOIN y r ON r.rid = c.rid AND r.i = p.i + c.d AND r.word = p.word),
+long AS (SELECT rid, min(i) AS start, count(*) + d AS length, d AS period FROM same GROUP BY rid, d, g
+         HAVING count(*) + d >= greatest(24, 3 * d)),
+runs AS (SELECT * FROM long l WHERE NOT EXISTS (SELECT 1 FROM long k WHERE k.rid = l.rid AND k.period < l.period
+         AND l.period % k.period = 0 AND k.start <= l.start AND k.start + k.length >= l.start + l.length)),
+per AS (SELECT rid, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS txt,
+        first({{'s': start, 'l': length, 'p': period}} ORDER BY length / period DESC, start, period) AS best FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT y.rid, y.i FROM y JOIN runs u ON u.rid = y.rid AND y.i >= u.start + u.period AND y.i < u.start + u.length),
+rest AS (SELECT y.rid, string_agg(word, ' ' ORDER BY y.i) AS txt FROM y LEFT JOIN gone ON gone.rid = y.rid AND gone.i = y.i
+         WHERE gone.i IS NULL GROUP BY y.rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period,
+       (1000 * best.l // best.p)::BIGINT AS exponent_milli, sha256(coalesce(per.txt, '')) AS runs_sha256,
+       sha256(coalesce(rest.txt, '')) AS collapsed_sha256
+FROM t LEFT JOIN per USING (rid) LEFT JOIN rest USING (rid)"""
+
+
 ORACLE: dict[str, str] = {
     "op4_warc": _op4_sql(),
     "op7_quality_rules": _op7_sql(),
     "op8_suffix_dedup": _op8_sql(),
     "op9_line_dedup": _op9_sql(),
+    "op12_filter_audit": _op12_sql(),
+    "op13_periodic_runs": _op13_sql(),
 }

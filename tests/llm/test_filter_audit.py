@@ -1,0 +1,127 @@
+"""Filter audit against a plain walk through all orders, and its SQL."""
+
+import itertools
+import random
+import re
+
+import duckdb
+import numpy as np
+
+from qsig.llm import filter_audit as A
+from qsig.llm.queries import _op12_sql
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def failed(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return ("A" * (len(words) < 200) + "B" * (100 * len(set(words)) < 50 * len(words))
+            + "C" * (100 * len(re.findall("[A-Z]", text)) > 3 * len(text)) + "D" * bool(re.search("[#$%&*|]", text)))
+
+
+def brute(docs, labels):
+    """docs: (doc_id, text, lang); rows of the audit by walking every order."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    least = {}
+    for i, t, _ in docs:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    marked = [(i, lang or "", failed(t or "") + "E" * (i is not None and i > least[t or ""])) for i, t, lang in docs]
+    out = []
+    for part in {m[1] for m in marked}:
+        mine = [m for m in marked if m[1] == part]
+        rows, total = [], dict.fromkeys("ABCDE", 0)
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [m for m in left if f in m[2]]
+                redundant = sum(f in m[2] for m in mine) - len(gone)
+                left = [m for m in left if f not in m[2]]
+                total[f] += len(gone)
+                rows.append((part, order, step, len(left), len(gone), redundant, sum(m[2] == f for m in mine),
+                             sum(m[0] in good for m in gone), sum(m[0] in toxic for m in gone), f))
+        out += [(*r[:-1], total[r[-1]]) for r in rows]
+    return sorted(out)
+
+
+COLS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def corpus(seed, n=400):
+    rng = random.Random(seed)
+    base = [" ".join(rng.choice("red green Blue x$ four five".split()) + str(rng.randrange(rng.choice([3, 900])))
+                     for _ in range(rng.choice([0, 3, 190, 200, 230]))) for _ in range(n // 3)]
+    docs = [(i, rng.choice(base + [None, ""]), rng.choice(["en", "de", None, ""])) for i in range(n)]
+    docs += [(5, docs[5][1], "en"), (5, docs[5][1], "en"), (None, base[0], "fr"), (None, base[0], "fr"), (-7, base[1], "en"),
+             (-(1 << 63), base[2], "de")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in range(0, n, 2)] + [(4, 1, 0), (4, 0, 1), (None, 1, 1)]
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    return d.selectExpr("*", "'c' AS part", "1 AS mask", "2 AS n", "3L AS h", "4 AS good", "'z' AS first"), spark.createDataFrame(
+        labels, LABELS).selectExpr("*", "1 AS mask", "'q' AS part")
+
+
+def test_audit_matches_brute_force_and_sql(spark):
+    docs, labels = corpus(1)
+    d, l = frames(spark, docs, labels)
+    got = sorted(tuple(r[c] for c in COLS) for r in A.audit(d, l).collect())
+    assert got == brute(docs, labels)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", docs)
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT, toxic INT)")
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", labels)
+    assert sorted(con.execute(f"SELECT {', '.join(COLS)} FROM ({_op12_sql()})").fetchall()) == got
+
+
+def test_counts_of_masks_say_all(spark):
+    docs, labels = corpus(2, 90)
+    rows = {(r.part, r.mask): r.n for r in A.mask_counts(*frames(spark, docs, labels)).collect()}
+    assert sum(rows.values()) == len(docs) and all(0 <= m < 32 for _, m in rows)
+
+
+def test_sketch_clears_unique_texts_only(spark):
+    """A small sketch lets some unique texts pass, but never clears a repeat;
+    with the production size hardly any unique text is shuffled."""
+    texts = [f"text {i}" for i in range(4000)] + ["text 7"] * 300 + ["text 8"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6)
+    hashes = docs.select(A._hash(docs["text"]).alias("h"))
+    for cells in (64, 1 << 12, A.cell_count(len(texts))):
+        bits = A.crowded(hashes, cells)
+        assert bits.nbytes * 8 >= cells
+        passed = [r.text for r in A.possible_repeats(docs, bits, cells).collect()]
+        assert passed.count("text 7") == 301 and passed.count("text 8") == 2
+        if cells > 1 << 12:
+            assert len(passed) < 303 + 40
+        firsts = {(r["first"], r["n"]) for r in A.repeated_texts(docs, bits, cells).collect()}
+        assert firsts == {(7, 301), (8, 2)}
+
+
+def test_cell_counts_do_not_depend_on_the_partitions(spark):
+    rng = np.random.default_rng(3)
+    h = spark.createDataFrame([(int(x),) for x in np.repeat(rng.integers(-(1 << 63), 1 << 63, 500), 1 + np.arange(500) % 3)], "h bigint")
+    crowded = [A.crowded(h.repartition(k), 1 << 14).tobytes() for k in (1, 3, 9)]
+    assert crowded[0] == crowded[1] == crowded[2]
+
+
+def test_sketch_size_is_bounded():
+    assert A.cell_count(0) == A.LEAST_CELLS and A.cell_count(10 ** 12) == A.MOST_CELLS
+    assert A.cell_count(100_000) == 1 << 21
+
+
+def test_empty_tables(spark):
+    d, l = frames(spark, [], [])
+    assert A.audit(d, l).count() == 0
+    one, _ = frames(spark, [(1, None, None)], [])
+    rows = A.audit(one, l).collect()
+    assert len(rows) == 600 and {r.part for r in rows} == {""} and sum(r.removed for r in rows) == 120
+
+
+def test_very_long_text(spark):
+    docs = [(1, "word " * 400_000, "en"), (2, "word " * 400_000, "en"), (3, "word " * 399_999, "en")]
+    got = sorted(tuple(r[c] for c in COLS) for r in A.audit(*frames(spark, docs, [])).collect())
+    assert got == brute(docs, [])
