@@ -1,11 +1,11 @@
 """Per-query score normalisation and exact order-statistic features.
 
-The group size is counted first (partial aggregation; a hot query costs one
-row per map task).  Sizes and statistics are joined back with ``join_groups``,
-which handles the rows of a hot query in the tasks that read them, so a query
-with any share of the rows is kept or dropped without meeting in one task.
-Groups outside [lo, hi] are dropped *before* any list is built, so every
-collected group holds at most ``hi`` (12,000) entries.
+Size, mean and standard deviation of every group are counted first, in one
+table (partial aggregation; a hot query costs one row per map task), and joined
+back with ``join_groups``: one scan of the rows and one join, in which a query
+with any share of the rows is cut by salts, or dropped where it is read if its
+size is out of range.  Groups outside [lo, hi] are gone *before* any list is
+built, so every collected group holds at most ``hi`` (12,000) entries.
 
 Semantics follow the reference: z = (x - mean) / population std; fractiles
 are the values at 0-based positions floor(n/4), floor(n/2), floor(0.75 n) of
@@ -36,25 +36,32 @@ def group_sizes(df: DataFrame, by: str = "query") -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("num"))
 
 
-def size_filter(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by: str = "query") -> DataFrame:
-    """rows of groups with ``lo <= num <= hi``, with ``num`` attached."""
-    return join_groups(df, group_sizes(df, by), [by], "num").where(F.col("num").between(lo, hi))
+def score_stats(df: DataFrame, by: str = "query", score: str = "score") -> DataFrame:
+    """One row per group: ``num`` rows, ``mean`` and population ``std`` of the
+    scores that are not null."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("num"), F.avg(score).alias("mean"),
+                              F.stddev_pop(score).alias("std"))
 
 
-def score_stats(df: DataFrame, by: str = "query", score: str = "score") -> DataFrame:
-    return df.groupBy(by).agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"),
-                              F.count(F.lit(1)).alias("n"))
+def size_filter(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by: str = "query") -> DataFrame:
+    """rows of groups with ``lo <= num <= hi``, with ``num`` attached."""
+    return join_groups(df, group_sizes(df, by), [by], "num", F.col("num").between(lo, hi))
 
 
 def _z(x, stats_mean="mean", stats_std="std"):
     return F.try_divide(x - F.col(stats_mean), F.when(F.col(stats_std) != 0, F.col(stats_std)))
 
 
+def _scored(df: DataFrame, by: str, score: str, out: str, keep=None) -> DataFrame:
+    """``df`` with ``out``, the z-score, by one join with the table of groups."""
+    stats = score_stats(df, by, score).withColumnsRenamed({"mean": "__mean", "std": "__std", "num": "__num"})
+    joined = join_groups(df, stats, [by], "__num", keep)
+    return joined.withColumn(out, _z(F.col(score), "__mean", "__std")).drop("__mean", "__std", "__num")
+
+
 def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z") -> DataFrame:
     """adds ``out`` = (score - mean) / population std within ``by``."""
-    joined = join_groups(df, score_stats(df, by, score).withColumnsRenamed({"mean": "__mean", "std": "__std", "n": "__n"}),
-                         [by], "__n")
-    return joined.withColumn(out, _z(F.col(score), "__mean", "__std")).drop("__mean", "__std", "__n")
+    return _scored(df, by, score, out)
 
 
 def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = MIN_GROUP,
@@ -74,18 +81,20 @@ def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int =
     return g.select(*cols)
 
 
+def _lowest(z: DataFrame, by: str, sku: str, score: str) -> DataFrame:
+    return z.where(F.col(score).isNotNull()).groupBy(by, sku).agg(F.min("z").alias("z"))
+
+
 def score_map_long(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score") -> DataFrame:
     """F5 long form: ``(query, sku, z)``; a repeated sku keeps its lowest z."""
-    z = zscore(df.where(F.col(score).isNotNull()), by, score)
-    return z.groupBy(by, sku).agg(F.min("z").alias("z"))
+    return _lowest(_scored(df, by, score, "z"), by, sku, score)
 
 
 def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score", lo: int = MIN_GROUP,
               hi: int = MAX_GROUP) -> DataFrame:
     """``(query, sku_score_normal map<string,double>)`` for groups with
     ``lo <= num <= hi`` (so a map holds at most ``hi`` entries)."""
-    rows = size_filter(df, lo, hi, by)
-    longf = score_map_long(rows, by, sku, score)
+    longf = _lowest(_scored(df, by, score, "z", F.col("__num").between(lo, hi)), by, sku, score)
     m = F.map_from_entries(F.collect_list(F.struct(F.col(sku), F.col("z"))))
     return longf.groupBy(by).agg(m.alias("sku_score_normal"))
 
@@ -94,8 +103,8 @@ def query_features(df: DataFrame, lo: int = MIN_GROUP, hi: int = MAX_GROUP, by:
                    sku: str = "sku", score: str = "score") -> DataFrame:
     """the reference's 9-column row per query with lo <= num <= hi.
 
-    Two passes over the input: group sizes (partial aggregate), then one
-    grouping of the kept queries that yields mean and population std
+    Two passes over the input: group sizes (partial aggregate), then one scan
+    and grouping of the kept queries that yields mean and population std
     (built-in aggregates), the descending scores and a bounded (sku, score)
     list; z values and the de-duplicated sku → z map are array expressions on
     that list — no further joins or shuffles.

@@ -182,17 +182,86 @@ def partition_path(spark: SparkSession, path: str, **keys: str) -> str:
     return "/".join([path.rstrip("/"), *[f"{esc(k)}={esc(str(v))}" for k, v in keys.items()]])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system of ``path``, function from text to a path of it)."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, jvm.org.apache.hadoop.fs.Path
+
+
+def _move(fs, src, dst) -> None:
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {src} to {dst}")
+
+
+class replacing:
+    """Context manager that replaces one partition after a write succeeded.
+
+        with replacing(spark, path, dt=dt) as folder:
+            df.write.orc(folder)
+
+    The new rows are written to a folder beside the partitions, whose name
+    readers of the table skip.  Only when that is complete do the old rows
+    move aside, the new ones into place, and the old ones go: two renames, for
+    whose time the partition is not there.  A write that fails leaves the old
+    rows as they were.  If the driver ends between the renames, the old rows
+    wait under ``_kept`` and the next replacement of the partition puts them
+    back first.  On a store whose renames copy, the moves take as long as
+    copying.  A partition has one writer at a time."""
+
+    def __init__(self, spark: SparkSession, path: str, **keys: str):
+        import uuid
+
+        self.fs, make = _hadoop(spark, path)
+        root, target = path.rstrip("/"), partition_path(spark, path, **keys)
+        self.target = make(target)
+        self.kept = make(root + "/_kept" + target[len(root):])
+        self.work = make(f"{root}/_new-{uuid.uuid4().hex}")
+        self.folder = make(f"{self.work}/rows")
+
+    def __enter__(self) -> str:
+        if self.fs.exists(self.kept):
+            if self.fs.exists(self.target):
+                self.fs.delete(self.kept, True)         # replaced, but not cleared away
+            else:
+                _move(self.fs, self.kept, self.target)
+        return str(self.folder)
+
+    def __exit__(self, kind, error, trace) -> bool:
+        try:
+            if kind is None:
+                self._swap()
+        finally:
+            self.fs.delete(self.work, True)
+        return False
+
+    def _swap(self) -> None:
+        old = self.fs.exists(self.target)
+        if old:
+            _move(self.fs, self.target, self.kept)
+        try:
+            _move(self.fs, self.folder, self.target)
+        except Exception:
+            if old:
+                _move(self.fs, self.kept, self.target)
+            raise
+        if old:
+            self.fs.delete(self.kept, True)
+
+
 def overwrite_partition(df: DataFrame, path: str, schema: T.StructType | None = None,
                         fmt: str = "orc", **keys: str) -> None:
     """Replace exactly the ``keys`` partition of the table at ``path``.
 
     Creates the table directory if absent; other partitions are untouched.
-    The partition's own folder is written, so an empty result empties it.
-    Rerunning gives the same partition.
+    The old rows stay readable until the new ones are written, and stay for
+    good if that fails; ``df`` may read the partition it replaces.  An empty
+    result empties the partition.  Rerunning gives the same partition.
     """
     out = (conform(df, schema) if schema is not None else df).drop(*keys)
-    (out.write.mode("overwrite").option("compression", "snappy").format(fmt)
-     .save(partition_path(df.sparkSession, path, **keys)))
+    with replacing(df.sparkSession, path, **keys) as folder:
+        out.write.option("compression", "snappy").format(fmt).save(folder)
 
 
 def append_partition(df: DataFrame, path: str, schema: T.StructType | None = None,
@@ -225,9 +294,10 @@ def encode_neighbours(df: DataFrame, key: str = "cid3", neighbour: str = "neighb
 
 
 def write_tsv_partition(df: DataFrame, path: str, dt: str = "active") -> None:
-    """S9 (load): tab-separated text as the partition ``dt``; no quoting."""
-    (df.write.mode("overwrite").option("sep", "\t").option("quote", "").option("escape", "")
-     .option("emptyValue", "").csv(partition_path(df.sparkSession, path, dt=dt)))
+    """S9 (load): tab-separated text as the partition ``dt``; no quoting.  The
+    partition is replaced as in ``overwrite_partition``."""
+    with replacing(df.sparkSession, path, dt=dt) as folder:
+        df.write.option("sep", "\t").option("quote", "").option("escape", "").option("emptyValue", "").csv(folder)
 
 
 def read_tsv_partition(spark: SparkSession, path: str, schema: T.StructType, dt: str = "active") -> DataFrame:

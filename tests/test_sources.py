@@ -31,6 +31,70 @@ def test_empty_overwrite_empties_the_partition(spark, scratch):
     assert io.read_partition(spark, path, SCHEMA, dt="a=b/c d", dp="p").count() == 1
 
 
+def failing(df):
+    """``df`` with a last row whose computation raises in its task."""
+    bad = df.limit(1).withColumn("query", F.when(F.lit(True), F.raise_error(F.lit("broken row")).cast("string")))
+    return df.unionByName(bad)
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, scratch):
+    import os
+
+    import pytest
+
+    path = f"{scratch}/kept"
+    old = spark.createDataFrame([("1", "x"), ("2", "y")], SCHEMA)
+    io.overwrite_partition(old, path, SCHEMA, dt="d", version="v/1")
+    for _ in range(2):
+        with pytest.raises(Exception, match="broken row"):
+            io.overwrite_partition(failing(old), path, SCHEMA, dt="d", version="v/1")
+        got = io.read_partition(spark, path, SCHEMA, dt="d", version="v/1").select("sku", "query")
+        assert sorted(map(tuple, got.collect())) == [("1", "x"), ("2", "y")]
+    with pytest.raises(Exception, match="broken row"):
+        io.overwrite_partition(failing(old), path, SCHEMA, dt="new", version="v/1")
+    assert io.read_partition(spark, path, SCHEMA, dt="new", version="v/1").count() == 0
+    tsv = old.withColumnsRenamed({"sku": "cid3", "query": "score_top200"})
+    schema = T.StructType([T.StructField("cid3", T.StringType()), T.StructField("score_top200", T.StringType())])
+    io.write_tsv_partition(tsv, f"{scratch}/keptsv")
+    with pytest.raises(Exception, match="broken row"):
+        io.write_tsv_partition(failing(old), f"{scratch}/keptsv")
+    assert io.read_tsv_partition(spark, f"{scratch}/keptsv", schema).count() == 2
+    for folder in (path, f"{scratch}/keptsv"):              # nothing is left beside the partitions
+        assert not [f for f in os.listdir(folder) if f.startswith("_new")]
+
+
+def test_overwrite_may_read_its_own_partition(spark, scratch):
+    path = f"{scratch}/own"
+    io.overwrite_partition(spark.createDataFrame([("1", "x"), ("2", "y")], SCHEMA), path, SCHEMA, dt="d")
+    for _ in range(2):
+        rows = io.read_partition(spark, path, SCHEMA, dt="d").select((F.col("sku") + 1).cast("string").alias("sku"), "query")
+        io.overwrite_partition(rows, path, SCHEMA, dt="d")
+    got = io.read_partition(spark, path, SCHEMA, dt="d").select("sku", "query")
+    assert sorted(map(tuple, got.collect())) == [("3", "x"), ("4", "y")]
+
+
+def test_replacement_broken_off_between_its_moves_is_undone(spark, scratch):
+    """The driver ended with the old rows moved aside: the next replacement
+    starts from them; one that ended before clearing away changes nothing."""
+    import os
+
+    import pytest
+
+    path = f"{scratch}/undone"
+    io.overwrite_partition(spark.createDataFrame([("1", "x")], SCHEMA), path, SCHEMA, dt="d", dp="p")
+    os.makedirs(f"{path}/_kept/dt=d")
+    os.rename(f"{path}/dt=d/dp=p", f"{path}/_kept/dt=d/dp=p")
+    assert io.read_partition(spark, path, SCHEMA, dt="d", dp="p").count() == 0
+    with pytest.raises(ValueError):
+        with io.replacing(spark, path, dt="d", dp="p"):
+            raise ValueError
+    assert io.read_partition(spark, path, SCHEMA, dt="d", dp="p").count() == 1
+    os.makedirs(f"{path}/_kept/dt=d/dp=p")
+    io.overwrite_partition(spark.createDataFrame([("8", "y"), ("9", "z")], SCHEMA), path, SCHEMA, dt="d", dp="p")
+    assert io.read_partition(spark, path, SCHEMA, dt="d", dp="p").count() == 2
+    assert not os.path.exists(f"{path}/_kept/dt=d/dp=p")
+
+
 def test_append_partition_doubles(spark, scratch):
     path = f"{scratch}/app"
     a = spark.createDataFrame([("1", "x")], SCHEMA)
