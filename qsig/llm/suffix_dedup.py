@@ -19,10 +19,21 @@ token (eight bytes from the gram on, then gram and context) with splitters
 from a bounded sample; each bucket is sorted by multikey quicksort, and
 repeats are found between neighbours.  Splitters go down to the document, so a
 passage with any number of copies is cut into even buckets; the groups at the
-two ends of a bucket are compared once more across boundaries.  In the second
-round the windows themselves are sorted by all their bytes, so a removal
-always rests on equal bytes or on equal contexts (two independent 64-bit
-hashes plus eight literal bytes).
+two ends of a bucket are compared once more across boundaries.
+
+In the second round the windows themselves are sorted by all their bytes.  The
+windows of a group that is cut go across boundaries in pieces: those with the
+gram at about the same offset (``STEP`` offsets) share a core, the bytes that
+all windows with the gram there have.  Pieces whose windows all have an equal
+one in their bucket stay, equal pieces go once, and only where a core is in
+two buckets are its pieces compared window by window.  So one gram in any
+number of different contexts costs a few short rows for each.
+
+A removal in the second round rests on equal bytes.  In the first it rests on
+eight literal bytes and two 64-bit hashes, of the gram and of the context, that
+mix the same eight-byte words by different sums.  They are not independent;
+counting on one alone, a false repeat among n contexts has a chance of about
+n^2 / 2^65 for a gram's n contexts, as only those are compared.
 """
 
 from __future__ import annotations
@@ -35,7 +46,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from qsig.llm.support import partitions
+from qsig.llm.support import join_counted, partitions
 from qsig.sources import io
 
 LENGTH = 100
@@ -45,6 +56,7 @@ SAMPLE_DOCS = 3000          # documents whose suffixes give the splitters
 SAMPLE_RUNS = 64            # suffixes taken from each of them
 BUCKET_ROWS = 250_000       # rows of a bucket the splitters aim at
 BUCKET_WINDOWS = 400_000    # windows of a bucket in the second round
+STEP = 10                   # offsets of the gram in a piece that goes across boundaries
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(1 << 63)
 
@@ -73,6 +85,17 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
+def _grams(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed eight-byte words from every byte on, and hashes of the K-byte
+    grams."""
+    words = _mix(np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,)))
+    m = len(raw) - K + 1
+    h = words[:m].copy()
+    for j in range(8, K, 8):
+        h = h * _ODD + words[j:j + m]
+    return words, _mix(h)
+
+
 def runs(raw: bytes, powers: _Powers, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Runs of windows of one text: ``lead`` (first eight bytes from the gram
     on), ``gram``, ``context`` (hashes), ``start`` (first window), ``last``
@@ -81,12 +104,8 @@ def runs(raw: bytes, powers: _Powers, length: int = LENGTH) -> dict[str, np.ndar
     n = len(raw)
     if n < length:
         return {}
-    grams = _mix(np.ndarray((n - 7,), "<u8", raw, 0, (1,)))
+    grams, h = _grams(raw)
     m, w = n - K + 1, length - K + 1
-    h = grams[:m].copy()
-    for j in range(8, K, 8):
-        h = h * _ODD + grams[j:j + m]
-    h = _mix(h)
     low, span = h, 1
     while span * 2 <= w:
         low = np.minimum(low[:-span], low[span:])
@@ -174,13 +193,16 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _source(docs: DataFrame) -> DataFrame:
-    """(doc, tie, text): null ids first; the hash of the text tells documents
-    of one id apart."""
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc"),
-                       F.hash("text").alias("tie"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """(doc_id, doc, tie, text): a 63-bit hash of the text tells documents of
+    one id apart; null ids have the least ``doc`` and a negative ``tie``, so
+    they come first, also before a document of that id."""
+    own = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    return docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc"),
+                       F.when(F.col("doc_id").isNull(), F.bitwise_not(own)).otherwise(own).alias("tie"),
+                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-_RUNS = "lead bigint, gram bigint, context bigint, doc bigint, tie int, start int, span int, inner boolean"
+_RUNS = "lead bigint, gram bigint, context bigint, doc bigint, tie bigint, start int, span int, inner boolean"
 
 
 def _run_rows(src: DataFrame, splitters, most: int | None, length: int) -> DataFrame:
@@ -206,7 +228,7 @@ def _run_rows(src: DataFrame, splitters, most: int | None, length: int) -> DataF
                     at = slice(0, None, -(-len(r["start"]) // most))
                 got = pd.DataFrame({
                     "lead": _signed(r["lead"][at]), "gram": _signed(r["gram"][at]), "context": _signed(r["context"][at]),
-                    "doc": np.int64(doc), "tie": np.int32(tie), "start": r["start"][at].astype(np.int32),
+                    "doc": np.int64(doc), "tie": np.int64(tie), "start": r["start"][at].astype(np.int32),
                     "span": (r["last"] - r["start"])[at].astype(np.int32), "inner": r["inner"][at]})
                 parts.append(got)
                 rows += len(got)
@@ -243,7 +265,7 @@ def _first_round(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pdf.drop(columns=["bucket", "inner"])
 
 
-_FOUND = "lead bigint, gram bigint, context bigint, doc bigint, tie int, start int, span int, kind int"
+_FOUND = "lead bigint, gram bigint, context bigint, doc bigint, tie bigint, start int, span int, kind int"
 
 
 def _windows(raws: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -265,10 +287,27 @@ def _windows(raws: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, li
     return np.concatenate(row), np.concatenate(offset), [whole[:, k].astype(np.uint64) for k in range(width // 8)]
 
 
+def _pieces(raw: bytes, gram: np.uint64, length: int) -> list[tuple[int, int, bytes]]:
+    """(first window, last window, core) of the pieces of a context.  Windows
+    go by the offset of the first gram in them: equal windows have it at one
+    offset, so they are in pieces of one core."""
+    w, span, low, out = length - K + 1, len(raw) - length, 0, []
+    for g in np.flatnonzero(_grams(raw)[1] == gram).tolist():
+        a, b = max(low, g - w + 1), min(g, span)
+        low = g + 1
+        for j in range((g - b) // STEP, (g - a) // STEP + 1) if a <= b else ():
+            core = raw[g - j * STEP:g - min((j + 1) * STEP, w) + 1 + length]
+            out.append((max(a, g - (j + 1) * STEP + 1), min(b, g - j * STEP), bytes([j % 256]) + core))
+    return out
+
+
+_WINDOWS = "doc bigint, tie bigint, start int, span int, bucket int, core binary, raw binary"
+
+
 def _second_round(length: int):
     """One bucket of contexts: repeated windows as (doc, tie, start, span)
-    with no key; firsts of the groups at the bucket's ends with their bytes as
-    key, to be compared across boundaries."""
+    without a core; of the groups at the bucket's ends the pieces that hold a
+    first window, with core and bytes, to be compared across boundaries."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [p for p in batches if len(p)]
@@ -277,10 +316,11 @@ def _second_round(length: int):
         pdf = pd.concat(parts, ignore_index=True).drop_duplicates(["doc", "tie", "start"], ignore_index=True)
         lead, gram = _unsigned(pdf["lead"]), _unsigned(pdf["gram"])
         order, _ = multikey_quicksort([lead, gram])
-        pdf, group = pdf.iloc[order], np.cumsum(_heads([lead[order], gram[order]]))
-        row, offset, tokens = _windows(list(pdf["raw"]), length)
-        doc, tie = _unsigned(pdf["doc"])[row], pdf["tie"].to_numpy()[row]
-        start = pdf["start"].to_numpy()[row] + offset
+        pdf, gram, group = pdf.iloc[order], gram[order], np.cumsum(_heads([lead[order], gram[order]]))
+        raws, bucket = list(pdf["raw"]), np.int32(pdf["bucket"].iloc[0])
+        row, offset, tokens = _windows(raws, length)
+        whose, from_ = _unsigned(pdf["doc"]), pdf["start"].to_numpy()
+        doc, tie, start = whose[row], pdf["tie"].to_numpy()[row], from_[row] + offset
         order, equal = multikey_quicksort(tokens + [doc, tie, start], len(tokens))
         head = ~equal                                                   # common prefix with the row before is shorter
         top = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
@@ -294,18 +334,51 @@ def _second_round(length: int):
             at = np.flatnonzero(new)
             end = np.append(at[1:], len(hit)) - 1
             yield pd.DataFrame({"doc": _signed(d[at]), "tie": t[at], "start": s[at].astype(np.int32),
-                                "span": (s[end] - s[at]).astype(np.int32), "bytes": None})
-        ends = (group == 1) | (group == group[-1])
-        edge = order[head & ends[row[order]]]
-        for at in range(0, len(edge), 20_000):
-            e = edge[at:at + 20_000]
-            keys = np.ascontiguousarray(np.stack([t[e] for t in tokens], axis=1).astype(">u8")).view(np.uint8)[:, :length]
-            yield pd.DataFrame({"doc": _signed(doc[e]), "tie": tie[e], "start": start[e].astype(np.int32), "span": np.int32(0),
-                                "bytes": [k.tobytes() for k in keys]})
+                                "span": (s[end] - s[at]).astype(np.int32), "bucket": bucket, "core": None, "raw": None})
+        # heads of each context of the groups at the ends
+        at_end = (group == 1) | (group == group[-1])
+        heads = order[head & at_end[row[order]]]
+        heads = heads[np.lexsort((offset[heads], row[heads]))]
+        cut = np.flatnonzero(_heads([row[heads]])) if len(heads) else np.empty(0, np.int64)
+        rows, known = [], set()
+        for own in np.split(heads, cut[1:]) if len(heads) else ():
+            k = int(row[own[0]])
+            for s1, s2, core in _pieces(raws[k], gram[k], length):
+                piece = raws[k][s1:s2 + length]
+                if np.searchsorted(offset[own], s1) < np.searchsorted(offset[own], s2, "right") and (core, piece) not in known:
+                    known.add((core, piece))
+                    rows.append((_signed(whose[k:k + 1])[0], pdf["tie"].iloc[k], from_[k] + s1, s2 - s1, bucket, core, piece))
+            if len(rows) > 20_000:
+                yield pd.DataFrame(rows, columns=["doc", "tie", "start", "span", "bucket", "core", "raw"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["doc", "tie", "start", "span", "bucket", "core", "raw"])
 
     return run
 
 
+def _across(pieces: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (doc, tie, start, span) among the pieces whose core is
+    in two buckets."""
+    shared = io.stage(pieces.groupBy("core").agg(F.min("bucket").alias("least"), F.max("bucket").alias("most"),
+                                                 F.count(F.lit(1)).alias("n"))
+                      .where("least < most").select("core", "n"), "suffix-cores")
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 2_000):
+                some = pdf.iloc[at:at + 2_000]
+                row, offset, tokens = _windows(list(some["raw"]), length)
+                keys = np.ascontiguousarray(np.stack(tokens, axis=1).astype(">u8")).view(np.uint8)[:, :length]
+                yield pd.DataFrame({"doc": some["doc"].to_numpy()[row], "tie": some["tie"].to_numpy()[row],
+                                    "start": (some["start"].to_numpy()[row] + offset).astype(np.int32), "span": np.int32(0),
+                                    "bytes": [k.tobytes() for k in keys]})
+
+    windows = join_counted(pieces, shared, ["core"], "n").select("doc", "tie", "start", "raw").mapInPandas(
+        expand, "doc bigint, tie bigint, start int, span int, bytes binary")
+    order = Window.partitionBy("bytes").orderBy("doc", "tie", "start")
+    return windows.withColumn("r", F.rank().over(order)).where("r > 1").select("doc", "tie", "start", "span")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, tie, start, span): the windows start .. start + span of a
     document (see ``_source``) are repeats of earlier ones.  Spans may
@@ -351,12 +424,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             pdf["bucket"] = np.searchsorted(shared2.value, keys, "right").astype(np.int32) if len(shared2.value) else np.int32(0)
             yield pdf
 
-    contexts = one.mapInPandas(bucket, "doc bigint, tie int, lead bigint, gram bigint, start int, raw binary, bucket int")
+    contexts = one.mapInPandas(bucket, "doc bigint, tie bigint, lead bigint, gram bigint, start int, raw binary, bucket int")
     windows = io.stage(contexts.repartitionById(len(cut2) + 1, F.col("bucket")).mapInPandas(
-        _second_round(length), "doc bigint, tie int, start int, span int, bytes binary"), "suffix-windows")
-    across = Window.partitionBy("bytes").orderBy("doc", "tie", "start")
-    return (repeats.unionByName(windows.where("bytes is null").select(*where))
-            .unionByName(windows.where("bytes is not null").withColumn("r", F.rank().over(across)).where("r > 1").select(*where)))
+        _second_round(length), _WINDOWS), "suffix-windows")
+    return (repeats.unionByName(windows.where("core is null").select(*where))
+            .unionByName(_across(windows.where("core is not null"), length)))
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, texts: bool = False) -> DataFrame:
@@ -370,10 +442,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, texts: bool = False) ->
     are not read."""
     if length < K + 8:
         raise ValueError(f"length must be at least {K + 8}")
-    spans = repeated_spans(docs, length).groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "span")).alias("cut"))
-    joined = _source(docs).withColumn("doc_id", F.when(F.col("doc") != -(1 << 63), F.col("doc"))).join(
-        spans, ["doc", "tie"], "left").select(
-        "doc_id", "text", F.transform("cut", lambda x: x["start"]).alias("start"),
+    # written, so that rows of one id and text, however many, can be split in the join
+    spans = io.stage(repeated_spans(docs, length).groupBy("doc", "tie")
+                     .agg(F.collect_set(F.struct("start", "span")).alias("cut")), "suffix-cuts")
+    joined = _source(docs).join(spans, ["doc", "tie"], "left").select(
+        F.col("doc_id").cast("string").alias("id"), "text", F.transform("cut", lambda x: x["start"]).alias("start"),
         F.transform("cut", lambda x: x["start"] + x["span"] + F.lit(length)).alias("end"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -394,8 +467,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, texts: bool = False) ->
                 left = b"".join(kept)
                 rows.append((len(raw), gone, spans_, hashlib.sha256(left).hexdigest(), *([left] if texts else [])))
             out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts)
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
+            out.insert(0, "id", pdf["id"].to_numpy())
             yield out
 
-    return joined.mapInPandas(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-                              + ", kept binary" * texts)
+    out = joined.mapInPandas(run, "id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+                             + ", kept binary" * texts)
+    return out.select(F.col("id").cast("bigint").alias("doc_id"), *out.columns[1:])
