@@ -52,16 +52,19 @@ def _z(x, stats_mean="mean", stats_std="std"):
     return F.try_divide(x - F.col(stats_mean), F.when(F.col(stats_std) != 0, F.col(stats_std)))
 
 
-def _scored(df: DataFrame, by: str, score: str, out: str, keep=None) -> DataFrame:
-    """``df`` with ``out``, the z-score, by one join with the table of groups."""
+def _scored(df: DataFrame, by: str, score: str, out: str, sizes: tuple[int, int] | None) -> DataFrame:
+    """``df`` with ``out``, the z-score, by one join with the table of groups;
+    with ``sizes`` only groups of that many rows."""
     stats = score_stats(df, by, score).withColumnsRenamed({"mean": "__mean", "std": "__std", "num": "__num"})
-    joined = join_groups(df, stats, [by], "__num", keep)
+    joined = join_groups(df, stats, [by], "__num", F.col("__num").between(*sizes) if sizes else None)
     return joined.withColumn(out, _z(F.col(score), "__mean", "__std")).drop("__mean", "__std", "__num")
 
 
-def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z") -> DataFrame:
-    """adds ``out`` = (score - mean) / population std within ``by``."""
-    return _scored(df, by, score, out)
+def zscore(df: DataFrame, by: str = "query", score: str = "score", out: str = "z",
+           sizes: tuple[int, int] | None = None) -> DataFrame:
+    """adds ``out`` = (score - mean) / population std within ``by``; with
+    ``sizes`` = (lo, hi) of the groups that F2 keeps, in the same join."""
+    return _scored(df, by, score, out, sizes)
 
 
 def fractiles(df: DataFrame, by: str = "query", score: str = "score", lo: int = MIN_GROUP,
@@ -85,16 +88,17 @@ def _lowest(z: DataFrame, by: str, sku: str, score: str) -> DataFrame:
     return z.where(F.col(score).isNotNull()).groupBy(by, sku).agg(F.min("z").alias("z"))
 
 
-def score_map_long(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score") -> DataFrame:
+def score_map_long(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score",
+                   sizes: tuple[int, int] | None = None) -> DataFrame:
     """F5 long form: ``(query, sku, z)``; a repeated sku keeps its lowest z."""
-    return _lowest(_scored(df, by, score, "z"), by, sku, score)
+    return _lowest(_scored(df, by, score, "z", sizes), by, sku, score)
 
 
 def score_map(df: DataFrame, by: str = "query", sku: str = "sku", score: str = "score", lo: int = MIN_GROUP,
               hi: int = MAX_GROUP) -> DataFrame:
     """``(query, sku_score_normal map<string,double>)`` for groups with
     ``lo <= num <= hi`` (so a map holds at most ``hi`` entries)."""
-    longf = _lowest(_scored(df, by, score, "z", F.col("__num").between(lo, hi)), by, sku, score)
+    longf = score_map_long(df, by, sku, score, (lo, hi)).where(F.col(sku).isNotNull())
     m = F.map_from_entries(F.collect_list(F.struct(F.col(sku), F.col("z"))))
     return longf.groupBy(by).agg(m.alias("sku_score_normal"))
 

@@ -6,11 +6,9 @@ index — an equi-join on the index, no pairs enumerated.  Draws are md5 of
 (name, draw number, seed): reproducible for any partitioning and on retry.
 
 Positives: consecutive names along a path.  Names are de-duplicated per path
-(first position kept).  When every path fits a task (checked) one ``lead``
-window pairs each name with its successor; otherwise paths are numbered with
-the distributed ordinal (a very long path is split over many tasks) and
-joined to their successor on (pathid, position + 1) — a unique key, so
-nothing is skewed.
+(first position kept); paths are cut into slices of (path, position), so a very
+long path is split over many tasks, and each name finds its successor within
+its slice or as the first name of the next.
 """
 
 from __future__ import annotations
@@ -64,7 +62,7 @@ def negative_pairs(df: DataFrame, k: int = NEGATIVES_PER_NAME, seed: int = 0, dr
     once.  Self pairs and repeated pairs are kept unless ``drop_self``."""
     names = stage(distinct_names(df, col), "distinct_names")
     draws = _draws(names, k, seed, col)
-    idx = ordering.dense_index(names, col, "idx").select(F.col("idx").alias("draw"), F.col(col).alias("query_2"))
+    idx = ordering.index_of(names, col, "idx").select(F.col("idx").alias("draw"), F.col(col).alias("query_2"))
     out = draws.join(idx, "draw").select(F.col(col).alias("query_1"), "query_2",
                                          F.lit(0).alias("label"))
     return out.where(F.col("query_1") != F.col("query_2")) if drop_self else out
@@ -86,20 +84,17 @@ def path_list(df: DataFrame, order_col: str | None = None) -> DataFrame:
     path of unbounded length into one value, and a long path is numbered by
     the distributed ordinal."""
     m = _path_members(df, order_col)
-    ranked = ordering.rank_within(m, ["pathid"], [F.col("ord").asc(), F.col("name").asc()], "pos")
+    ranked = ordering.rank_within(m, ["pathid"], [ordering.asc("ord"), ordering.asc("name")], "pos")
     return ranked.select("pathid", "pos", "name")
 
 
 def positive_pairs(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """``(query_1, query_2, label=1)`` for consecutive names of a path.
 
-    Paths are numbered with the distributed ordinal and each name is joined to
-    its successor on the unique (pathid, pos), so a path of any length is
-    split over many tasks."""
-    ranked = stage(path_list(df, order_col), "path-list")
-    a = ranked.select("pathid", "pos", F.col("name").alias("query_1"))
-    b = ranked.select("pathid", (F.col("pos") - 1).alias("pos"), F.col("name").alias("query_2"))
-    return a.join(b, ["pathid", "pos"]).select("query_1", "query_2", F.lit(1).alias("label"))
+    A path of any length is split over many tasks (``ordering.successors``)."""
+    nexts = ordering.successors(_path_members(df, order_col), ["pathid"], [ordering.asc("ord"), ordering.asc("name")],
+                                "name", "query_2")
+    return nexts.where(F.col("query_2").isNotNull()).select(F.col("name").alias("query_1"), "query_2", F.lit(1).alias("label"))
 
 
 def labelled_pairs(df: DataFrame, k: int = NEGATIVES_PER_NAME, seed: int = 0, order_col: str | None = None) -> DataFrame:

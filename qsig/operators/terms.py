@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qsig.fixed import TERM_SEP
-from qsig.operators.ordering import rank_within
+from qsig.operators.ordering import asc, desc, rank_within
 from qsig.sources.io import stage
 
 KEYS = ("cid3", "cid3_name")
@@ -116,8 +116,7 @@ def tfidf(terms: DataFrame, materialise: bool = True) -> DataFrame:
 def rank_terms(scored: DataFrame, limit: int | None = None) -> DataFrame:
     """``rank`` = row_number within cid3 by tfidf desc (nulls last),
     ties broken by term then cid3_name.  ``limit`` keeps rank <= limit."""
-    order = [F.col("tfidf").desc_nulls_last(), F.col("term").asc(), F.col("cid3_name").asc()]
-    return rank_within(scored, ["cid3"], order, "rank", limit=limit)
+    return rank_within(scored, ["cid3"], [desc("tfidf"), asc("term"), asc("cid3_name")], "rank", limit=limit)
 
 
 def tfidf_ranked(terms: DataFrame, limit: int | None = None, categories=None) -> DataFrame:

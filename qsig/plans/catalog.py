@@ -297,7 +297,7 @@ def q_size_filter(spark, d):
 @register("score_zscore", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
           + f" SELECT query, sku, {s6('score')} AS score, {s6('z')} AS z FROM z")
 def q_score_zscore(spark, d):
-    z = features.zscore(features.size_filter(_qs(spark, d)))
+    z = features.zscore(_qs(spark, d), sizes=(features.MIN_GROUP, features.MAX_GROUP))
     return z.select("query", "sku", r6("score").alias("score"), r6("z").alias("z"))
 
 
@@ -311,22 +311,33 @@ def q_score_fractiles(spark, d):
 @register("score_map_long", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
           + f" SELECT query, sku, {s6('z')} AS z FROM zmin")
 def q_score_map_long(spark, d):
-    m = features.score_map_long(features.size_filter(_qs(spark, d)))
+    m = features.score_map_long(_qs(spark, d), sizes=(features.MIN_GROUP, features.MAX_GROUP))
     return m.select("query", "sku", r6("z").alias("z"))
 
 
+def _map_text(m: str) -> Column:
+    return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(
+        e["key"], F.lit(":"), F.coalesce(dec6_text(e["value"]), F.lit("null"))))), ",")
+
+
+SQL_MAP_TEXT = f"array_to_string(list_sort(list(zmin.sku || ':' || coalesce({sql_dec6_text('zmin.z')}, 'null'))), ',')"
+
+
+@register("score_map", with_(A.SQL_QUERY_SCORES, SQL_KEPT)
+          + f" SELECT query, {SQL_MAP_TEXT} AS sku_score_normal FROM zmin GROUP BY query")
+def q_score_map(spark, d):
+    """F5 in map form, the map as text."""
+    return features.score_map(_qs(spark, d)).select("query", _map_text("sku_score_normal").alias("sku_score_normal"))
+
+
 @register("query_features", with_(A.SQL_QUERY_SCORES, SQL_KEPT) + f"""
   SELECT s.query, CAST(s.num AS INTEGER) AS num, {SQL_FRACTILE_SELECT},
-         array_to_string(list_sort(list(zmin.sku || ':' || coalesce({sql_dec6_text('zmin.z')}, 'null'))), ',')
-           AS sku_score_normal
+         {SQL_MAP_TEXT} AS sku_score_normal
   FROM (SELECT DISTINCT query, num FROM kept) s JOIN fr USING (query) JOIN zmin USING (query)
   GROUP BY ALL""")
 def q_query_features(spark, d):
     qf = features.query_features(_qs(spark, d))
-    txt = F.array_join(F.array_sort(F.transform(
-        F.map_entries("sku_score_normal"),
-        lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(dec6_text(e["value"]), F.lit("null"))))), ",")
-    return qf.select("query", "num", *[r6(c).alias(c) for c in FRACTILE_COLS], txt.alias("sku_score_normal"))
+    return qf.select("query", "num", *[r6(c).alias(c) for c in FRACTILE_COLS], _map_text("sku_score_normal").alias("sku_score_normal"))
 
 
 # ===================================================== C: cosine similarity
@@ -622,7 +633,7 @@ def q_ml_features(spark, d):
 
 
 def _ml_model(spark, d):
-    f = _ml_input(spark, d).persist()
+    f = io.stage(_ml_input(spark, d), "ml-points")
     return f, mlkmeans.fit(f, k=ML_K, seed=ML_SEED)
 
 
@@ -631,15 +642,12 @@ def _ml_model(spark, d):
 def q_ml_kmeans_assign(spark, d):
     """Every word once, its cluster one of the k, and no centre nearer than
     its own (the library's iteration itself is not SQL)."""
-    from pyspark.ml.functions import vector_to_array
-
     f, model = _ml_model(spark, d)
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    rows = model.transform(f).select("word", vector_to_array("features").alias("v"), F.col("prediction").alias("c"))
-    far = F.transform(table, lambda m: F.aggregate(F.zip_with(m, F.col("v"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    near = rows.select("word", "c", far.alias("d")).select(
+    table = F.array(*[F.array(*[F.lit(x) for x in r.axis]) for r in mlkmeans.centers(model, spark).orderBy("cluster_id").collect()])
+    far = F.transform(table, lambda m: F.aggregate(F.zip_with(m, F.col("emb"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    near = mlkmeans.predict(model, f).select("word", F.col("cluster_id").alias("c"), far.alias("d")).select(
         "word", F.col("c").between(0, ML_K - 1).alias("in_range"),
-        (F.get("d", F.col("c")) <= F.array_min("d") * (1 + 1e-9) + 1e-9).alias("nearest"))
+        (F.get("d", F.col("c")) <= F.array_min("d") * (1 + 1e-5) + 1e-5).alias("nearest"))      # centres are floats
     return near
 
 
@@ -653,10 +661,9 @@ def q_ml_kmeans_centers(spark, d):
     f, model = _ml_model(spark, d)
     box = f.select(F.posexplode(vector_to_array("features")).alias("p", "x")).groupBy("p").agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"))
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-                                    "category int, c array<double>")
+    centres = mlkmeans.centers(model, spark).select(F.col("cluster_id").alias("category"), F.col("axis").alias("c"))
     return (centres.select("category", F.posexplode("c").alias("p", "x")).join(box, "p").groupBy("category")
-            .agg(F.count(F.lit(1)).alias("dims"), F.min(F.col("x").between(F.col("lo") - 1e-6, F.col("hi") + 1e-6)).alias("inside")))
+            .agg(F.count(F.lit(1)).alias("dims"), F.min(F.col("x").between(F.col("lo") - 1, F.col("hi") + 1)).alias("inside")))
 
 
 # ============================================================ A: augmentation
@@ -690,7 +697,12 @@ SQL_AUG = f"""
   tpl AS (SELECT cid3, cid3_name, draw, unnest([0, 1, 2]) AS tpl,
                  unnest([array_to_string(t, ''),
                          t[1] || array_to_string(t[len(t) // 2 + 1:len(t) - 1], ''),
-                         array_to_string(t[1:len(t) // 2 + 1], '')]) AS keyword FROM tl)"""
+                         array_to_string(t[1:len(t) // 2 + 1], '')]) AS keyword FROM tl),
+  tlw AS (SELECT cid3, cid3_name, draw, list(terms[pos + 1] ORDER BY band) AS t FROM dw GROUP BY ALL),
+  tplw AS (SELECT cid3, cid3_name, draw, unnest([0, 1, 2]) AS tpl,
+                  unnest([array_to_string(t, ''),
+                          t[1] || array_to_string(t[len(t) // 2 + 1:len(t) - 1], ''),
+                          array_to_string(t[1:len(t) // 2 + 1], '')]) AS keyword FROM tlw)"""
 
 SQL_AUG_ALL = with_(A.SQL_CATEGORY_TERMS, SQL_TF, SQL_TFIDF, SQL_RANKED, SQL_AUG)
 
@@ -755,6 +767,14 @@ def q_augment_templates(spark, d):
                     F.col("tpl").cast("integer").alias("tpl"), "keyword")
 
 
+@register("augment_templates_weighted", SQL_AUG_ALL + " SELECT cid3, cid3_name, draw, tpl, keyword FROM tplw")
+def q_augment_templates_weighted(spark, d):
+    """Templates over draws in proportion to tf-idf."""
+    t = augment.templates(augment.drawn_terms(_lists(spark, d), seed=AUG_SEED, weighted=True))
+    return t.select("cid3", "cid3_name", F.col("draw").cast("bigint").alias("draw"),
+                    F.col("tpl").cast("integer").alias("tpl"), "keyword")
+
+
 @register("augmented_corpus", SQL_AUG_ALL + f" SELECT keyword, cid3, cid3_name FROM tpl WHERE cid3 IN ({WL_SQL})")
 def q_augmented_corpus(spark, d):
     return augment.corpus(_ranked(spark, d), _whitelist(spark), seed=AUG_SEED)

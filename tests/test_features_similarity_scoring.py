@@ -125,15 +125,14 @@ def test_collect_scores_keeps_groups_of_any_size(spark):
 
 
 def test_cosine_candidates_are_bounded(spark):
-    """At most k candidates per row and stripe leave the tasks; ties go by id."""
+    """At most k candidates per row and round leave the tasks; ties go by id."""
     rng = np.random.default_rng(2)
     vecs = rng.integers(-2, 3, (900, 3)).astype(float)
     df = spark.createDataFrame([(f"n{i:04d}", [float(x) for x in v]) for i, v in enumerate(vecs)], "id string, vec array<double>")
     unit = similarity.normalise(df).select("id", "unit").cache()
     n, k, want = 900, 7, None
     for block_rows in (4096, 200):
-        blocks, stripes = similarity._grid(n, block_rows, spark.sparkContext.defaultParallelism)
-        assert similarity.cosine_candidates(unit, k, block_rows).count() <= n * k * stripes
+        assert similarity.cosine_candidates(unit, k, block_rows).count() <= 2 * n * k
         got = sorted((r.id, r.rank, r.neighbour) for r in similarity.cosine_topk(df, k, block_rows=block_rows).collect())
         assert want is None or got == want
         want = got
@@ -163,3 +162,99 @@ def test_float_weights_keep_exact_values(spark):
     q = np.array([0.1, 0.7], dtype=np.float32).astype(np.float64)
     assert out.query_sku_score == pytest.approx(q[0] / q.sum() * 0.5, rel=1e-15)
     assert out.query_cate_weight == [pytest.approx(0.1, rel=1e-7), pytest.approx(0.7, rel=1e-7)]
+
+
+def _clustered(rng, clusters, size, dims, spread):
+    centres = rng.normal(size=(clusters, dims))
+    return np.vstack([c + spread * rng.normal(size=(size, dims)) for c in centres])
+
+
+def _topk(m, k):
+    length = np.linalg.norm(m, axis=1)
+    u = m / np.where(length == 0, 1, length)[:, None]
+    s = np.round(u @ u.T, 12)
+    return [sorted(range(len(m)), key=lambda j: (-s[i, j], j))[:k] for i in range(len(m))]
+
+
+@pytest.mark.parametrize("spread,share", [(0.02, 0.35), (5.0, 1.0)])
+def test_far_blocks_are_left_out(spark, spread, share):
+    """Clustered vectors: few blocks meet, and the result is that of all pairs;
+    without clusters all may meet, with the same result."""
+    rng = np.random.default_rng(6)
+    m = _clustered(rng, 24, 100, 12, spread)
+    m[5] = 0
+    m[77] = m[78] = m[1500]
+    m = m[rng.permutation(len(m))]
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in enumerate(m)], "id long, vec array<double>")
+    unit = similarity.normalise(df).select("id", "unit").cache()
+    k, block_rows = 8, 150
+    pivots = similarity._stack([r.unit for r in unit.orderBy(F.xxhash64("id"), "id").limit(48).select("unit").collect()])
+    located = similarity._located(unit, pivots, block_rows)
+    first = similarity.first_round(located, pivots, k, 8).cache()
+    blocks = located.select("block").distinct().count()
+    assert blocks >= 9 and similarity.needed_blocks(first, located).distinct().count() <= share * blocks * blocks
+    got = {(r.id, r.rank): r.neighbour for r in similarity.cosine_topk(df, k, block_rows=block_rows).collect()}
+    for i, want in enumerate(_topk(m, k)):
+        assert [got[(i, r)] for r in range(1, k + 1)] == want, i
+
+
+def test_second_round_leaves_out_batches(monkeypatch):
+    """Batches whose angles keep them from every open row are not multiplied,
+    and what is found is what all batches give."""
+    import pandas as pd
+
+    monkeypatch.setattr(similarity, "BATCH_COLS", 50)
+    rng = np.random.default_rng(7)
+    m = _clustered(rng, 10, 200, 8, 0.05)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    pivots = u[::200]
+    angle = similarity._angles(u, pivots)
+    near = angle.argmin(axis=1)
+    cols = pd.DataFrame({"block": 1, "role": 1, "from": near, "id": np.arange(2000), "unit": list(u), "pivot": near,
+                         "angle": angle[np.arange(2000), near], "score": 0.0}).sort_values(["pivot", "id"])
+    s = np.round(u[:30] @ u.T, 12)
+    floor = np.sort(s, axis=1)[:, -60]                  # a k-th score that leaves 60 candidates
+    rows = pd.DataFrame({"block": 1, "role": 0, "from": 0, "id": np.arange(30), "unit": list(u[:30]), "pivot": -1, "angle": 0.0, "score": floor})
+    counts = {}
+    out = pd.concat(similarity._second_round(5, pivots, counts)(iter([rows, cols.iloc[:700], cols.iloc[700:]])))
+    assert counts["skipped"] >= 25 and counts["made"] >= 1 and counts["skipped"] + counts["made"] >= 40
+    for i, some in out.groupby("id"):
+        assert some["neighbour"].tolist() == sorted(range(2000), key=lambda j: (-s[i, j], j))[:5]
+    assert out["id"].nunique() == 30
+
+
+def test_score_matches_plain_sums(spark):
+    """Random lists with repeats, nulls and unequal lengths against the sums
+    of the definition; equal lists of many rows; hot lists cut by salts."""
+    import random
+
+    from qsig.operators import skew
+
+    rng = random.Random(8)
+    cates = [f"c{i}" for i in range(12)] + [None]
+    sim = [(a, b, rng.uniform(-1, 1)) for a in cates[:10] for b in cates[:12] if rng.random() < .5]
+    rows = []
+    for i in range(300):
+        one = [[rng.choice(cates) for _ in range(rng.randint(0, 6))] for _ in range(2)]
+        w = [[rng.choice([None, 0.0, 1.0, 2.5]) for _ in range(max(0, len(c) + rng.choice([-1, 0, 0, 1])))] for c in one]
+        rows.append((f"q{i}", f"s{i}", "n", one[0], w[0], one[1], w[1], "o", i))
+    rows += [("hot", f"h{i}", "n", ["c1", "c2"], [1.0, 1.0], ["c3"], [1.0], "o", i) for i in range(200)]
+    table = {(a, b): v for a, b, v in sim}
+
+    def plain(qc, qw, sc, sw):
+        total = [sum(x or 0.0 for x in w) for w in (qw, sw)]
+        return sum((a or 0.0) / total[0] * (b or 0.0) / total[1] * table.get((x, y), 0.0)
+                   for x, a in zip(qc, qw) for y, b in zip(sc, sw) if total[0] and total[1])
+
+    old = skew.HOT_FLOOR
+    try:
+        skew.HOT_FLOOR = 20
+        out = scoring.scored_table(_qsc(spark, rows), spark.createDataFrame(sim, "cid3 string, neighbour string, score double"))
+        got = {r.sku: r.query_sku_score for r in out.collect()}
+    finally:
+        skew.HOT_FLOOR = old
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r[1]] == pytest.approx(plain(*r[3:7]), abs=1e-12)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and out.columns == scoring.OUT_COLS

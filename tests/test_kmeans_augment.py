@@ -136,3 +136,60 @@ def test_nearest_in_chunks_equals_direct(monkeypatch):
     monkeypatch.setattr(kmeans, "CHUNK_VALUES", 100)
     want = ((p[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
     assert (kmeans._nearest(p, c) == want).all()
+
+
+def _gathered(rng, clusters, size, dims, spread):
+    centres = rng.normal(size=(clusters, dims)) * 4
+    return np.vstack([c + spread * rng.normal(size=(size, dims)) for c in centres])
+
+
+@pytest.mark.parametrize("spread", [0.05, 6.0])
+def test_bounds_change_no_label(spark, monkeypatch, spread):
+    """Lloyd with bounds gives the labels and centroids of computing all
+    distances, through a written state too; ties and equal points included."""
+    rng = np.random.default_rng(3)
+    m = _gathered(rng, 6, 60, 5, spread)
+    m[10:30] = m[9]
+    pts = _pts(spark, [(f"p{i}", [float(x) for x in v]) for i, v in enumerate(m)]).repartition(3)
+    got = {}
+    for from_ in (10_000, 2):
+        monkeypatch.setattr(kmeans, "BOUNDED_FROM", from_)
+        monkeypatch.setattr(kmeans, "WRITE_EVERY", 3)
+        rows = kmeans.lloyd(pts, 9, init=kmeans.init_in_bounds(pts, 9, seed=4), tol=1e-9).collect()
+        got[from_] = sorted((r["query"], r.category, [round(x, 9) for x in r.cate_feature]) for r in rows)
+    assert got[2] == got[10_000] and len(got[2]) == len(m)
+
+
+def test_bounds_save_distances(spark):
+    """On gathered points most points keep their centroid by their bounds: all
+    distances in the first step, few later; every step's labels are the
+    nearest centroids."""
+    rng = np.random.default_rng(4)
+    m = _gathered(rng, 20, 100, 6, 0.2)
+    pts = _pts(spark, [(f"p{i}", [float(x) for x in v]) for i, v in enumerate(m)])
+    c = kmeans._matrix(kmeans.init_in_bounds(pts, 20, seed=5))
+    bounded = kmeans._Bounded(pts, "feature", 6)
+    try:
+        for _ in range(12):
+            used, c = c, bounded.step(c)
+            rows = bounded.state.select("feature", "category").collect()
+            p = np.array([r.feature for r in rows])
+            assert [r.category for r in rows] == kmeans._nearest(p, used).tolist()
+            want = np.array([p[[r.category == j for r in rows]].mean(axis=0) if any(r.category == j for r in rows) else used[j] for j in range(20)])
+            assert np.allclose(c, want)
+    finally:
+        bounded.release()
+    assert bounded.distances[0] == len(m) * 20
+    assert sum(bounded.distances[4:]) < 0.25 * 8 * len(m) * 20
+
+
+def test_update_shares_the_loops_sums(spark):
+    """Means of members, the old centroid without any, no row per dimension."""
+    pts = _pts(spark, [("a", [1.0, 2.0]), ("b", [3.0, 6.0]), ("c", [-5.0, 0.0]), ("n", None)])
+    cents = _cents(spark, [[2.0, 4.0], [-5.0, 1.0], [90.0, 90.0]])
+    assigned = kmeans.assign(pts.where("feature is not null"), cents)
+    out = kmeans.update(assigned, cents)
+    assert {r.category: r.centroid for r in out.collect()} == {0: [2.0, 4.0], 1: [-5.0, 0.0], 2: [90.0, 90.0]}
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.category: r.centroid for r in kmeans.update(assigned.limit(0), cents).collect()} == {
+        0: [2.0, 4.0], 1: [-5.0, 1.0], 2: [90.0, 90.0]}

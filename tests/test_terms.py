@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from qsig.operators import terms
-from qsig.operators.ordering import rank_within
+from qsig.operators.ordering import asc, desc, rank_within, successors
 
 
 def _rows(spark, data):
@@ -55,8 +55,8 @@ def test_two_level_rank_equals_window(spark):
     df = spark.range(1_000_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("g"),
         (F.col("id") * 7919 % 1000).alias("v"), F.col("id"), F.md5(F.col("id").cast("string")).alias("payload"))
-    order = [F.col("v").desc(), F.col("id").asc()]
-    plain = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("bigint"))
+    order, sort = [desc("v"), asc("id")], [F.col("v").desc(), F.col("id").asc()]
+    plain = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*sort)).cast("bigint"))
     for _ in range(2):
         two = rank_within(df, ["g"], order, "r")
         assert two.columns == plain.columns
@@ -69,7 +69,7 @@ def test_two_level_rank_equals_window(spark):
 
 def test_rank_keeps_null_keys_and_odd_columns(spark):
     df = spark.createDataFrame([(None, 2, "x"), (None, 1, "y"), ("a", 1, None)], "g string, v int, `p.q` string")
-    got = sorted((r[0] or "", r[1], r[3]) for r in rank_within(df, ["g"], [F.col("v")], "r").collect())
+    got = sorted((r[0] or "", r[1], r[3]) for r in rank_within(df, ["g"], [asc("v")], "r").collect())
     assert got == [("", 1, 1), ("", 2, 2), ("a", 1, 1)]
 
 
@@ -77,3 +77,47 @@ def test_top_limit_plans_window_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     plan = rank_within(df, ["g"], [F.col("v").desc()], "r", limit=5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_ordinal_stages_no_rows(spark, monkeypatch):
+    """Slices come from splitters in the plan: nothing is written, and no
+    slice holds more than a few times its share."""
+    from qsig.operators import ordering
+
+    monkeypatch.setattr(ordering, "stage", lambda *a: pytest.fail("rows were staged"))
+    df = spark.range(200_000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("g"),
+                                     (F.col("id") * 7919 % 1009).alias("v"), F.col("id"))
+    cut = ordering.sliced(df, ["g"], [desc("v"), asc("id")], slices=16)
+    sizes = [r[1] for r in cut.groupBy(ordering.PID).count().collect()]
+    assert len(sizes) == 16 and sum(sizes) == 200_000 and max(sizes) < 3 * 200_000 / 16
+    two = rank_within(df, ["g"], [desc("v"), asc("id")], "r", slices=16)
+    assert two.where("g = 'hot'").agg(F.max("r"), F.count_distinct("r")).first() == (133_333, 133_333)
+
+
+def test_slices_follow_any_order(spark):
+    rows = [(None, None, "b"), (None, 2.0, "a"), ("x", float("nan"), "c"), ("x", float("inf"), "d"), ("x", None, "e"), ("x", -0.0, "f"),
+            ("x", 0.0, "g"), ("x", 1.5, None), ("y", -3.0, "h")] * 3
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "g string, v double, s string, i int")
+    order = [desc("v"), asc("s"), asc("i")]
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), F.col("s").asc_nulls_first(), "i")
+    for slices in (1, 2, 5, 40):
+        got = rank_within(df, ["g"], order, "r", slices=slices)
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.withColumn("r", F.row_number().over(w).cast("bigint")).collect()))
+        nexts = successors(df, ["g"], order, "s", "t", slices=slices)
+        assert sorted(map(str, nexts.collect())) == sorted(map(str, df.withColumn("t", F.lead("s").over(w)).collect()))
+    assert rank_within(df.limit(0), ["g"], order, "r").count() == 0
+
+
+def test_dense_index_buckets_follow_the_number_of_values(spark):
+    """Bucket size is bounded by its parameter: more values, more digits; two
+    levels of offsets give the same numbers as one window."""
+    import hashlib
+
+    from qsig.operators.ordering import dense_index
+
+    values = [f"n{i}" for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), ("n5",)], "name string")
+    want = {v: i for i, v in enumerate(sorted(values, key=lambda v: (hashlib.md5(v.encode()).hexdigest(), v)))}
+    for bucket_rows in (10_000, 300, 20, 1):
+        assert {r.name: r.idx for r in dense_index(df, "name", bucket_rows=bucket_rows).collect()} == want
+    assert dense_index(df.limit(0), "name").count() == 0
