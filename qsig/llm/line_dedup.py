@@ -1,17 +1,26 @@
-"""Line dedup by hashes of minimal runs of lines.
-
-The unit is a minimal run: from a line on, as few consecutive lines as reach
-``min_lines`` lines or ``min_words`` words (blank lines are skipped; words and
-blanks go by the characters 20 and 09-0D).  Each
-minimal run is hashed whole, and its positions are joined on that hash to the
-earliest one; overlapping repeated runs merge into one deleted run.  The
-smallest line hash of a run goes along as ``print``; it follows from the run,
-so it selects nothing, and matches are not extended past their minimal runs:
-lines after the last whole minimal run of a repeated stretch (at most two)
-stay, as in the SQL of the query.
-
-A line is deleted when it lies in a minimal run that also starts earlier
-(smaller document, or earlier in the same document), judged on the input.
+"""Line dedup by winnowing over line hashes.
+
+A run is a stretch of consecutive lines (blank ones are skipped) with at least
+``min_lines`` lines or ``min_words`` words; words and blanks go by the
+characters 20 and 09-0D.  Lines are deleted that lie in a run which also starts
+earlier (smaller document, or earlier in the same document), however the run
+goes on there: all repeats are judged on the input, and the later one goes
+whole.
+
+Windows are the shortest runs, one from each line on.  Every window selects its
+smallest line hash (the last one of equal ones) as fingerprint; neighbouring
+windows mostly select the same line, so about half of the lines are selected.
+A run that occurs twice holds a whole window, and both copies select the same
+line of it: a match shares a fingerprint for certain, and lines whose
+fingerprint was selected once go no further.
+
+Positions of repeated fingerprints are joined by the hash of their window and
+extended line by line.  Backwards that is the window of the line before, which
+is one of the joined ones if it matches; forwards the lines behind a window up
+to the end of the next one, so each position also carries the hashes of its
+window with one or more of them.  The earliest position of each hash keeps its
+lines; wherever else it occurs they go, and overlapping matches merge into the
+longest equal run.
 """
 
 from __future__ import annotations
@@ -29,56 +38,80 @@ from qsig.sources import io
 MIN_LINES = 3
 MIN_WORDS = 50
 BLANK = " \t\n\x0b\x0c\r"
-_NULL_ID = -(1 << 63)
 
+_PRINT = ("doc string, tie bigint, print bigint, "
+          "runs array<struct<first: int, last: int, run1: bigint, run2: bigint>>")
 
-def minimal_runs(text: str | None, min_lines: int, min_words: int) -> list[tuple[int, int, int, int, int]]:
-    """(fingerprint, run hash, run hash, first line, last line) of every
-    minimal run of one text; lines count from 0, blank ones included."""
-    import xxhash
 
-    lines = [(i, s) for i, s in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")) if s.strip()]
-    raw = [s for _, s in lines]
-    words = [len(s.split()) for s in raw]
-    value = [xxhash.xxh64_intdigest(r) for r in raw]
-    out, end, count = [], 0, 0
-    for at in range(len(lines)):
+def windows(words: list[int], min_lines: int, min_words: int) -> list[int]:
+    """Last line of the shortest run from each line on, as far as there is one;
+    ``words`` are the words of each line."""
+    ends, end, count = [], 0, 0
+    for at in range(len(words)):
         end = max(end, at)
-        while end < len(lines) and end - at < min_lines and (end == at or count < min_words):
+        while end < len(words) and end - at < min_lines and (end == at or count < min_words):
             count += words[end]
             end += 1
         if end - at < min_lines and count < min_words:
             break
-        run = xxhash.xxh3_128_intdigest(b"\n".join(raw[at:end]))
-        out.append((min(value[at:end]) - (1 << 63), (run >> 64) - (1 << 63), (run & ((1 << 64) - 1)) - (1 << 63),
-                    lines[at][0], lines[end - 1][0]))
+        ends.append(end - 1)
         count -= words[at]
+    return ends
+
+
+def fingerprints(text: str | None, min_lines: int, min_words: int) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+    """Selected lines of one text: (line hash, runs), where the runs (first
+    line, last line, two halves of their hash) are the windows that select the
+    line, each also with the lines behind it up to the end of the next window.
+    Lines count from 0, blank ones included."""
+    import xxhash
+
+    lines = [(i, s) for i, s in enumerate((text or "").encode("utf-8", "surrogatepass").split(b"\n")) if s.strip()]
+    raw = [s for _, s in lines]
+    ends = windows([len(s.split()) for s in raw], min_lines, min_words)
+    value = [xxhash.xxh64_intdigest(r) for r in raw]
+    out, chosen = [], -1
+    for at, end in enumerate(ends):
+        least = min(value[at:end + 1])
+        pick = max(k for k in range(at, end + 1) if value[k] == least)
+        if pick != chosen:
+            chosen = pick
+            out.append((least - (1 << 63), []))
+        beyond = ends[at + 1] if at + 1 < len(ends) else len(raw)
+        for last in range(end, max(end + 1, beyond)):
+            run = xxhash.xxh3_128_intdigest(b"\n".join(raw[at:last + 1]))
+            out[-1][1].append((lines[at][0], lines[last][0], (run >> 64) - (1 << 63), (run & ((1 << 64) - 1)) - (1 << 63)))
     return out
 
 
-def fingerprints(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
-    """(doc, tie, print, run1, run2, first, last) of every minimal run."""
+def selected(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+    """(doc, tie, print, runs) of every selected line; doc is text, as numbers
+    beside a null would not come back from pandas as they were."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["print", "run1", "run2", "first", "last"]
         for pdf in batches:
-            found = [minimal_runs(t, min_lines, min_words) for t in pdf["text"]]
+            found = [fingerprints(t, min_lines, min_words) for t in pdf["text"]]
             at = np.repeat(np.arange(len(pdf)), [len(f) for f in found])
-            rows = pd.DataFrame([r for f in found for r in f], columns=names)
-            yield pd.concat([pdf[["doc", "tie"]].iloc[at].reset_index(drop=True), rows], axis=1)
+            flat = [x for f in found for x in f]
+            yield pd.DataFrame({"doc": pdf["doc"].to_numpy(object)[at], "tie": pdf["tie"].to_numpy()[at],
+                                "print": np.array([x[0] for x in flat], np.int64),
+                                "runs": [[dict(zip(("first", "last", "run1", "run2"), r)) for r in x[1]] for x in flat]})
 
-    src = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc"), F.xxhash64("text").alias("tie"), "text")
-    return src.mapInPandas(run, "doc bigint, tie bigint, print bigint, run1 bigint, run2 bigint, first int, last int")
+    src = docs.select(F.col("doc_id").cast("string").alias("doc"), F.xxhash64("text").alias("tie"), "text")
+    return src.mapInPandas(run, _PRINT).withColumn("doc", F.col("doc").cast("bigint"))
 
 
 def later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, tie, first, last) of every minimal run that also starts earlier."""
-    prints = io.stage(fingerprints(docs, min_lines, min_words), "line-prints")
-    key = ["print", "run1", "run2"]
+    """(doc, tie, first, last) of every joined run that also starts earlier."""
+    prints = io.stage(selected(docs, min_lines, min_words), "line-prints")
+    repeated = io.stage(prints.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "line-repeated")
+    runs = io.stage(join_counted(prints, repeated, ["print"], "n").select("doc", "tie", F.explode("runs").alias("r"))
+                    .select("doc", "tie", "r.*"), "line-runs")
+    key = ["run1", "run2"]
     here = F.struct("doc", "tie", "first")
-    earliest = io.stage(prints.groupBy(*key).agg(F.min(here).alias("earliest"), F.count(F.lit(1)).alias("n"))
+    earliest = io.stage(runs.groupBy(*key).agg(F.min(here).alias("earliest"), F.count(F.lit(1)).alias("n"))
                         .where("n > 1"), "line-earliest")
-    return (join_counted(prints, earliest, key, "n")
+    return (join_counted(runs, earliest, key, "n")
             .where(here > F.col("earliest")).select("doc", "tie", "first", "last"))
 
 
@@ -94,11 +127,13 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     table gives an empty result.  Columns of other names, also those used
     here, are kept (the count is named ``n_lines_removed`` and replaces a
     column of that name)."""
-    cuts = (later_runs(docs, min_lines, min_words).groupBy("doc", "tie")
-            .agg(F.collect_set(F.struct("first", "last")).alias("cut"))
-            .select(F.col("doc").alias("__llm_doc"), F.col("tie").alias("__llm_tie"),
-                    F.transform("cut", lambda x: x["first"]).alias("__llm_a"),
-                    F.transform("cut", lambda x: x["last"]).alias("__llm_b")))
+    # written, so that rows of one id and text, however many, can be split in
+    # the join, which is a merge join whatever the number of cuts
+    cuts = io.stage(later_runs(docs, min_lines, min_words).groupBy("doc", "tie")
+                    .agg(F.collect_set(F.struct("first", "last")).alias("cut"))
+                    .select(F.col("doc").alias("__llm_doc"), F.col("tie").alias("__llm_tie"),
+                            F.transform("cut", lambda x: x["first"]).alias("__llm_a"),
+                            F.transform("cut", lambda x: x["last"]).alias("__llm_b")), "line-cuts")
 
     @F.pandas_udf("struct<text: string, gone: int>")
     def rebuild(text: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
@@ -117,8 +152,7 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
         return pd.DataFrame(out, columns=["text", "gone"])
 
     cut = F.col("__llm_a").isNotNull()
-    joined = docs.join(cuts, (F.coalesce(docs["doc_id"], F.lit(_NULL_ID)) == F.col("__llm_doc"))
-                       & (F.xxhash64(docs["text"]) == F.col("__llm_tie")), "left")
+    joined = docs.join(cuts.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__llm_doc")) & (F.xxhash64(docs["text"]) == F.col("__llm_tie")), "left")
     new = joined.withColumn("__llm_new", rebuild(F.when(cut, F.col("text")), F.col("__llm_a"), F.col("__llm_b")))
     cols = []
     for c in docs.columns:

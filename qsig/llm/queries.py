@@ -237,6 +237,8 @@ FROM t LEFT JOIN per USING (doc_id)"""
 
 
 def _op9_sql(table: str = "documents") -> str:
+    """Runs from each line on: the shortest one and those with one or two more
+    lines (longer ones hold the shortest run of a later line)."""
     from qsig.llm.line_dedup import MIN_LINES, MIN_WORDS
 
     assert MIN_LINES == 3
@@ -244,14 +246,14 @@ def _op9_sql(table: str = "documents") -> str:
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, unnest(range(len(string_split(text, chr(10))))) AS i
            FROM {table} WHERE text IS NOT NULL),
 f AS (SELECT doc_id, i, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w FROM l WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
-n AS (SELECT *, lead(s) OVER o AS s2, lead(s, 2) OVER o AS s3, lead(w) OVER o AS w2, lead(i) OVER o AS i2, lead(i, 2) OVER o AS i3
+n AS (SELECT doc_id, [s, lead(s) OVER o, lead(s, 2) OVER o, lead(s, 3) OVER o, lead(s, 4) OVER o] AS ss,
+             [i, lead(i) OVER o, lead(i, 2) OVER o, lead(i, 3) OVER o, lead(i, 4) OVER o] AS ii,
+             CASE WHEN w >= {MIN_WORDS} THEN 1 WHEN w + lead(w) OVER o >= {MIN_WORDS} THEN 2
+                  WHEN lead(s, 2) OVER o IS NOT NULL THEN 3 END AS least
       FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-r AS (SELECT doc_id, i AS a,
-             CASE WHEN w >= {MIN_WORDS} THEN i WHEN w + w2 >= {MIN_WORDS} THEN i2 ELSE i3 END AS b,
-             CASE WHEN w >= {MIN_WORDS} THEN s WHEN w + w2 >= {MIN_WORDS} THEN s || chr(10) || s2
-                  ELSE s || chr(10) || s2 || chr(10) || s3 END AS run FROM n),
-later AS (SELECT doc_id, a, b FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, a) AS k FROM r WHERE run IS NOT NULL)
-          WHERE k > 1),
+r AS (SELECT doc_id, ii[1] AS a, ii[k] AS b, array_to_string(ss[1:k], chr(10)) AS run
+      FROM (SELECT *, unnest(range(least, least + 3)) AS k FROM n WHERE least IS NOT NULL) WHERE ss[k] IS NOT NULL),
+later AS (SELECT doc_id, a, b FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, a) AS k FROM r) WHERE k > 1),
 gone AS (SELECT DISTINCT f.doc_id, f.i FROM f JOIN later ON f.doc_id = later.doc_id AND f.i BETWEEN later.a AND later.b),
 left_ AS (SELECT l.doc_id, string_agg(l.s, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL) AS text, count(gone.i) AS n
           FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)

@@ -105,6 +105,48 @@ def test_multikey_quicksort_equals_lexsort():
     assert len(S.multikey_quicksort([np.empty(0, np.uint64)] * 2)[0]) == 0
 
 
+def test_one_gram_in_thousands_of_contexts(spark, frame, monkeypatch):
+    """A common passage between other texts in 3,000 documents: its grams meet
+    a different context in each, over many buckets; the windows that repeat
+    are found across all boundaries, and what crosses them stays short."""
+    monkeypatch.setattr(S, "BUCKET_ROWS", 200)
+    monkeypatch.setattr(S, "BUCKET_WINDOWS", 5_000)
+    rng = random.Random(12)
+    passage = prose(rng, 25)
+    rows = [(i, f"{rng.random()} {prose(rng, 2)} {passage[rng.choice([0, 0, 0, 5]):]} {rng.choice(WORDS)} {rng.random()} {rng.random()}") for i in range(3000)]
+    crossed = []
+    across = S._across
+    monkeypatch.setattr(S, "_across", lambda pieces, length: crossed.append(
+        (pieces.count(), pieces.select("bucket").distinct().count())) or across(pieces, length))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.suffix_dedup(frame(rows).repartition(9)).collect()}
+    for (i, _), want in zip(rows, brute_suffix(rows)):
+        assert got[i] == want, i
+    n, buckets = crossed[0]
+    assert buckets > 20 and n < 12 * len(rows), (n, buckets)
+
+
+def test_null_and_least_ids_are_apart(spark, frame):
+    rng = random.Random(13)
+    a, b = prose(rng, 40), prose(rng, 40)
+    rows = [(-(1 << 63), a), (None, a + b), (-(1 << 63) + 1, b), ((1 << 62) + 1, a), ((1 << 62) + 3, "short")]
+    got = {r.doc_id: (r.n_bytes, r.n_removed) for r in S.suffix_dedup(frame(rows)).collect()}
+    want = dict(zip([None, -(1 << 63), -(1 << 63) + 1, (1 << 62) + 1, (1 << 62) + 3],
+                    [x[:2] for x in brute_suffix([(0, a + b), (1, a), (2, b), (3, a), (4, "short")])]))
+    assert got == want
+
+
+def test_pieces_hold_every_window_once():
+    rng = random.Random(14)
+    for _ in range(200):
+        raw = bytes(rng.choice(b"abc") for _ in range(rng.randint(100, 400))) if rng.random() < .7 else b"ab" * rng.randint(50, 150)
+        r = S.runs(raw, S._Powers())
+        for gram, start, last in zip(r["gram"], r["start"], r["last"]):
+            context = raw[start:last + 100]
+            got = S._pieces(context, gram, 100)
+            assert sorted(w for a, b, _ in got for w in range(a, b + 1)) == list(range(last - start + 1))
+            assert all(core[1:] in context[w:w + 100] for a, b, core in got for w in range(a, b + 1))
+
+
 def test_suffix_sql_matches_brute_force():
     rng = random.Random(8)
     p = prose(rng, 30)
@@ -140,11 +182,71 @@ def test_line_dedup_ties_and_empty(spark, frame):
     assert L.line_dedup(frame([(1, text)]).limit(0)).count() == 0
 
 
-def test_winnowing_selects_a_line_of_the_run():
-    runs = L.minimal_runs("a\nb\nc\nd", 3, 50)
-    assert [(r[3], r[4]) for r in runs] == [(0, 2), (1, 3)]
-    again = L.minimal_runs("x\na\nb\nc", 3, 50)
-    assert again[1][:3] == runs[0][:3]      # equal runs have equal fingerprint and hash
+def brute_lines(rows):
+    """rows: distinct (id, text) in order.  By definition: every stretch of
+    lines that is a run and was seen at an earlier start goes whole."""
+    seen, out = set(), []
+    for _, text in rows:
+        lines = (text or "").split("\n")
+        full = [i for i, s in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", s)]
+        words = [len(re.findall(r"[^\x20\x09-\x0D]+", lines[i])) for i in full]
+        gone = set()
+        for a in range(len(full)):
+            for b in range(a, len(full)):
+                if b - a >= 2 or sum(words[a:b + 1]) >= 50:
+                    run = tuple(lines[i] for i in full[a:b + 1])
+                    if run in seen:
+                        gone |= set(full[a:b + 1])
+                    seen.add(run)
+        out.append(None if text is None else "\n".join(s for i, s in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_line_dedup_matches_brute_force(spark, frame):
+    rng = random.Random(19)
+    rows = [(i, "\n".join(rng.choice(LINES) for _ in range(rng.randrange(1, 14)))) for i in range(150)]
+    rows += [(i, "\n".join(f"line {rng.randrange(40)} " + "w " * rng.choice([0, 3, 20, 45, 60]) for _ in range(rng.randrange(1, 40))))
+             for i in range(200, 230)]
+    rows += [(300, None), (301, ""), (302, "long line\n" * 30), (-9, "alpha beta\ngamma\nkappa"), (-(1 << 63), "alpha beta\ngamma\neta")]
+    rows.sort()
+    got = {r.doc_id: r.text for r in L.line_dedup(frame(rows).repartition(7)).collect()}
+    for (i, _), want in zip(rows, brute_lines(rows)):
+        assert got[i] == want, i
+
+
+def test_runs_are_extended_to_their_end(spark, frame):
+    """60 + 20 + 20 words copied with another next line: all three lines go,
+    though the last two are in no repeated window; also where an earlier copy
+    ends after the first of them."""
+    one, two, three = "a " * 60, "b " * 20, "c " * 20
+    rows = [(1, f"{one}\nx"), (2, f"p\n{one}\n{two}\n{three}\nq"), (3, f"r\n{one}\n{two}\n{three}\ns"), (4, f"{two}\n{three}\nt")]
+    got = {r.doc_id: (r.n_lines_removed, r.text) for r in L.line_dedup(frame(rows)).collect()}
+    assert got[1][0] == 0 and got[2] == (1, f"p\n{two}\n{three}\nq") and got[3] == (3, "r\ns") and got[4][0] == 0
+
+
+def test_winnowing_guarantees_a_shared_fingerprint():
+    rng = random.Random(3)
+    for _ in range(300):
+        run = [f"{rng.choice('abcd')} " * rng.choice([1, 10, 30, 50]) for _ in range(rng.randint(1, 6))]
+        if len(run) < 3 and sum(len(s.split()) for s in run) < 50:
+            continue
+        texts = ["\n".join([f"u{rng.random()}" for _ in range(rng.randint(0, 3))] + run + [f"v{rng.random()}" for _ in range(rng.randint(0, 3))])
+                 for _ in range(2)]
+        a, b = ({p for p, _ in L.fingerprints(t, 3, 50)} for t in texts)
+        assert a & b
+
+
+def test_winnowing_selects_few_lines():
+    lines = [f"line number {i}" for i in range(4000)]
+    found = L.fingerprints("\n".join(lines), 3, 50)
+    assert 0.45 * len(lines) < len(found) < 0.55 * len(lines)
+    assert sorted(r[0] for _, runs in found for r in runs) == list(range(len(lines) - 2))
+
+
+def test_line_dedup_of_a_very_long_text(spark, frame):
+    text = "\n".join(f"line {i % 70_000}" for i in range(140_000))
+    row = L.line_dedup(frame([(1, text)])).first()
+    assert row.n_lines_removed == 70_000 and row.text == "\n".join(f"line {i}" for i in range(70_000))
 
 
 def brute_rules(text):
