@@ -31,7 +31,7 @@ END = 2                     # id behind every document
 OPEN_BINS = 2048
 AHEAD = 4096                # pieces put in order of size before they are placed
 LEFT_PIECES = 200_000       # pieces of the second round in one task
-CACHED_WORDS = 300_000      # segments whose ids a task remembers
+CACHED_WORDS = 1_000_000    # segments whose ids a task remembers
 BLOCK_CHARS = 1 << 20       # characters of a text tokenised at once
 
 # Unicode white space, as the byte-level pre-tokenizer sees it, and Latin letters
@@ -82,6 +82,20 @@ class OpenBins:
             yield from stack
 
 
+class _Numbers(dict):
+    """Numbers of segments in order of appearance; ``new`` has those that
+    appeared since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, segment: str) -> int:
+        n = self[segment] = len(self)
+        self.new.append(segment)
+        return n
+
+
 class WordIds:
     """Token ids of texts; the ids of a segment (white space, or a word with
     the blank before it, cut behind its letters) do not depend on its
@@ -92,14 +106,14 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.encoder, self.most = Tokenizer.from_file(tokenizer), most
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1 << 12, np.int64)           # at[i]:at[i + 1] are the ids of segment i
 
     def _learn(self, new: list[str]) -> None:
         got = self.encoder.encode(new, is_pretokenized=True, add_special_tokens=False)
         size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(new))
-        n = len(self.known)
+        n = len(self.known) - len(new)
         ends = self.at[n] + np.cumsum(size)
         while len(self.at) < n + len(new) + 1:
             self.at = np.concatenate((self.at, np.zeros_like(self.at)))
@@ -107,33 +121,70 @@ class WordIds:
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         self.flat[self.at[n]:ends[-1]] = got.ids
         self.at[n + 1:n + 1 + len(new)] = ends
-        self.known.update(zip(new, range(n, n + len(new))))
 
-    def _block(self, segments: list[str]) -> np.ndarray:
-        new = list(dict.fromkeys([s for s in segments if s not in self.known]))
+    def _ids(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments, and behind how many ids each of them ends."""
+        which = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        new = self.known.new
         if new:
             self._learn(new)
-        which = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
         first, size = self.at[which], self.at[which + 1] - self.at[which]
         ends = np.cumsum(size)
         ids = self.flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         if len(self.known) > self.most:
             for s in new:                               # the last ones learnt, so the tables stay dense
                 del self.known[s]
-        return ids
-
-    def ids(self, text: str) -> np.ndarray:
+        self.known.new = []
+        return ids, ends
+
+    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of every text, many short ones at once, long ones by blocks."""
+        segments: list[str] = []
+        stops: list[int] = []
+        chars = 0
+
+        def ready() -> Iterator[np.ndarray]:
+            ids, ends = self._ids(segments)
+            at = np.append(0, ends)[[0, *stops]]
+            yield from (ids[a:b] for a, b in zip(at[:-1], at[1:]))
+            segments.clear()
+            stops.clear()
+
+        for text in texts:
+            if len(text) > BLOCK_CHARS:
+                yield from ready()
+                yield self._long(text)
+                chars = 0
+                continue
+            segments += _SEGMENT.findall(text)
+            stops.append(len(segments))
+            chars += len(text)
+            if chars > BLOCK_CHARS // 4:
+                yield from ready()
+                chars = 0
+        yield from ready()
+
+    def _long(self, text: str) -> np.ndarray:
         out, block, chars = [], [], 0
-        for m in _SEGMENT.finditer(text) if len(text) > BLOCK_CHARS else ():
+        for m in _SEGMENT.finditer(text):
             block.append(m.group())
             chars += len(block[-1])
             if chars > BLOCK_CHARS:
-                out.append(self._block(block))
+                out.append(self._ids(block)[0])
                 block, chars = [], 0
-        if len(text) <= BLOCK_CHARS:
-            block = _SEGMENT.findall(text)
-        out.append(self._block(block))
-        return np.concatenate(out)
+        return np.concatenate([*out, self._ids(block)[0]])
+
+
+def _kept_words(tokenizer: str, most: int = CACHED_WORDS) -> WordIds:
+    """The ``WordIds`` of the worker process: it serves many tasks, and the
+    next one finds the words of those before."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_qsig_kept", types.ModuleType("_qsig_kept"))
+    if getattr(kept, "key", None) != (tokenizer, most):
+        kept.key, kept.words = (tokenizer, most), WordIds(tokenizer, most)
+    return kept.words
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
@@ -190,10 +241,10 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
     pieces of bins open at its end have no sequence yet."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seq = WordIds(tokenizer), _Sequences(length, open_bins, 0)
+        words, seq = _kept_words(tokenizer), _Sequences(length, open_bins, 0)
         for pdf in batches:
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                ids = np.append(words.ids(text), np.uint32(end)).astype("<u4")
+            for doc, ids in zip(pdf["doc_id"], words.texts(pdf["text"].tolist())):
+                ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, (a, b) in enumerate(cuts(len(ids), length)):
                     seq.put((doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
             yield from seq.drain(20_000)

@@ -91,15 +91,16 @@ def test_ids_of_segments_are_the_texts_ids(encoder):
     parts = ["a", "B", " ", "  ", "'", "s", "t", "\n", "\t", ",", "1", "é", "日", "\xa0", "-", "ll", "re", "́", "_", "\x1c", "ß"]
     rng = random.Random(3)
     texts = [t or "" for t in ODD] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
-    for text in texts:
-        assert words.ids(text).tolist() == encoder.encode(text, add_special_tokens=False).ids, text
+    for text, ids in zip(texts, words.texts(texts), strict=True):
+        assert ids.tolist() == encoder.encode(text, add_special_tokens=False).ids, text
 
 
 def test_long_texts_are_tokenised_in_blocks(encoder, monkeypatch):
     monkeypatch.setattr(B, "BLOCK_CHARS", 100)
     rng = random.Random(4)
-    text = "".join(rng.choice(["word", " ", "\n", " of ", ", ", "x1", "é"]) for _ in range(4000))
-    assert B.WordIds(PATH).ids(text).tolist() == encoder.encode(text, add_special_tokens=False).ids
+    texts = ["".join(rng.choice(["word", " ", "\n", " of ", ", ", "x1", "é"]) for _ in range(n)) for n in (4, 4000, 0, 9, 30, 500, 1)]
+    for text, ids in zip(texts, B.WordIds(PATH).texts(texts), strict=True):
+        assert ids.tolist() == encoder.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("length,open_bins", [(16, 4), (64, 1), (1024, 2048)])
