@@ -95,7 +95,8 @@ def selected(docs: DataFrame, min_lines: int, min_words: int) -> DataFrame:
             flat = [x for f in found for x in f]
             yield pd.DataFrame({"doc": pdf["doc"].to_numpy(object)[at], "tie": pdf["tie"].to_numpy()[at],
                                 "print": np.array([x[0] for x in flat], np.int64),
-                                "runs": [[dict(zip(("first", "last", "run1", "run2"), r)) for r in x[1]] for x in flat]})
+                                "runs": pd.Series([[dict(zip(("first", "last", "run1", "run2"), r)) for r in x[1]] for x in flat],
+                                                  dtype=object)})
 
     src = docs.select(F.col("doc_id").cast("string").alias("doc"), F.xxhash64("text").alias("tie"), "text")
     return src.mapInPandas(run, _PRINT).withColumn("doc", F.col("doc").cast("bigint"))

@@ -224,6 +224,12 @@ def test_runs_are_extended_to_their_end(spark, frame):
     assert got[1][0] == 0 and got[2] == (1, f"p\n{two}\n{three}\nq") and got[3] == (3, "r\ns") and got[4][0] == 0
 
 
+def test_line_dedup_of_texts_without_runs(spark, frame):
+    rows = [(1, "one line"), (2, None), (3, ""), (4, "two\nlines")]
+    got = {r.doc_id: (r.text, r.n_lines_removed) for r in L.line_dedup(frame(rows)).collect()}
+    assert got == {i: (t, 0) for i, t in rows}
+
+
 def test_winnowing_guarantees_a_shared_fingerprint():
     rng = random.Random(3)
     for _ in range(300):
