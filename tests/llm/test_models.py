@@ -165,3 +165,40 @@ def test_url_filter(spark):
 def test_url_model_separates_its_table():
     m = U.train()
     assert all((m.score(*U.split(u)) >= 0.5) == bool(y) for y, u in U.LABELLED)
+
+
+UNSEEN = [(1, u) for u in """http://grand-casino.example.org/en/9 https://casino-palace.test/slots http://bets-today.example.net/odds
+https://m.ads-server.example.org/en/4 http://tracker-ads.test/p https://spammy-farm.example.net/de/7 http://buy-pills.test/order
+https://cheap-pills-shop.example.org/fr/2 http://adult-video.test/watch https://www.xxx-adult.example.net/en/1 http://free-jackpot.test/win
+https://online-bets.example.org/en/11""".split()] + [(0, u) for u in """http://bakery.example.org/en/8 https://www.mountain.example.net/de/4/
+http://blog.theatre.example.org/fr/31 https://m.question.example.net/en/88?page=2 http://history.test/rome/forum https://physics.test/lectures/waves
+http://choir.example.net/es/5 https://translation.example.org/en/6#top http://bridges.test/city/map https://novels.test/library/shelf
+http://therapist.example.net/en/10 https://gardeners.example.org/de/3.html""".split()]
+
+
+def test_url_model_on_hosts_it_has_not_seen():
+    """Held-out URLs, and the URLs of each name by a model without that name."""
+    model = U.train()
+    hosts = {U.split(u)[0] for _, u in U.LABELLED}
+    assert not hosts & {U.split(u)[0] for _, u in UNSEEN}
+    right = sum((model.score(*U.split(u)) >= 0.5) == bool(y) for y, u in UNSEEN)
+    assert right >= 22, [(y, u, model.score(*U.split(u))) for y, u in UNSEEN if (model.score(*U.split(u)) >= 0.5) != bool(y)]
+    right = 0
+    for k in range(10):
+        part = U.train(tuple(x for i, x in enumerate(U.LABELLED) if i // 2 % 10 != k))
+        right += sum((part.score(*U.split(u)) >= 0.5) == bool(y) for i, (y, u) in enumerate(U.LABELLED) if i // 2 % 10 == k)
+    assert right >= 0.8 * len(U.LABELLED)
+
+
+def test_url_table_has_no_host_of_the_pages(spark):
+    hosts = {U.split(u)[0] for _, u in U.LABELLED}
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+        found = {r[0] for r in pages.select(U.host_of(F.col("url"))).distinct().collect()}
+        assert not found & hosts
+
+
+def test_url_of_great_length(spark):
+    url = "http://bakery.example.org/" + "bread/" * 200_000
+    row = U.filter_urls(spark.createDataFrame([(1, url)], "page_id bigint, url string")).first()
+    assert row.host == "bakery.example.org" and len(row.path) == len(url) - len("http://bakery.example.org") and row.verdict == "allow"
