@@ -19,6 +19,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from io import BytesIO
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ from qsig.llm.support import join_counted, partitions
 from qsig.sources import io
 
 SKIPPABLE = 0x184D2A5D          # magic of the dictionary frame
+SKIPPED = range(0x184D2A50, 0x184D2A60)     # magics of skippable frames
+READ_BYTES = 1 << 20            # of an archive read at once
 FRAME = 0xFD2FB528              # magic of a Zstandard frame
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -61,49 +64,106 @@ def record(page: str, url: str | None, payload: bytes | None, payload_digest: st
     return "\r\n".join(["WARC/1.1", *head, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes) -> dict:
-    """Fields of one record; ValueError where headers, lengths or digests
-    do not hold."""
+def _headers(head: bytes) -> tuple[str, list[tuple[str, str]]]:
+    """Version and (name, value) of every header, folded lines joined."""
+    version, *lines = head.decode().split("\r\n")
+    if version not in ("WARC/1.0", "WARC/1.1"):
+        raise ValueError(f"not a WARC record: {version[:20]!r}")
+    out: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {line.strip()}")
+            continue
+        name, colon, value = line.partition(":")
+        if not colon or not name or name != name.strip():
+            raise ValueError(f"bad header line {line!r}")
+        out.append((name, value.strip()))
+    return version, out
+
+
+def _hold(what: str, value: str | None, data: bytes) -> None:
+    """Raises where a digest header of a known algorithm does not fit."""
+    algorithm, _, want = (value or "").partition(":")
+    if algorithm.lower() not in ("sha1", "sha256", "sha512", "md5"):
+        return
+    got = hashlib.new(algorithm.lower(), data)
+    if want.rstrip("=").upper() not in (base64.b32encode(got.digest()).decode().rstrip("="), got.hexdigest().upper()):
+        raise ValueError(f"{what} digest differs")
+
+
+def read_record(raw: bytes) -> dict:
+    """Fields of one record of any type; ValueError where headers, lengths or
+    digests do not hold.
+
+    ``payload`` is what follows the headers of an HTTP message, otherwise the
+    block; a revisit has none.  ``headers`` are all (name, value) as they
+    stand; a header that is repeated counts by its first value, but those that
+    every record has may not be."""
     head, sep, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    if not sep or lines[0] != "WARC/1.1":
-        raise ValueError("not a WARC/1.1 record")
+    if not sep:
+        raise ValueError("record without an end of headers")
+    version, headers = _headers(head)
     field: dict[str, str] = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(": ")
-        if not colon or name in field:
-            raise ValueError(f"bad header line {line!r}")
-        field[name] = value
-    for need in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "WARC-Payload-Digest"):
+    for name, value in headers:
+        if field.setdefault(name.lower(), value) != value and name.lower() in _NEEDED:
+            raise ValueError(f"two values of {name}")
+    for need in _NEEDED:
         if need not in field:
             raise ValueError(f"record without {need}")
-    size = int(field["Content-Length"])
-    if len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
+    size = int(field["content-length"])
+    if size < 0 or len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
         raise ValueError(f"Content-Length {size} does not fit the record")
-    kind, want = field["WARC-Type"], field["WARC-Payload-Digest"].removeprefix("sha1:")
+    kind, block = field["warc-type"].lower(), rest[:size]
+    http = kind in ("response", "request") and field.get("content-type", "").lower().startswith("application/http")
+    payload = None if kind == "revisit" else block.partition(b"\r\n\r\n")[2] if http else block
+    _hold("block", field.get("warc-block-digest"), block)
+    if payload is not None and "warc-truncated" not in field:
+        _hold("payload", field.get("warc-payload-digest"), payload)
+    if kind == "revisit" and "warc-profile" not in field:
+        raise ValueError("revisit without its profile")
+    told = field.get("x-payload-length")
+    if payload is not None and told is not None and int(told) != len(payload):
+        raise ValueError("payload length differs")
+    return {"version": version, "record_type": kind, "record_id": _bare(field["warc-record-id"]), "date": field["warc-date"],
+            "uri": field.get("warc-target-uri"), "refers_to": _bare(field.get("warc-refers-to")),
+            "payload_bytes": len(payload) if payload is not None else int(told) if told is not None else None,
+            "payload_digest": digest(payload) if payload is not None else (field.get("warc-payload-digest") or "").partition(":")[2] or None,
+            "block": block, "payload": payload, "headers": headers, "field": field}
+
+
+_NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+
 
-    def page(value: str) -> int | None:
-        if not value.startswith(f"<{RECORD}") or value[-1] != ">":
+def _bare(value: str | None) -> str | None:
+    """A record id without its angle brackets."""
+    return value[1:-1] if value and value[0] == "<" and value[-1] == ">" else value
+
+
+def parse(raw: bytes) -> dict:
+    """The page of a record that ``record`` made; ValueError for any other and
+    where something does not hold."""
+    r = read_record(raw)
+    field = r["field"]
+    for need in ("warc-payload-digest", "x-payload-length"):
+        if need not in field:
+            raise ValueError(f"record without {need}")
+    if r["version"] != "WARC/1.1" or r["record_type"] not in ("response", "revisit"):
+        raise ValueError(f"not a record of a page: {r['version']} {r['record_type']}")
+
+    def page(value: str | None) -> int | None:
+        if not value or not value.startswith(RECORD):
             raise ValueError(f"bad record id {value!r}")
-        value = value[len(RECORD) + 1:-1]
+        value = value[len(RECORD):]
         return None if value == "null" else int(value)
 
-    out = {"page_id": page(field["WARC-Record-ID"]), "payload_bytes": int(field["X-Payload-Length"]),
-           "payload_digest": want, "record_type": kind, "refers_to": None, "payload": None}
-    if kind == "response":
-        block = rest[:size]
-        if f"sha1:{digest(block)}" != field.get("WARC-Block-Digest"):
-            raise ValueError("block digest differs")
-        payload = block.partition(b"\r\n\r\n")[2]
-        if digest(payload) != want or len(payload) != out["payload_bytes"]:
-            raise ValueError("payload digest or length differs")
-        out["payload"] = payload
-    elif kind == "revisit":
-        if size or field.get("WARC-Profile") != PROFILE:
-            raise ValueError("revisit with a block or without its profile")
-        out["refers_to"] = page(field["WARC-Refers-To"])
-    else:
-        raise ValueError(f"unknown record type {kind}")
+    out = {"page_id": page(r["record_id"]), "payload_bytes": r["payload_bytes"], "payload_digest": r["payload_digest"],
+           "record_type": r["record_type"], "refers_to": None, "payload": r["payload"]}
+    if r["record_type"] == "revisit":
+        if r["block"] or field["warc-profile"] != PROFILE:
+            raise ValueError("revisit with a block or of another profile")
+        out["refers_to"] = page(r["refers_to"])
+    elif "warc-block-digest" not in field:
+        raise ValueError("record without warc-block-digest")
     return out
 
 
@@ -111,31 +171,64 @@ def dictionary_frame(dictionary: bytes) -> bytes:
     return struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary
 
 
-def records(archive: bytes) -> Iterator[bytes]:
-    """Raw records of one archive, one per frame."""
-    import zstandard
+class _Stream:
+    """Bytes of an archive, read as they are needed."""
+
+    def __init__(self, source):
+        self.source = source if hasattr(source, "read") else BytesIO(source)
+        self.held, self.at = memoryview(b""), 0
+
+    def have(self, n: int) -> bool:
+        while len(self.held) - self.at < n:
+            more = self.source.read(READ_BYTES)
+            if not more:
+                return False
+            self.held, self.at = memoryview(bytes(self.held[self.at:]) + more), 0
+        return True
 
-    view = memoryview(archive)
-    if len(view) < 8 or struct.unpack_from("<I", view)[0] != SKIPPABLE:
-        raise ValueError("archive does not start with a dictionary frame")
-    size = struct.unpack_from("<I", view, 4)[0]
-    if 8 + size > len(view):
-        raise ValueError("dictionary frame is cut short")
-    words = bytes(view[8:8 + size])
-    given = {"dict_data": zstandard.ZstdCompressionDict(words)} if words else {}
-    reader = zstandard.ZstdDecompressor(**given)
-    at = 8 + size
-    while at < len(view):
-        if len(view) - at < 4 or struct.unpack_from("<I", view, at)[0] != FRAME:
-            raise ValueError(f"no frame at byte {at}")
+    def take(self, n: int, what: str) -> bytes:
+        if not self.have(n):
+            raise ValueError(f"{what} is cut short")
+        self.at += n
+        return bytes(self.held[self.at - n:self.at])
+
+    def magic(self) -> int:
+        return struct.unpack_from("<I", self.held, self.at)[0] if self.have(4) else 0
+
+    def frame(self, reader) -> bytes:
+        """The next Zstandard frame, decoded."""
         one, parts = reader.decompressobj(), []
         while not one.eof:
-            if at >= len(view):
+            if not self.have(1):
                 raise ValueError("frame is cut short")
-            chunk = view[at:at + 32768]
+            chunk = self.held[self.at:self.at + 32768]
             parts.append(one.decompress(chunk))
-            at += len(chunk) - len(one.unused_data)
-        yield b"".join(parts)
+            self.at += len(chunk) - len(one.unused_data)
+        return b"".join(parts)
+
+
+def records(source) -> Iterator[bytes]:
+    """Raw records of one archive (bytes, or a file to read), one per frame.  A
+    dictionary in the leading skippable frame, itself compressed or not, is
+    loaded; archives without one are read as they are; other skippable frames
+    are passed over."""
+    import zstandard
+
+    stream, reader, leading = _Stream(source), zstandard.ZstdDecompressor(), True
+    while stream.have(1):
+        magic = stream.magic()
+        if magic in SKIPPED:
+            stream.take(4, "skippable frame")
+            words = stream.take(struct.unpack("<I", stream.take(4, "skippable frame"))[0], "skippable frame")
+            if leading and magic == SKIPPABLE and words:
+                if words[:4] == struct.pack("<I", FRAME):
+                    words = _Stream(words).frame(zstandard.ZstdDecompressor())
+                reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words))
+        elif magic == FRAME:
+            yield stream.frame(reader)
+        else:
+            raise ValueError("no frame where one must start")
+        leading = False
 
 
 def train_dictionary(pages: DataFrame, rows: int = 200, chars: int = 20_000, size: int = 32_768) -> bytes:
@@ -219,15 +312,14 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
         for pdf in batches:
             for path, n in zip(pdf["path"], pdf["records"]):
                 store, base = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-                with store.open_input_stream(base, compression=None) as f:
-                    raw = f.read()
                 rows, seen = [], 0
-                for one in records(raw):
-                    rows.append(parse(one))
-                    seen += 1
-                    if len(rows) >= 2000 or payloads and len(rows) >= 100:
-                        yield _frame(rows, names)
-                        rows = []
+                with store.open_input_stream(base, compression=None) as f:
+                    for one in records(f):
+                        rows.append(parse(one))
+                        seen += 1
+                        if len(rows) >= 2000 or payloads and len(rows) >= 100:
+                            yield _frame(rows, names)
+                            rows = []
                 if rows:
                     yield _frame(rows, names)
                 if seen != n:
@@ -238,6 +330,50 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
     return manifest.repartition(partitions(manifest), "path").mapInPandas(run, schema)
 
 
+def read_warc(archives: DataFrame, payloads: bool = False) -> DataFrame:
+    """Records of Zstandard WARC archives from anywhere (``archives``: path):
+    path, record (its number from 0), version, record_type, record_id, date,
+    uri, refers_to, payload_bytes, payload_digest (bare upper-case base32
+    SHA-1; of a revisit as its header has it), headers, and payload.
+
+    An archive that is damaged fails the job.  Paths are on storage that all
+    executors share; a null path has no records."""
+    names = ["version", "record_type", "record_id", "date", "uri", "refers_to", "payload_bytes", "payload_digest"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        def frame(path: str, first: int, rows: list[dict]) -> pd.DataFrame:
+            out = pd.DataFrame([[r[n] for n in names] for r in rows], columns=names)
+            out["payload_bytes"] = out["payload_bytes"].astype("Int64")
+            out.insert(0, "record", range(first, first + len(rows)))
+            out.insert(0, "path", path)
+            out["headers"] = [[{"name": n, "value": v} for n, v in r["headers"]] for r in rows]
+            if payloads:
+                out["payload"] = [r["payload"] for r in rows]
+            return out
+
+        for pdf in batches:
+            for path in pdf["path"]:
+                store, base = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                with store.open_input_stream(base, compression=None) as f:
+                    rows, first, size = [], 0, 0
+                    for raw in records(f):
+                        rows.append(read_record(raw))
+                        size += len(raw)
+                        if size > 16 << 20 or len(rows) == 2000:
+                            yield frame(path, first, rows)
+                            rows, first, size = [], first + len(rows), 0
+                    if rows:
+                        yield frame(path, first, rows)
+
+    schema = ("path string, record bigint, version string, record_type string, record_id string, date string, uri string, "
+              "refers_to string, payload_bytes bigint, payload_digest string, headers array<struct<name: string, value: string>>"
+              + ", payload binary" * payloads)
+    named = archives.select("path").where("path is not null")
+    return named.repartition(partitions(named), "path").mapInPandas(run, schema)
+
+
 def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=names)
     for c in ("page_id", "payload_bytes", "refers_to"):
