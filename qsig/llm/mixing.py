@@ -173,12 +173,15 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponen
     ``exponent``, which lifts small sources.  ``resolution``: rounds them to
     shares of a period of so many slots; by default they hold exactly.  Documents of a source are taken
     in a seeded hash order; rows repeated in full tie and take neighbouring
-    places.  Null ids hash like any value, a null source is a source of its
-    own, an empty table gives an empty result, other columns are not read.
+    places.  Null ids, which may be many, are spread by their place in the
+    table, a null source is a source of its own, an empty table gives an empty
+    result, other columns are not read.  A ``resolution`` below the number of
+    sources raises.
     """
     tag = "x"
     src = docs.select(F.col("doc_id"), F.col("source"), source_key().alias("key"),
-                      F.xxhash64(F.lit(seed), F.col("doc_id")).alias(tag))
+                      F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
+                      .otherwise(F.xxhash64(F.lit(seed), F.col("doc_id"))).alias(tag))
     src = io.stage(src.withColumn("range", F.shiftright(tag, 64 - ORDER_BITS)), "mix-src")
     sizes = io.stage(src.groupBy("key", "range").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
     counts = {r.key: r.n for r in sizes.groupBy("key").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()}
@@ -201,7 +204,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponen
         horizon = plan.where("last").agg(F.min("slot")).first()[0] or 0
         slotted, slot = placed.join(plan.drop("last"), ["key", "block"], "left"), F.col("slot")
     else:
-        slotted, slot, horizon = _by_period(placed, counts, shares(target, max(resolution, len(counts))), block)
+        slotted, slot, horizon = _by_period(placed, counts, shares(target, resolution), block)
     return slotted.select(
         "doc_id", "source", F.col("block").cast("bigint"), slot.cast("bigint").alias("slot"),
         (slot * block + F.col("place") % block).cast("bigint").alias("mix_rank"),

@@ -129,6 +129,16 @@ def test_mix_holds_exact_weights(spark, frame, monkeypatch):
         assert [r.block for r in mine] == [i // 2 for i in range(len(mine))]
 
 
+def test_many_null_ids_are_spread(spark, frame):
+    rows = [(None, "t", "a")] * 5000 + [(i, "t", "a") for i in range(5000)]
+    out = M.mix(frame(rows).repartition(4), block=10).collect()
+    assert sorted(r.mix_rank for r in out) == list(range(10_000))
+    blocks = {r.block for r in out if r.doc_id is None}
+    assert len(blocks) > 900                            # of 1,000: not one range of the order
+    with pytest.raises(ValueError):
+        M.mix(frame([(1, "t", "a"), (2, "t", "b")]), resolution=1).collect()
+
+
 # -------------------------------------------------------------------- warc
 
 def test_round_trip_gives_payloads_back(spark, scratch):
@@ -193,6 +203,75 @@ def test_reader_rejects_damage():
             list(W.records(cut))
 
 
+def foreign(kind, block, *headers, version="WARC/1.0", rid="<urn:uuid:12345678-0000-4000-8000-0123456789ab>"):
+    lines = [version, f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", "WARC-Date: 2020-02-02T02:02:02Z", *headers,
+             f"Content-Length: {len(block)}"]
+    return "\r\n".join([*lines, "", ""]).encode() + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n"
+
+
+def test_reader_takes_records_from_elsewhere():
+    info = W.read_record(foreign("warcinfo", b"software: x\r\n", "content-type: application/warc-fields", version="WARC/1.1"))
+    assert (info["record_type"], info["payload"], info["record_id"]) == ("warcinfo", b"software: x\r\n", "urn:uuid:12345678-0000-4000-8000-0123456789ab")
+    body = b"<p>a\r\n\r\nb</p>"
+    got = W.read_record(foreign("response", HTTP + body, "CONTENT-TYPE: application/http; msgtype=response", "Warc-Target-Uri:http://h/ a",
+                                f"WARC-Payload-Digest: SHA1:{W.digest(body).lower()}", "WARC-Concurrent-To: <urn:uuid:a>",
+                                "WARC-Concurrent-To: <urn:uuid:b>", "X-Folded: one\r\n\t two", rid="<http://x/1>"))
+    assert got["payload"] == body and got["payload_digest"] == W.digest(body) and got["payload_bytes"] == len(body)
+    assert got["uri"] == "http://h/ a" and ("X-Folded", "one two") in got["headers"] and got["record_id"] == "http://x/1"
+    assert [v for n, v in got["headers"] if n == "WARC-Concurrent-To"] == ["<urn:uuid:a>", "<urn:uuid:b>"]
+    again = W.read_record(foreign("revisit", HTTP, "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/server-not-modified",
+                                  "WARC-Refers-To: <urn:uuid:z>"))
+    assert (again["payload"], again["payload_bytes"], again["payload_digest"], again["refers_to"]) == (None, None, None, "urn:uuid:z")
+    for kind in ("request", "metadata", "resource", "conversion", "continuation", "x-own"):
+        assert W.read_record(foreign(kind, b"abc"))["payload"] == b"abc"
+    import hashlib
+    assert W.read_record(foreign("resource", b"abc", f"WARC-Block-Digest: sha256:{hashlib.sha256(b'abc').hexdigest()}",
+                                 "WARC-Payload-Digest: blake3:unknown"))["payload"] == b"abc"
+    good = foreign("resource", b"abc")
+    for bad in (good[:-1], good + b"x", good.replace(b"WARC/1.0", b"WARC/2.0"), good.replace(b"Content-Length: 3", b"Content-Length: 4"),
+                good.replace(b"Content-Length: 3", b"Content-Length: x"), good.replace(b"WARC-Date", b"Other"), b"", b"WARC/1.0\r\n",
+                good.replace(b"WARC-Date:", b"WARC-Date"), foreign("resource", b"abc", "WARC-Type: request"),
+                foreign("resource", b"abc", f"WARC-Block-Digest: sha1:{W.digest(b'abd')}"), foreign("revisit", b""),
+                foreign("resource", b"abc", f"WARC-Payload-Digest: sha1:{W.digest(b'abd')}"), good.replace(b"resource", b"\xff\xfe")):
+        with pytest.raises(ValueError):
+            W.read_record(bad)
+
+
+@pytest.mark.parametrize("form", ["none", "raw", "trained", "compressed", "empty", "between"])
+def test_reader_takes_any_dictionary(spark, scratch, form):
+    bodies = [f"<html><body>{i} some text that repeats in pages {i % 7}</body></html>".encode() for i in range(300)]
+    raws = [foreign("response", HTTP + b, "Content-Type: application/http", rid=f"<urn:uuid:{i}>") for i, b in enumerate(bodies)]
+    words = {"raw": b"some text that repeats in pages " * 9}.get(form) or zstandard.train_dictionary(1024, bodies).as_bytes()
+    press = zstandard.ZstdCompressor(**({} if form in ("none", "empty", "between") else {"dict_data": zstandard.ZstdCompressionDict(words)}))
+    frames = [press.compress(r) for r in raws]
+    lead = {"none": b"", "empty": W.dictionary_frame(b""), "between": b"",
+            "compressed": W.dictionary_frame(zstandard.ZstdCompressor().compress(words))}.get(form, W.dictionary_frame(words))
+    skipped = struct.pack("<II", 0x184D2A53, 3) + b"abc"
+    data = lead + (skipped.join(frames) if form == "between" else b"".join(frames))
+    assert list(W.records(data)) == raws
+    for name in ("a", "b"):
+        with open(f"{scratch}/{name}.warc.zst", "wb") as f:
+            f.write(data)
+    paths = spark.createDataFrame([(f"{scratch}/a.warc.zst", 1), (f"file:{scratch}/b.warc.zst", 2), (None, 3)], "path string, record int")
+    rows = W.read_warc(paths, payloads=True).collect()
+    assert len(rows) == 600 and all(bytes(r.payload) == bodies[r.record] and r.record_id == f"urn:uuid:{r.record}" for r in rows)
+    assert W.read_warc(paths.limit(0)).count() == 0
+    with open(f"{scratch}/none.warc.zst", "wb") as f:
+        f.write(lead)
+    assert W.read_warc(spark.createDataFrame([(f"{scratch}/none.warc.zst",)], "path string")).count() == 0
+
+
+def test_reader_streams_an_archive(monkeypatch):
+    """Frames and dictionaries cut anywhere by what a read returns."""
+    rng = random.Random(4)
+    monkeypatch.setattr(W, "READ_BYTES", 7)
+    raws = [foreign("resource", bytes(rng.randrange(256) for _ in range(rng.randrange(200)))) for _ in range(40)]
+    assert list(W.records(archive(raws, b"urn:uuid:12345678 WARC-Record-ID " * 8))) == raws
+
+
 # ---------------------------------------------------------- decontamination
 
 def brute_holds(text, probe, e):
@@ -386,3 +465,41 @@ def test_pipeline_filters_handle_odd_rows(spark, frame):
     none = df.limit(0)
     for stage in (P.near_dedup, P.dedup_lines, P.mix_sources):
         assert stage(spark, none, "").count() == 0
+    assert P.drop_leaks(spark, none, "/root/testdata/sf0.001").count() == 0
+
+
+def test_pipeline_drops_toxic_and_leaking_rows_of_any_form(spark, frame):
+    """Nulls, repeated rows, clashing columns and an empty table in the two
+    stages that drop documents by their text."""
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    toxic = [r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1").collect()]
+    kept = {r.doc_id for r in P.drop_toxic(spark, docs, sf).select("doc_id").collect()}
+    bad = [i for i in toxic if i not in kept][0]
+    text = docs.where(F.col("doc_id") == bad).first().text
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, None), (1, None), (2, ""), (3, text), (3, text), (None, text), (4, "A quiet walk along the river."),
+            (4, "A quiet walk along the river."), (5, f"before {item} after"), (None, f"x {item}")]
+    df = frame(rows)
+    for c in ("score", "text_hash", "contaminated", "items", "segment", "with space"):
+        df = df.withColumn(c, F.lit("clash"))
+    calm = P.drop_toxic(spark, df, sf)
+    assert calm.columns == df.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in calm.collect()))) == sorted(map(str, (x for x in rows if x[1] != text)))
+    clean = P.drop_leaks(spark, df, sf)
+    assert clean.columns == df.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean.collect()))) == sorted(map(str, (x for x in rows if item not in (x[1] or ""))))
+    assert P.drop_toxic(spark, df.limit(0), sf).count() == 0
+
+
+def test_near_dedup_picks_by_all_columns(spark, frame):
+    """Rows of one id and text that differ elsewhere: always the same one
+    stays, also without the usual columns."""
+    import corpus_pipeline as P
+
+    rows = [(1, "a b c d e", i % 3, f"x{i}") for i in range(30)]
+    for k in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, other int, `dot.ted` string").repartition(k)
+        assert [tuple(r) for r in P.near_dedup(spark, df, "").collect()] == [(1, "a b c d e", 0, "x0")]
