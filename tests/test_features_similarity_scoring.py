@@ -258,3 +258,32 @@ def test_score_matches_plain_sums(spark):
         assert got[r[1]] == pytest.approx(plain(*r[3:7]), abs=1e-12)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and out.columns == scoring.OUT_COLS
+
+
+def test_running_topk_sorts_only_what_counts(monkeypatch):
+    """After the first batches a product costs a comparison: only entries that
+    reach a row's k-th score are sorted, with copies going by id."""
+    calls = []
+    whole = similarity._batch_topk
+    monkeypatch.setattr(similarity, "_batch_topk", lambda s, k: calls.append(s.shape) or whole(s, k))
+    rng = np.random.default_rng(9)
+    m = rng.normal(size=(3000, 6))
+    m[1000:1400] = m[0]                                 # more copies than k
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    for names in (np.arange(3000), np.array([f"n{i:04d}" for i in range(3000)], object)):
+        calls.clear()
+        best = similarity._Best(u[:150], 20)
+        for at in rng.permutation(60):
+            best.add(u[at * 50:at * 50 + 50], names[at * 50:at * 50 + 50])
+        assert best.made == 60 and len(calls) < 30
+        row, name, score = best.found()
+        for i, want in enumerate(_topk(m, 20)[:150]):
+            assert name[row == i].tolist() == [names[j] for j in want]
+        assert np.allclose(score, np.sum(u[row] * u[[int(str(x).lstrip("n")) for x in name]], axis=1))
+
+
+def test_few_vectors_meet_by_a_key(spark):
+    """Too few vectors for pivots: blocks still meet in an equality join."""
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "id long, vec array<double>")
+    plan = similarity.cosine_topk(df, 3, block_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
