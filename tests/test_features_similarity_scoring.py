@@ -287,3 +287,30 @@ def test_few_vectors_meet_by_a_key(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "id long, vec array<double>")
     plan = similarity.cosine_topk(df, 3, block_rows=10)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_small_similarity_table_needs_no_shuffle(spark, monkeypatch):
+    """Rows are scored from their own lists where the categories fit a matrix,
+    without a shuffle or a written row, with the same scores as by lists."""
+    import random
+
+    rng = random.Random(11)
+    cates = [f"c{i}" for i in range(9)] + [None]
+    sim = [(a, b, rng.uniform(-1, 1)) for a in cates[:8] for b in cates[:9] if rng.random() < .5] + [("c1", "c2", .25), ("c1", None, 1.0)]
+    rows = [(f"q{i}", f"s{i}", "n", *[x for _ in range(2) for x in (
+        [rng.choice(cates) for _ in range(rng.randint(0, 5))], [rng.choice([None, 0.0, 1.0, 2.5]) for _ in range(rng.randint(0, 5))])], "o", i)
+        for i in range(400)] + [("nan", "t0", "n", ["c8"], [float("nan")], ["c1"], [1.0], "o", 1), ("none", "t1", "n", None, [1.0], ["c1"], [1.0], "o", 1)]
+    df, table = _qsc(spark, rows), spark.createDataFrame(sim, "cid3 string, neighbour string, score double")
+    monkeypatch.setattr(scoring, "TABLE_CELLS", 300)
+    out = scoring.scored_table(df, table)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Join" not in plan
+    got = {r.sku: r.query_sku_score for r in out.collect()}
+    monkeypatch.setattr(scoring, "TABLE_CATES", 3)
+    lists = scoring.scored_table(df, table)
+    assert "Join" in lists._jdf.queryExecution().executedPlan().toString()
+    want = {r.sku: r.query_sku_score for r in lists.collect()}
+    assert len(got) == 401 and got.keys() == want.keys() and got["t0"] == want["t0"] == 0.0
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    empty = scoring.scored_table(df, table.limit(0))
+    assert {r.query_sku_score for r in empty.collect()} == {0.0}
