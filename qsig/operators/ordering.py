@@ -18,6 +18,9 @@ numbered by a single task, so (key, order) is cut into slices:
 4. the offsets join back on (slice, key): the big side is already
    hash-partitioned on exactly those columns, so only the small table moves.
 
+Where the sample has fewer than ``HOT_SAMPLE`` rows of every group, no group
+is hot and the plain window numbers the rows: one shuffle, no counts, no join.
+
 The result equals the single-window ``row_number`` whenever the order is a
 total order (callers always pass full tie-breakers).  Key and order columns
 must come out the same when they are computed again.
@@ -35,6 +38,7 @@ from qsig.sources.io import stage
 PID = "__qsig_pid"
 KEY = "__qsig_key"
 SAMPLE_PER_SLICE = 20
+HOT_SAMPLE = 4              # rows of a group in the sample from which it is hot: a fifth of a slice
 
 
 @dataclass(frozen=True)
@@ -74,19 +78,49 @@ def _place(splitters: Column, key: Column, most: int) -> Column:
     return F.aggregate(steps, start, step, lambda at: at["lo"])
 
 
-def sliced(df: DataFrame, by: list[str], order: list[Order], slices: int | None = None) -> DataFrame:
-    """``df`` with its slice number and its key: slices follow (by, order) and
-    hold about as many rows each."""
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _place_of(by: list[str], order: list[Order]) -> Column:
+    """A row's place: its group, then its order."""
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
-    place = F.struct(group.alias("by"), F.struct(*[o.key.alias(f"o{i}") for i, o in enumerate(order)]).alias("order"))
-    drawn = df.select(place.alias("k")).select("k", F.xxhash64("k").alias("h"))
+    return F.struct(group.alias("by"), F.struct(*[o.key.alias(f"o{i}") for i, o in enumerate(order)]).alias("order"))
+
+
+def _splitters(df: DataFrame, by: list[str], order: list[Order], slices: int) -> tuple[Column, bool]:
+    """Splitters between slices from a bounded sample of the rows, and whether
+    it has ``HOT_SAMPLE`` rows of one group: none that the sample has fewer of
+    holds much more than a slice's share."""
+    drawn = df.select(_place_of(by, order).alias("k")).select("k", F.xxhash64("k").alias("h"))
     some = drawn.orderBy("h", "k").limit(SAMPLE_PER_SLICE * slices).agg(F.sort_array(F.collect_list("k")).alias("k"))
     cuts = F.transform(F.sequence(F.lit(1), F.lit(max(1, slices - 1))),
                        lambda i: F.get(F.col("k"), (i * F.size("k") / slices).cast("int")))
-    cuts = some.select(F.array_compact(F.array_distinct(cuts)).alias("k"))
-    splitters = F.from_json(F.lit(cuts.select(F.to_json("k")).first()[0]), cuts.schema["k"].dataType)
-    return df.withColumn(PID, _place(splitters, place, slices)).withColumn(KEY, group)
+    hot = F.exists(F.sequence(F.lit(0), F.size("k")),
+                   lambda i: F.get(F.col("k"), i)["by"] == F.get(F.col("k"), i + F.lit(HOT_SAMPLE - 1))["by"])
+    # not named k again: the lambdas would read the new column
+    cuts = some.select(F.array_compact(F.array_distinct(cuts)).alias("cuts"), F.coalesce(hot, F.lit(False)).alias("hot"))
+    text, hot = cuts.select(F.to_json("cuts"), "hot").first()
+    return F.from_json(F.lit(text), cuts.schema["cuts"].dataType), hot
+
+
+def _cut(df: DataFrame, by: list[str], order: list[Order], splitters: Column, slices: int) -> DataFrame:
+    place = _place_of(by, order)
+    return df.withColumn(PID, _place(splitters, place, slices)).withColumn(KEY, place["by"])
+
+
+def _slices(df: DataFrame, slices: int | None) -> int:
+    return slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sliced(df: DataFrame, by: list[str], order: list[Order], slices: int | None = None) -> DataFrame:
+    """``df`` with its slice number and its key: slices follow (by, order) and
+    hold about as many rows each."""
+    slices = _slices(df, slices)
+    return _cut(df, by, order, _splitters(df, by, order, slices)[0], slices)
+
+
+def _cut_if_hot(df: DataFrame, by: list[str], order: list[Order], slices: int | None) -> DataFrame | None:
+    """``sliced``, or None where no group needs it."""
+    slices = _slices(df, slices)
+    splitters, hot = _splitters(df, by, order, slices)
+    return _cut(df, by, order, splitters, slices) if hot else None
 
 
 def rank_within(df: DataFrame, by: list[str], order: list, name: str = "rank", limit: int | None = None,
@@ -103,7 +137,9 @@ def rank_within(df: DataFrame, by: list[str], order: list, name: str = "rank", l
         w = Window.partitionBy(*by).orderBy(*sort) if by else Window.orderBy(*sort)
         return df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= F.lit(limit))
     cols = [F.col(f"`{c}`") for c in df.columns]
-    cut = sliced(df, by, order, slices)
+    cut = _cut_if_hot(df, by, order, slices)
+    if cut is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*sort)).cast("bigint"))
     local = cut.withColumn("__qsig_lpos", F.row_number().over(Window.partitionBy(PID, KEY).orderBy(*sort)))
     counts = cut.groupBy(PID, KEY).agg(F.count(F.lit(1)).alias("__qsig_cnt"))
     before = Window.partitionBy(KEY).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -121,8 +157,11 @@ def successors(df: DataFrame, by: list[str], order: list[Order], col: str, name:
     first of the key's next slice, from a table of at most #keys + #slices
     rows."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    cut = sliced(df, by, order, slices)
-    within = Window.partitionBy(PID, KEY).orderBy(*[o.sort for o in order])
+    cut = _cut_if_hot(df, by, order, slices)
+    sort = [o.sort for o in order]
+    if cut is None:
+        return df.withColumn(name, F.lead(col).over(Window.partitionBy(*by).orderBy(*sort)))
+    within = Window.partitionBy(PID, KEY).orderBy(*sort)
     local = cut.withColumn("__qsig_next", F.lead(F.struct(F.col(col).alias("v"))).over(within))
     place = F.struct(*[o.key.alias(f"o{i}") for i, o in enumerate(order)])
     firsts = cut.groupBy(PID, KEY).agg(F.min_by(F.struct(F.col(col).alias("v")), place).alias("__qsig_first"))

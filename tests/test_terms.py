@@ -121,3 +121,21 @@ def test_dense_index_buckets_follow_the_number_of_values(spark):
     for bucket_rows in (10_000, 300, 20, 1):
         assert {r.name: r.idx for r in dense_index(df, "name", bucket_rows=bucket_rows).collect()} == want
     assert dense_index(df.limit(0), "name").count() == 0
+
+
+def test_small_groups_are_ranked_by_one_window(spark):
+    """Without a hot group the sample plans the plain window: no slices, counts
+    or join; one hot group among the same rows is cut in slices again."""
+    from qsig.operators import ordering
+
+    df = spark.range(20_000).select((F.col("id") / 3).cast("int").alias("g"), (F.col("id") * 7919 % 1009).alias("v"), F.col("id"))
+    order, w = [asc("v"), asc("id")], Window.partitionBy("g").orderBy("v", "id")
+    hot = df.unionByName(df.select(F.lit(-1).alias("g"), "v", "id"))
+    for rows, joins in ((df, False), (hot, True)):
+        ranked, nexts = rank_within(rows, ["g"], order, "r", slices=8), successors(rows, ["g"], order, "id", "t", slices=8)
+        for got, want in ((ranked, rows.withColumn("r", F.row_number().over(w).cast("bigint"))),
+                          (nexts, rows.withColumn("t", F.lead("id").over(w)))):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert ("Join" in plan) == joins and (joins or plan.count("Exchange hashpartitioning") == 1)
+            assert got.columns == want.columns and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    assert ordering.sliced(df, ["g"], order, slices=8).select(ordering.PID).distinct().count() == 8
