@@ -816,7 +816,7 @@ def q_labelled_pairs_table(spark, d):
     partition, positives are appended (S8), another partition is written
     beside it, and the partition is read back by name (S1, S10)."""
     path = _table_dir(spark, "pairs")
-    gp = _gp(spark, d)
+    gp = io.stage(_gp(spark, d), "graph-path")          # read by three samples
     io.overwrite_partition(samples.positive_pairs(gp, "ord"), path, PAIRS_SCHEMA, dt="2020-05-24", version="v")
     io.overwrite_partition(samples.negative_pairs(gp, K_NEG, SEED), path, PAIRS_SCHEMA, dt="2020-05-25", version="v")
     io.append_partition(samples.positive_pairs(gp, "ord"), path, PAIRS_SCHEMA, dt="2020-05-25", version="v")
