@@ -94,3 +94,63 @@ def test_equal_names_keep_a_line_each_and_missing_names_raise(spark, scratch):
         f.write("2 2\n")
     with pytest.raises(ValueError):
         jobs.category_similarity_job(spark, f"{scratch}/vecs", f"{scratch}/names", f"{scratch}/out", k=2)
+
+
+def _trade(spark, scratch, lines=900, customers=60, suppliers=12, brands=9):
+    """Small tables with keys that repeat, are null or meet nothing."""
+    import random
+
+    rng = random.Random(5)
+    tables = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long", [
+            (rng.choice([None, *range(150)]), rng.choice([None, *range(40)]), rng.choice([None, *range(suppliers + 1)])) for _ in range(lines)]),
+        "orders": ("o_orderkey long, o_custkey long", [(i, rng.choice([None, *range(customers)])) for i in range(150)]),
+        "part": ("p_partkey long, p_brand string", [(i, None if i == 7 else f"b{i % brands}") for i in range(40)]),
+        "customer": ("c_custkey long, c_nationkey int", [(i, i % 3) for i in range(customers - 5)]),
+        "supplier": ("s_suppkey long, s_name string", [(i, f"s{i}") for i in range(suppliers)] + [(3, "other"), (4, None), (None, "none"), (99, "idle")]),
+        "nation": ("n_nationkey int", [(0,), (1,), (2,)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/{name}.parquet")
+    return {k: v for k, (_, v) in tables.items()}
+
+
+def _pairs_of(t):
+    """query_sku_cate by plain loops."""
+    from collections import Counter, defaultdict
+
+    orders, parts = dict(t["orders"]), dict(t["part"])
+    lines = [(orders[o], s, parts[p]) for o, p, s in t["lineitem"] if o in orders and p in parts]
+
+    def lists(at):
+        per = defaultdict(Counter)
+        for x in lines:
+            per[x[at]][x[2]] += 1
+        return {k: list(zip(*sorted(v.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or "")))) for k, v in per.items()}
+
+    of_c, of_s = lists(0), lists(1)
+    return sorted((str(c), str(s), str(name), list(of_c[c][0]), list(map(float, of_c[c][1])), list(of_s[s][0]), list(map(float, of_s[s][1])), of_s[s][0][0], n)
+                  for (c, s), n in Counter((c, s) for c, s, _ in lines).items() if c is not None
+                  for key, name in t["supplier"] if s is not None and key == s)
+
+
+def test_pairs_meet_their_lists_without_a_shuffle_of_lists_per_row(spark, scratch, monkeypatch):
+    """Lists go to blocks of customers and suppliers, not to every row, and rows
+    that carry lists are neither joined nor shuffled; the rows are the same for any cut."""
+    want = _pairs_of(_trade(spark, scratch))
+    assert len(want) > 400
+    for cut in ((25_000, 1_000_000), (1, 20)):
+        monkeypatch.setattr(A, "LINES_PER_TASK", cut, raising=False)
+        df = A.query_sku_cate(spark, scratch)
+        got = sorted(((r.query, r.sku, str(r.sku_name), r.query_cate, r.query_cate_weight, r.sku_cate, r.sku_cate_weight, r.sku_org_cate, r.search_count)
+                      for r in df.collect()))
+        assert got == want
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    above = plan[:plan.index("Union")]          # from the result down to where pairs and lists are put together
+    assert "Join" not in above and above.count("Exchange") == 1 and above.rindex("Exchange") > above.rindex("Window")
+
+
+def test_blocks_keep_copies_and_rows_per_task_bounded():
+    for lines, customers, suppliers, tasks in ((10, 3, 2, 200), (600_000, 15_000, 1000, 200), (36_000_000, 900_000, 60_000, 200), (216_000_000, 5_400_000, 360_000, 8), (10**9, 10, 10**7, 200)):
+        tall, across = A._blocks(lines, customers, suppliers, tasks)
+        assert lines / (tall * across) <= 1_000_000 and tall * across <= 2 * max(tasks, lines / 1_000_000 + 1)
+        assert customers * across + suppliers * tall <= max(lines, 60) or customers < tasks
