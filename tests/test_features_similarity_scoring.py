@@ -314,3 +314,16 @@ def test_small_similarity_table_needs_no_shuffle(spark, monkeypatch):
     assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
     empty = scoring.scored_table(df, table.limit(0))
     assert {r.query_sku_score for r in empty.collect()} == {0.0}
+
+
+def test_weights_are_summed_once_per_list(spark):
+    """The sum of a list is worked out once, not again for each of its weights."""
+    rows = [(0, [1.0, 3.0, None], [2.0]), (1, [0.0, None], []), (2, None, [None]), (3, [float(i) for i in range(1, 4001)], [-1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, query_cate_weight array<float>, sku_cate_weight array<double>")
+    out = scoring.normalise_weights(df)
+    got = {r.id: (r.query_cate_weight_norm, r.sku_cate_weight_norm) for r in out.collect()}
+    assert got[0] == ([0.25, 0.75, 0.0], [1.0]) and got[1] == ([None, None], []) and got[2] == (None, [None])
+    assert got[3][0] == [i / 8002000.0 for i in range(1, 4001)] and got[3][1] == [-1.0, 2.0]
+    assert out.columns == ["id", "query_cate_weight", "sku_cate_weight", "query_cate_weight_norm", "sku_cate_weight_norm"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == plan.count("array_repeat(aggregate(") == 2
