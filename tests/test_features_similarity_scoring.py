@@ -327,3 +327,73 @@ def test_weights_are_summed_once_per_list(spark):
     assert out.columns == ["id", "query_cate_weight", "sku_cate_weight", "query_cate_weight_norm", "sku_cate_weight_norm"]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(") == plan.count("array_repeat(aggregate(") == 2
+
+
+def test_norm_is_worked_out_once_per_vector(spark):
+    """Also where the norm itself is not read."""
+    df = spark.createDataFrame([(0, [3.0, 4.0]), (1, [0.0, 0.0]), (2, None), (3, []), (4, [None, 2.0])], "id long, vec array<double>")
+    unit = similarity.normalise(df).select("id", "unit")
+    assert {r.id: r.unit for r in unit.collect()} == {0: [0.6, 0.8], 1: [0.0, 0.0], 2: None, 3: [], 4: [0.0, 1.0]}
+    plan = unit._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == plan.count("array_repeat(SQRT(aggregate(") == 1, plan
+
+
+def test_open_rows_of_several_blocks_share_a_task(spark):
+    """The second round holds the open rows of several blocks, so that a vector
+    goes to few tasks; each top-k ends in one task and is not ranked again."""
+    rng = np.random.default_rng(12)
+    m = rng.normal(size=(1600, 10))
+    m[9] = m[1500] = m[4]
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in enumerate(m)], "id long, vec array<double>")
+    unit = similarity.normalise(df).select("id", "unit").cache()
+    pivots = similarity._stack([r.unit for r in unit.orderBy(F.xxhash64("id"), "id").limit(6).select("unit").collect()])
+    first = similarity.first_round(similarity._located(unit, pivots, 50), pivots, 6, 8).cache()
+    left, blocks = first.where("kind = 1").count(), first.where("kind = 1").select("block").distinct().count()
+    groups = similarity._groups(first, 400).collect()
+    assert left > 1500 and blocks > 25 and len(groups) == blocks and {r.group for r in groups} == set(range(-(-left // 400)))
+    assert first.where("kind = 0").select("id").union(first.where("kind = 1").select("id")).distinct().count() == 1600
+    out = similarity.cosine_topk(df, 6, block_rows=50)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.rank): r.neighbour for r in out.collect()}
+    assert len(got) == 1600 * 6
+    for i, want in enumerate(_topk(m, 6)):
+        assert [got[(i, r)] for r in range(1, 7)] == want, i
+
+
+def test_rows_of_one_id_share_a_list(spark):
+    rng = np.random.default_rng(13)
+    m = rng.normal(size=(40, 4))
+    ids = [i // 2 if i < 20 else i for i in range(40)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, m)], "id long, vec array<double>")
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 12)
+    got = {}
+    for r in similarity.cosine_topk(df, 5, block_rows=15).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append((r.neighbour, round(r.score, 9)))
+    for i in set(ids):
+        both = sorted((-s[a, b], ids[b]) for a in range(40) if ids[a] == i for b in range(40))[:5]
+        assert got[i] == [(n, pytest.approx(-x, abs=1e-9)) for x, n in both]
+
+
+def test_single_precision_leaves_nothing_out():
+    """Scores that differ by less than single precision tells apart rank as in
+    double precision, and what is found is what all products give."""
+    rng = np.random.default_rng(14)
+    base = rng.normal(size=64)
+    m = np.vstack([base + 1e-5 * rng.normal(size=(1500, 64)), rng.normal(size=(1500, 64))])
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    best = similarity._Best(u[:60], 25)
+    for at in rng.permutation(60):
+        best.add(u[at * 50:at * 50 + 50], np.arange(at * 50, at * 50 + 50))
+    row, name, score = best.found()
+    place = similarity._place(row)
+    for i in range(60):
+        s = np.round(np.einsum("j,ij->i", u[i], u), 12)
+        mine = name[row == i]
+        assert len(mine) == 25 and place[row == i].tolist() == list(range(1, 26))
+        assert np.allclose(np.sort(s)[::-1][:25], s[mine], rtol=0, atol=2e-12) and np.allclose(score[row == i], s[mine], rtol=0, atol=2e-12)
+    for names in (rng.integers(0, 90, 4000), np.array([f"n{i}" for i in rng.integers(0, 90, 4000)], object)):
+        row, key = rng.integers(0, 30, 4000), np.round(rng.uniform(-1, 1, 4000), 2)
+        for scale in (1.0, 3.0):                        # beyond 1 the scores do not pack
+            order = similarity._ranked(row, key * scale, names)
+            assert [*zip(row[order], -key[order], names[order])] == sorted(zip(row, -key, names))
